@@ -39,9 +39,9 @@ def fits(df: DataFrame, keys: Sequence[str] = KEYS, rows: int = SLICE_ROWS) -> b
     return (largest or 0) <= rows
 
 
-def slice_by_offset(df: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def slice_by_offset(df: DataFrame, rows: int = SLICE_ROWS, keys: Sequence[str] = KEYS) -> DataFrame:
     """Slices for stream order. Offsets are unique in a partition, so no slice exceeds ``rows``."""
-    if fits(df, rows=rows):
+    if fits(df, keys, rows):
         return df
     return df.withColumn("_slice", F.col("partition").cast("long")).withColumn(
         "_part", F.expr(f"offset div {rows}")

@@ -147,6 +147,31 @@ def bin_spine(samples: DataFrame, width_ms: int = DENSE_MS, as_of_ms: int | None
     return spine.withColumn("b", end)
 
 
+def bin_ends(samples: DataFrame, width_ms: int = DENSE_MS, as_of_ms: int | None = None) -> DataFrame:
+    """The bins alone: a, b. The last ends at ``as_of_ms``, by default the newest sample's time."""
+    low = samples.agg(floor_to(F.min("timestamp"), HOUR_MS))
+    high = latest(samples)
+    as_of = high if as_of_ms is None else F.lit(as_of_ms)
+    starts = low.toDF("low").select(F.explode(F.sequence("low", high, F.lit(width_ms))).alias("a"))
+    end = F.col("a") + width_ms
+    return starts.withColumn("b", F.when(end > high, as_of).otherwise(end))
+
+
+def samples_in_bins(samples: DataFrame, width_ms: int = DENSE_MS) -> DataFrame:
+    """Every (machine, bin) with the samples inside, one row without a sample for an empty bin.
+
+    The bin follows from the time by division, so this is an equality join. Bins with samples need
+    no match: only the empty ones are added, so no join moves the samples.
+    """
+    low = samples.agg(floor_to(F.min("timestamp"), HOUR_MS)).scalar()
+    at = F.col("timestamp")
+    placed = samples.withColumn("a", at - F.pmod(at - low, F.lit(width_ms)))
+    placed = placed.withColumn("b", F.col("a") + width_ms)
+    filled = placed.select("machine_id", "a").distinct()
+    empty = bin_spine(samples, width_ms).join(filled, ["machine_id", "a"], "left_anti")
+    return placed.unionByName(empty, allowMissingColumns=True)
+
+
 def activity_periods_dense(samples: DataFrame, width_ms: int = DENSE_MS, as_of_ms: int | None = None) -> DataFrame:
     """Samples per machine and bin, empty bins with 0."""
     low = samples.agg(floor_to(F.min("timestamp"), HOUR_MS)).scalar()
