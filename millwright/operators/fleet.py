@@ -35,7 +35,7 @@ def status_report(current: DataFrame) -> DataFrame:
 
 def ping_rows(probes: DataFrame) -> DataFrame:
     """Probe results with the axis names trimmed."""
-    return probes.withColumn("machine_axes", F.transform("machine_axes", F.trim))
+    return probes.withColumn("machine_axes", F.transform("machine_axes", lambda axis: F.trim(axis)))
 
 
 def latest_ping(pings: DataFrame) -> DataFrame:
