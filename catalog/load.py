@@ -1,3 +1,3 @@
 """Import every section so that its queries are registered."""
 
-from catalog import columns, jobs, joins, machines  # noqa: F401
+from catalog import columns, jobs, joins, machines, streams  # noqa: F401

@@ -68,8 +68,9 @@ def json_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC_RECORD).json(path)
 
 
-def table_stream(spark: SparkSession, path: str, like: DataFrame, files_per_batch: int = 100) -> DataFrame:
-    """Parquet files with the schema of ``like`` as a stream."""
-    return (
-        spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    )
+def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int = 100) -> DataFrame:
+    """The Parquet table ``folder/name.parquet``, a file or a folder of files, as a stream."""
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    # As a glob, since the file source takes a plain path for a folder only.
+    path = f"{folder}/{{{name}}}.parquet"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
