@@ -41,17 +41,18 @@ def part_counts(samples: DataFrame) -> DataFrame:
 def asof_before(
     left: DataFrame,
     right: DataFrame,
-    key: Column,
+    value: Column,
     rows: int = SLICE_ROWS,
     lag: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Left rows with ``_matched``, ``key`` of the newest right row strictly earlier in ``timestamp``.
+    """Left rows with ``_matched``, ``value`` of the newest right row strictly earlier in ``timestamp``.
 
-    Both sides go through one ordered pass; at equal times left rows come first, so they never see
-    a right row of their own time. ``lag`` adds values of the previous left row.
+    Both sides go through one ordered pass that carries the value along, so a right row matched by
+    very many left rows makes no hot join key. At equal times left rows come first and never see a
+    right row of their own time. ``lag`` adds values of the previous left row.
     """
     both = left.withColumn("_kind", F.lit(0)).unionByName(
-        right.select(*KEYS, "timestamp", "offset", key.alias("_key")).withColumn("_kind", F.lit(1)),
+        right.select(*KEYS, "timestamp", "offset", value.alias("_value")).withColumn("_kind", F.lit(1)),
         allowMissingColumns=True,
     )
     tie = F.expr(f"_kind * {2**40} + offset div {rows}")
@@ -60,7 +61,7 @@ def asof_before(
     found = over_slices(
         slice_by_time(both, tie=tie, rows=rows),
         ("timestamp", "_kind", "offset"),
-        carry_before={"_matched": F.when(~is_left, F.col("_key")), **previous},
+        carry_before={"_matched": F.when(~is_left, F.col("_value")), **previous},
     )
     return unsliced(
         found.filter(is_left).select(
@@ -70,26 +71,21 @@ def asof_before(
 
 
 def completed_program_parts(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
-    """Increases of the part counter with the program running in an earlier second.
-
-    The pass carries only the program's offset; the texts join on the rows that remain.
-    """
+    """Increases of the part counter with the program running in an earlier second."""
     second = clock.to_second("timestamp")
     parts = part_counts(samples).withColumn("timestamp", second)
     loaded = samples.filter(F.col("program").isNotNull()).select(
         "machine_id", "offset", second.alias("timestamp"), "program"
     )
     increases = asof_before(
-        parts, loaded, F.col("offset"), rows, lag={"previous": F.col("part_count")}
-    ).filter(F.col("part_count") > F.col("previous"))
-    texts = loaded.select(
+        parts, loaded, F.struct("timestamp", "program"), rows, lag={"previous": F.col("part_count")}
+    ).filter((F.col("part_count") > F.col("previous")) & F.col("_matched").isNotNull())
+    return increases.select(
         "machine_id",
-        F.col("offset").alias("_matched"),
-        F.col("timestamp").alias("program_timestamp"),
-        one_line("program").alias("program"),
-    )
-    return increases.join(texts, ["machine_id", "_matched"]).select(
-        "machine_id", "timestamp", "part_count", "program_timestamp", "program"
+        "timestamp",
+        "part_count",
+        F.col("_matched.timestamp").alias("program_timestamp"),
+        one_line("_matched.program").alias("program"),
     )
 
 
@@ -119,37 +115,29 @@ def part_completed_events(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFra
     """
     counts = part_counts(samples).withColumn("_kind", F.lit(1))
     loads = samples.filter(present("program")).select(
-        "machine_id", "timestamp", "offset", "partition", F.lit(0).alias("_kind")
+        "machine_id", "timestamp", "offset", "partition", "program", F.lit(0).alias("_kind")
     )
     both = counts.unionByName(loads, allowMissingColumns=True)
     is_count = F.col("_kind") == 1
     walked = over_slices(
         slice_by_offset(both, rows),
         ("partition", "offset", "_kind"),
-        carry={"_loaded": F.when(~is_count, F.struct("offset"))},
+        carry={"_loaded": F.when(~is_count, F.struct("timestamp", "program"))},
         carry_before={"_last": F.when(is_count, F.col("part_count"))},
     )
-    changed = walked.filter(
+    return walked.filter(
         is_count
         & (F.col("_last").isNull() | (F.col("part_count") != F.col("_last")))
         & F.col("_loaded").isNotNull()
-    ).select("machine_id", "timestamp", "offset", "part_count", F.col("_loaded.offset").alias("_loaded"))
-    details = programs(samples).select(
-        "machine_id",
-        F.col("offset").alias("_loaded"),
-        F.col("contents").alias("program"),
-        F.col("hash").alias("program_hash"),
-        F.col("timestamp").alias("program_timestamp"),
-    )
-    return changed.join(details, ["machine_id", "_loaded"]).select(
+    ).select(
         "machine_id",
         "timestamp",
         "offset",
         "part_count",
         F.col("timestamp").alias("part_count_timestamp"),
-        "program",
-        "program_hash",
-        "program_timestamp",
+        F.col("_loaded.program").alias("program"),
+        content_hash("_loaded.program").alias("program_hash"),
+        F.col("_loaded.timestamp").alias("program_timestamp"),
     )
 
 

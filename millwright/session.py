@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STREAMING = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # Sessions are merged before the shuffle, so a hot machine sends sessions, not samples.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
 
 
 def build_session(app: str = "millwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,8 +27,9 @@ def build_session(app: str = "millwright", master: str | None = None, **conf: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     )
+    for key, value in STREAMING.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -31,6 +37,12 @@ def build_session(app: str = "millwright", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def set_streaming(spark: SparkSession) -> None:
+    """Give a session made elsewhere the settings the stateful streams rely on."""
+    for key, value in STREAMING.items():
+        spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

@@ -13,13 +13,17 @@ EXECUTION_TOPIC = "execution"
 COUNTS_TOPIC = "counts"
 SESSION_COUNTS_TOPIC = "counts-sessions"
 
+# Most a micro-batch takes from a topic, in rows, or from files.
+BATCH_ROWS = 1_000_000
+BATCH_BYTES = "268435456"
+
 
 def kafka_stream(
     spark: SparkSession,
     servers: str,
     topic: str = INPUT_TOPIC,
     starting: str = "earliest",
-    max_offsets: int | None = None,
+    max_offsets: int = BATCH_ROWS,
 ) -> DataFrame:
     """A Kafka topic as text records. Needs the Kafka connector on the class path.
 
@@ -31,9 +35,8 @@ def kafka_stream(
         .option("subscribe", topic)
         .option("startingOffsets", starting)
         .option("includeHeaders", "true")
+        .option("maxOffsetsPerTrigger", max_offsets)
     )
-    if max_offsets:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     return as_text(reader.load())
 
 
@@ -57,10 +60,13 @@ def as_text(records: DataFrame) -> DataFrame:
     )
 
 
-def json_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
-    """Topic records from JSON lines files, with the columns of the Kafka source."""
+def json_stream(spark: SparkSession, path: str, batch_bytes: str = BATCH_BYTES) -> DataFrame:
+    """Topic records from JSON lines files, with the columns of the Kafka source.
+
+    Files are taken oldest first, as a topic dump appends them.
+    """
     return (
-        spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", files_per_batch).json(path)
+        spark.readStream.schema(TOPIC_RECORD).option("maxBytesPerTrigger", batch_bytes).json(path)
     )
 
 
@@ -68,9 +74,9 @@ def json_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC_RECORD).json(path)
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int = 100) -> DataFrame:
+def table_stream(spark: SparkSession, folder: str, name: str, batch_bytes: str = BATCH_BYTES) -> DataFrame:
     """The Parquet table ``folder/name.parquet``, a file or a folder of files, as a stream."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     # As a glob, since the file source takes a plain path for a folder only.
     path = f"{folder}/{{{name}}}.parquet"
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).parquet(path)

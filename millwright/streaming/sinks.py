@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millwright.operators.keyed import RECORD_KEY
-from millwright.session import ROCKSDB_PROVIDER, new_path
+from millwright.session import new_path, set_streaming
 from millwright.sources.tables import write_batch
 
 # Fixed value: time between writes of the continuous jobs.
@@ -71,7 +71,7 @@ def to_console(stream: DataFrame, checkpoint: str, rows: int = 20, once: bool =
 def run_once(stream: DataFrame, label: str) -> DataFrame:
     """Run a stream over everything available now and read what it wrote."""
     spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    set_streaming(spark)
     path = new_path(spark, label)
     to_files(stream, f"{path}/data", f"{path}/checkpoint", once=True).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/data")

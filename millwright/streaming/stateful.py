@@ -1,8 +1,9 @@
 """Per-machine state along a stream: dedup, run durations, program join, sessions.
 
-Spark gives a processor the rows of one machine in one micro-batch. The source's limit per
-trigger bounds them. They are put in stream order here; rows at or behind the last offset already
-handled are replays and skipped.
+A processor gets the rows of one machine in one micro-batch and puts them in stream order; batches
+follow one another as the source delivers them. The source's limit per trigger bounds the rows one
+machine can bring at a time, so every source here has one. Use the batch operators of the same
+names to work through a stored history.
 """
 
 from __future__ import annotations
@@ -25,27 +26,19 @@ class _Ordered(StatefulProcessor):
     state_schema = ""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._place = handle.getValueState("place", "partition int, offset bigint")
         self._state = handle.getValueState("state", self.state_schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(rows).sort_values(self.order, kind="stable")
-        if self._place.exists():
-            _, offset = self._place.get()
-            batch = batch[batch["offset"] > offset]
-        if len(batch):
-            newest = batch.iloc[-1]
-            state = self._state.get() if self._state.exists() else None
-            out, state = self.walk(key[0], batch.reset_index(drop=True), state)
-            self._place.update((int(newest["partition"]), int(newest["offset"])))
-            if state is not None:
-                self._state.update(state)
-            if len(out):
-                yield out
-
-    order = ["partition", "offset"]
+        batch = pd.concat(rows).sort_values(["partition", "offset"], kind="stable", ignore_index=True)
+        before = self._state.get() if self._state.exists() else None
+        out, after = self.walk(key[0], batch, before)
+        if after is not None:
+            self._state.update(after)
+        if len(out):
+            yield out
 
     def walk(self, machine_id: str, batch: pd.DataFrame, state):
+        """Output rows and the new state, None to keep the old one."""
         raise NotImplementedError
 
     def close(self) -> None:
@@ -105,7 +98,6 @@ class PartPrograms(_Ordered):
     """Changes of the part counter with the program loaded at that point; none before the first."""
 
     state_schema = "part_count bigint, loaded bigint, program string, hash string"
-    order = ["partition", "offset"]
 
     def walk(self, machine_id, batch, state):
         count, loaded, program, digest = state or (None, None, None, None)
