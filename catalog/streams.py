@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog.base import HALF_HOUR, Tables, query
 from catalog.relations import sql
-from millwright.operators import changes, ingest, periods
+from millwright.operators import changes, ingest, periods, profile
+from millwright.schemas import EXECUTION, FLAT
 from millwright.session import new_path
-from millwright.sources import tables, topic
+from millwright.sources import framed, tables, topic
 from millwright.sources.telemetry import messages_from_events, samples_from_events
 from millwright.streaming import counts, sinks, stateful
 
@@ -169,9 +171,7 @@ def undecodable_records(t: Tables):
     UNION ALL SELECT 'status', count(meta_status), CAST(sum(meta_status) AS BIGINT), round(avg(meta_status), 6)
     FROM samples WHERE execution IS NOT NULL"""))
 def meta_averages(t: Tables):
-    from millwright.operators.profile import meta_averages as averages
-
-    return averages(ingest.decode(t.messages)).withColumn("mean", F.round("mean", 6))
+    return profile.meta_averages(ingest.decode(t.messages)).withColumn("mean", F.round("mean", 6))
 
 
 def _json_topic(t: Tables) -> str:
@@ -255,9 +255,7 @@ def schema_evolving_write(t: Tables):
 
 @query("topic_size", sql('SELECT "partition", max("offset") + 1 AS size FROM samples GROUP BY 1'))
 def topic_size(t: Tables):
-    from millwright.operators.profile import topic_size as size
-
-    return size(t.messages)
+    return profile.topic_size(t.messages)
 
 
 @query("replay_shift", sql("""
@@ -265,9 +263,7 @@ def topic_size(t: Tables):
     JOIN (SELECT "partition", max("offset") AS last FROM samples GROUP BY 1) e USING ("partition")
     WHERE s."offset" > e.last - 1000"""))
 def replay_shift(t: Tables):
-    from millwright.operators.profile import replay_from
-
-    return replay_from(t.messages, 1000).select("partition", "offset")
+    return profile.replay_from(t.messages, 1000).select("partition", "offset")
 
 
 @query("read_table", sql('SELECT machine_id, a, b FROM periods'))
@@ -308,3 +304,28 @@ def event_time_repaired(t: Tables):
 def event_time_invalid(t: Tables):
     broken = F.when(F.col("sequence") == 7, -F.col("timestamp")).otherwise(F.col("timestamp"))
     return ingest.split_by_event_time(t.samples.withColumn("timestamp", broken))[1].select("partition", "offset")
+
+
+@query("decode_framed_avro", _EXECUTION)
+def decode_framed_avro(t: Tables):
+    events = changes.execution_events(t.samples)
+    return framed.decode_framed(framed.encode_framed(events, EXECUTION, 7), EXECUTION)
+
+
+_OPTIONAL = T.StructType([FLAT[c] for c in ("machine_id", "offset", "execution", "part_count", "sequence")])
+
+
+@query("decode_framed_avro_optional", sql('SELECT machine_id, "offset", execution, part_count, sequence FROM samples'))
+def decode_framed_avro_optional(t: Tables):
+    return framed.decode_framed(framed.encode_framed(t.samples, _OPTIONAL, 8, True), _OPTIONAL, optional=True)
+
+
+@query("console_watch", sql("""
+    SELECT 'CreateTime:' || "timestamp" || chr(9) || machine_id || chr(9) || execution AS line FROM execs"""))
+def console_watch(t: Tables):
+    events = changes.execution_events(_samples(t))
+    records = events.select(
+        F.col("machine_id").alias("key"), F.col("execution").alias("value"),
+        F.timestamp_millis("timestamp").alias("timestamp"),
+    )
+    return sinks.run_once(sinks.watch_lines(records), "watch")

@@ -62,6 +62,12 @@ def to_kafka(stream: DataFrame, servers: str, topic: str, checkpoint: str, once:
     return _start(writer, checkpoint, once)
 
 
+def watch_lines(records: DataFrame) -> DataFrame:
+    """Topic records as lines of time, key and value, as a console consumer prints them."""
+    at = F.concat(F.lit("CreateTime:"), F.unix_millis("timestamp"))
+    return records.select(F.concat_ws("\t", at, "key", "value").alias("line"))
+
+
 def to_console(stream: DataFrame, checkpoint: str, rows: int = 20, once: bool = False) -> StreamingQuery:
     """Print each batch's first rows with key and time."""
     writer = stream.writeStream.format("console").option("numRows", rows).option("truncate", "false")
