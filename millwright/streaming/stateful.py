@@ -20,6 +20,9 @@ from millwright.operators.changes import execution_events
 from millwright.operators.periods import SESSION_GAP_MS
 
 
+STATE_TYPES = {"string": str, "int": int, "bigint": int, "double": float, "boolean": bool}
+
+
 class _Ordered(StatefulProcessor):
     """Base: hands the machine's new rows, in stream order, to ``walk``."""
 
@@ -57,19 +60,16 @@ class Dedup(_Ordered):
     """Drops values equal to the machine's last one."""
 
     def __init__(self, value: str, value_type: str, columns: list[str]):
-        self.value, self.columns = value, columns
+        self.value, self.columns, self.plain = value, columns, STATE_TYPES[value_type]
         self.state_schema = f"last {value_type}"
 
     def walk(self, machine_id, batch, state):
         values = batch[self.value]
         kept = batch[_changed(values, state[0] if state else None)]
         seen = values.dropna()
-        last = seen.iloc[-1] if len(seen) else None
-        return kept[self.columns], (_plain(last),) if last is not None else None
-
-
-def _plain(value):
-    return value.item() if hasattr(value, "item") else value
+        # Pandas holds whole numbers beside nulls as floats, which the state would misread.
+        after = (self.plain(seen.iloc[-1]),) if len(seen) else None
+        return kept[self.columns], after
 
 
 class Runs(_Ordered):
@@ -91,7 +91,8 @@ class Runs(_Ordered):
         done["duration"] = done["end"] - done["start"]
         done["machine_id"] = machine_id
         columns = ["machine_id", "execution", "start", "end", "offset", "partition", "duration"]
-        return done[columns], tuple(_plain(v) for v in starts.iloc[-1])
+        execution, at, offset, partition = starts.iloc[-1]
+        return done[columns], (execution, int(at), int(offset), int(partition))
 
 
 class PartPrograms(_Ordered):
