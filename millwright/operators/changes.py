@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from millwright.functions import clock
 from millwright.functions.text import present
 from millwright.operators.ordered import (
+    SLICE,
     SLICE_ROWS,
     STREAM_ORDER,
     TIME_ORDER,
     between_steps,
-    fits,
-    hot_spans,
     over_slices,
     slice_by_offset,
     slice_by_time,
@@ -102,10 +101,8 @@ def in_periods(events: DataFrame, periods: DataFrame, rows: int = SLICE_ROWS) ->
         allowMissingColumns=True,
     )
     is_event = F.col("_period").isNull()
-    if not fits(events, rows=rows):
-        marked = slice_by_time(marked, hot=hot_spans(events, rows=rows), rows=rows)
     placed = over_slices(
-        marked,
+        slice_by_time(marked, rows=rows, plan_from=events),
         TIME_ORDER,
         carry={"_in": F.col("_period")},
         carry_before={"_previous": F.when(is_event, F.struct("timestamp", "execution"))},
@@ -120,7 +117,10 @@ def runs_in_periods(events: DataFrame, periods: DataFrame, rows: int = SLICE_ROW
     placed = in_periods(events, periods, rows)
     same_period = F.coalesce(F.col("_previous.timestamp") >= F.col("a"), F.lit(False))
     changed = placed.filter(~same_period | (F.col("execution") != F.col("_previous.execution")))
-    followed = over_slices(between_steps(changed), TIME_ORDER, lead={"_next": F.col("timestamp")})
+    slim = changed.select(
+        *events.columns, "b", "r", *[c for c in SLICE if c in changed.columns]
+    )
+    followed = over_slices(between_steps(slim), TIME_ORDER, lead={"_next": F.col("timestamp")})
     end = F.when(F.col("_next") < F.col("b"), F.col("_next")).otherwise(F.col("b"))
     return followed.select(
         "machine_id",

@@ -17,23 +17,29 @@ POSITION_FIELDS = (
 )
 
 
-def decode(records: DataFrame) -> DataFrame:
-    """Topic records with ``values`` and ``meta``; records that cannot be decoded are skipped.
+def _parsed(records: DataFrame) -> DataFrame:
+    """Topic records with ``values`` and ``meta``, null where the text is malformed.
 
-    A malformed value decodes to a struct of nulls, so the members are tested, not the struct.
+    A generator hands the parsed struct on; as a plain column it would be parsed again for every
+    later use.
     """
     message = F.from_json("value", MESSAGE, {"mode": "PERMISSIVE"})
+    return records.select(*records.columns, F.inline(F.array(message)))
+
+
+def decode(records: DataFrame) -> DataFrame:
+    """Topic records with ``values`` and ``meta``; records that cannot be decoded are skipped."""
     return (
-        records.withColumn("_message", message)
-        .filter(F.col("_message.values").isNotNull() & F.col("_message.meta").isNotNull())
-        .select("key", "partition", "offset", "timestamp", "_message.values", "_message.meta")
+        _parsed(records)
+        .filter(F.col("values").isNotNull() & F.col("meta").isNotNull())
+        .select("key", "partition", "offset", "timestamp", "values", "meta")
     )
 
 
 def undecodable(records: DataFrame) -> DataFrame:
     """The records ``decode`` skips, for a side output."""
-    message = F.from_json("value", MESSAGE, {"mode": "PERMISSIVE"})
-    return records.filter(message["values"].isNull() | message["meta"].isNull())
+    parsed = _parsed(records)
+    return parsed.filter(F.col("values").isNull() | F.col("meta").isNull()).select(*records.columns)
 
 
 def _value(name: str) -> Column:

@@ -10,8 +10,6 @@ from millwright.functions.text import content_hash, one_line, present
 from millwright.operators.ordered import (
     KEYS,
     SLICE_ROWS,
-    fits,
-    hot_spans,
     over_slices,
     slice_by_offset,
     slice_by_time,
@@ -165,9 +163,11 @@ def session_lookup(
         ),
         allowMissingColumns=True,
     )
-    if not fits(events, rows=rows):
-        marked = slice_by_time(marked, hot=hot_spans(events, rows=rows), rows=rows)
-    placed = over_slices(marked, ("timestamp", "offset"), carry={"_in": F.col("_session")})
+    placed = over_slices(
+        slice_by_time(marked, rows=rows, plan_from=events),
+        ("timestamp", "offset"),
+        carry={"_in": F.col("_session")},
+    )
     held = F.col("timestamp") <= F.col("_in.windowEnd")
     return placed.filter(F.col("_session").isNull()).select(
         *events.columns,

@@ -55,28 +55,37 @@ def _listed(df: DataFrame, spans: DataFrame, on: list[str], how: str) -> DataFra
     return df.join(spans, on, how)
 
 
-def hot_spans(
+def plan_slices(
     df: DataFrame,
     keys: Sequence[str] = KEYS,
     ts: str = "timestamp",
     rows: int = SLICE_ROWS,
-) -> list[tuple[int, DataFrame]]:
-    """Time spans with more than ``rows`` rows, coarse to fine; usually none.
+) -> list[tuple[int, DataFrame]] | None:
+    """How to slice by time: None if every key fits one window, else the spans too full for it.
 
-    The counts are map-side combined. A finer width is counted only inside spans found hot at
-    the coarser width.
+    One map-side combined count per (key, hour) decides; hours are rarely too full. A finer width
+    is counted only inside spans found too full at the coarser width.
     """
-    scope, found = df.select(*keys, ts), []
+    count = F.count("*").alias("n")
+    hourly = df.groupBy(*keys, floor_to(F.col(ts), SPANS_MS[0]).alias("_span")).agg(count)
+    whole, fullest = (
+        hourly.groupBy(*keys)
+        .agg(F.sum("n").alias("whole"), F.max("n").alias("fullest"))
+        .agg(F.max("whole"), F.max("fullest"))
+        .first()
+    )
+    if (whole or 0) <= rows:
+        return None
+    found: list[tuple[int, DataFrame]] = []
+    if fullest <= rows:
+        return found
+    scope, counted = df.select(*keys, ts), hourly
     for width in SPANS_MS:
-        counted = (
-            scope.groupBy(*keys, floor_to(F.col(ts), width).alias("_span"))
-            .agg(F.count("*").alias("n"))
-            .filter(F.col("n") > rows)
-            .drop("n")
-        )
-        if counted.isEmpty():
+        if found:
+            counted = scope.groupBy(*keys, floor_to(F.col(ts), width).alias("_span")).agg(count)
+        spans = cut(counted.filter(F.col("n") > rows).drop("n"))
+        if spans.isEmpty():
             break
-        spans = cut(counted)
         found.append((width, spans))
         scope = _listed(
             scope.withColumn("_span", floor_to(F.col(ts), width)), spans, [*keys, "_span"], "left_semi"
@@ -90,17 +99,17 @@ def slice_by_time(
     ts: str = "timestamp",
     tie: Column | None = None,
     rows: int = SLICE_ROWS,
-    hot: list[tuple[int, DataFrame]] | None = None,
+    plan_from: DataFrame | None = None,
 ) -> DataFrame:
     """Slices for time order: hours, with hot hours cut into minutes, seconds, milliseconds.
 
     ``tie`` numbers pieces of a single hot millisecond and must grow with the order that follows
-    ``ts``; by default pieces of ``rows`` offsets.
+    ``ts``; by default pieces of ``rows`` offsets. ``plan_from`` holds the bulk of the rows where
+    ``df`` adds few to them and is dearer to count.
     """
+    hot = plan_slices(df if plan_from is None else plan_from, keys, ts, rows)
     if hot is None:
-        if fits(df, keys, rows):
-            return df
-        hot = hot_spans(df, keys, ts, rows)
+        return df
     tie = F.expr(f"offset div {rows}") if tie is None else tie
     out = df.withColumn("_slice", floor_to(F.col(ts), SPANS_MS[0])).withColumn("_part", F.lit(0).cast("long"))
     for width, spans in hot:
@@ -165,23 +174,20 @@ def over_slices(
         "*",
         F.lag(_row(lag)).over(inside).alias("_prev"),
         F.lead(_row(lead)).over(inside).alias("_next"),
-        *[F.last(c, ignorenulls=True).over(upto).alias(f"_at_{n}") for n, c in {**carry, **before}.items()],
+        *[F.last(c, ignorenulls=True).over(upto).alias(f"_at_{n}") for n, c in carry.items()],
         *[F.last(c, ignorenulls=True).over(earlier).alias(f"_before_{n}") for n, c in before.items()],
         *[F.sum(c).over(upto).alias(f"_sum_{n}") for n, c in total.items()],
         *[F.max(c).over(upto).alias(f"_max_{n}") for n, c in peak.items()],
     )
 
-    # One row per slice: its first row as seen by lead, its last row as seen by everything else.
-    is_first, is_last = F.col("_prev").isNull(), F.col("_next").isNull()
-    folded = [f"_at_{n}" for n in {**carry, **before}] + [f"_sum_{n}" for n in total] + [f"_max_{n}" for n in peak]
-    tail = _row({**lag, **{c: F.col(c) for c in folded}})
-    ends = (
-        local.filter(is_first | is_last)
-        .groupBy(*slice_keys)
-        .agg(
-            F.first(F.when(is_first, _row(lead)), ignorenulls=True).alias("_head"),
-            F.first(F.when(is_last, tail), ignorenulls=True).alias("_tail"),
-        )
+    # One row per slice, folded on the map side: its first and last row, last values and sums.
+    order = F.struct(*by)
+    ends = df.groupBy(*slice_keys).agg(
+        F.min_by(_row(lead), order).alias("_head"),
+        F.max_by(_row(lag), order).alias("_tail"),
+        *[F.max_by(c, F.when(c.isNotNull(), order)).alias(f"_at_{n}") for n, c in {**carry, **before}.items()],
+        *[F.sum(c).alias(f"_sum_{n}") for n, c in total.items()],
+        *[F.max(c).alias(f"_max_{n}") for n, c in peak.items()],
     )
     across = Window.partitionBy(*keys).orderBy(*SLICE)
     past = across.rowsBetween(Window.unboundedPreceding, -1)
@@ -189,10 +195,11 @@ def over_slices(
         *slice_keys,
         F.lag("_tail").over(across).alias("_from"),
         F.lead("_head").over(across).alias("_to"),
-        *[F.last(F.col(f"_tail._at_{n}"), ignorenulls=True).over(past).alias(f"_in_at_{n}") for n in {**carry, **before}],
-        *[F.sum(F.col(f"_tail._sum_{n}")).over(past).alias(f"_in_sum_{n}") for n in total],
-        *[F.max(F.col(f"_tail._max_{n}")).over(past).alias(f"_in_max_{n}") for n in peak],
+        *[F.last(f"_at_{n}", ignorenulls=True).over(past).alias(f"_in_at_{n}") for n in {**carry, **before}],
+        *[F.sum(f"_sum_{n}").over(past).alias(f"_in_sum_{n}") for n in total],
+        *[F.max(f"_max_{n}").over(past).alias(f"_in_max_{n}") for n in peak],
     )
+    is_first, is_last = F.col("_prev").isNull(), F.col("_next").isNull()
     return local.join(borders, slice_keys, "left").select(
         *[F.col(c) for c in df.columns],
         *[F.when(is_first, F.col(f"_from.{n}")).otherwise(F.col(f"_prev.{n}")).alias(n) for n in lag],
