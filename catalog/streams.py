@@ -23,6 +23,11 @@ def _samples(t: Tables):
     return samples_from_events(_events(t))
 
 
+def _bounded_samples(t: Tables):
+    """For per-machine state: no micro-batch brings more than a task can hold."""
+    return samples_from_events(topic.table_stream(t.spark, t.sf_dir, "events", topic.BATCH_BYTES))
+
+
 _TUMBLING = sql("""
     SELECT machine_id, w AS "windowStart", w + 60000 AS "windowEnd", count(*) AS "count"
     FROM (SELECT machine_id, "timestamp" - "timestamp" % 60000 AS w FROM samples)
@@ -58,7 +63,7 @@ def kstream_count_session(t: Tables):
 
 @query("stream_session_counts_live", sql('SELECT machine_id, "windowStart", "windowEnd", "count" FROM sessions'))
 def stream_session_counts_live(t: Tables):
-    updates = sinks.run_once(stateful.session_counts_live(_samples(t), HALF_HOUR), "live")
+    updates = sinks.run_once(stateful.session_counts_live(_bounded_samples(t), HALF_HOUR), "live")
     newest = F.max(F.struct("count", "windowEnd")).alias("u")
     return updates.groupBy("machine_id", "windowStart").agg(newest).select(
         "machine_id", "windowStart", "u.windowEnd", "u.count"
@@ -93,7 +98,7 @@ def stream_executions(t: Tables):
 
 @query("dedup_consecutive_stream", sql('SELECT machine_id, execution, "timestamp", "offset", "partition" FROM changes'))
 def dedup_consecutive_stream(t: Tables):
-    return sinks.run_once(stateful.dedup_consecutive(changes.execution_events(_samples(t)), "execution"), "dedup")
+    return sinks.run_once(stateful.dedup_consecutive(changes.execution_events(_bounded_samples(t)), "execution"), "dedup")
 
 
 @query("execution_run_duration_stream", sql("""
@@ -101,7 +106,7 @@ def dedup_consecutive_stream(t: Tables):
     FROM (SELECT *, lead("timestamp") OVER (PARTITION BY machine_id ORDER BY "partition", "offset") AS n FROM changes)
     WHERE n IS NOT NULL"""))
 def execution_run_duration_stream(t: Tables):
-    return sinks.run_once(stateful.execution_run_duration(_samples(t)), "runs")
+    return sinks.run_once(stateful.execution_run_duration(_bounded_samples(t)), "runs")
 
 
 @query("part_completed_events_stream", sql("""
@@ -109,7 +114,7 @@ def execution_run_duration_stream(t: Tables):
       l.contents AS program, l.hash AS program_hash, l."timestamp" AS program_timestamp
     FROM part_changes c ASOF JOIN loads l ON c.machine_id = l.machine_id AND c."offset" >= l."offset" """))
 def part_completed_events_stream(t: Tables):
-    return sinks.run_once(stateful.part_completed_events(_samples(t)), "parts")
+    return sinks.run_once(stateful.part_completed_events(_bounded_samples(t)), "parts")
 
 
 @query("execution_with_session_stream", sql("""
@@ -117,7 +122,7 @@ def part_completed_events_stream(t: Tables):
     FROM changes c JOIN sessions s ON s.machine_id = c.machine_id
       AND c."timestamp" BETWEEN s."windowStart" AND s."windowEnd" """))
 def execution_with_session_stream(t: Tables):
-    return sinks.run_once(stateful.execution_with_session(_samples(t), HALF_HOUR), "tagged")
+    return sinks.run_once(stateful.execution_with_session(_bounded_samples(t), HALF_HOUR), "tagged")
 
 
 # ---- sources and sinks

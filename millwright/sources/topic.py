@@ -74,9 +74,16 @@ def json_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC_RECORD).json(path)
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, batch_bytes: str = BATCH_BYTES) -> DataFrame:
-    """The Parquet table ``folder/name.parquet``, a file or a folder of files, as a stream."""
+def table_stream(spark: SparkSession, folder: str, name: str, batch_bytes: str | None = None) -> DataFrame:
+    """The Parquet table ``folder/name.parquet``, a file or a folder of files, as a stream.
+
+    Without ``batch_bytes`` a run takes all files at once: right for counts, whose late rows would
+    otherwise depend on the order of the files. Per-machine state needs the bound, and files whose
+    age follows their offsets.
+    """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     # As a glob, since the file source takes a plain path for a folder only.
-    path = f"{folder}/{{{name}}}.parquet"
-    return spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).parquet(path)
+    reader = spark.readStream.schema(schema)
+    if batch_bytes:
+        reader = reader.option("maxBytesPerTrigger", batch_bytes)
+    return reader.parquet(f"{folder}/{{{name}}}.parquet")
