@@ -30,6 +30,11 @@ class Tables:
     def events(self) -> DataFrame:
         return self.read("events")
 
+    @cached_property
+    def slice_rows(self) -> int:
+        """Slices of a hundredth of the events, for queries that compare the sliced path."""
+        return self.events.count() // 100 + 1
+
     @cached_property
     def samples(self) -> DataFrame:
         return telemetry.samples_from_events(self.events)

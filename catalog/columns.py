@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import HALF_HOUR, Tables, query
+from catalog.joins import in_time, neighbour
 from catalog.relations import sql
 from millwright.functions import clock, device, text
 from millwright.operators import changes, ingest, matching
@@ -80,10 +81,8 @@ def filter_closed(t: Tables):
 
 @query("filter_changed", sql('SELECT machine_id, "timestamp", "offset", execution FROM placed_lag WHERE p IS NULL OR execution <> p'))
 def filter_changed(t: Tables):
-    from catalog.joins import _neighbour
-
     kept = F.col("p").isNull() | ~F.col("execution").eqNullSafe(F.col("p"))
-    return _neighbour(t).filter(kept).select("machine_id", "timestamp", "offset", "execution")
+    return neighbour(t).filter(kept).select("machine_id", "timestamp", "offset", "execution")
 
 
 @query("filter_increase", sql("""
@@ -91,9 +90,7 @@ def filter_changed(t: Tables):
       SELECT *, lag(part_count) OVER (PARTITION BY machine_id ORDER BY "timestamp", "offset") AS p FROM parts)
     WHERE part_count > p"""))
 def filter_increase(t: Tables):
-    from catalog.joins import _in_time
-
-    paired = _in_time(matching.part_counts(t.samples), lag={"p": F.col("part_count")})
+    paired = in_time(matching.part_counts(t.samples), lag={"p": F.col("part_count")})
     return paired.filter(F.col("part_count") > F.col("p")).select("machine_id", "timestamp", "offset", "part_count")
 
 
@@ -235,7 +232,7 @@ def text_functions(t: Tables):
 
 
 @query("json_encode_array", """
-    SELECT vec_id, CAST(to_json(list_transform(embedding, lambda x: CAST(round(x * 1000) AS INTEGER))) AS VARCHAR) AS axes
+    SELECT vec_id, CAST(to_json(list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS INTEGER))) AS VARCHAR) AS axes
     FROM embeddings""")
 def json_encode_array(t: Tables):
     whole = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("int"))

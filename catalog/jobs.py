@@ -156,11 +156,14 @@ def machines_list(t: Tables):
     return jobs.machines_list(jobs.execution_distribution_totals(t.samples, HALF_HOUR, 3_600_000))
 
 
-@query("completed_program_parts", sql(r"""
+COMPLETED_PARTS = sql(r"""
     SELECT i.machine_id, i."timestamp", i.part_count, o."timestamp" AS program_timestamp,
       regexp_replace(o.program, '[\n\r]+', ' ', 'g') AS program
     FROM increases i JOIN ordinals o ON o.machine_id = i.machine_id AND o.r = (
-      SELECT max(r) FROM ordinals x WHERE x.machine_id = i.machine_id AND x."timestamp" < i."timestamp")"""))
+      SELECT max(r) FROM ordinals x WHERE x.machine_id = i.machine_id AND x."timestamp" < i."timestamp")""")
+
+
+@query("completed_program_parts", COMPLETED_PARTS)
 def completed_program_parts(t: Tables):
     return jobs.completed_program_parts(t.samples)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import HALF_HOUR, Tables, query
+from catalog.jobs import COMPLETED_PARTS
 from catalog.relations import sql
 from millwright.functions import clock
 from millwright.operators import bins, changes, ingest, keyed, matching, periods, profile
@@ -187,11 +188,11 @@ def aggregate_keep_changed(t: Tables):
 # ---- windows
 
 
-def _in_time(df, **steps):
+def in_time(df, **steps):
     return unsliced(over_slices(slice_by_time(df), TIME_ORDER, **steps))
 
 
-def _neighbour(t: Tables):
+def neighbour(t: Tables):
     """Events in their period with the event before in the same period."""
     placed = changes.in_periods(
         changes.execution_events(t.samples), periods.activity_periods(t.samples, HALF_HOUR)
@@ -203,7 +204,7 @@ def _neighbour(t: Tables):
 @query("lag_execution", sql("""
     SELECT machine_id, CAST(r AS INTEGER) AS r, "timestamp", "offset", execution, p FROM placed_lag"""))
 def lag_execution(t: Tables):
-    return _neighbour(t).select("machine_id", "r", "timestamp", "offset", "execution", "p")
+    return neighbour(t).select("machine_id", "r", "timestamp", "offset", "execution", "p")
 
 
 @query("lead_ts_period", sql("""
@@ -211,7 +212,7 @@ def lag_execution(t: Tables):
       lead("timestamp") OVER (PARTITION BY machine_id, r ORDER BY "timestamp", "offset") AS nxt
     FROM placed"""))
 def lead_ts_period(t: Tables):
-    placed = between_steps(_neighbour(t).select("machine_id", "r", "timestamp", "offset", "partition", "b"))
+    placed = between_steps(neighbour(t).select("machine_id", "r", "timestamp", "offset", "partition", "b"))
     followed = over_slices(placed, TIME_ORDER, lead={"n": F.col("timestamp")})
     return followed.select(
         "machine_id", "r", "timestamp", "offset", F.when(F.col("n") < F.col("b"), F.col("n")).alias("nxt")
@@ -229,7 +230,7 @@ def lead_ts_machine(t: Tables):
     SELECT machine_id, "timestamp", "offset", execution,
       lead(execution) OVER (PARTITION BY machine_id ORDER BY "timestamp", "offset") AS n FROM execs"""))
 def lead_execution(t: Tables):
-    followed = _in_time(changes.execution_events(t.samples), lead={"n": F.col("execution")})
+    followed = in_time(changes.execution_events(t.samples), lead={"n": F.col("execution")})
     return followed.select("machine_id", "timestamp", "offset", "execution", "n")
 
 
@@ -237,7 +238,7 @@ def lead_execution(t: Tables):
     SELECT machine_id, "timestamp", "offset", part_count,
       lag(part_count) OVER (PARTITION BY machine_id ORDER BY "timestamp", "offset") AS p FROM parts"""))
 def lag_part_count(t: Tables):
-    paired = _in_time(matching.part_counts(t.samples), lag={"p": F.col("part_count")})
+    paired = in_time(matching.part_counts(t.samples), lag={"p": F.col("part_count")})
     return paired.select("machine_id", "timestamp", "offset", "part_count", "p")
 
 
@@ -271,7 +272,7 @@ def running_group_id(t: Tables):
 def running_group_id_sliced(t: Tables):
     opened = F.when(F.col("execution") == "ACTIVE", 1).otherwise(0).cast("bigint")
     counted = over_slices(
-        slice_by_time(changes.execution_events(t.samples), rows=500), TIME_ORDER, total={"g": opened}
+        slice_by_time(changes.execution_events(t.samples), rows=t.slice_rows), TIME_ORDER, total={"g": opened}
     )
     return counted.select("machine_id", "timestamp", "offset", "g")
 
@@ -285,7 +286,7 @@ def _program_ordinals(t: Tables):
     loaded = t.samples.filter(F.col("program").isNotNull()).select(
         "machine_id", "partition", "offset", clock.to_second("timestamp").alias("timestamp"), "program"
     )
-    return _in_time(loaded, total={"r": F.lit(1).cast("bigint")})
+    return in_time(loaded, total={"r": F.lit(1).cast("bigint")})
 
 
 @query("program_ordinal", sql('SELECT machine_id, "timestamp", "offset", r FROM ordinals'))
@@ -314,13 +315,29 @@ def execution_run_duration(t: Tables):
 
 @query("execution_run_duration_sliced", _RUNS)
 def execution_run_duration_sliced(t: Tables):
-    return changes.execution_run_duration(t.samples, rows=500)
+    return changes.execution_run_duration(t.samples, rows=t.slice_rows)
+
+
+@query("completed_program_parts_sliced", COMPLETED_PARTS)
+def completed_program_parts_sliced(t: Tables):
+    return jobs.completed_program_parts(t.samples, rows=t.slice_rows)
+
+
+@query("part_completed_events_sliced", _TABLE_JOIN)
+def part_completed_events_sliced(t: Tables):
+    return matching.part_completed_events(t.samples, rows=t.slice_rows)
+
+
+@query("execution_with_session_sliced", _LOOKUP)
+def execution_with_session_sliced(t: Tables):
+    changed = changes.dedup_consecutive(changes.execution_events(t.samples), "execution")
+    return matching.execution_with_session(changed, t.samples, HALF_HOUR, rows=t.slice_rows)
 
 
 @query("executions_sliced", sql("""
     SELECT machine_id, start, "end", duration, execution, CAST(r AS INTEGER) AS r FROM runs"""))
 def executions_sliced(t: Tables):
-    return jobs.executions(t.samples, HALF_HOUR, rows=500)
+    return jobs.executions(t.samples, HALF_HOUR, rows=t.slice_rows)
 
 
 @query("program_table_by_machine", sql("""

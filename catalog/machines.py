@@ -33,15 +33,16 @@ def classify_estop(t: Tables):
 
 
 @query("scale_positions", """
-    SELECT l_orderkey, l_linenumber,
-      [CAST(l_quantity AS BIGINT) / 10.0, l_partkey / 100.0, l_suppkey / 1000.0] AS position
+    SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) / 10.0 AS x, l_partkey / 100.0 AS y,
+      l_suppkey / 1000.0 AS z
     FROM lineitem""")
 def scale_positions(t: Tables):
     raw = F.array(F.col("l_quantity").cast("bigint"), "l_partkey", "l_suppkey")
     exponents = F.array(*[F.lit(e) for e in (1, 2, 3)])
-    return t.read("lineitem").select(
-        "l_orderkey", "l_linenumber", device.scaled(raw, exponents).alias("position")
+    position = t.read("lineitem").select(
+        "l_orderkey", "l_linenumber", device.scaled(raw, exponents).alias("p")
     )
+    return position.select("l_orderkey", "l_linenumber", *[F.col("p")[i].alias(n) for i, n in enumerate("xyz")])
 
 
 @query("cycle_time_ms", """
@@ -105,7 +106,7 @@ def delta_encode(t: Tables):
 
 @query("delta_encode_sliced", sql(_ENCODED))
 def delta_encode_sliced(t: Tables):
-    return readings.delta_encode(_dense(t), _DENSE, rows=500).drop("partition")
+    return readings.delta_encode(_dense(t), _DENSE, rows=t.slice_rows).drop("partition")
 
 
 @query("delta_decode", sql(f'SELECT machine_id, "offset", {", ".join(_DENSE)} FROM readings'))
@@ -206,9 +207,9 @@ def _pings(t: Tables):
     return fleet.ping_rows(raw)
 
 
-@query("ping_append", _PINGS)
+@query("ping_append", f"SELECT * REPLACE (array_to_string(machine_axes, ',') AS machine_axes) FROM ({_PINGS})")
 def ping_append(t: Tables):
-    return _pings(t)
+    return _pings(t).withColumn("machine_axes", F.array_join("machine_axes", ","))
 
 
 @query("latest_ping", f"SELECT machine_id, machine_ip, machine_port FROM ({_PINGS}) ORDER BY date DESC, id DESC LIMIT 1")

@@ -104,8 +104,10 @@ def in_periods(events: DataFrame, periods: DataFrame, rows: int = SLICE_ROWS) ->
     placed = over_slices(
         slice_by_time(marked, rows=rows, plan_from=events),
         TIME_ORDER,
-        carry={"_in": F.col("_period")},
-        carry_before={"_previous": F.when(is_event, F.struct("timestamp", "execution"))},
+        carry_before={
+            "_in": F.col("_period"),
+            "_previous": F.when(is_event, F.struct("timestamp", "execution")),
+        },
     )
     return placed.filter(is_event & (F.col("timestamp") < F.col("_in.b"))).select(
         *[c for c in placed.columns if c not in ("_period", "_in")], "_in.a", "_in.b", "_in.r"

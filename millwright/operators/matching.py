@@ -120,8 +120,10 @@ def part_completed_events(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFra
     walked = over_slices(
         slice_by_offset(both, rows),
         ("partition", "offset", "_kind"),
-        carry={"_loaded": F.when(~is_count, F.struct("timestamp", "program"))},
-        carry_before={"_last": F.when(is_count, F.col("part_count"))},
+        carry_before={
+            "_loaded": F.when(~is_count, F.struct("timestamp", "program")),
+            "_last": F.when(is_count, F.col("part_count")),
+        },
     )
     return walked.filter(
         is_count

@@ -31,9 +31,12 @@ def materialize(df: DataFrame, path: str | None = None, partition_by: Sequence[s
 
 
 def materialize_samples(samples: DataFrame, path: str | None = None) -> DataFrame:
-    """(machine_id, ts) by day, so that time filters read only their days."""
+    """(machine_id, ts) by day, so that time filters read only their days.
+
+    Rows are brought together by day for few files per day; a full day is split by the rebalance.
+    """
     slim = samples.select("machine_id", F.timestamp_millis("timestamp").alias("ts"))
-    return materialize(slim.withColumn("day", F.to_date("ts")), path, ["day"])
+    return materialize(slim.withColumn("day", F.to_date("ts")).hint("rebalance", "day"), path, ["day"])
 
 
 def write_batch(batch: DataFrame, path: str, batch_id: int, keep: str = "last", keys: Sequence[str] = RECORD_KEY) -> None:
