@@ -44,7 +44,9 @@ def machine_id(*words: Column) -> Column:
 
 
 def axis_unit(code: Column) -> Column:
-    return F.try_element_at(F.array(*map(F.lit, AXIS_UNITS)), code.cast("int") + 1)
+    """The unit's name, null for an unknown code."""
+    names = F.array(*map(F.lit, AXIS_UNITS))
+    return F.when(code.between(0, len(AXIS_UNITS) - 1), F.get(names, code.cast("int")))
 
 
 def valid_port(text: Column) -> Column:

@@ -20,6 +20,8 @@ TRIGGERS: Mapping[str, Sequence[str]] = {
     "mprogram": ("program", "program_size"),
     "part_count": ("cycle_time",),
 }
+# Fixed value: a message number of -1 empties the message text.
+CLEARED: Mapping[str, str] = {"message_text": "message_number = -1"}
 
 
 def _previous(readings: DataFrame, fields: Sequence[str], rows: int) -> DataFrame:
@@ -42,13 +44,29 @@ def delta_encode(readings: DataFrame, fields: Sequence[str], rows: int = SLICE_R
     return paired.select(*kept)
 
 
-def delta_decode(samples: DataFrame, fields: Sequence[str], rows: int = SLICE_ROWS) -> DataFrame:
-    """The full state of the machine after each sample."""
+def delta_decode(
+    samples: DataFrame,
+    fields: Sequence[str],
+    rows: int = SLICE_ROWS,
+    cleared: Mapping[str, str] = CLEARED,
+) -> DataFrame:
+    """The full state of the machine after each sample.
+
+    A null field is unchanged, except where its condition in ``cleared`` says it was emptied.
+    """
+    known = {
+        c: F.col(c).isNotNull() | F.coalesce(F.expr(cleared[c]), F.lit(False))
+        if c in cleared and cleared[c].split()[0] in samples.columns
+        else F.col(c).isNotNull()
+        for c in fields
+    }
     state = over_slices(
-        slice_by_offset(samples, rows), STREAM_ORDER, carry={f"_full_{c}": F.col(c) for c in fields}
+        slice_by_offset(samples, rows),
+        STREAM_ORDER,
+        carry={f"_full_{c}": F.when(known[c], F.struct(F.col(c).alias("v"))) for c in fields},
     )
     return state.select(
-        *[F.col(f"_full_{c}").alias(c) if c in fields else F.col(c) for c in samples.columns]
+        *[F.col(f"_full_{c}.v").alias(c) if c in fields else F.col(c) for c in samples.columns]
     )
 
 

@@ -62,6 +62,7 @@ def test_device(spark):
     assert value(spark, device.machine_id(*words)) == "0000001a-bc91f2d0-00000000-ffffffff"
     assert value(spark, device.axis_unit(F.lit(10))) == "Second"
     assert value(spark, device.axis_unit(F.lit(11))) is None
+    assert value(spark, device.axis_unit(F.lit(-1))) is None
 
 
 @pytest.mark.parametrize(

@@ -78,6 +78,18 @@ def test_delta_round_trip(spark, limit):
     assert rows(readings.delta_decode(sparse, fields, limit)) == rows(dense)
 
 
+@pytest.mark.parametrize("limit", [1, 1000])
+def test_a_message_can_be_cleared(spark, limit):
+    sparse = spark.createDataFrame(
+        [("m", 0, 0, 4, "stop"), ("m", 0, 1, None, None), ("m", 0, 2, -1, None), ("m", 0, 3, None, None), ("m", 0, 4, 5, "go")],
+        "machine_id string, partition int, offset bigint, message_number int, message_text string",
+    )
+    full = readings.delta_decode(sparse, ["message_number", "message_text"], limit)
+    assert rows(full, "offset", "message_number", "message_text") == [
+        (0, 4, "stop"), (1, 4, "stop"), (2, -1, None), (3, -1, None), (4, 5, "go"),
+    ]
+
+
 def test_triggered_fields(spark):
     made = [("m", 0, 0, 1, "P", 5, 1), ("m", 0, 1, 1, "Z", 6, 2), ("m", 0, 2, 2, "Q", 6, 3)]
     got = readings.triggered_fields(spark.createDataFrame(made, READINGS))
