@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -15,6 +17,12 @@ STREAMING = {
 }
 
 
+def ship_by_value(module: str) -> None:
+    """Send the module's functions to the Python workers themselves, not by name, so that workers
+    need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def build_session(app: str = "millwright", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are planned for.
 

@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millwright.session import ship_by_value
+
+ship_by_value(__name__)
+
 HEADER_BYTES = 5
 AVRO_TYPES = {"string": "string", "int": "int", "bigint": "long"}
 

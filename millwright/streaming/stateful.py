@@ -18,6 +18,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from millwright.functions.text import content_hash, present
 from millwright.operators.changes import execution_events
 from millwright.operators.periods import SESSION_GAP_MS
+from millwright.session import ship_by_value
+
+ship_by_value(__name__)
 
 
 STATE_TYPES = {"string": str, "int": int, "bigint": int, "double": float, "boolean": bool}
