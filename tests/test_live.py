@@ -48,3 +48,22 @@ def test_topic_to_tables(spark):
     assert rows(result("tagged")) == rows(matching.execution_with_session(deduped, flat))
     live_counts = result("sessions").groupBy("machine_id", "windowStart").agg(F.max("windowEnd"), F.max("count"))
     assert rows(live_counts) == rows(periods.sessions(flat))
+
+
+def test_jobs_from_the_command_line(spark):
+    from millwright.plans import run
+    from millwright.plans.jobs import executions
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    messages = messages_from_events(events)
+    dump, out = new_path(spark, "dump"), new_path(spark, "out")
+    messages.write.json(dump)
+    flat = ingest.flatten(ingest.decode(messages))
+    # A device's own position fields, absent from the stand-in messages.
+    table = new_path(spark, "table")
+    flat.withColumn("program_path_alt", F.lit(None).cast("string")).write.parquet(table)
+    run.run(spark, run.options(["executions", dump, out, "--messages"]))
+    assert rows(spark.read.parquet(out)) == rows(executions(flat))
+    for job in run.JOBS:
+        run.run(spark, run.options([job, table, out, "--machine", "m1", "--as-of-ms", "1706745600000"]))
+        assert spark.read.parquet(out).columns
