@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import HALF_HOUR, Tables, query
 from catalog.joins import in_time, neighbour
-from catalog.relations import sql
+from catalog.relations import UNPIVOTED, sql
 from millwright.functions import clock, device, text
 from millwright.operators import changes, ingest, matching
 from millwright.plans import jobs
@@ -94,13 +94,7 @@ def filter_increase(t: Tables):
     return paired.filter(F.col("part_count") > F.col("p")).select("machine_id", "timestamp", "offset", "part_count")
 
 
-_UNPIVOT = sql("""
-    SELECT machine_id, "timestamp", "offset", "key", "value" FROM (
-      SELECT machine_id, "timestamp", "offset",
-        unnest(['program_number','program_path_alt','mprogram','cprogram','sequence','block','block_num']) AS "key",
-        unnest([CAST(program_number AS VARCHAR), program_path_alt, CAST(mprogram AS VARCHAR), CAST(cprogram AS VARCHAR),
-                CAST(sequence AS VARCHAR), block, CAST(block_num AS VARCHAR)]) AS "value"
-      FROM samples) WHERE "value" IS NOT NULL""")
+_UNPIVOT = sql(UNPIVOTED)
 
 
 @query("unpivot_fields", _UNPIVOT)

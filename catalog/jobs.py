@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import HALF_HOUR, Tables, query
-from catalog.relations import sql
+from catalog.relations import UNPIVOTED, sql
 from millwright.operators import bins, periods, profile
 from millwright.plans import jobs
 
@@ -157,10 +157,9 @@ def machines_list(t: Tables):
 
 
 COMPLETED_PARTS = sql(r"""
-    SELECT i.machine_id, i."timestamp", i.part_count, o."timestamp" AS program_timestamp,
-      regexp_replace(o.program, '[\n\r]+', ' ', 'g') AS program
-    FROM increases i JOIN ordinals o ON o.machine_id = i.machine_id AND o.r = (
-      SELECT max(r) FROM ordinals x WHERE x.machine_id = i.machine_id AND x."timestamp" < i."timestamp")""")
+    SELECT i.machine_id, i."timestamp", i.part_count, l."timestamp" AS program_timestamp,
+      regexp_replace(l.program, '[\n\r]+', ' ', 'g') AS program
+    FROM increases i ASOF JOIN loads_by_second l ON i.machine_id = l.machine_id AND i."timestamp" > l."timestamp" """)
 
 
 @query("completed_program_parts", COMPLETED_PARTS)
@@ -184,13 +183,9 @@ def distinct_programs_texts(t: Tables):
     return jobs.distinct_programs(t.read("documents").select(F.col("text").alias("program")))
 
 
-@query("block_progression", sql("""
-    SELECT machine_id, "timestamp" // 1000 * 1000 AS "timestamp", "offset", "key", "value" FROM (
-      SELECT machine_id, "timestamp", "offset",
-        unnest(['program_number','program_path_alt','mprogram','cprogram','sequence','block','block_num']) AS "key",
-        unnest([CAST(program_number AS VARCHAR), program_path_alt, CAST(mprogram AS VARCHAR), CAST(cprogram AS VARCHAR),
-                CAST(sequence AS VARCHAR), block, CAST(block_num AS VARCHAR)]) AS "value"
-      FROM samples WHERE machine_id = 'm3') WHERE "value" IS NOT NULL
+@query("block_progression", sql(f"""
+    SELECT machine_id, "timestamp" // 1000 * 1000 AS "timestamp", "offset", "key", "value"
+    FROM ({UNPIVOTED}) WHERE machine_id = 'm3'
     ORDER BY "timestamp" // 1000 DESC, "offset" DESC, "key" LIMIT 100"""))
 def block_progression(t: Tables):
     return jobs.block_progression(t.samples, "m3")

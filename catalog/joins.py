@@ -32,7 +32,7 @@ def join_samples_in_period(t: Tables):
 
 @query("join_bins_left_range", sql("""
     SELECT s.machine_id, s.a, s.b, t."offset" FROM spine s LEFT JOIN samples t
-      ON t.machine_id = s.machine_id AND s.a <= t."timestamp" AND t."timestamp" < s.b"""))
+      ON s.machine_id = t.machine_id AND t."timestamp" BETWEEN s.a AND s.b - 1"""))
 def join_bins_left_range(t: Tables):
     return periods.samples_in_bins(t.samples).select("machine_id", "a", "b", "offset")
 
@@ -161,8 +161,9 @@ def global_max_min(t: Tables):
 
 
 @query("max_scalar_correlated", sql("""
-    SELECT i.machine_id, i."timestamp", i."offset", i.part_count,
-      (SELECT max(r) FROM ordinals o WHERE o.machine_id = i.machine_id AND o."timestamp" < i."timestamp") AS r
+    SELECT machine_id, "timestamp", "offset", part_count, CAST(nullif((
+      SELECT coalesce(sum(n), 0) FROM loads_by_second l
+      WHERE l.machine_id = i.machine_id AND l."timestamp" < i."timestamp"), 0) AS BIGINT) AS r
     FROM increases i"""))
 def max_scalar_correlated(t: Tables):
     second = clock.to_second("timestamp")
@@ -242,13 +243,15 @@ def lag_part_count(t: Tables):
     return paired.select("machine_id", "timestamp", "offset", "part_count", "p")
 
 
-@query("lag_bucket", sql("SELECT machine_id, bucket, cnt, previous FROM islands"))
+@query("lag_bucket", sql("""
+    SELECT machine_id, bucket, cnt, lag(bucket) OVER (PARTITION BY machine_id ORDER BY bucket) AS previous FROM buckets"""))
 def lag_bucket(t: Tables):
     buckets = periods.count_per_bucket(t.samples, HALF_HOUR)
     return buckets.withColumn("previous", F.lag("bucket").over(periods.per_machine("bucket")))
 
 
-@query("lag_cond", sql("SELECT machine_id, a, cond, pcond FROM dense_islands"))
+@query("lag_cond", sql("""
+    SELECT machine_id, a, cond, lag(cond) OVER (PARTITION BY machine_id ORDER BY a) AS pcond FROM dense_islands"""))
 def lag_cond(t: Tables):
     bins_ = periods.activity_periods_dense(t.samples).withColumn("cond", F.col("count") < 10)
     return bins_.select("machine_id", "a", "cond", F.lag("cond").over(periods.per_machine("a")).alias("pcond"))
@@ -289,7 +292,10 @@ def _program_ordinals(t: Tables):
     return in_time(loaded, total={"r": F.lit(1).cast("bigint")})
 
 
-@query("program_ordinal", sql('SELECT machine_id, "timestamp", "offset", r FROM ordinals'))
+@query("program_ordinal", sql("""
+    SELECT machine_id, "timestamp" // 1000 * 1000 AS "timestamp", "offset",
+      row_number() OVER (PARTITION BY machine_id ORDER BY "timestamp", "offset") AS r
+    FROM samples WHERE program IS NOT NULL"""))
 def program_ordinal(t: Tables):
     return _program_ordinals(t).select("machine_id", "timestamp", "offset", "r")
 

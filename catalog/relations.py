@@ -46,17 +46,17 @@ RELATIONS: dict[str, str] = {
         SELECT machine_id, "timestamp" - "timestamp" % {bucket} AS bucket, count(*) AS cnt
         FROM samples GROUP BY ALL""",
     "islands": """
-        SELECT *, sum(CASE WHEN previous IS NULL OR previous + {bucket} < bucket THEN 1 ELSE 0 END)
-            OVER (PARTITION BY machine_id ORDER BY bucket) AS g
-        FROM (SELECT *, lag(bucket) OVER (PARTITION BY machine_id ORDER BY bucket) AS previous FROM buckets)""",
+        SELECT machine_id, bucket, cnt, dense_rank() OVER (PARTITION BY machine_id ORDER BY origin) AS g
+        FROM (SELECT *, bucket - {bucket} * row_number() OVER (PARTITION BY machine_id ORDER BY bucket) AS origin
+              FROM buckets)""",
     "periods": """
         SELECT machine_id, a, b, b - a AS duration,
           row_number() OVER (PARTITION BY machine_id ORDER BY a) AS r, cnt
         FROM (SELECT machine_id, min(bucket) AS a, max(bucket) + {bucket} AS b, CAST(sum(cnt) AS BIGINT) AS cnt
               FROM islands GROUP BY machine_id, g)""",
     "placed": """
-        SELECT p.machine_id, p.a, p.b, p.r, e."timestamp", e."offset", e.execution
-        FROM periods p JOIN execs e ON e.machine_id = p.machine_id AND p.a <= e."timestamp" AND e."timestamp" < p.b""",
+        SELECT machine_id, p.a, p.b, p.r, e."timestamp", e."offset", e.execution
+        FROM execs e JOIN periods p USING (machine_id) WHERE e."timestamp" BETWEEN p.a AND p.b - 1""",
     "placed_lag": """
         SELECT *, lag(execution) OVER (PARTITION BY machine_id, r ORDER BY "timestamp", "offset") AS p FROM placed""",
     "runs": """
@@ -65,24 +65,17 @@ RELATIONS: dict[str, str] = {
         FROM (SELECT *, lead("timestamp") OVER (PARTITION BY machine_id, r ORDER BY "timestamp", "offset") AS nxt
               FROM placed_lag WHERE p IS NULL OR execution <> p)""",
     "bins": """
-        SELECT unnest(generate_series((SELECT min(start) - min(start) % 3600000 FROM runs),
-                                      (SELECT max("end") FROM runs), {width})) AS b""",
+        SELECT unnest(range(low - low % 3600000, high + 1, {width})) AS b
+        FROM (SELECT min(start) AS low, max("end") AS high FROM runs)""",
     "clipped": """
-        SELECT a.machine_id, a.execution, bins.b,
-          least(bins.b + {width}, a."end") - greatest(bins.b, a.start) AS overlap_ms
-        FROM bins JOIN runs a ON a.start < bins.b + {width} AND a."end" > bins.b""",
-    "strict_clipped": """
-        SELECT a.machine_id, a.execution, bins.b,
-          least(bins.b + {width}, a."end") - greatest(bins.b, a.start) AS overlap_ms
-        FROM bins JOIN runs a ON (a."end" > bins.b AND a.start < bins.b)
-          OR (a.start > bins.b AND a."end" < bins.b + {width})
-          OR (a.start > bins.b AND a.start < bins.b + {width})""",
+        SELECT machine_id, execution, b, start, least(b + {width}, "end") - greatest(b, start) AS overlap_ms
+        FROM bins, runs WHERE start < b + {width} AND b < "end" """,
+    "strict_clipped": "SELECT * FROM clipped WHERE start <> b",
     "totals": """
-        SELECT machine_id, b,
-          CAST(sum(CASE WHEN execution='ACTIVE' THEN overlap_ms ELSE 0 END) AS BIGINT) AS active,
-          CAST(sum(CASE WHEN execution='STOPPED' THEN overlap_ms ELSE 0 END) AS BIGINT) AS stopped,
-          CAST(sum(CASE WHEN execution='INTERRUPTED' THEN overlap_ms ELSE 0 END) AS BIGINT) AS interrupted,
-          CAST(sum(CASE WHEN execution='READY' THEN overlap_ms ELSE 0 END) AS BIGINT) AS ready
+        SELECT machine_id, b, """ + ", ".join(
+            f"CAST(coalesce(sum(overlap_ms) FILTER (execution = '{s}'), 0) AS BIGINT) AS {s.lower()}"
+            for s in ("ACTIVE", "STOPPED", "INTERRUPTED", "READY")
+        ) + """
         FROM clipped GROUP BY machine_id, b""",
     "changes": """
         SELECT machine_id, execution, "timestamp", "offset", "partition" FROM
@@ -94,23 +87,20 @@ RELATIONS: dict[str, str] = {
           FROM (SELECT *, lead("timestamp") OVER (PARTITION BY machine_id ORDER BY "timestamp", "offset") AS stop FROM execs)
           WHERE stop IS NOT NULL)""",
     "series": """
-        SELECT unnest(generate_series((SELECT min("timestamp") - min("timestamp") % 3600000 FROM samples),
-                                      (SELECT max("timestamp") FROM samples), {dense})) AS a""",
+        SELECT unnest(range(low - low % 3600000, high + 1, {dense})) AS a
+        FROM (SELECT min("timestamp") AS low, max("timestamp") AS high FROM samples)""",
     "spine": """
-        SELECT machine_id, a, a + {dense} AS b FROM series CROSS JOIN (SELECT DISTINCT machine_id FROM samples)""",
+        SELECT machine_id, a, a + {dense} AS b FROM series, (SELECT DISTINCT machine_id FROM samples)""",
     "dense": """
-        SELECT s.machine_id, s.a, s.b, count(t."timestamp") AS "count"
-        FROM spine s LEFT JOIN samples t
-          ON t.machine_id = s.machine_id AND s.a <= t."timestamp" AND t."timestamp" < s.b
-        GROUP BY ALL""",
+        SELECT machine_id, a, b, (SELECT count(*) FROM samples t WHERE t.machine_id = s.machine_id
+          AND t."timestamp" BETWEEN s.a AND s.b - 1) AS "count" FROM spine s""",
     "dense_islands": """
-        SELECT *, sum(CASE WHEN pcond IS NULL OR cond <> pcond THEN 1 ELSE 0 END)
-          OVER (PARTITION BY machine_id ORDER BY a) AS r
-        FROM (SELECT *, lag(cond) OVER (PARTITION BY machine_id ORDER BY a) AS pcond
-              FROM (SELECT *, "count" < {threshold} AS cond FROM dense))""",
+        SELECT *, row_number() OVER (PARTITION BY machine_id ORDER BY a)
+          - row_number() OVER (PARTITION BY machine_id, cond ORDER BY a) AS origin
+        FROM (SELECT *, "count" < {threshold} AS cond FROM dense)""",
     "condition_runs": """
         SELECT machine_id, min(a) AS a, max(b) AS b, cond, max(b) - min(a) AS diff
-        FROM dense_islands GROUP BY machine_id, r, cond""",
+        FROM dense_islands GROUP BY machine_id, origin, cond""",
     "sessions": """
         SELECT machine_id, min("timestamp") AS "windowStart", max("timestamp") AS "windowEnd", count(*) AS "count" FROM (
           SELECT *, sum(CASE WHEN p IS NULL OR "timestamp" - p > {gap} THEN 1 ELSE 0 END)
@@ -131,12 +121,17 @@ RELATIONS: dict[str, str] = {
           SELECT machine_id, "timestamp" // 1000 * 1000 AS "timestamp", "offset", part_count,
             lag(part_count) OVER (PARTITION BY machine_id ORDER BY "timestamp" // 1000, "offset") AS p
           FROM parts) WHERE part_count > p""",
-    "ordinals": """
-        SELECT machine_id, "timestamp" // 1000 * 1000 AS "timestamp", "offset", program,
-          row_number() OVER (PARTITION BY machine_id ORDER BY "timestamp" // 1000, "offset") AS r
-        FROM samples WHERE program IS NOT NULL""",
+    "loads_by_second": """
+        SELECT machine_id, "timestamp" // 1000 * 1000 AS "timestamp", arg_max(program, "offset") AS program, count(*) AS n
+        FROM samples WHERE program IS NOT NULL GROUP BY ALL""",
 }
 
+POSITION = ("program_number", "program_path_alt", "mprogram", "cprogram", "sequence", "block", "block_num")
+_AS_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in POSITION)
+UNPIVOTED = f"""
+    SELECT * FROM (UNPIVOT (SELECT machine_id, "timestamp", "offset", {_AS_TEXT} FROM samples)
+      ON {", ".join(POSITION)} INTO NAME "key" VALUE "value")"""
+
 # Parameters the checks run with.
 PARAMETERS = {
     "bucket": 1_800_000, "width": 300_000, "dense": 1_800_000, "threshold": 10, "gap": 1_800_000,
