@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from millwright.llm import decontaminate
+from millwright.llm import decontaminate, rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +21,13 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = rules.verdicts(documents, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,3 +58,19 @@ hit_item AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
        sha256(coalesce(t.items, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(d.w) AS contaminated
 FROM doc d LEFT JOIN hit_word h USING (doc_id) LEFT JOIN hit_item t USING (doc_id)"""
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
+SQL["op10_warc"] = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+digested AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM page),
+marked AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS response
+  FROM digested)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM marked"""
