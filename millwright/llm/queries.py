@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import decontaminate, rules, warc
+from millwright.llm import decontaminate, jaccard, rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,32 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL["op6_ngram_jaccard"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+gram AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(4, len(w)) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+sized AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+overlap AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+link AS (
+  SELECT o.a, o.b FROM overlap o JOIN sized x ON x.doc_id = o.a JOIN sized y ON y.doc_id = o.b
+  WHERE 100 * o.o >= 85 * (x.n + y.n - o.o)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sized s USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)"""
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
