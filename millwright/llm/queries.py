@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import decontaminate, jaccard, rules, warc
+from millwright.llm import decontaminate, jaccard, language, rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,13 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out("doc_id", 4, 2))
+    model = language.train(documents.where("not held_out"))
+    return language.identify(documents.select("doc_id", "held_out", "text"), model).drop("text", "spans")
+
+
 @query
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
