@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import decontaminate, jaccard, language, rules, warc
+from millwright.llm import decontaminate, jaccard, language, rules, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -107,3 +107,11 @@ marked AS (
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> response THEN response END AS refers_to
 FROM marked"""
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = language.held_out("doc_id", 5, 0)
+    model = toxicity.train(documents, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(documents.withColumn("held_out", held_out), model).drop("text", "neighbours")
