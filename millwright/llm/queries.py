@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import decontaminate, jaccard, language, rules, toxicity, warc
+from millwright.llm import decontaminate, jaccard, language, quality, rules, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents.select("doc_id", "held_out", "text"), model).drop("text", "spans")
 
 
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = language.held_out("doc_id", 5, 0)
+    model = quality.train(documents, table(spark, sf_dir, "labels").where(~held_out))
+    return quality.score(documents.withColumn("held_out", held_out), model).drop("text")
+
+
 @query
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
