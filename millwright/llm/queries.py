@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import decontaminate, jaccard, language, quality, rules, toxicity, warc
+from millwright.llm import decontaminate, jaccard, language, pieces, quality, rules, toxicity, warc
 
+#: The tokenizer's file, a parameter of the queries that use it.
+PIECES = os.environ.get("PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -36,6 +39,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents.withColumn("held_out", held_out), model).drop("text")
 
 
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(documents, pieces.Vocabulary.load(PIECES)).drop("text")
+
+
 @query
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
