@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import decontaminate, jaccard, language, pieces, quality, rules, toxicity, warc
+from millwright.llm import decontaminate, jaccard, language, pieces, pii, quality, rules, toxicity, warc
 
 #: The tokenizer's file, a parameter of the queries that use it.
 PIECES = os.environ.get("PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -24,6 +24,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out("doc_id", 4, 2))
