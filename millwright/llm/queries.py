@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import decontaminate, jaccard, language, pieces, pii, quality, rules, toxicity, warc
+from millwright.llm import decontaminate, jaccard, language, pieces, pii, quality, rules, scoring, toxicity, warc
 
 #: The tokenizer's file, a parameter of the queries that use it.
 PIECES = os.environ.get("PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -36,6 +36,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents.select("doc_id", "held_out", "text"), model).drop("text", "spans")
 
 
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", language.held_out("doc_id", 7, 2))
+    model, counts = scoring.train(documents.where("not held_out"))
+    return scoring.score(documents, model, counts)
+
+
 @query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
