@@ -149,8 +149,8 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
             for low, high, data, offsets in W.texts(batch.column(1)):
                 h, doc = _terms(data, offsets)
                 order = np.argsort(doc, kind="stable")
-                cuts = np.searchsorted(doc[order], np.arange(high - low + 1))
-                rows += [h[order][cuts[d] : cuts[d + 1]].view(np.int64) for d in range(high - low)]
+                cuts, h = np.searchsorted(doc[order], np.arange(high - low + 1)), h[order].view(np.int64)
+                rows += [h[cuts[d] : cuts[d + 1]] for d in range(high - low)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "_y", "terms"])
 
     taken = chosen.select(F.col("doc_id").cast("bigint"), text, "_y").mapInArrow(extract, "doc_id bigint, _y int, terms array<bigint>")
