@@ -160,8 +160,8 @@ def identify(documents: DataFrame, model: Model, text: str = "text", penalty: fl
     """``documents`` with ``lang_pred``, ``score`` and ``spans``; columns of these names are replaced.
 
     ``spans`` are character positions, end exclusive, in order; a span runs from its first word to the end of its last.
-    ``lang_pred`` is the language of most letters (of equals the first by name), ``score`` its share of them times its
-    probability against the other languages over the whole text. Null texts, texts without a letter, and all texts when
+    ``lang_pred`` is the language of most letters (of equals the first by name), ``score`` the mean of its share of them and of
+    its probability against the other languages over the whole text. Null texts, texts without a letter, and all texts when
     no language was learnt are ``und`` with score 0 and no spans.
     """
     tune(documents.sparkSession, 2000)
@@ -199,7 +199,7 @@ def identify(documents: DataFrame, model: Model, text: str = "text", penalty: fl
         spans = [[] for _ in counts]
         for d, a, b, s in zip(doc[at].tolist(), low[at].tolist(), high[last].tolist(), state[at].tolist(), strict=True):
             spans[d].append({"start": a, "end": b, "lang": languages[s]})
-        return counts, [languages[w] for w in winner], (share * np.minimum(1, sure)).tolist(), spans
+        return counts, [languages[w] for w in winner], ((share + np.minimum(1, sure)) / 2).tolist(), spans
 
     def task(batches):
         for batch in batches:
