@@ -4,7 +4,7 @@
    passages out of the prefixes.
 2. Texts with equal sets form classes; one representative of each goes on.
 3. Two sets that are similar enough share an n-gram among the first ``n - ceil(threshold * n) + 1`` of each. Within every
-   shared n-gram, each representative is paired with one centre of like size only.
+   shared n-gram, each representative is paired with one centre of like size only, and centres with those of the next sizes.
 4. Each pair is checked against the whole sets. The members of a centre are stored as a prefix tree, commonest n-gram
    first; the tree is walked once, overlaps with the centre are shared along paths, and a subtree is left as soon as what
    remains of its sets cannot reach the needed overlap.
@@ -53,18 +53,11 @@ def _ordered(grams: np.ndarray, sketch: np.ndarray) -> np.ndarray:
 
 
 def _parity(grams: np.ndarray) -> bytes:
-    """A bitmap of the parities of the set in a power of two of cells, at least twice the set and 64."""
-    cells = max(64, 1 << max(0, 2 * len(grams) - 1).bit_length())
+    """A bitmap of the parities of the set in a power of two of cells, at least as many as n-grams and 64."""
+    cells = max(64, 1 << max(0, len(grams) - 1).bit_length())
     return np.packbits(np.bincount((grams & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1 == 1, bitorder="little").tobytes()
 
 
-def _fold(bitmap: np.ndarray, size: int) -> np.ndarray:
-    while len(bitmap) > size:
-        half = len(bitmap) // 2
-        bitmap = bitmap[:half] ^ bitmap[half:]
-    return bitmap
-
-
 def _prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -83,45 +76,43 @@ def sketch_of(documents: DataFrame, text: str, size: int) -> np.ndarray:
     return summed(documents.select(text), task, (SKETCH,), np.uint32)
 
 
-def sets_of(documents: DataFrame, sketch: np.ndarray, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """id, n, two sums that identify the set, its prefix in the global order, and its parity bitmap."""
+def identities(documents: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """id, n, and two sums that identify the set."""
 
     def task(batches):
         for batch in batches:
             rows = []
             for low, _, data, offsets in W.texts(batch.column(1)):
                 for d, grams in enumerate(_shingles(data, offsets, size), low):
-                    grams = _ordered(grams, sketch)
+                    grams = np.unique(grams)
                     one, two = W.mix(grams).sum(dtype=np.uint64), W.mix(~grams).sum(dtype=np.uint64)
-                    rows.append((batch.column(0)[d].as_py(), len(grams), int(one.view(np.int64)), int(two.view(np.int64)), grams[: _prefix(len(grams), percent) if len(grams) else 0].tobytes(), _parity(grams)))
+                    rows.append((batch.column(0)[d].as_py(), len(grams), int(one.view(np.int64)), int(two.view(np.int64))))
             if rows:
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "s1", "s2", "prefix", "parity"])
+                types = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["id", "n", "s1", "s2"])
 
-    return documents.select(F.col(key).cast("bigint"), text).mapInArrow(task, "id bigint, n int, s1 bigint, s2 bigint, prefix binary, parity binary")
+    return documents.select(F.col(key).cast("bigint"), text).mapInArrow(task, "id bigint, n int, s1 bigint, s2 bigint")
 
 
-def _postings(classes: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """A row for each n-gram of a prefix. An n-gram that may be hot is dealt over salts by what the sketch counts above the usual."""
-    usual = int(np.median(sketch))
+def representatives(documents: DataFrame, sketch: np.ndarray, key: str, text: str, size: int, percent: int) -> DataFrame:
+    """For each different set: the smallest id as ``rep``, n, the prefix in the global order, and the parity bitmap. Copies are folded before the shuffle."""
 
     def task(batches):
         for batch in batches:
-            token, rep, n, at = [], [], [], []
-            for r, size, prefix in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                grams = np.frombuffer(prefix.as_buffer(), np.uint64)
-                token.append(grams)
-                rep.append(np.full(len(grams), r))
-                n.append(np.full(len(grams), size, np.int32))
-                at.append(np.arange(len(grams), dtype=np.int32))
-            if not token:
-                continue
-            token, rep, n, at = map(np.concatenate, (token, rep, n, at))
-            parts = -(-(sketch[_cell(token)].astype(np.int64) - usual) // SALT_ROWS)
-            salt = np.where(parts > 1, (W.mix(rep.astype(np.uint64)) % np.maximum(parts, 1).astype(np.uint64)).astype(np.int64) + 1, 0).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(salt), pa.array(rep, pa.int64()), pa.array(n), pa.array(at)], ["token", "salt", "rep", "n", "at"])
+            rows = []
+            for low, _, data, offsets in W.texts(batch.column(1)):
+                for d, grams in enumerate(_shingles(data, offsets, size), low):
+                    if not len(grams):
+                        continue
+                    grams = _ordered(grams, sketch)
+                    one, two = W.mix(grams).sum(dtype=np.uint64), W.mix(~grams).sum(dtype=np.uint64)
+                    rows.append((int(one.view(np.int64)), int(two.view(np.int64)), batch.column(0)[d].as_py(), len(grams), grams[: _prefix(len(grams), percent)].tobytes(), _parity(grams)))
+            if rows:
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["s1", "s2", "id", "n", "prefix", "parity"])
 
-    return classes.select("rep", "n", "prefix").mapInArrow(task, "token bigint, salt int, rep bigint, n int, at int")
+    rows = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), text).mapInArrow(task, "s1 bigint, s2 bigint, id bigint, n int, prefix binary, parity binary")
+    return rows.groupBy("s1", "s2").agg(F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("n", "prefix", "parity")))
 
 
 def _band(n, percent: int):
@@ -129,27 +120,74 @@ def _band(n, percent: int):
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / (percent - 1)))).cast("int")
 
 
-def _starred(postings: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The rows whose n-gram others of like size share or may share, and candidate pairs: each row with the first of its band,
-    and across a band's border with the row before."""
-    group = Window.partitionBy("token", "salt").orderBy("band", "n", "rep")
-    band = Window.partitionBy("token", "salt", "band").orderBy("n", "rep")
-    rows = postings.withColumn("band", _band(F.col("n"), percent)).select(
-        "*", F.lag(F.struct("rep", "n", "at", "band")).over(group).alias("before"), F.lead("n").over(group).alias("after"), F.first(F.struct("rep", "n", "at")).over(band).alias("centre"))
-    near = (F.col("before.n") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("after") * percent)
-    shared = cut(rows.where(F.coalesce(near, F.lit(False)) | (F.col("salt") > 0)).drop("after"))
-
-    def pairs(other: str, rows: DataFrame) -> DataFrame:
-        fits = _may_link(F.col("n"), F.col("at"), F.col(f"{other}.n"), F.col(f"{other}.at"), percent)
-        return rows.where(fits & (F.col("rep") != F.col(f"{other}.rep"))).select(F.col(f"{other}.rep").alias("centre"), "rep")
-
-    return shared.select("token", "rep", "n", "at", "band"), pairs("centre", shared).unionAll(pairs("before", shared.where("before.band <> band")))
+def _postings(classes: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
+    """A row for each n-gram of a prefix. An n-gram that may be hot is dealt over salts by what the sketch counts above the usual."""
+    usual = int(np.median(sketch))
 
+    def task(batches):
+        for batch in batches:
+            grams = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(2)]
+            if not grams:
+                continue
+            lengths = [len(g) for g in grams]
+            token, rep, band = np.concatenate(grams), np.repeat(batch.column(0).to_numpy(), lengths), np.repeat(batch.column(1).to_numpy(), lengths)
+            parts = -(-(sketch[_cell(token)].astype(np.int64) - usual) // SALT_ROWS)
+            salt = np.where(parts > 1, (W.mix(rep.astype(np.uint64)) % np.maximum(parts, 1).astype(np.uint64)).astype(np.int64) + 1, 0).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(salt), pa.array(band), pa.array(rep)], ["token", "salt", "band", "rep"])
+
+    return classes.select("rep", _band(F.col("n"), percent).alias("band"), "prefix").mapInArrow(task, "token bigint, salt int, band int, rep bigint")
+
+
+def _starred(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose n-gram others of like size share or may share, and candidate pairs: each row with the first of its band, and
+    the firsts of neighbouring bands."""
+    group = Window.partitionBy("token", "salt").orderBy("band", "rep")
+    band = Window.partitionBy("token", "salt", "band").orderBy("rep")
+    rows = postings.select("*", F.lag("band").over(group).alias("before"), F.lead("band").over(group).alias("after"), F.first("rep").over(band).alias("centre"))
+    near = (F.col("band") - F.col("before") <= 1) | (F.col("after") - F.col("band") <= 1)
+    shared = cut(rows.where(F.coalesce(near, F.lit(False)) | (F.col("salt") > 0)).drop("before", "after"))
+    firsts = shared.where("rep = centre").select("token", "salt", "band", "rep")
+    next_ = firsts.select("token", "salt", (F.col("band") - 1).alias("band"), F.col("rep").alias("other"))
+    across = firsts.join(next_, ["token", "salt", "band"]).select(F.least("rep", "other").alias("centre"), F.greatest("rep", "other").alias("rep"))
+    return shared.select("token", "band", "rep"), shared.where("rep <> centre").select("centre", "rep").unionAll(across).distinct()
+
+
+def _differences(bitmaps: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For pairs of rows, in how many cells their bitmaps differ, the larger folded to the smaller: at most in as many as the sets differ in."""
+    lengths = np.array([len(x) for x in bitmaps])
+    out, small = np.zeros(len(a), np.int64), np.minimum(lengths[a], lengths[b])
+    for size in np.unique(small).tolist():
+        own = np.flatnonzero(small == size)
+        for at in range(0, len(own), max(1, (1 << 22) // size)):
+            some = own[at : at + max(1, (1 << 22) // size)]
+            ends = []
+            for side in (a[some], b[some]):
+                rows, back = np.unique(side, return_inverse=True)
+                folded = np.stack([np.bitwise_xor.reduce(bitmaps[r].reshape(-1, size), axis=0) for r in rows.tolist()])
+                ends.append(folded[back])
+            out[some] = np.bitwise_count(ends[0] ^ ends[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _may_link(n: np.ndarray, m: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes that differ in at least so many n-grams can be similar enough."""
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((n + m - differ) * (100 + percent) >= 2 * (n + m) * percent)
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (centre, rep) that sizes and bitmaps allow."""
+    own = classes.select("rep", "n", "parity")
+    other = classes.select(F.col("rep").alias("centre"), F.col("n").alias("m"), F.col("parity").alias("q"))
+
+    def test(batches):
+        for batch in batches:
+            if batch.num_rows:
+                n, m = batch.column(2).to_numpy().astype(np.int64), batch.column(4).to_numpy().astype(np.int64)
+                bitmaps = [np.frombuffer(x.as_buffer(), np.uint8) for c in (3, 5) for x in batch.column(c)]
+                at = np.arange(len(n))
+                yield batch.select([0, 1]).filter(pa.array(_may_link(n, m, _differences(bitmaps, at, at + len(n)), percent)))
 
-def _may_link(n, at, other_n, other_at, percent: int):
-    """Whether two sets that share the n-gram at these places can overlap enough."""
-    most = 1 + F.least(n - 1 - at, other_n - 1 - other_at) + F.least(at, other_at)
-    return most * (100 + percent) >= (n + other_n) * percent
+    return pairs.join(own, "rep").join(other, "centre").select("centre", "rep", "n", "parity", "m", "q").mapInArrow(test, "centre bigint, rep bigint")
 
 
 class Trie:
@@ -194,9 +232,9 @@ class Trie:
                 yield name, total
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, sketch: np.ndarray, key: str, text: str, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, sketch: np.ndarray, key: str, text: str, size: int, percent: int) -> DataFrame:
     """The ``pairs`` (centre, rep) whose sets are similar enough."""
-    pairs = cut(pairs.distinct())
+    pairs = cut(pairs)
     bucket = F.pmod(F.xxhash64("id"), F.lit(NEEDED))
     ends = pairs.select(F.col("centre").alias("id")).unionAll(pairs.select(F.col("rep").alias("id")))
     # One bit for each hash of a needed id, in a bitmap of fixed size: keeps other texts from the shuffle.
@@ -217,27 +255,27 @@ def _verified(pairs: DataFrame, documents: DataFrame, sketch: np.ndarray, key: s
                 grams += [_ordered(g, sketch)[::-1] for g in _shingles(data, offsets, size)]
             for i in range(0, len(ids), 64):
                 part = grams[i : i + 64]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i : i + 64], pa.int64()), pa.array([len(g) for g in part], pa.int32()), pa.array([g.tobytes() for g in part], pa.binary())], ["id", "n", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i : i + 64], pa.int64()), pa.array([g.tobytes() for g in part], pa.binary())], ["id", "grams"])
 
-    sets = documents.select(F.col(key).cast("bigint").alias("id"), text).where("id is not null").withColumn("bucket", bucket.cast("int")).mapInArrow(task, "id bigint, n int, grams binary")
-    sets = cut(sets.where("n > 0"))
-    sized = pairs.join(sets.select(F.col("id").alias("rep"), F.col("n")).groupBy("rep").agg(F.max("n").alias("n")), "rep")
+    sets = documents.select(F.col(key).cast("bigint").alias("id"), text).where("id is not null").withColumn("bucket", bucket.cast("int")).mapInArrow(task, "id bigint, grams binary").where("length(grams) > 0")
+    sized = pairs.join(classes.groupBy("rep").agg(F.max("n").alias("n")), "rep")
     blocks = sized.groupBy("centre").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("blocks"))
     members = pairs.join(blocks, "centre").select("centre", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.col("rep").alias("id"))
     centres = members.select("centre", "block").distinct().withColumn("id", F.col("centre"))
     rows = members.withColumn("role", F.lit(1)).unionAll(centres.withColumn("role", F.lit(0))).join(sets, "id")
+    ordered = rows.repartition(F.col("centre"), F.col("block")).sortWithinPartitions("centre", "block", "role").select("centre", "block", "role", "id", "grams")
 
-    def walk(table: pa.Table) -> pa.Table:
-        role, ids = table.column("role").to_numpy(), table.column("id").to_pylist()
-        grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams")]
-        trie = Trie([ids[i] for i in np.flatnonzero(role == 1)], [grams[i] for i in np.flatnonzero(role == 1)])
-        centre = table.column("centre")[0].as_py()
-        found = {name for i in np.flatnonzero(role == 0) for name, _ in trie.matches(np.sort(grams[i]), percent)}
-        return pa.table({"a": pa.array([centre] * len(found), pa.int64()), "b": pa.array(sorted(found), pa.int64())})
+    def walk(batches):
+        for (centre, _), table in _chunks(batches, 2, 2):
+            role, ids = table.column("role").to_numpy(), table.column("id").to_pylist()
+            grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams")]
+            members_ = np.flatnonzero(role == 1)
+            trie = Trie([ids[i] for i in members_], [grams[i] for i in members_])
+            found = sorted({name for i in np.flatnonzero(role == 0) for name, _ in trie.matches(np.sort(grams[i]), percent)})
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([centre] * len(found), pa.int64()), pa.array(found, pa.int64())], ["a", "b"])
 
-    links = rows.groupBy("centre", "block").applyInArrow(walk, "a bigint, b bigint")
-    return cut(links)
+    return cut(ordered.mapInArrow(walk, "a bigint, b bigint"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -256,49 +294,104 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share an n-gram and that sizes, places and parity bitmaps allow."""
+    """Pairs of different components that share an n-gram and that sizes and parity bitmaps allow."""
     rows = shared.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_ = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    # A cell holds one band of sizes and, as guests, the next.
-    rows = rows.join(open_, "token").select("token", "rep", "n", "at", "component", "band", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
-    cells = rows.groupBy("token", "cell").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
-    cells = cells.where("low <> high").select("token", "cell", F.ceil(F.col("rows") / CELL_ROWS).cast("int").alias("parts"))
-    # A large cell is cut into parts, and each pair of parts is a task's work.
+    mixed = F.min("component").alias("low"), F.max("component").alias("high")
+    # A cell holds one band of sizes and, as guests, the next. Cells of n-grams with the same first id hold much the same rows and go to one task, which names a pair once.
+    rows = rows.select("token", "rep", "component", "band", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
+    cells = rows.groupBy("token", "cell").agg(*mixed, F.count("*").alias("rows"), F.min("rep").alias("first")).where("low <> high")
+    parts = cells.groupBy("first").agg(F.ceil(F.max("rows") / CELL_ROWS).cast("int").alias("parts"))
+    cells = cells.join(parts, "first").select("token", "cell", "first", "parts")
+    # Large cells are cut into parts, and each pair of parts is a task's work.
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    rows = cut(rows.join(cells, ["token", "cell"]).withColumn("part", part).select(
-        "token", "cell", "rep", "n", "at", "component", "band", "part",
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("*", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).drop("other"))
-    rows = rows.join(classes.select("rep", "parity"), "rep")
-
-    def pairs(table: pa.Table) -> pa.Table:
-        rep, n, at, component, band, cell, part, i, j = (table.column(c).to_numpy() for c in ("rep", "n", "at", "component", "band", "cell", "part", "i", "j"))
-        order = np.lexsort((rep, n))
-        rep, n, at, component, home, part = rep[order], n[order].astype(np.int64), at[order].astype(np.int64), component[order], (band == cell)[order], part[order]
-        bitmaps = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("parity").take(pa.array(order)).combine_chunks()]
-        size = min(map(len, bitmaps))  # folding never raises the count of differences
-        bitmaps = np.stack([_fold(x, size) for x in bitmaps])
-        mixed = i[0] != j[0]
-        a, b = [], []
-        for k in range(len(rep)):
-            to = int(np.searchsorted(n, 100 * n[k] // percent, "right"))
-            c = np.arange(k + 1, to)
-            if not len(c):
-                continue
-            ok = (component[c] != component[k]) & (home[c] | home[k])
-            if mixed:
-                ok &= part[c] != part[k]
-            most = 1 + np.minimum(n[k] - 1 - at[k], n[c] - 1 - at[c]) + np.minimum(at[k], at[c])
-            c = c[ok & (most * (100 + percent) >= (n[k] + n[c]) * percent)]
-            if not len(c):
-                continue
-            differ = np.bitwise_count(bitmaps[c] ^ bitmaps[k]).sum(axis=1, dtype=np.int64)
-            c = c[(n[k] + n[c] - differ) * (100 + percent) >= 2 * (n[k] + n[c]) * percent]
-            a.append(np.minimum(rep[k], rep[c]))
-            b.append(np.maximum(rep[k], rep[c]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"centre": pa.array(np.concatenate([none, *a])), "rep": pa.array(np.concatenate([none, *b]))})
+    rows = rows.join(cells, ["token", "cell"]).withColumn("part", part).join(classes.select("rep", "n", "parity"), "rep")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "first", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "token", "cell", "n", "rep", "component", "band", "part", "parity")
+    ordered = rows.repartition(F.col("first"), F.col("i"), F.col("j")).sortWithinPartitions("first", "i", "j", "token", "cell", "n", "rep")
 
-    return rows.groupBy("token", "cell", "i", "j").applyInArrow(pairs, "centre bigint, rep bigint").distinct()
+    def task(batches):
+        run, held = None, []
+
+        def out():
+            found = np.unique(np.concatenate(held, axis=1), axis=1) if held else np.zeros((2, 0), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["centre", "rep"])
+
+        for key, table in _chunks(batches, 5, 3):
+            if key != run:
+                if held:
+                    yield out()
+                run, held = key, []
+            held.append(_pairs(table, percent))
+            if len(held) > 64:
+                held = [np.unique(np.concatenate(held, axis=1), axis=1)]
+        if held:
+            yield out()
+
+    return ordered.mapInArrow(task, "centre bigint, rep bigint").distinct()
+
+
+def _chunks(batches, width: int, outer: int):
+    """Whole runs of equal first ``width`` columns, several together where their first ``outer`` columns agree: (these values, table)."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
+        keys = [table.column(k).to_numpy() for k in range(width)]
+        inner, change = np.zeros(len(table), bool), np.zeros(len(table), bool)
+        for i, k in enumerate(keys):
+            differs = k[1:] != k[:-1]
+            inner[1:] |= differs
+            if i < outer:
+                change[1:] |= differs
+        last = int(np.flatnonzero(inner)[-1]) if inner.any() else 0
+        cuts = [0, *np.flatnonzero(change[:last]).tolist(), last] if last else [0]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if b > a:
+                yield tuple(int(k[a]) for k in keys[:outer]), table.slice(a, b - a)
+        held = table.slice(last)
+    if held is not None:
+        yield tuple(held.column(k)[0].as_py() for k in range(outer)), held
+
+
+def _pairs(table: pa.Table, percent: int) -> np.ndarray:
+    """The pairs of a chunk: rows of one cell are compared with those 1, 2, 3, ... places further while any row has one of like size."""
+    i, j, token, cell, n, rep, component, band, part = (table.column(c).to_numpy() for c in ("i", "j", "token", "cell", "n", "rep", "component", "band", "part"))
+    n = n.astype(np.int64)
+    bitmaps = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("parity")]
+    mixed = i[0] != j[0]
+    at, out = np.arange(len(rep)), [np.zeros((2, 0), np.int64)]
+    step = 0
+    waiting = []
+
+    def flush():
+        a, b = np.concatenate([w[0] for w in waiting]), np.concatenate([w[1] for w in waiting])
+        low, high = np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
+        _, first = np.unique(np.stack([low, high]), axis=1, return_index=True)
+        a, b, low, high = a[first], b[first], low[first], high[first]
+        ok = _may_link(n[a], n[b], _differences(bitmaps, a, b), percent)
+        out.append(np.stack([low[ok], high[ok]]))
+        waiting.clear()
+
+    while True:
+        step += 1
+        at = at[at + step < len(rep)]
+        to = at + step
+        at = at[(token[at] == token[to]) & (cell[at] == cell[to]) & (100 * n[at] >= percent * n[to])]
+        if not len(at):
+            break
+        to = at + step
+        ok = (component[at] != component[to]) & ((band[at] == cell[at]) | (band[to] == cell[to]))
+        if mixed:
+            ok &= part[at] != part[to]
+        if ok.any():
+            waiting.append((at[ok], to[ok]))
+            if sum(len(w[0]) for w in waiting) > 200_000:
+                flush()
+    if waiting:
+        flush()
+    return np.concatenate(out, axis=1)
 
 
 def _same_key(found: DataFrame, classes: DataFrame) -> DataFrame:
@@ -318,17 +411,15 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     tune(documents.sparkSession, 500)
     documents = documents.select(key, text)
     sketch = sketch_of(documents, text, size)
-    sets = cut(sets_of(documents, sketch, key, text, size, percent))
-    found = sets.where("n > 0 and id is not null")
-    classes = cut(found.groupBy("s1", "s2").agg(F.min("id").alias("rep")))
-    first = classes.select("s1", "s2", F.col("rep").alias("id"))
-    reps = cut(found.join(first, ["s1", "s2", "id"]).dropDuplicates(["s1", "s2", "id"]).select(F.col("id").alias("rep"), "n", "prefix", "parity"))
-    shared, star = _starred(_postings(reps, sketch), percent)
-    args = (documents, sketch, key, text, size, percent)
-    links = _verified(star, *args).unionAll(_same_key(found, classes))
+    sets = cut(identities(documents, key, text, size))
+    reps = cut(representatives(documents, sketch, key, text, size, percent))
+    found, classes = sets.where("n > 0 and id is not null"), reps.select("s1", "s2", "rep")
+    args = (reps, documents, sketch, key, text, size, percent)
+    shared, star = _starred(_postings(reps, sketch, percent))
+    links = _verified(_plausible(star, reps, percent), *args).unionAll(_same_key(found, classes))
     labels = components(links)
     more = _verified(_across(shared, labels, reps, percent), *args)
     labels = components(links.unionAll(more))
-    member = classes.select("s1", "s2", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
+    member = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     return sets.join(member, ["s1", "s2"], "left").select(
         F.col("id").alias(key), F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("id")).alias("component_id"))
