@@ -155,7 +155,7 @@ def score(documents: DataFrame, model: Model, counts: DataFrame, text: str = "te
             log, other = np.log10(n + 1.0), outputs == R.OTHER
             doc = W.owners(first)
             size = len(first) - 1
-            total = lambda w: np.bincount(doc, weights=w, minlength=size)  # noqa: B023, E731
+            total = lambda w: np.bincount(doc, weights=w, minlength=size).astype(float)  # noqa: B023, E731
             tails = []
             for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
                 values, times = np.unique(h[a:b][n[a:b] == 0], return_counts=True)
