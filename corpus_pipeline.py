@@ -6,6 +6,7 @@ Each stage reads what the one before wrote and decides on all of it. ``run`` app
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +22,17 @@ LEAST_LANGUAGE = 0.2
 SHINGLE, PERCENT = 5, 80
 
 
+def beside(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` with the columns it works on, ``doc_id`` and ``text``; all others wait under other names, as some operators' own may clash."""
+    others = {c: f"_own_{c}" for c in docs.columns if c not in ("doc_id", "text")}
+    return step(docs.withColumnsRenamed(others)).select(*(F.col(others.get(c, c)).alias(c) for c in docs.columns))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is determined. A null or letterless text has none. Learns from the texts with a known ``lang``."""
     model = language.train(docs)
-    judged = language.identify(docs.withColumnsRenamed({c: f"_{c}" for c in ("lang_pred", "score", "spans") if c in docs.columns}), model)
-    kept = judged.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE)).drop("lang_pred", "score", "spans")
-    return kept.withColumnsRenamed({f"_{c}": c for c in ("lang_pred", "score", "spans") if c in docs.columns}).select(docs.columns)
+    sure = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE)
+    return beside(docs, lambda own: language.identify(own, model).where(sure))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,16 +45,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more of the words are benchmark passages."""
-    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(~decontaminate.contaminated()).select(docs.columns)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return beside(docs, lambda own: decontaminate.contamination(own, benchmark).where(~decontaminate.contaminated()))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every span of personal data by its kind; ``n_chars``, where present, follows the text."""
-    masked = pii.find(docs).withColumn("text", pii.masked("text"))
-    if "n_chars" in docs.columns:
-        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return masked.select(docs.columns)
+    masked = beside(docs, lambda own: pii.find(own).withColumn("text", pii.masked("text")))
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,8 +37,7 @@ def test_binomial(k, n, p):
 
 
 def labelled(spark, good, bad):
-    word = "word other more text here plain again some thing else "
-    rows = [(i, f"{word * 5}{i} {i + 1}", 1) for i in range(good)] + [(100_000 + i, "sign## " * 60 + str(i), 0) for i in range(bad)]
+    rows = [(i, " ".join(f"word{k * i % 97}" for k in range(1, 60)), 1) for i in range(1, good + 1)] + [(100_000 + i, "sign## " * 60 + str(i), 0) for i in range(bad)]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
     return frame.select("doc_id", "text"), frame.select("doc_id", "quality")
 
@@ -47,7 +46,7 @@ def test_enough_labels_give_cutoffs_and_few_do_not(spark):
     documents, labels = labelled(spark, 900, 60)
     rows = rules.verdicts(documents, labels.unionAll(labels.limit(5)).unionAll(spark.createDataFrame([(None, 1), (7, None)], labels.schema))).collect()
     assert len(rows) == 960
-    assert sum(not r.kept for r in rows if r.doc_id < 100_000) <= 0.02 * 900
+    assert sum(not r.kept for r in rows if r.doc_id < 100_000 and not r.base_failed) <= 0.02 * 900
     assert not any(r.kept for r in rows if r.doc_id >= 100_000 and not r.base_failed)
     documents, labels = labelled(spark, 40, 10)
     assert all(r.kept == (not r.base_failed) for r in rules.verdicts(documents, labels).collect())
