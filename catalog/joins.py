@@ -4,18 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import HALF_HOUR, Tables, query
+from catalog.base import DEEP_SLICE_ROWS, HALF_HOUR, Tables, query
 from catalog.jobs import COMPLETED_PARTS
 from catalog.relations import sql
 from millwright.functions import clock
 from millwright.operators import bins, changes, ingest, keyed, matching, periods, profile
-from millwright.operators.ordered import (
-    TIME_ORDER,
-    between_steps,
-    over_slices,
-    slice_by_time,
-    unsliced,
-)
+from millwright.operators.ordered import SLICE, TIME_ORDER, over_slices, slice_by_time, unsliced
 from millwright.plans import jobs
 
 # ---- joins
@@ -213,7 +207,7 @@ def lag_execution(t: Tables):
       lead("timestamp") OVER (PARTITION BY machine_id, r ORDER BY "timestamp", "offset") AS nxt
     FROM placed"""))
 def lead_ts_period(t: Tables):
-    placed = between_steps(neighbour(t).select("machine_id", "r", "timestamp", "offset", "partition", "b"))
+    placed = neighbour(t).select("machine_id", "r", "timestamp", "offset", "partition", "b", *SLICE)
     followed = over_slices(placed, TIME_ORDER, lead={"n": F.col("timestamp")})
     return followed.select(
         "machine_id", "r", "timestamp", "offset", F.when(F.col("n") < F.col("b"), F.col("n")).alias("nxt")
@@ -275,7 +269,7 @@ def running_group_id(t: Tables):
 def running_group_id_sliced(t: Tables):
     opened = F.when(F.col("execution") == "ACTIVE", 1).otherwise(0).cast("bigint")
     counted = over_slices(
-        slice_by_time(changes.execution_events(t.samples), rows=t.slice_rows), TIME_ORDER, total={"g": opened}
+        slice_by_time(changes.execution_events(t.samples), rows=DEEP_SLICE_ROWS), TIME_ORDER, total={"g": opened}
     )
     return counted.select("machine_id", "timestamp", "offset", "g")
 
@@ -321,29 +315,29 @@ def execution_run_duration(t: Tables):
 
 @query("execution_run_duration_sliced", _RUNS)
 def execution_run_duration_sliced(t: Tables):
-    return changes.execution_run_duration(t.samples, rows=t.slice_rows)
+    return changes.execution_run_duration(t.samples, rows=DEEP_SLICE_ROWS)
 
 
 @query("completed_program_parts_sliced", COMPLETED_PARTS)
 def completed_program_parts_sliced(t: Tables):
-    return jobs.completed_program_parts(t.samples, rows=t.slice_rows)
+    return jobs.completed_program_parts(t.samples, rows=DEEP_SLICE_ROWS)
 
 
 @query("part_completed_events_sliced", _TABLE_JOIN)
 def part_completed_events_sliced(t: Tables):
-    return matching.part_completed_events(t.samples, rows=t.slice_rows)
+    return matching.part_completed_events(t.samples, rows=DEEP_SLICE_ROWS)
 
 
 @query("execution_with_session_sliced", _LOOKUP)
 def execution_with_session_sliced(t: Tables):
     changed = changes.dedup_consecutive(changes.execution_events(t.samples), "execution")
-    return matching.execution_with_session(changed, t.samples, HALF_HOUR, rows=t.slice_rows)
+    return matching.execution_with_session(changed, t.samples, HALF_HOUR, rows=DEEP_SLICE_ROWS)
 
 
 @query("executions_sliced", sql("""
     SELECT machine_id, start, "end", duration, execution, CAST(r AS INTEGER) AS r FROM runs"""))
 def executions_sliced(t: Tables):
-    return jobs.executions(t.samples, HALF_HOUR, rows=t.slice_rows)
+    return jobs.executions(t.samples, HALF_HOUR, rows=DEEP_SLICE_ROWS)
 
 
 @query("program_table_by_machine", sql("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import Tables, query
+from catalog.base import DEEP_SLICE_ROWS, Tables, query
 from catalog.relations import sql
 from millwright.functions import device, text
 from millwright.operators import fleet, readings
@@ -106,7 +106,7 @@ def delta_encode(t: Tables):
 
 @query("delta_encode_sliced", sql(_ENCODED))
 def delta_encode_sliced(t: Tables):
-    return readings.delta_encode(_dense(t), _DENSE, rows=t.slice_rows).drop("partition")
+    return readings.delta_encode(_dense(t), _DENSE, rows=DEEP_SLICE_ROWS).drop("partition")
 
 
 @query("delta_decode", sql(f'SELECT machine_id, "offset", {", ".join(_DENSE)} FROM readings'))
@@ -142,12 +142,13 @@ def triggered_fields(t: Tables):
 
 # ---- fleet monitoring
 
-_STATUS = {"signup": "STARTING", "click": "STARTED", "view": "RELOADING", "purchase": "STOPPED", "error": "FAILED"}
+_STATUS = {"signup": "STARTING", "click": "STARTED", "purchase": "WAITING FOR PARTS", "error": "FAILED"}
+# Views have no status; a text that no list names is a status like any other.
 _STATUS_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _STATUS.items()) + " END"
 _LOG = f"""SELECT event_id AS id, 'u' || user_id AS machine_id, {_STATUS_SQL} AS status,
     CASE WHEN event_type = 'error' THEN props END AS status_message, ts FROM events"""
-# The monitored machines are those that ever failed.
-_KNOWN = "SELECT DISTINCT 'u' || user_id AS machine_id FROM events WHERE event_type = 'error' AND value > 100"
+# The monitored machines are the customers.
+_KNOWN = "SELECT 'u' || c_custkey AS machine_id FROM customer"
 
 
 def _log(t: Tables):
@@ -164,8 +165,7 @@ def _log(t: Tables):
 
 
 def _known(t: Tables):
-    failed = t.events.filter((F.col("event_type") == "error") & (F.col("value") > 100))
-    return failed.select(F.concat(F.lit("u"), "user_id").alias("machine_id")).distinct()
+    return t.read("customer").select(F.concat(F.lit("u"), "c_custkey").alias("machine_id"))
 
 
 @query("status_log_append", _LOG)
@@ -218,12 +218,13 @@ def latest_ping(t: Tables):
 
 
 _REGISTRY = f"""SELECT machine_id, machine_ip, machine_port, CAST(NULL AS TIMESTAMP) AS modified_at, date AS created_at
-    FROM ({_PINGS}) WHERE machine_port = 8194 QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY id) = 1"""
+    FROM ({_PINGS}) WHERE machine_id IN (SELECT 'u' || s_suppkey FROM supplier) QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY id) = 1"""
 
 
 def _registry(t: Tables):
     first = F.min_by(F.struct("machine_ip", "machine_port", "date"), "id").alias("m")
-    found = _pings(t).filter(F.col("machine_port") == 8194).groupBy("machine_id").agg(first)
+    registered = t.read("supplier").select(F.concat(F.lit("u"), "s_suppkey").alias("machine_id"))
+    found = _pings(t).join(registered, "machine_id", "left_semi").groupBy("machine_id").agg(first)
     return found.select(
         "machine_id", "m.machine_ip", "m.machine_port",
         F.lit(None).cast("timestamp_ntz").alias("modified_at"), F.col("m.date").alias("created_at"),
@@ -259,8 +260,8 @@ def _snapshot(t: Tables, half):
 
 
 @query("registry_changes", f"""
-    WITH o AS ({_SNAPSHOT.format(half="event_type IN ('error', 'view') AND value > 50 AND ts < " + _HALF)}),
-         n AS ({_SNAPSHOT.format(half="event_type IN ('error', 'view') AND value > 50 AND ts >= " + _HALF)})
+    WITH o AS ({_SNAPSHOT.format(half="ts < " + _HALF)}),
+         n AS ({_SNAPSHOT.format(half="ts >= " + _HALF)})
     SELECT coalesce(n.machine_id, o.machine_id) AS machine_id,
       CASE WHEN n.machine_id IS NULL THEN '{{"machine_id":"' || o.machine_id || '","payload":null}}'
       ELSE '{{"machine_id":"' || n.machine_id || '","payload":{{"machine_id":"' || n.machine_id || '","machine_ip":"' ||
@@ -268,8 +269,7 @@ def _snapshot(t: Tables, half):
     FROM o FULL JOIN n ON o.machine_id = n.machine_id
     WHERE o.machine_id IS NULL OR n.machine_id IS NULL OR o.machine_ip <> n.machine_ip OR o.machine_port <> n.machine_port""")
 def registry_changes(t: Tables):
-    counted = F.col("event_type").isin("error", "view") & (F.col("value") > 50)
     noon = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
     return fleet.registry_changes(
-        _snapshot(t, counted & (F.col("ts") < noon)), _snapshot(t, counted & (F.col("ts") >= noon))
+        _snapshot(t, F.col("ts") < noon), _snapshot(t, F.col("ts") >= noon)
     )

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from catalog.base import HALF_HOUR, Tables, query
 from catalog.relations import sql
 from millwright.operators import changes, ingest, periods, profile
 from millwright.schemas import EXECUTION, FLAT
 from millwright.session import new_path
-from millwright.sources import framed, tables, topic
+from millwright.sources import tables, topic
 from millwright.sources.telemetry import messages_from_events, samples_from_events
 from millwright.streaming import counts, sinks, stateful
 
@@ -241,10 +240,25 @@ def insert_ignore_dedup(t: Tables):
 @query("upsert_executions", _EXECUTION)
 @query("microbatch_write", _EXECUTION)
 def upsert_executions(t: Tables):
-    stored = _keyed(t, changes.execution_events(_samples(t)))
+    # An offset is unique in its partition, so rows of one key do not compete here.
+    stored = _keyed(t, changes.execution_events(_samples(t)).withColumn("arrival", F.col("offset")))
     return stored.select("machine_id", "execution", "timestamp", "offset", "partition")
 
 
+@query("replayed_upsert", sql("""
+    SELECT machine_id, "offset", "partition", execution,
+      CASE WHEN "timestamp" >= 1705320000000 THEN meta_total + 1000 ELSE meta_total END AS meta_total FROM samples"""))
+def replayed_upsert(t: Tables):
+    """The table is filled; then the records since noon are read again, corrected, on a new checkpoint."""
+    path = new_path(t.spark, "replayed")
+    arrived = _samples(t).withColumn("arrival", F.col("offset"))
+    sinks.to_keyed_table(arrived, f"{path}/data", f"{path}/first", once=True).awaitTermination()
+    again = _samples(t).filter(F.col("timestamp") >= 1705320000000).withColumn("arrival", F.col("offset"))
+    corrected = again.withColumn("meta_total", F.col("meta_total") + 1000)
+    sinks.to_keyed_table(corrected, f"{path}/data", f"{path}/second", once=True).awaitTermination()
+    return tables.read_keyed(t.spark, f"{path}/data").select("machine_id", "offset", "partition", "execution", "meta_total")
+
+
 @query("schema_evolving_write", sql("""
     SELECT machine_id, "offset", "partition", execution,
       CASE WHEN "timestamp" >= 1705320000000 THEN meta_total END AS meta_total FROM samples"""))
@@ -311,20 +325,6 @@ def event_time_invalid(t: Tables):
     return ingest.split_by_event_time(t.samples.withColumn("timestamp", broken))[1].select("partition", "offset")
 
 
-@query("decode_framed_avro", _EXECUTION)
-def decode_framed_avro(t: Tables):
-    events = changes.execution_events(t.samples)
-    return framed.decode_framed(framed.encode_framed(events, EXECUTION, 7), EXECUTION)
-
-
-_OPTIONAL = T.StructType([FLAT[c] for c in ("machine_id", "offset", "execution", "part_count", "sequence")])
-
-
-@query("decode_framed_avro_optional", sql('SELECT machine_id, "offset", execution, part_count, sequence FROM samples'))
-def decode_framed_avro_optional(t: Tables):
-    return framed.decode_framed(framed.encode_framed(t.samples, _OPTIONAL, 8, True), _OPTIONAL, optional=True)
-
-
 @query("console_watch", sql("""
     SELECT 'CreateTime:' || "timestamp" || chr(9) || machine_id || chr(9) || execution AS line FROM execs"""))
 def console_watch(t: Tables):

@@ -9,10 +9,8 @@ from millwright.functions import clock
 from millwright.functions.text import present
 from millwright.operators.ordered import (
     SLICE,
-    SLICE_ROWS,
     STREAM_ORDER,
     TIME_ORDER,
-    between_steps,
     over_slices,
     slice_by_offset,
     slice_by_time,
@@ -28,7 +26,7 @@ def execution_events(samples: DataFrame) -> DataFrame:
     )
 
 
-def dedup_consecutive(df: DataFrame, value: str, rows: int = SLICE_ROWS) -> DataFrame:
+def dedup_consecutive(df: DataFrame, value: str, rows: int | None = None) -> DataFrame:
     """Drop rows repeating the machine's last non-null value, in stream order; null values pass."""
     return unsliced(changes_only(slice_by_offset(df, rows), value))
 
@@ -39,11 +37,11 @@ def changes_only(sliced: DataFrame, value: str) -> DataFrame:
     return compared.filter(kept).drop("_last")
 
 
-def execution_run_duration(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def execution_run_duration(samples: DataFrame, rows: int | None = None) -> DataFrame:
     """Completed runs of one state in stream order; the open run is left out."""
     changes = changes_only(slice_by_offset(execution_events(samples), rows), "execution")
     return (
-        over_slices(between_steps(changes), STREAM_ORDER, lead={"end": F.col("timestamp")})
+        over_slices(changes, STREAM_ORDER, lead={"end": F.col("timestamp")})
         .filter(F.col("end").isNotNull())
         .select(
             "machine_id",
@@ -57,14 +55,14 @@ def execution_run_duration(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFr
     )
 
 
-def spans(events: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def spans(events: DataFrame, rows: int | None = None) -> DataFrame:
     """Each event with ``stop``, the time of the machine's next event; null for the last."""
     return unsliced(
         over_slices(slice_by_time(events, rows=rows), TIME_ORDER, lead={"stop": F.col("timestamp")})
     )
 
 
-def second_spans(events: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def second_spans(events: DataFrame, rows: int | None = None) -> DataFrame:
     """Closed spans with start and stop cut to whole seconds and their duration, all in ms."""
     return (
         spans(events, rows)
@@ -79,12 +77,12 @@ def active_longer_than(spans_: DataFrame, threshold_ms: int) -> DataFrame:
     return spans_.filter((F.col("execution") == "ACTIVE") & (F.col("duration") > threshold_ms))
 
 
-def executions(samples: DataFrame, width_ms: int = BUCKET_MS, rows: int = SLICE_ROWS) -> DataFrame:
+def executions(samples: DataFrame, width_ms: int = BUCKET_MS, rows: int | None = None) -> DataFrame:
     """State runs clipped to activity periods: machine_id, start, end, duration, execution, r."""
     return runs_in_periods(execution_events(samples), activity_periods(samples, width_ms), rows)
 
 
-def in_periods(events: DataFrame, periods: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def in_periods(events: DataFrame, periods: DataFrame, rows: int | None = None) -> DataFrame:
     """Sliced events with the bounds ``a``, ``b``, ``r`` of the period holding them, others dropped.
 
     Periods of a machine never overlap, so the one that started last is carried forward along the
@@ -114,7 +112,7 @@ def in_periods(events: DataFrame, periods: DataFrame, rows: int = SLICE_ROWS) ->
     )
 
 
-def runs_in_periods(events: DataFrame, periods: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def runs_in_periods(events: DataFrame, periods: DataFrame, rows: int | None = None) -> DataFrame:
     """First event of each state run inside a period, and the run's end in that period."""
     placed = in_periods(events, periods, rows)
     same_period = F.coalesce(F.col("_previous.timestamp") >= F.col("a"), F.lit(False))
@@ -122,7 +120,7 @@ def runs_in_periods(events: DataFrame, periods: DataFrame, rows: int = SLICE_ROW
     slim = changed.select(
         *events.columns, "b", "r", *[c for c in SLICE if c in changed.columns]
     )
-    followed = over_slices(between_steps(slim), TIME_ORDER, lead={"_next": F.col("timestamp")})
+    followed = over_slices(slim, TIME_ORDER, lead={"_next": F.col("timestamp")})
     end = F.when(F.col("_next") < F.col("b"), F.col("_next")).otherwise(F.col("b"))
     return followed.select(
         "machine_id",

@@ -7,18 +7,9 @@ from pyspark.sql import functions as F
 
 from millwright.operators.keyed import latest_per_key
 
-# Status texts in the log.
-STATUSES = (
-    "STARTING", "RESTARTING", "STARTED", "FAILED", "STOPPED", "SHUTDOWN", "RELOADING",
-    "DESTROYING", "DESTROYED",
-)
-
-
 def status_log(updates: DataFrame) -> DataFrame:
-    """Log rows: id, machine_id, status, status_message, ts."""
-    return updates.filter(F.col("status").isin(*STATUSES)).select(
-        "id", "machine_id", "status", "status_message", "ts"
-    )
+    """Log rows: id, machine_id, status, status_message, ts; any status text is kept, null too."""
+    return updates.select("id", "machine_id", "status", "status_message", "ts")
 
 
 def current_status(log: DataFrame, known: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright.functions.text import content_hash, present
-from millwright.operators.ordered import SLICE_ROWS, over_slices, slice_by_offset, unsliced
+from millwright.operators.ordered import over_slices, slice_by_offset, unsliced
 from millwright.schemas import ARRAY_FIELDS, FLAT, LEGACY_TEXT, MESSAGE, META_KEYS, VALUE_FIELDS
 
 POSITION_FIELDS = (
@@ -42,6 +42,16 @@ def undecodable(records: DataFrame) -> DataFrame:
     return parsed.filter(F.col("values").isNull() | F.col("meta").isNull()).select(*records.columns)
 
 
+def flatten_all(records: DataFrame) -> DataFrame:
+    """Every topic record, parsed once: its flat sample, the record's text where it is of no use, and the ``status``
+    ``flat``, ``untimed`` (no usable event time) or ``undecodable``."""
+    parsed = _parsed(records)
+    usable = F.col("values").isNotNull() & F.col("meta").isNotNull()
+    timed = F.coalesce(F.unix_millis("timestamp") >= 0, F.lit(False))
+    status = F.when(~usable, "undecodable").when(~timed, "untimed").otherwise("flat")
+    return parsed.select(*_flat_columns(), F.when(~usable, F.col("value")).alias("value"), status.alias("status"))
+
+
 def _value(name: str) -> Column:
     field = F.col(f"values.{name}")
     if name in ARRAY_FIELDS:
@@ -122,10 +132,10 @@ def split_by_event_time(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     return samples.filter(valid), samples.filter(~valid)
 
 
-def repair_event_time(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def repair_event_time(samples: DataFrame, rows: int | None = None) -> DataFrame:
     """Invalid times become the highest time seen earlier in the partition, null if there is none."""
     seen = over_slices(
-        slice_by_offset(samples, rows, ("partition",)),
+        slice_by_offset(samples, rows),
         ("offset",),
         ("partition",),
         peak={"_seen": F.when(F.col("timestamp") >= 0, F.col("timestamp"))},

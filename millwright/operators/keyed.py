@@ -25,23 +25,5 @@ def keep_last(df: DataFrame, arrival: Column, keys: Sequence[str] = RECORD_KEY)
     return _one_per_key(df, keys, lambda row: F.max_by(row, arrival))
 
 
-def insert_ignore(batch: DataFrame, target: DataFrame, arrival: Column, keys: Sequence[str] = RECORD_KEY) -> DataFrame:
-    """Rows of the batch that enter the target: first of each key, and only new keys."""
-    return keep_first(batch, arrival, keys).join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
-
-
-def upsert(batch: DataFrame, target: DataFrame, arrival: Column, keys: Sequence[str] = RECORD_KEY) -> DataFrame:
-    """The target after the batch: the batch's last row of each key replaces the stored one."""
-    fresh = keep_last(batch, arrival, keys)
-    return target.join(fresh.select(*keys), list(keys), "left_anti").unionByName(
-        fresh, allowMissingColumns=True
-    )
-
-
-def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows of both with the columns of both; a missing column is null."""
-    return old.unionByName(new, allowMissingColumns=True)
-
-
 def latest_per_key(df: DataFrame, key: str, order: Column, fields: Sequence[str]) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(F.struct(*fields), order).alias("_row")).select(key, "_row.*")

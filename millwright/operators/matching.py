@@ -9,10 +9,10 @@ from millwright.functions import clock
 from millwright.functions.text import content_hash, one_line, present
 from millwright.operators.ordered import (
     KEYS,
-    SLICE_ROWS,
     over_slices,
     slice_by_offset,
     slice_by_time,
+    slice_rows,
     unsliced,
 )
 from millwright.operators.periods import SESSION_GAP_MS, sessions
@@ -40,7 +40,7 @@ def asof_before(
     left: DataFrame,
     right: DataFrame,
     value: Column,
-    rows: int = SLICE_ROWS,
+    rows: int | None = None,
     lag: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Left rows with ``_matched``, ``value`` of the newest right row strictly earlier in ``timestamp``.
@@ -53,6 +53,7 @@ def asof_before(
         right.select(*KEYS, "timestamp", "offset", value.alias("_value")).withColumn("_kind", F.lit(1)),
         allowMissingColumns=True,
     )
+    rows = slice_rows(left, rows)
     tie = F.expr(f"_kind * {2**40} + offset div {rows}")
     is_left = F.col("_kind") == 0
     previous = {n: F.when(is_left, F.struct(c.alias("v"))) for n, c in (lag or {}).items()}
@@ -68,7 +69,7 @@ def asof_before(
     )
 
 
-def completed_program_parts(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def completed_program_parts(samples: DataFrame, rows: int | None = None) -> DataFrame:
     """Increases of the part counter with the program running in an earlier second."""
     second = clock.to_second("timestamp")
     parts = part_counts(samples).withColumn("timestamp", second)
@@ -106,7 +107,7 @@ def _newest(loads: DataFrame, key: str) -> DataFrame:
     )
 
 
-def part_completed_events(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def part_completed_events(samples: DataFrame, rows: int | None = None) -> DataFrame:
     """Changes of the part counter joined with the machine's program at that point of the stream.
 
     A program in the same record counts as loaded; changes before the first program are dropped.
@@ -145,7 +146,7 @@ def session_lookup(
     events: DataFrame,
     sessions_: DataFrame,
     lookup: str = "containing",
-    rows: int = SLICE_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Events with the start of their session, -1 if there is none.
 
@@ -178,7 +179,7 @@ def session_lookup(
 
 
 def execution_with_session(
-    changes: DataFrame, samples: DataFrame, gap_ms: int = SESSION_GAP_MS, lookup: str = "containing", rows: int = SLICE_ROWS
+    changes: DataFrame, samples: DataFrame, gap_ms: int = SESSION_GAP_MS, lookup: str = "containing", rows: int | None = None
 ) -> DataFrame:
     """Execution changes tagged with the activity session of their machine."""
     return session_lookup(changes, sessions(samples, gap_ms), lookup, rows)

@@ -1,29 +1,31 @@
 """Row-to-row operators in per-machine order that stay balanced when a machine is hot.
 
-A plain ``Window.partitionBy("machine_id")`` sends every row of a machine to one task, so it is
-used only after counting that no machine has more than ``SLICE_ROWS`` rows. Beyond that each
-machine's history is cut into slices that follow one another in order. A window runs inside each
-slice; one summary row per slice then carries the missing neighbour, value or running total over
-the slice borders. Slices are a function of the data alone, so a recomputed task cuts them alike.
+A plain ``Window.partitionBy("machine_id")`` would send every row of a machine to one task. Here each
+machine's history is always cut into slices that follow one another in order. A window runs inside
+each slice; one summary row per slice, taken from the windowed rows at its ends, then carries the
+missing neighbour, value or running total over the slice borders. Slices are a function of the data
+alone, so a recomputed task cuts them alike, and building the plan starts no job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.session import cut
-
 KEYS = ("machine_id",)
 SLICE = ("_slice", "_part")
 STREAM_ORDER = ("partition", "offset")
 TIME_ORDER = ("timestamp", "offset", "partition")
 
+#: Rows that a slice should not exceed, and the setting that replaces the number for a session.
 SLICE_ROWS = 1_000_000
-SPANS_MS = (3_600_000, 60_000, 1_000, 1)
-BROADCAST_SPANS = 100_000
+SLICE_ROWS_SETTING = "millwright.slice.rows"
+#: Slices by time are hours; where an hour holds too many rows minutes, then seconds, then milliseconds.
+HOUR, MINUTE, SECOND = 3_600_000, 60_000, 1_000
 
 Columns = Mapping[str, Column]
 
@@ -33,64 +35,31 @@ def floor_to(ms: Column, width_ms: int) -> Column:
     return ms - F.pmod(ms, F.lit(width_ms))
 
 
-def fits(df: DataFrame, keys: Sequence[str] = KEYS, rows: int = SLICE_ROWS) -> bool:
-    """Whether every key has at most ``rows`` rows; counts are combined on the map side."""
-    largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    return (largest or 0) <= rows
+def slice_rows(df: DataFrame, rows: int | None) -> int:
+    return rows or int(df.sparkSession.conf.get(SLICE_ROWS_SETTING, str(SLICE_ROWS)))
 
 
-def slice_by_offset(df: DataFrame, rows: int = SLICE_ROWS, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Slices for stream order. Offsets are unique in a partition, so no slice exceeds ``rows``."""
-    if fits(df, keys, rows):
-        return df
+def slice_by_offset(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Slices for stream order: runs of offsets. Offsets are unique in a partition, so no slice exceeds ``rows``."""
     return df.withColumn("_slice", F.col("partition").cast("long")).withColumn(
-        "_part", F.expr(f"offset div {rows}")
+        "_part", F.expr(f"offset div {slice_rows(df, rows)}")
     )
 
 
-def _listed(df: DataFrame, spans: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Join with a list of hot spans, broadcast only after counting it."""
-    if spans.count() <= BROADCAST_SPANS:
-        spans = F.broadcast(spans)
-    return df.join(spans, on, how)
-
+def crowded_seconds(df: DataFrame, keys: Sequence[str], ts: str, rows: int) -> DataFrame:
+    """The seconds of hours that hold more than ``rows`` rows, with the width of the slices they need.
 
-def plan_slices(
-    df: DataFrame,
-    keys: Sequence[str] = KEYS,
-    ts: str = "timestamp",
-    rows: int = SLICE_ROWS,
-) -> list[tuple[int, DataFrame]] | None:
-    """How to slice by time: None if every key fits one window, else the spans too full for it.
-
-    One map-side combined count per (key, hour) decides; hours are rarely too full. A finer width
-    is counted only inside spans found too full at the coarser width.
+    Rows are counted once, by second and combined before the shuffle; minutes and hours follow from these counts.
     """
-    count = F.count("*").alias("n")
-    hourly = df.groupBy(*keys, floor_to(F.col(ts), SPANS_MS[0]).alias("_span")).agg(count)
-    whole, fullest = (
-        hourly.groupBy(*keys)
-        .agg(F.sum("n").alias("whole"), F.max("n").alias("fullest"))
-        .agg(F.max("whole"), F.max("fullest"))
-        .first()
+    time = F.col("_second")
+    seconds = df.groupBy(*keys, floor_to(F.col(ts), SECOND).alias("_second")).agg(F.count("*").alias("_n"))
+    hours = seconds.groupBy(*keys, floor_to(time, HOUR).alias("_hour")).agg(F.sum("_n").alias("_in_hour"))
+    crowded = seconds.withColumn("_hour", floor_to(time, HOUR)).join(
+        hours.filter(F.col("_in_hour") > rows).drop("_in_hour"), [*keys, "_hour"], "left_semi"
     )
-    if (whole or 0) <= rows:
-        return None
-    found: list[tuple[int, DataFrame]] = []
-    if fullest <= rows:
-        return found
-    scope, counted = df.select(*keys, ts), hourly
-    for width in SPANS_MS:
-        if found:
-            counted = scope.groupBy(*keys, floor_to(F.col(ts), width).alias("_span")).agg(count)
-        spans = cut(counted.filter(F.col("n") > rows).drop("n"))
-        if spans.isEmpty():
-            break
-        found.append((width, spans))
-        scope = _listed(
-            scope.withColumn("_span", floor_to(F.col(ts), width)), spans, [*keys, "_span"], "left_semi"
-        ).drop("_span")
-    return found
+    minute = Window.partitionBy(*keys, "_hour", floor_to(time, MINUTE))
+    width = F.when(F.sum("_n").over(minute) <= rows, MINUTE).when(F.col("_n") <= rows, SECOND).otherwise(1)
+    return crowded.select(*keys, "_second", width.cast("long").alias("_width"))
 
 
 def slice_by_time(
@@ -98,36 +67,27 @@ def slice_by_time(
     keys: Sequence[str] = KEYS,
     ts: str = "timestamp",
     tie: Column | None = None,
-    rows: int = SLICE_ROWS,
+    rows: int | None = None,
     plan_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Slices for time order: hours, with hot hours cut into minutes, seconds, milliseconds.
+    """Slices for time order: hours, with crowded hours cut into minutes, seconds, milliseconds.
 
-    ``tie`` numbers pieces of a single hot millisecond and must grow with the order that follows
+    ``tie`` numbers pieces of a crowded millisecond and must grow with the order that follows
     ``ts``; by default pieces of ``rows`` offsets. ``plan_from`` holds the bulk of the rows where
     ``df`` adds few to them and is dearer to count.
     """
-    hot = plan_slices(df if plan_from is None else plan_from, keys, ts, rows)
-    if hot is None:
-        return df
+    rows = slice_rows(df, rows)
     tie = F.expr(f"offset div {rows}") if tie is None else tie
-    out = df.withColumn("_slice", floor_to(F.col(ts), SPANS_MS[0])).withColumn("_part", F.lit(0).cast("long"))
-    for width, spans in hot:
-        out = _listed(
-            out.withColumn("_span", floor_to(F.col(ts), width)),
-            spans.withColumn("_hot", F.lit(True)),
-            [*keys, "_span"],
-            "left",
-        )
-        if width == SPANS_MS[-1]:
-            out = out.withColumn("_part", F.when(F.col("_hot"), tie).otherwise(F.col("_part")))
-        else:
-            finer = SPANS_MS[SPANS_MS.index(width) + 1]
-            out = out.withColumn(
-                "_slice", F.when(F.col("_hot"), floor_to(F.col(ts), finer)).otherwise(F.col("_slice"))
-            )
-        out = out.drop("_span", "_hot")
-    return out
+    crowded = crowded_seconds(df if plan_from is None else plan_from, keys, ts, rows)
+    time, width = F.col(ts), F.col("_width")
+    return (
+        df.withColumn("_second", floor_to(time, SECOND))
+        .join(crowded, [*keys, "_second"], "left")
+        # Rows without a time come first, as they do in the order itself.
+        .withColumn("_slice", F.coalesce(time - F.pmod(time, F.coalesce(width, F.lit(HOUR).cast("long"))), F.lit(-(2**62))))
+        .withColumn("_part", F.when(width == 1, tie).otherwise(F.lit(0)).cast("long"))
+        .select(*df.columns, *SLICE)
+    )
 
 
 def _row(columns: Columns) -> Column:
@@ -153,54 +113,48 @@ def over_slices(
     """
     lag, lead, carry = dict(lag or {}), dict(lead or {}), dict(carry or {})
     before, total, peak = dict(carry_before or {}), dict(total or {}), dict(peak or {})
-    sliced = SLICE[0] in df.columns
-    slice_keys = [*keys, *SLICE] if sliced else [*keys]
+    slice_keys = [*keys, *SLICE]
 
     inside = Window.partitionBy(*slice_keys).orderBy(*by)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    if not sliced:
-        return df.select(
-            "*",
-            *[F.lag(c).over(inside).alias(n) for n, c in lag.items()],
-            *[F.lead(c).over(inside).alias(n) for n, c in lead.items()],
-            *[F.last(c, ignorenulls=True).over(upto).alias(n) for n, c in carry.items()],
-            *[F.last(c, ignorenulls=True).over(earlier).alias(n) for n, c in before.items()],
-            *[F.sum(c).over(upto).alias(n) for n, c in total.items()],
-            *[F.max(c).over(upto).alias(n) for n, c in peak.items()],
-        )
-
+    held = {**carry, **before}
     local = df.select(
         "*",
         F.lag(_row(lag)).over(inside).alias("_prev"),
         F.lead(_row(lead)).over(inside).alias("_next"),
-        *[F.last(c, ignorenulls=True).over(upto).alias(f"_at_{n}") for n, c in carry.items()],
+        *[F.last(c, ignorenulls=True).over(upto).alias(f"_at_{n}") for n, c in held.items()],
         *[F.last(c, ignorenulls=True).over(earlier).alias(f"_before_{n}") for n, c in before.items()],
         *[F.sum(c).over(upto).alias(f"_sum_{n}") for n, c in total.items()],
         *[F.max(c).over(upto).alias(f"_max_{n}") for n, c in peak.items()],
+        _row(lead).alias("_own_head"),
+        _row(lag).alias("_own_tail"),
     )
+    is_first, is_last = F.col("_prev").isNull(), F.col("_next").isNull()
+
+    # One row per slice, from its first and last row; the last one has seen all values and sums.
+    def at_end(name: str) -> Column:
+        return F.first(F.when(is_last, F.col(name)), ignorenulls=True).alias(name)
 
-    # One row per slice, folded on the map side: its first and last row, last values and sums.
-    order = F.struct(*by)
-    ends = df.groupBy(*slice_keys).agg(
-        F.min_by(_row(lead), order).alias("_head"),
-        F.max_by(_row(lag), order).alias("_tail"),
-        *[F.max_by(c, F.when(c.isNotNull(), order)).alias(f"_at_{n}") for n, c in {**carry, **before}.items()],
-        *[F.sum(c).alias(f"_sum_{n}") for n, c in total.items()],
-        *[F.max(c).alias(f"_max_{n}") for n, c in peak.items()],
+    ends = local.filter(is_first | is_last).groupBy(*slice_keys).agg(
+        F.first(F.when(is_first, F.col("_own_head")), ignorenulls=True).alias("_head"),
+        at_end("_own_tail").alias("_tail"),
+        *[at_end(f"_at_{n}") for n in held],
+        *[at_end(f"_sum_{n}") for n in total],
+        *[at_end(f"_max_{n}") for n in peak],
     )
     across = Window.partitionBy(*keys).orderBy(*SLICE)
     past = across.rowsBetween(Window.unboundedPreceding, -1)
     borders = ends.select(
-        *slice_keys,
+        *[F.col(k).alias(f"_of_{k}") for k in slice_keys],
         F.lag("_tail").over(across).alias("_from"),
         F.lead("_head").over(across).alias("_to"),
-        *[F.last(f"_at_{n}", ignorenulls=True).over(past).alias(f"_in_at_{n}") for n in {**carry, **before}],
+        *[F.last(f"_at_{n}", ignorenulls=True).over(past).alias(f"_in_at_{n}") for n in held],
         *[F.sum(f"_sum_{n}").over(past).alias(f"_in_sum_{n}") for n in total],
         *[F.max(f"_max_{n}").over(past).alias(f"_in_max_{n}") for n in peak],
     )
-    is_first, is_last = F.col("_prev").isNull(), F.col("_next").isNull()
-    return local.join(borders, slice_keys, "left").select(
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in slice_keys))
+    return local.join(borders, same, "left").select(
         *[F.col(c) for c in df.columns],
         *[F.when(is_first, F.col(f"_from.{n}")).otherwise(F.col(f"_prev.{n}")).alias(n) for n in lag],
         *[F.when(is_last, F.col(f"_to.{n}")).otherwise(F.col(f"_next.{n}")).alias(n) for n in lead],
@@ -211,11 +165,6 @@ def over_slices(
     )
 
 
-def between_steps(df: DataFrame) -> DataFrame:
-    """Write sliced rows once before a further ordered step, which would compute them twice."""
-    return cut(df) if SLICE[0] in df.columns else df
-
-
 def unsliced(df: DataFrame) -> DataFrame:
     """Drop the slice columns."""
     return df.drop(*SLICE)

@@ -7,6 +7,8 @@ so plain windows per machine are used from there on.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -173,17 +175,26 @@ def samples_in_bins(samples: DataFrame, width_ms: int = DENSE_MS) -> DataFrame:
 
 
 def activity_periods_dense(samples: DataFrame, width_ms: int = DENSE_MS, as_of_ms: int | None = None) -> DataFrame:
-    """Samples per machine and bin, empty bins with 0."""
-    low = samples.agg(floor_to(F.min("timestamp"), HOUR_MS)).scalar()
-    at = F.col("timestamp")
-    counts = samples.groupBy("machine_id", (at - F.pmod(at - low, F.lit(width_ms))).alias("a")).agg(
-        F.count("*").alias("n")
-    )
-    return (
-        bin_spine(samples, width_ms, as_of_ms)
-        .join(counts, ["machine_id", "a"], "left")
-        .select("machine_id", "a", "b", F.coalesce("n", F.lit(0).cast("bigint")).alias("count"))
+    """Samples per machine and bin, empty bins with 0.
+
+    All follows from one count of the samples per machine and step, a step being the longest time that
+    divides both bins and hours. Each filled bin brings the empty ones after it, a machine's first also those before.
+    """
+    step = math.gcd(width_ms, HOUR_MS)
+    counts = samples.groupBy("machine_id", floor_to(F.col("timestamp"), step).alias("at")).agg(F.count("*").alias("n"))
+    # With the sum it reads what the main branch reads, so that both have one shuffle of counts below them.
+    ends = counts.agg(F.struct(F.min("at").alias("first"), F.max("at").alias("last"), F.sum("n").alias("n"))).scalar()
+    low, high = floor_to(ends["first"], HOUR_MS), ends["last"]
+    bins = counts.groupBy("machine_id", (F.col("at") - F.pmod(F.col("at") - low, F.lit(width_ms))).alias("a")).agg(F.sum("n").alias("n"))
+    last = high - F.pmod(high - low, F.lit(width_ms))
+    bins = bins.select(
+        "*", F.coalesce(F.lead("a").over(per_machine("a")) - width_ms, last).alias("until"),
+        F.when(F.lag("a").over(per_machine("a")).isNull(), low).otherwise(F.col("a")).alias("since"),
     )
+    spread = bins.select("machine_id", F.col("a").alias("filled"), "n", F.explode(F.sequence("since", "until", F.lit(width_ms))).alias("a"))
+    end = F.col("a") + width_ms
+    b = end if as_of_ms is None else F.when(end > high, F.lit(as_of_ms)).otherwise(end)
+    return spread.select("machine_id", "a", b.alias("b"), F.when(F.col("a") == F.col("filled"), F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("count"))
 
 
 def condition_islands(bins: DataFrame, threshold: int = SUFFICIENT) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.operators.changes import changes_only, execution_events
-from millwright.operators.ordered import SLICE_ROWS, STREAM_ORDER, between_steps, over_slices, slice_by_offset
+from millwright.operators.ordered import STREAM_ORDER, over_slices, slice_by_offset
 
 
 def key_distribution(samples: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def field_presence(samples: DataFrame, fields: Sequence[str]) -> DataFrame:
     )
 
 
-def execution_transitions(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def execution_transitions(samples: DataFrame, rows: int | None = None) -> DataFrame:
     """Each event with the state and time of the machine's event before, in stream order."""
     return over_slices(
         slice_by_offset(execution_events(samples), rows),
@@ -78,7 +78,7 @@ def execution_transitions(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFra
     )
 
 
-def execution_counts(samples: DataFrame, anchor: str = "last", rows: int = SLICE_ROWS) -> DataFrame:
+def execution_counts(samples: DataFrame, anchor: str = "last", rows: int | None = None) -> DataFrame:
     """Per state: completed runs and their mean length in ms.
 
     ``anchor="last"`` measures from the last sample of a run, ``"first"`` from its first.
@@ -91,7 +91,7 @@ def execution_counts(samples: DataFrame, anchor: str = "last", rows: int = SLICE
     elif anchor == "first":
         changes = changes_only(slice_by_offset(execution_events(samples), rows), "execution")
         runs = (
-            over_slices(between_steps(changes), STREAM_ORDER, lead={"end": F.col("timestamp")})
+            over_slices(changes, STREAM_ORDER, lead={"end": F.col("timestamp")})
             .filter(F.col("end").isNotNull())
             .select("execution", (F.col("end") - F.col("timestamp")).alias("duration"))
         )
@@ -100,7 +100,7 @@ def execution_counts(samples: DataFrame, anchor: str = "last", rows: int = SLICE
     return runs.groupBy("execution").agg(F.count("*").alias("count"), F.avg("duration").alias("mean_ms"))
 
 
-def latest_state_per_machine(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def latest_state_per_machine(samples: DataFrame, rows: int | None = None) -> DataFrame:
     """Per machine: the last change of state, from ``previous`` to ``current``, and its time."""
     changed = execution_transitions(samples, rows).filter(~F.col("execution").eqNullSafe(F.col("p")))
     newest = F.max_by(
@@ -110,7 +110,7 @@ def latest_state_per_machine(samples: DataFrame, rows: int = SLICE_ROWS) -> Data
     return changed.groupBy("machine_id").agg(newest.alias("s")).select("machine_id", "s.*")
 
 
-def out_of_order(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def out_of_order(samples: DataFrame, rows: int | None = None) -> DataFrame:
     """Samples older than the machine's sample before them in the stream."""
     paired = over_slices(
         slice_by_offset(samples.select("machine_id", "partition", "offset", "timestamp"), rows),

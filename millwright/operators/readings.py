@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.operators.ordered import (
-    SLICE_ROWS,
     STREAM_ORDER,
     over_slices,
     slice_by_offset,
@@ -35,7 +34,7 @@ def _differs(field: str):
     return F.col("_before").isNull() | ~F.col(field).eqNullSafe(F.col(f"_before.{field}"))
 
 
-def delta_encode(readings: DataFrame, fields: Sequence[str], rows: int = SLICE_ROWS) -> DataFrame:
+def delta_encode(readings: DataFrame, fields: Sequence[str], rows: int | None = None) -> DataFrame:
     """Null out every field that equals the machine's reading before."""
     paired = _previous(readings, fields, rows)
     kept = [
@@ -47,7 +46,7 @@ def delta_encode(readings: DataFrame, fields: Sequence[str], rows: int = SLICE_R
 def delta_decode(
     samples: DataFrame,
     fields: Sequence[str],
-    rows: int = SLICE_ROWS,
+    rows: int | None = None,
     cleared: Mapping[str, str] = CLEARED,
 ) -> DataFrame:
     """The full state of the machine after each sample.
@@ -71,7 +70,7 @@ def delta_decode(
 
 
 def triggered_fields(
-    readings: DataFrame, triggers: Mapping[str, Sequence[str]] = TRIGGERS, rows: int = SLICE_ROWS
+    readings: DataFrame, triggers: Mapping[str, Sequence[str]] = TRIGGERS, rows: int | None = None
 ) -> DataFrame:
     """Keep dependent fields only where the field that triggers reading them changed."""
     present = {t: [c for c in cs if c in readings.columns] for t, cs in triggers.items() if t in readings.columns}

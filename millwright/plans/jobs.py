@@ -9,7 +9,7 @@ from millwright.functions import clock
 from millwright.functions.text import one_line
 from millwright.operators import bins, changes, ingest, matching, periods
 from millwright.operators.keyed import latest_per_key
-from millwright.operators.ordered import SLICE_ROWS, TIME_ORDER, between_steps, over_slices, slice_by_time
+from millwright.operators.ordered import TIME_ORDER, over_slices, slice_by_time
 
 # Shortest active span of interest, in ms, and result limits.
 SPAN_MS = 20_000
@@ -17,7 +17,7 @@ RECENT_MS = 40_000
 LIMIT = 100
 
 
-def active_spans(samples: DataFrame, threshold_ms: int = SPAN_MS, zone: str = clock.PLANT_ZONE, limit: int | None = LIMIT, rows: int = SLICE_ROWS) -> DataFrame:
+def active_spans(samples: DataFrame, threshold_ms: int = SPAN_MS, zone: str = clock.PLANT_ZONE, limit: int | None = LIMIT, rows: int | None = None) -> DataFrame:
     """ACTIVE spans longer than the threshold with their local start."""
     found = changes.active_longer_than(
         changes.second_spans(changes.execution_events(samples), rows), threshold_ms
@@ -30,7 +30,7 @@ def active_spans(samples: DataFrame, threshold_ms: int = SPAN_MS, zone: str = cl
     )
 
 
-def active_per_machine_day(samples: DataFrame, threshold_ms: int = SPAN_MS, zone: str = clock.PLANT_ZONE, rows: int = SLICE_ROWS) -> DataFrame:
+def active_per_machine_day(samples: DataFrame, threshold_ms: int = SPAN_MS, zone: str = clock.PLANT_ZONE, rows: int | None = None) -> DataFrame:
     """ACTIVE ms per machine and local day; a span counts wholly on the day it starts."""
     found = changes.active_longer_than(
         changes.second_spans(changes.execution_events(samples), rows), threshold_ms
@@ -39,7 +39,7 @@ def active_per_machine_day(samples: DataFrame, threshold_ms: int = SPAN_MS, zone
     return found.groupBy("machine_id", day.alias("date")).agg(F.sum("duration").alias("sum"))
 
 
-def most_recent_activity(samples: DataFrame, threshold_ms: int = RECENT_MS, zone: str = clock.PLANT_ZONE, rows: int = SLICE_ROWS) -> DataFrame:
+def most_recent_activity(samples: DataFrame, threshold_ms: int = RECENT_MS, zone: str = clock.PLANT_ZONE, rows: int | None = None) -> DataFrame:
     """Newest ACTIVE span over the threshold of each machine; measured in UTC, shown in local time."""
     found = changes.active_longer_than(
         changes.second_spans(changes.execution_events(samples), rows), threshold_ms
@@ -50,7 +50,7 @@ def most_recent_activity(samples: DataFrame, threshold_ms: int = RECENT_MS, zone
     )
 
 
-def execution_durations(samples: DataFrame, as_of_ms: int | None = None, zone: str = clock.PLANT_ZONE, rows: int = SLICE_ROWS) -> DataFrame:
+def execution_durations(samples: DataFrame, as_of_ms: int | None = None, zone: str = clock.PLANT_ZONE, rows: int | None = None) -> DataFrame:
     """Last event of each finished run with the time to the next such event, ``as_of`` for the last.
 
     Rows are right as run durations only where every stored event is a change of state;
@@ -61,7 +61,7 @@ def execution_durations(samples: DataFrame, as_of_ms: int | None = None, zone: s
     ending = over_slices(
         slice_by_time(events, rows=rows), TIME_ORDER, lead={"following": F.col("execution")}
     ).filter(F.col("following") != F.col("execution"))
-    timed = over_slices(between_steps(ending), TIME_ORDER, lead={"n": F.col("timestamp")})
+    timed = over_slices(ending, TIME_ORDER, lead={"n": F.col("timestamp")})
     second = clock.to_second("timestamp")
     return timed.select(
         "machine_id",
@@ -71,22 +71,22 @@ def execution_durations(samples: DataFrame, as_of_ms: int | None = None, zone: s
     )
 
 
-def executions(samples: DataFrame, width_ms: int = periods.BUCKET_MS, rows: int = SLICE_ROWS) -> DataFrame:
+def executions(samples: DataFrame, width_ms: int = periods.BUCKET_MS, rows: int | None = None) -> DataFrame:
     return changes.executions(samples, width_ms, rows)
 
 
-def executions_mod(samples: DataFrame, width_ms: int = periods.BUCKET_MS, rows: int = SLICE_ROWS) -> DataFrame:
+def executions_mod(samples: DataFrame, width_ms: int = periods.BUCKET_MS, rows: int | None = None) -> DataFrame:
     """The same result, with the events named first."""
     events = changes.execution_events(samples)
     return changes.runs_in_periods(events, periods.activity_periods(samples, width_ms), rows)
 
 
-def activity_graph(samples: DataFrame, width_ms: int = periods.BUCKET_MS, rows: int = SLICE_ROWS) -> DataFrame:
+def activity_graph(samples: DataFrame, width_ms: int = periods.BUCKET_MS, rows: int | None = None) -> DataFrame:
     """Runs with start, end and duration in epoch ms, as a graph consumes them."""
     return executions(samples, width_ms, rows)
 
 
-def completed_program_parts(samples: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
+def completed_program_parts(samples: DataFrame, rows: int | None = None) -> DataFrame:
     return matching.completed_program_parts(samples, rows)
 
 
@@ -100,17 +100,14 @@ def distinct_programs(samples: DataFrame) -> DataFrame:
     )
 
 
-def block_progression(samples: DataFrame, machine_id: str, limit: int = LIMIT) -> DataFrame:
+def block_progression(samples: DataFrame, machine_id: str, limit: int | None = LIMIT) -> DataFrame:
     """Latest program-position values of one machine, one row per field."""
     mine = samples.filter(F.col("machine_id") == machine_id).withColumn(
         "timestamp", clock.to_second("timestamp")
     )
-    return (
-        ingest.unpivot_fields(mine)
-        .orderBy(F.desc("timestamp"), F.desc("offset"), "key")
-        .limit(limit)
-        .select("machine_id", "timestamp", "offset", "key", "value")
-    )
+    fields = ingest.unpivot_fields(mine).select("machine_id", "timestamp", "offset", "key", "value")
+    latest = F.desc("timestamp"), F.desc("offset"), "key"
+    return fields if limit is None else fields.orderBy(*latest).limit(limit)
 
 
 def last_seen(samples: DataFrame, zone: str = clock.PLANT_ZONE) -> DataFrame:

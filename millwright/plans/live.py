@@ -7,21 +7,25 @@ lists each file once. With ``once`` the jobs work off what is there and end.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millwright.operators.changes import execution_events
-from millwright.operators.ingest import decode, flatten, split_by_event_time, undecodable
+from millwright.operators.ingest import flatten_all
 from millwright.operators.periods import SESSION_GAP_MS
 from millwright.schemas import FLAT
 from millwright.session import set_streaming
 from millwright.sources.topic import BATCH_BYTES
 from millwright.streaming import counts, sinks, stateful
 
+RECORDS = T.StructType([*FLAT, T.StructField("value", T.StringType()), T.StructField("status", T.StringType())])
+
 
 def flat_stream(spark: SparkSession, folder: str, batch_bytes: str = BATCH_BYTES) -> DataFrame:
-    """The flat table of ``start_ingest`` as a stream."""
-    reader = spark.readStream.schema(FLAT).option("maxBytesPerTrigger", batch_bytes)
-    return reader.parquet(f"{folder}/flat/data")
+    """The flat samples of ``start_ingest`` as a stream."""
+    reader = spark.readStream.schema(RECORDS).option("maxBytesPerTrigger", batch_bytes)
+    return reader.parquet(f"{folder}/records").filter(F.col("status") == "flat").select(*FLAT.names)
 
 
 def _write(stream: DataFrame, folder: str, name: str, once: bool) -> StreamingQuery:
@@ -29,19 +33,20 @@ def _write(stream: DataFrame, folder: str, name: str, once: bool) -> StreamingQu
 
 
 def start_ingest(records: DataFrame, folder: str, once: bool = False) -> list[StreamingQuery]:
-    """Topic records to the flat table; undecodable and untimed ones to tables of their own."""
-    valid, untimed = split_by_event_time(flatten(decode(records)))
-    return [
-        _write(valid, folder, "flat", once),
-        _write(untimed, folder, "untimed", once),
-        _write(undecodable(records), folder, "undecodable", once),
-    ]
+    """Topic records to one table, parsed once and filed by ``status``; the text of undecodable records is kept in ``value``."""
+    return [sinks.to_files(flatten_all(records), f"{folder}/records", f"{folder}/checkpoint-records", once, partition_by=["status"])]
+
+
+def stored(spark: SparkSession, folder: str, status: str) -> DataFrame:
+    """What ``start_ingest`` has filed under a status."""
+    return spark.read.schema(RECORDS).parquet(f"{folder}/records").filter(F.col("status") == status).drop("status")
 
 
 def start_tables(samples: DataFrame, folder: str, once: bool = False) -> list[StreamingQuery]:
     """Keyed tables of samples and execution events, safe to write twice."""
     return [
-        sinks.to_keyed_table(rows, f"{folder}/{name}/data", f"{folder}/{name}/checkpoint", once=once)
+        # An offset is unique in its partition: copies of one key are copies of one record.
+        sinks.to_keyed_table(rows.withColumn("arrival", F.col("offset")), f"{folder}/{name}/data", f"{folder}/{name}/checkpoint", once=once)
         for name, rows in (("samples", samples), ("execution", execution_events(samples)))
     ]
 

@@ -52,7 +52,7 @@ def options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--bin-ms", type=int, default=bins.BIN_MS)
     parser.add_argument("--as-of-ms", type=int, help="end of what is still open; default the newest sample")
     parser.add_argument("--machine", help="machine of block_progression")
-    parser.add_argument("--limit", type=int, default=jobs.LIMIT)
+    parser.add_argument("--limit", type=lambda x: None if x == "all" else int(x), default=None, help="rows of active_spans and block_progression; default all")
     return parser.parse_args(arguments)
 
 

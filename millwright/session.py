@@ -54,18 +54,16 @@ def set_streaming(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of its own; on a
-    cluster a machine-local folder would be lost with its machine.
+    Where the setting is missing, a local master gets a folder of its own for the session; a cluster
+    must name one, as a machine-local folder would be lost with its machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    chosen = tempfile.mkdtemp(prefix="millwright-")
-    spark.sparkContext.setCheckpointDir(chosen)
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millwright-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

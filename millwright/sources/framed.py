@@ -1,122 +1,15 @@
-"""Registry-framed Avro records: a zero byte, a four-byte schema id, then the record.
-
-The Avro package decodes them inside the JVM where it is on the class path. Without it a small
-Arrow-batched decoder for flat records of text and whole numbers takes its place.
-"""
+"""Registry-framed Avro records: a zero byte, a four-byte schema id, then the record."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from millwright.session import ship_by_value
-
-ship_by_value(__name__)
+from pyspark.sql.avro.functions import from_avro
 
 HEADER_BYTES = 5
-AVRO_TYPES = {"string": "string", "int": "int", "bigint": "long"}
-
-
-def avro_schema(record: T.StructType, name: str = "Record", optional: bool = False) -> str:
-    """The Avro schema of a flat record; ``optional`` makes every field a union with null."""
-    fields = []
-    for field in record:
-        kind: object = AVRO_TYPES[field.dataType.simpleString()]
-        fields.append({"name": field.name, "type": ["null", kind] if optional else kind})
-    return json.dumps({"type": "record", "name": name, "fields": fields})
-
-
-def _varint(data: bytes, at: int) -> tuple[int, int]:
-    shift = value = 0
-    while True:
-        byte = data[at]
-        at += 1
-        value |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return (value >> 1) ^ -(value & 1), at
-        shift += 7
-
-
-def _fields(data: bytes, kinds: list[str], optional: bool) -> list:
-    at, out = HEADER_BYTES, []
-    for kind in kinds:
-        if optional:
-            branch, at = _varint(data, at)
-            if branch == 0:
-                out.append(None)
-                continue
-        number, at = _varint(data, at)
-        if kind == "string":
-            out.append(data[at : at + number].decode("utf-8"))
-            at += number
-        else:
-            out.append(number)
-    return out
-
-
-def _bytes(values: tuple, kinds: list[str], optional: bool, schema_id: int) -> bytes:
-    out = bytearray(b"\0" + schema_id.to_bytes(4, "big"))
 
-    def put(number: int) -> None:
-        rest = (number << 1) ^ (number >> 63)
-        while rest > 0x7F:
-            out.append((rest & 0x7F) | 0x80)
-            rest >>= 7
-        out.append(rest)
 
-    for value, kind in zip(values, kinds):
-        missing = value is None or value != value
-        if optional:
-            put(0 if missing else 1)
-            if missing:
-                continue
-        if kind == "string":
-            text = value.encode("utf-8")
-            put(len(text))
-            out.extend(text)
-        else:
-            put(int(value))
-    return bytes(out)
-
-
-def decode_framed(records: DataFrame, record: T.StructType, column: str = "value", optional: bool = False) -> DataFrame:
-    """The records of a binary column as the columns of ``record``."""
+def decode_framed(records: DataFrame, avro_schema: str, column: str = "value") -> DataFrame:
+    """The records of a binary column as columns; needs the Avro package on the class path and fails without it."""
     payload = F.expr(f"substring(`{column}`, {HEADER_BYTES + 1})")
-    try:
-        from pyspark.sql.avro.functions import from_avro
-
-        decoded = records.select(from_avro(payload, avro_schema(record, optional=optional)).alias("_r"))
-        return decoded.select("_r.*")
-    except AnalysisException:
-        return _decode_in_batches(records.select(column), record, optional)
-
-
-def _decode_in_batches(records: DataFrame, record: T.StructType, optional: bool) -> DataFrame:
-    kinds = [AVRO_TYPES[f.dataType.simpleString()] for f in record]
-    names = record.names
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [_fields(bytes(data), kinds, optional) for data in batch.iloc[:, 0]]
-            yield pd.DataFrame(rows, columns=names, dtype="object")
-
-    return records.mapInPandas(decode, record)
-
-
-def encode_framed(rows: DataFrame, record: T.StructType, schema_id: int, optional: bool = False) -> DataFrame:
-    """Rows as framed records in a binary column ``value``, keyed by machine."""
-    kinds = [AVRO_TYPES[f.dataType.simpleString()] for f in record]
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            columns = [batch[name].astype("object") for name in record.names]
-            values = [_bytes(row, kinds, optional, schema_id) for row in zip(*columns)]
-            yield pd.DataFrame({"key": batch["machine_id"], "value": values})
-
-    return rows.select(*record.names).mapInPandas(encode, "key string, value binary")
+    return records.select(from_avro(payload, avro_schema).alias("_r")).select("_r.*")

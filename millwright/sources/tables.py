@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,25 +42,49 @@ def materialize_samples(samples: DataFrame, path: str | None = None) -> DataFram
     return materialize(slim.withColumn("day", F.to_date("ts")).hint("rebalance", "day"), path, ["day"])
 
 
-def write_batch(batch: DataFrame, path: str, batch_id: int, keep: str = "last", keys: Sequence[str] = RECORD_KEY) -> None:
-    """Store one batch of a keyed table; repeating a batch id replaces that batch.
+def new_run() -> str:
+    """An id that sorts after those of all earlier runs."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The run that belongs to a checkpoint: kept beside it, so a restarted stream goes on with its own."""
+    path = f"{checkpoint}/millwright-run"
+    try:
+        return spark.read.schema("run string").parquet(path).first()["run"]
+    except AnalysisException:
+        run = new_run()
+        spark.createDataFrame([(run,)], "run string").coalesce(1).write.parquet(path)
+        return run
+
+
+def write_batch(
+    batch: DataFrame,
+    path: str,
+    batch_id: int,
+    keep: str = "last",
+    keys: Sequence[str] = RECORD_KEY,
+    run: str = "0-first",
+) -> None:
+    """Store one batch of a keyed table; repeating a batch id of the same run replaces that batch.
 
     Only the batch itself is deduplicated and written. Keys in several batches are settled when
     the table is read, so a write never rewrites the table. ``arrival`` orders rows of a batch.
     """
     pick = keep_last if keep == "last" else keep_first
     settled = pick(batch, F.col("arrival"), keys)
-    settled.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    settled.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
 
 def read_keyed(spark: SparkSession, path: str, keep: str = "last", keys: Sequence[str] = RECORD_KEY) -> DataFrame:
     """The keyed table: one row per key over all batches, with the columns of all batches."""
     stored = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
     pick = keep_last if keep == "last" else keep_first
-    return pick(stored, F.struct("batch_id", "arrival"), keys).drop("batch_id", "arrival")
+    return pick(stored, F.struct("run", "batch_id", "arrival"), keys).drop("run", "batch_id", "arrival")
 
 
 def compact(spark: SparkSession, path: str, target: str, keep: str = "last", keys: Sequence[str] = RECORD_KEY) -> None:
-    """Fold all batches into a single one at ``target``, to be used in place of ``path``."""
+    """Fold all batches into a run of one batch at ``target``, to be used in place of ``path``; streams stopped before and
+    started again on a new checkpoint write later runs beside it."""
     settled = read_keyed(spark, path, keep, keys).withColumn("arrival", F.lit(0).cast("bigint"))
-    settled.write.mode("overwrite").parquet(f"{target}/batch_id=0")
+    settled.write.mode("overwrite").parquet(f"{target}/run={new_run()}/batch_id=0")

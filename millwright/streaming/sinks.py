@@ -1,4 +1,4 @@
-"""Where streams go: files, keyed tables, Kafka, console."""
+"""Where streams go: files, keyed tables, Kafka, lines of text."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millwright.operators.keyed import RECORD_KEY
 from millwright.session import new_path, set_streaming
-from millwright.sources.tables import write_batch
+from millwright.sources.tables import run_of, write_batch
 
 # Fixed value: time between writes of the continuous jobs.
 TRIGGER = "5 seconds"
@@ -22,9 +22,10 @@ def _start(writer: DataStreamWriter, checkpoint: str, once: bool, trigger: str =
     return writer.start()
 
 
-def to_files(stream: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+def to_files(stream: DataFrame, path: str, checkpoint: str, once: bool = False, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Append to Parquet files; the file log makes a repeated batch count once."""
-    return _start(stream.writeStream.format("parquet").option("path", path), checkpoint, once)
+    writer = stream.writeStream.format("parquet").option("path", path)
+    return _start(writer.partitionBy(*partition_by) if partition_by else writer, checkpoint, once)
 
 
 def to_keyed_table(
@@ -38,11 +39,15 @@ def to_keyed_table(
 ) -> StreamingQuery:
     """Upsert (``keep="last"``) or insert-ignore (``keep="first"``) by key, batch by batch.
 
-    A batch replayed after a failure replaces itself, so results are the same as if run once.
+    A batch replayed after a failure replaces itself, so results are the same as if run once. A
+    new checkpoint is a new run, later than all runs before it: records read again are written
+    again, beside what is there. ``arrival`` says which of several rows of one key came first.
     """
-    ordered = stream if "arrival" in stream.columns else stream.withColumn("arrival", F.col("offset"))
+    if "arrival" not in stream.columns:
+        raise ValueError("the stream needs a column arrival that orders rows of one key")
+    run = run_of(stream.sparkSession, checkpoint)
     return _start(
-        ordered.writeStream.foreachBatch(lambda batch, n: write_batch(batch, path, n, keep, keys)),
+        stream.writeStream.foreachBatch(lambda batch, n: write_batch(batch, path, n, keep, keys, run)),
         checkpoint,
         once,
         trigger,
@@ -68,10 +73,9 @@ def watch_lines(records: DataFrame) -> DataFrame:
     return records.select(F.concat_ws("\t", at, "key", "value").alias("line"))
 
 
-def to_console(stream: DataFrame, checkpoint: str, rows: int = 20, once: bool = False) -> StreamingQuery:
-    """Print each batch's first rows with key and time."""
-    writer = stream.writeStream.format("console").option("numRows", rows).option("truncate", "false")
-    return _start(writer, checkpoint, once)
+def to_lines(stream: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Every line of ``watch_lines`` to text files, which ``tail -F`` shows as they come."""
+    return _start(stream.select("line").writeStream.format("text").option("path", path), checkpoint, once)
 
 
 def run_once(stream: DataFrame, label: str) -> DataFrame:

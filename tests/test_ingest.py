@@ -1,4 +1,4 @@
-"""Decoding, flattening, field operators, framed records."""
+"""Decoding, flattening, field operators."""
 
 import json
 from datetime import datetime
@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 from millwright.operators import ingest, profile
 from millwright.schemas import EXECUTION, FLAT, LEGACY_TEXT, META_KEYS, TOPIC_RECORD, VALUE_FIELDS
-from millwright.sources import framed
 from tests.conftest import rows
 
 FULL = {
@@ -106,25 +105,3 @@ def test_replay(make_samples):
     assert rows(profile.replay_from(df, 3), "offset") == [(7,), (8,), (9,)]
     assert json.loads(profile.replay_offsets(df, "input", 3)) == {"input": {"0": 7}}
     assert json.loads(profile.replay_offsets(df, "input", 30)) == {"input": {"0": 0}}
-
-
-def test_framed_records_survive_the_round_trip(spark):
-    made = [
-        ("m", "ACTIVE", 1704067200123, 2**40, 5), ("µ-ß", "", 0, -1, -3), ("x" * 200, "READY", -(2**62), 63, 64),
-    ]
-    df = spark.createDataFrame(made, EXECUTION)
-    encoded = framed.encode_framed(df, EXECUTION, 7)
-    assert encoded.select(F.hex(F.substring("value", 1, 5))).distinct().collect()[0][0] == "0000000007"
-    assert rows(framed.decode_framed(encoded, EXECUTION)) == rows(df)
-
-
-def test_framed_null_fields(spark):
-    record = T.StructType([FLAT["machine_id"], FLAT["part_count"], FLAT["execution"]])
-    df = spark.createDataFrame([("a", None, "X"), ("b", 4, None)], record)
-    encoded = framed.encode_framed(df, record, 1, optional=True)
-    assert rows(framed.decode_framed(encoded, record, optional=True)) == rows(df)
-
-
-def test_framed_bytes_follow_the_avro_specification():
-    # Avro writes whole numbers as zigzag varints and text as length and bytes.
-    assert framed._bytes(("foo", -1, 64), ["string", "long", "int"], False, 1) == b"\0\0\0\0\x01\x06foo\x01\x80\x01"

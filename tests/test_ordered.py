@@ -84,17 +84,20 @@ def test_no_slice_exceeds_the_limit(make_samples, limit):
     assert largest <= limit
 
 
-def test_hot_list_too_long_to_broadcast(make_samples, monkeypatch):
-    monkeypatch.setattr(ordered, "BROADCAST_SPANS", 0)
-    made = scattered(9)
-    got = over_slices(slice_by_time(make_samples(made), rows=3), TIME_ORDER, **steps())
-    assert rows(got, "machine_id", "offset", "p", "n", "c", "cb", "s", "m") == expected(
-        made, lambda r: (r[2], r[1])
-    )
-
-
-def test_small_machines_need_no_slices(make_samples):
-    assert "_slice" not in slice_by_time(make_samples(scattered(1))).columns
+def test_building_starts_no_job(spark, make_samples):
+    made = make_samples(scattered(4))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    over_slices(slice_by_time(made, rows=3), TIME_ORDER, **steps())
+    over_slices(slice_by_offset(made, rows=3), STREAM_ORDER, **steps())
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rows_without_machine_or_time(make_samples):
+    made = [(None, 1, 5, "A", 1, "p"), ("m", 2, None, "B", 2, None), ("m", 3, 7 * HOUR, "A", 3, "q"), (None, 4, 9 * HOUR, "B", 4, None)]
+    got = over_slices(slice_by_time(make_samples(made), rows=1), TIME_ORDER, **steps())
+    assert rows(got, "offset", "p", "c", "s") == [(1, None, "p", 1), (2, None, None, 2), (3, "B", "q", 5), (4, "A", "p", 5)]
 
 
 def test_floor_to_before_1970(spark):

@@ -157,7 +157,7 @@ def test_keyed_sink_replaces_a_repeated_batch(streamed, spark):
         stream, _ = streamed(copies, files=4)
         path = new_path(spark, "sink")
         for _ in range(2):
-            sinks.to_keyed_table(stream, f"{path}/data", f"{path}/check", keep, once=True).awaitTermination()
+            sinks.to_keyed_table(stream.withColumn("arrival", F.when(F.col("execution") == "COPY", 1).otherwise(0)), f"{path}/data", f"{path}/check", keep, once=True).awaitTermination()
         table = tables.read_keyed(spark, f"{path}/data", keep)
         assert table.count() == len(made)
         assert rows(table.filter("offset = 0"), "execution") == [(expected,)]
@@ -177,7 +177,33 @@ def test_topic_dump_to_flat_samples(spark):
     assert topic.json_batch(spark, path).count() == 2
 
 
-def test_console(streamed, spark, capfd):
-    stream, _ = streamed(walk(10, count=5), files=1)
+def test_all_lines_are_written(streamed, spark):
+    stream, _ = streamed(walk(10, count=50), files=1)
     records = stream.select(F.col("machine_id").alias("key"), F.col("execution").alias("value"), F.timestamp_millis("timestamp").alias("timestamp"))
-    sinks.to_console(sinks.watch_lines(records), new_path(spark, "console"), once=True).awaitTermination()
+    path = new_path(spark, "lines")
+    sinks.to_lines(sinks.watch_lines(records), f"{path}/data", f"{path}/check", once=True).awaitTermination()
+    assert rows(spark.read.text(f"{path}/data").withColumnRenamed("value", "line")) == rows(sinks.watch_lines(spark.createDataFrame(walk(10, count=50), SAMPLE).select(
+        F.col("machine_id").alias("key"), F.col("execution").alias("value"), F.timestamp_millis("timestamp").alias("timestamp"))))
+
+
+def test_replay_on_a_new_checkpoint_loses_nothing(spark):
+    path, shape = new_path(spark, "replay"), "offset bigint, partition int, v string, arrival bigint"
+    spark.createDataFrame([(k, 0, "old", 0) for k in range(200)], shape).repartition(2).write.parquet(f"{path}/first")
+    spark.createDataFrame([(k, 0, "new", a) for k in range(150, 210) for a in (2, 1)], shape).withColumn("v", F.concat("v", "arrival")).coalesce(1).write.parquet(f"{path}/again")
+    for source, check in (("first", "a"), ("first", "a"), ("again", "b")):
+        stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(f"{path}/{source}")
+        sinks.to_keyed_table(stream, f"{path}/data", f"{path}/{check}", once=True).awaitTermination()
+    got = {r.offset: r.v for r in tables.read_keyed(spark, f"{path}/data").collect()}
+    assert got == {k: "new2" if k >= 150 else "old" for k in range(210)}
+    first = {r.offset: r.v for r in tables.read_keyed(spark, f"{path}/data", "first").collect()}
+    assert first == {k: "old" if k < 200 else "new2" for k in range(210)}
+    tables.compact(spark, f"{path}/data", f"{path}/folded")
+    stream = spark.readStream.schema(shape).parquet(f"{path}/first")
+    sinks.to_keyed_table(stream.withColumn("v", F.lit("third")), f"{path}/folded", f"{path}/c", once=True).awaitTermination()
+    assert {r.offset: r.v for r in tables.read_keyed(spark, f"{path}/folded").collect()} == {k: "third" if k < 200 else "new2" for k in range(210)}
+
+
+def test_a_stream_without_arrival_is_refused(streamed, spark):
+    stream, _ = streamed(walk(9), files=1)
+    with pytest.raises(ValueError):
+        sinks.to_keyed_table(stream, "nowhere", "nowhere")

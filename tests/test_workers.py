@@ -7,7 +7,6 @@ import sys
 import pytest
 from pyspark import cloudpickle
 
-from millwright.sources import framed
 from millwright.streaming import stateful
 
 
@@ -15,7 +14,7 @@ from millwright.streaming import stateful
     "sent",
     [
         stateful.Dedup("execution", "string", ["execution"]), stateful.Runs(), stateful.PartPrograms(),
-        stateful.Sessions(300_000, tag=True), framed._fields, framed._bytes,
+        stateful.Sessions(300_000, tag=True),
     ],
     ids=lambda s: getattr(s, "__name__", type(s).__name__),
 )
