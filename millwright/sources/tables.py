@@ -73,18 +73,18 @@ def write_batch(
     """
     pick = keep_last if keep == "last" else keep_first
     settled = pick(batch, F.col("arrival"), keys)
-    settled.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+    settled.write.mode("overwrite").parquet(f"{path}/keyed_run={run}/keyed_batch={batch_id}")
 
 
 def read_keyed(spark: SparkSession, path: str, keep: str = "last", keys: Sequence[str] = RECORD_KEY) -> DataFrame:
     """The keyed table: one row per key over all batches, with the columns of all batches."""
     stored = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
     pick = keep_last if keep == "last" else keep_first
-    return pick(stored, F.struct("run", "batch_id", "arrival"), keys).drop("run", "batch_id", "arrival")
+    return pick(stored, F.struct("keyed_run", "keyed_batch", "arrival"), keys).drop("keyed_run", "keyed_batch", "arrival")
 
 
 def compact(spark: SparkSession, path: str, target: str, keep: str = "last", keys: Sequence[str] = RECORD_KEY) -> None:
     """Fold all batches into a run of one batch at ``target``, to be used in place of ``path``; streams stopped before and
     started again on a new checkpoint write later runs beside it."""
     settled = read_keyed(spark, path, keep, keys).withColumn("arrival", F.lit(0).cast("bigint"))
-    settled.write.mode("overwrite").parquet(f"{target}/run={new_run()}/batch_id=0")
+    settled.write.mode("overwrite").parquet(f"{target}/keyed_run={new_run()}/keyed_batch=0")
