@@ -62,11 +62,7 @@ def kstream_count_session(t: Tables):
 
 @query("stream_session_counts_live", sql('SELECT machine_id, "windowStart", "windowEnd", "count" FROM sessions'))
 def stream_session_counts_live(t: Tables):
-    updates = sinks.run_once(stateful.session_counts_live(_bounded_samples(t), HALF_HOUR), "live")
-    newest = F.max(F.struct("count", "windowEnd")).alias("u")
-    return updates.groupBy("machine_id", "windowStart").agg(newest).select(
-        "machine_id", "windowStart", "u.windowEnd", "u.count"
-    )
+    return stateful.live_sessions(sinks.run_once(stateful.session_counts_live(_bounded_samples(t), HALF_HOUR), "live"))
 
 
 _HOPPING = sql("""

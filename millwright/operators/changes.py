@@ -100,7 +100,7 @@ def in_periods(events: DataFrame, periods: DataFrame, rows: int | None = None) -
     )
     is_event = F.col("_period").isNull()
     placed = over_slices(
-        slice_by_time(marked, rows=rows, plan_from=events),
+        slice_by_time(marked, rows=rows),
         TIME_ORDER,
         carry_before={
             "_in": F.col("_period"),

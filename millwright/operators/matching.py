@@ -167,7 +167,7 @@ def session_lookup(
         allowMissingColumns=True,
     )
     placed = over_slices(
-        slice_by_time(marked, rows=rows, plan_from=events),
+        slice_by_time(marked, rows=rows),
         ("timestamp", "offset"),
         carry={"_in": F.col("_session")},
     )

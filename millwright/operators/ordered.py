@@ -68,17 +68,16 @@ def slice_by_time(
     ts: str = "timestamp",
     tie: Column | None = None,
     rows: int | None = None,
-    plan_from: DataFrame | None = None,
 ) -> DataFrame:
     """Slices for time order: hours, with crowded hours cut into minutes, seconds, milliseconds.
 
     ``tie`` numbers pieces of a crowded millisecond and must grow with the order that follows
-    ``ts``; by default pieces of ``rows`` offsets. ``plan_from`` holds the bulk of the rows where
-    ``df`` adds few to them and is dearer to count.
+    ``ts``; by default pieces of ``rows`` offsets. Every row is counted, so each second of a crowded
+    hour that has a row is cut as its neighbours are.
     """
     rows = slice_rows(df, rows)
     tie = F.expr(f"offset div {rows}") if tie is None else tie
-    crowded = crowded_seconds(df if plan_from is None else plan_from, keys, ts, rows)
+    crowded = crowded_seconds(df, keys, ts, rows)
     time, width = F.col(ts), F.col("_width")
     return (
         df.withColumn("_second", floor_to(time, SECOND))

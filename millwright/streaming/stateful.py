@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millwright.functions.text import content_hash, present
 from millwright.operators.changes import execution_events
-from millwright.operators.periods import SESSION_GAP_MS
+from millwright.operators.periods import GRACE_MS, SESSION_GAP_MS
 from millwright.session import ship_by_value
 
 ship_by_value(__name__)
@@ -142,46 +142,56 @@ class PartPrograms(_Ordered):
 
 
 class Sessions(_Ordered):
-    """The machine's running session. ``tag`` emits state changes with their session start,
-    otherwise the sessions the batch touched with their counts so far."""
+    """The machine's sessions that a row can still reach: those that ended within a gap and the grace before its newest.
 
-    state_schema = "start bigint, last bigint, count bigint, execution string"
+    Rows may come late: a session is extended at either end, and a row between two sessions makes them one. ``tag`` emits
+    state changes with the start their session has by then, otherwise what became of each session the batch touched.
+    A session that another has taken in is emitted once more with a null count. Rows older than any session that is
+    kept are not counted; they come out as late. ``update`` numbers the machine's batches.
+    """
 
-    def __init__(self, gap_ms: int, tag: bool):
-        self.gap_ms, self.tag = gap_ms, tag
+    state_schema = "starts array<bigint>, ends array<bigint>, counts array<bigint>, execution string, updates bigint"
+
+    def __init__(self, gap_ms: int, tag: bool, grace_ms: int = GRACE_MS):
+        self.gap_ms, self.tag, self.grace_ms = gap_ms, tag, grace_ms
 
     def walk(self, machine_id, batch, state):
-        start, last, count, execution = state or (None, None, 0, None)
-        times = batch["timestamp"]
-        reach = times.cummax().shift(1)
-        if last is not None:
-            reach = reach.fillna(last).clip(lower=last)
-        opens = reach.isna() | (times - reach > self.gap_ms)
-        first = times.where(opens).ffill()
-        session = first.fillna(start if start is not None else -1).astype("int64")
+        starts, ends, counts, execution, updates = state or ([], [], [], None, 0)
+        known = [[int(a), int(b), int(n)] for a, b, n in zip(starts, ends, counts)]
+        times = batch["timestamp"].astype("int64")
+        newest = max([int(times.max()), *(b for _, b, _ in known)])
+        # Without a kept session nothing is known to be missing, so the first rows of a machine are never late.
+        oldest = min((a for a, _, _ in known), default=int(times.min())) - self.gap_ms
+        late = times < min(oldest, newest - self.gap_ms - self.grace_ms)
+        fresh = times[~late].sort_values(ignore_index=True)
+        own = (fresh.diff() > self.gap_ms).cumsum()
+        folded = fresh.groupby(own).agg(["min", "max", "count"]).to_numpy().tolist()
+
+        merged: list[list[int]] = []
+        for a, b, n in sorted([*known, *folded]):
+            if merged and a - merged[-1][1] <= self.gap_ms:
+                merged[-1][1], merged[-1][2] = max(merged[-1][1], b), merged[-1][2] + n
+            else:
+                merged.append([a, b, n])
+        before = {a: (b, n) for a, b, n in known}
         if self.tag:
             states = batch["execution"].where(batch["execution"] != "")
             kept = states.notna() & _changed(states, execution)
             out = batch[kept][["machine_id", "execution", "timestamp", "offset", "partition"]].copy()
-            out["session"] = session[kept]
+            at = pd.Series([a for a, _, _ in merged], dtype="int64").searchsorted(times[kept], side="right") - 1
+            out["session"] = [merged[i][0] if i >= 0 and t <= merged[i][1] else -1 for i, t in zip(at, times[kept])]
             seen = states.dropna()
             execution = seen.iloc[-1] if len(seen) else execution
-        folded = times.groupby(session).agg(["max", "count"]).sort_index()
-        ends, counts = folded["max"].copy(), folded["count"].copy()
-        if start is not None and start in folded.index:
-            counts[start] += count
-            ends[start] = max(ends[start], last)
-        if not self.tag:
-            out = pd.DataFrame(
-                {
-                    "machine_id": machine_id,
-                    "windowStart": folded.index.to_numpy(),
-                    "windowEnd": ends.to_numpy(),
-                    "count": counts.to_numpy(),
-                }
-            )
-        newest = int(folded.index[-1])
-        return out, (newest, int(ends[newest]), int(counts[newest]), execution)
+        else:
+            now = {a for a, _, _ in merged}
+            rows = [(machine_id, a, b, n, updates, False) for a, b, n in merged if before.get(a) != (b, n)]
+            rows += [(machine_id, a, b, None, updates, False) for a, (b, _) in before.items() if a not in now]
+            rows += [(machine_id, t, t, 1, updates, True) for t in times[late].tolist()]
+            out = pd.DataFrame(rows, columns=["machine_id", "windowStart", "windowEnd", "count", "update", "late"])
+            out["count"] = out["count"].astype("Int64")
+        reachable = [x for x in merged if x[1] >= newest - self.gap_ms - self.grace_ms]
+        columns = [list(c) for c in zip(*reachable)]
+        return out, (*columns, execution, updates + 1)
 
 
 def _apply(rows: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
@@ -217,14 +227,20 @@ def part_completed_events(samples: DataFrame) -> DataFrame:
     return _apply(wanted, PartPrograms(), schema)
 
 
-def execution_with_session(samples: DataFrame, gap_ms: int = SESSION_GAP_MS) -> DataFrame:
+def execution_with_session(samples: DataFrame, gap_ms: int = SESSION_GAP_MS, grace_ms: int = GRACE_MS) -> DataFrame:
     slim = samples.select("machine_id", "execution", "timestamp", "offset", "partition")
-    return _apply(slim, Sessions(gap_ms, tag=True), _EXECUTION + ", session bigint")
+    return _apply(slim, Sessions(gap_ms, tag=True, grace_ms=grace_ms), _EXECUTION + ", session bigint")
 
 
-def session_counts_live(samples: DataFrame, gap_ms: int = SESSION_GAP_MS) -> DataFrame:
-    """Counts of running sessions after every micro-batch; the highest count of a session is the
-    newest."""
+def session_counts_live(samples: DataFrame, gap_ms: int = SESSION_GAP_MS, grace_ms: int = GRACE_MS) -> DataFrame:
+    """Counts of running sessions after every micro-batch; see ``live_sessions`` for what they come to."""
     slim = samples.select("machine_id", "timestamp", "offset", "partition")
-    schema = "machine_id string, windowStart bigint, windowEnd bigint, count bigint"
-    return _apply(slim, Sessions(gap_ms, tag=False), schema)
+    schema = "machine_id string, windowStart bigint, windowEnd bigint, count bigint, update bigint, late boolean"
+    return _apply(slim, Sessions(gap_ms, tag=False, grace_ms=grace_ms), schema)
+
+
+def live_sessions(updates: DataFrame) -> DataFrame:
+    """The sessions by the newest of their updates; those that others have taken in are gone."""
+    newest = F.max_by(F.struct("windowEnd", "count"), "update").alias("u")
+    found = updates.filter(~F.col("late")).groupBy("machine_id", "windowStart").agg(newest)
+    return found.filter(F.col("u.count").isNotNull()).select("machine_id", "windowStart", "u.windowEnd", "u.count")

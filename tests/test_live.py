@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+
 from millwright.operators import changes, ingest, matching, periods
 from millwright.plans import live
 from millwright.session import new_path
 from millwright.sources import tables, topic
 from millwright.sources.telemetry import messages_from_events
+from millwright.streaming import stateful
 from tests.conftest import rows
 
 
@@ -46,8 +48,7 @@ def test_topic_to_tables(spark):
     assert rows(result("parts")) == rows(matching.part_completed_events(flat))
     deduped = changes.dedup_consecutive(state, "execution")
     assert rows(result("tagged")) == rows(matching.execution_with_session(deduped, flat))
-    live_counts = result("sessions").groupBy("machine_id", "windowStart").agg(F.max("windowEnd"), F.max("count"))
-    assert rows(live_counts) == rows(periods.sessions(flat))
+    assert rows(stateful.live_sessions(result("sessions"))) == rows(periods.sessions(flat))
 
 
 def test_jobs_from_the_command_line(spark):

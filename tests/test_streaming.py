@@ -127,11 +127,25 @@ def test_dedup_of_numbers_passes_nulls(streamed):
 def test_live_session_counts(streamed):
     stream, batch = streamed(walk(7), files=4)
     updates = sinks.run_once(stateful.session_counts_live(stream), "live")
-    newest = updates.groupBy("machine_id", "windowStart").agg(F.max("windowEnd").alias("windowEnd"), F.max("count").alias("count"))
+    newest = stateful.live_sessions(updates)
     assert rows(newest) == rows(periods.sessions(batch))
     assert updates.count() > newest.count()
 
 
+def test_late_rows_extend_and_join_sessions(streamed):
+    gap, grace = 300_000, 60 * MIN
+    times = [[600_000, 1_600_000], [1_000_000, 590_000], [1_300_000], [50_000_000], [49_990_000, 2_000_000]]
+    made = [_at("m", 10 * i + k, t) for i, batch in enumerate(times) for k, t in enumerate(batch)]
+    stream, _ = streamed(made, files=len(made))  # a row a batch
+    updates = sinks.run_once(stateful.session_counts_live(stream, gap, grace), "late")
+    assert sorted(rows(stateful.live_sessions(updates))) == [("m", 590_000, 600_000, 2), ("m", 1_000_000, 1_600_000, 3), ("m", 49_990_000, 50_000_000, 2)]
+    assert rows(updates.filter("late"), "windowStart") == [(2_000_000,)]
+    joined = [_at("m", i, t) for i, t in enumerate([0, 500_000, 250_000])]
+    updates = sinks.run_once(stateful.session_counts_live(streamed(joined, files=3)[0], gap, grace), "joined")
+    assert rows(stateful.live_sessions(updates)) == [("m", 0, 500_000, 3)]
+    assert rows(updates.filter("count IS NULL"), "windowStart") == [(500_000,)]
+
+
 def test_state_survives_a_restart(spark):
     made, folder = walk(8), new_path(spark, "restart")
     half = len(made) // 2
