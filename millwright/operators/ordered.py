@@ -51,15 +51,13 @@ def crowded_seconds(df: DataFrame, keys: Sequence[str], ts: str, rows: int) -> D
 
     Rows are counted once, by second and combined before the shuffle; minutes and hours follow from these counts.
     """
-    time = F.col("_second")
     seconds = df.groupBy(*keys, floor_to(F.col(ts), SECOND).alias("_second")).agg(F.count("*").alias("_n"))
-    hours = seconds.groupBy(*keys, floor_to(time, HOUR).alias("_hour")).agg(F.sum("_n").alias("_in_hour"))
-    crowded = seconds.withColumn("_hour", floor_to(time, HOUR)).join(
-        hours.filter(F.col("_in_hour") > rows).drop("_in_hour"), [*keys, "_hour"], "left_semi"
-    )
-    minute = Window.partitionBy(*keys, "_hour", floor_to(time, MINUTE))
-    width = F.when(F.sum("_n").over(minute) <= rows, MINUTE).when(F.col("_n") <= rows, SECOND).otherwise(1)
-    return crowded.select(*keys, "_second", width.cast("long").alias("_width"))
+    seconds = seconds.withColumn("_hour", floor_to(F.col("_second"), HOUR))
+    hour = Window.partitionBy(*keys, "_hour")
+    minute = Window.partitionBy(*keys, "_hour", floor_to(F.col("_second"), MINUTE))
+    crowded = seconds.select("*", F.sum("_n").over(hour).alias("_in_hour"), F.sum("_n").over(minute).alias("_in_minute"))
+    width = F.when(F.col("_in_minute") <= rows, MINUTE).when(F.col("_n") <= rows, SECOND).otherwise(1)
+    return crowded.filter(F.col("_in_hour") > rows).select(*keys, "_second", width.cast("long").alias("_width"))
 
 
 def slice_by_time(
