@@ -152,14 +152,15 @@ def gradients(p: Params, inputs: np.ndarray, outputs: np.ndarray, opens: np.ndar
 class Trainer:
     """Adagrad over windows. ``squares`` carries the sums of squared gradients on from earlier training."""
 
-    def __init__(self, p: Params, squares: Params | None = None, rate: float = 0.08, width: int = 256, steps: int = 16, longest: int = 2048) -> None:
+    def __init__(self, p: Params, squares: Params | None = None, rate: float = 0.08, width: int = 512, steps: int = 16, longest: int = 2048) -> None:
         self.p, self.rate, self.width, self.steps, self.longest = {k: v.copy() for k, v in p.items()}, rate, width, steps, longest
         self.squares = {k: v.copy() for k, v in squares.items()} if squares else {k: np.full_like(v, 1e-3) for k, v in p.items()}
         self.tokens = 0
 
     def learn(self, texts: list[np.ndarray]) -> None:
         """One pass over whole texts; one of more than ``longest`` words is learnt in stretches of this length, so that lanes stay even."""
-        outputs, opens, _ = lanes([t[i : i + self.longest] for t in texts for i in range(0, len(t), self.longest)], self.width)
+        width = min(self.width, max(32, sum(map(len, texts)) // self.longest))  # few words: fewer lanes, so that there are windows enough
+        outputs, opens, _ = lanes([t[i : i + self.longest] for t in texts for i in range(0, len(t), self.longest)], width)
         inputs = np.concatenate([np.full((1, outputs.shape[1]), END, np.int32), outputs[:-1]])
         inputs = np.where((inputs < 0) | opens, END, inputs)
         h = np.zeros((outputs.shape[1], HIDDEN), np.float32)
@@ -176,7 +177,7 @@ class Trainer:
                 self.p[name][at] -= self.rate * g / np.sqrt(self.squares[name][at])
 
 
-def score(p: Params, texts: list[np.ndarray], width: int = 512, steps: int = 32) -> np.ndarray:
+def score(p: Params, texts: list[np.ndarray], width: int = 512, steps: int = 32, wide: int = 16_384) -> np.ndarray:
     """Natural log probability of each text, its END included."""
     out = np.zeros(len(texts))
     if not texts:
@@ -185,8 +186,11 @@ def score(p: Params, texts: list[np.ndarray], width: int = 512, steps: int = 32)
     inputs = np.concatenate([np.full((1, outputs.shape[1]), END, np.int32), outputs[:-1]])
     inputs = np.where(inputs < 0, END, inputs)
     h = np.zeros((outputs.shape[1], HIDDEN), np.float32)
-    for t in range(0, len(outputs), steps):
-        part = slice(t, t + steps)
+    t = 0
+    while t < len(outputs):
+        # Longer windows as lanes grow few.
+        part = slice(t, t + max(steps, min(512, wide // outputs.shape[1])))
+        t = part.stop
         live = np.flatnonzero((outputs[part] >= 0).any(axis=0))  # lanes that have ended are left out
         if len(live) < outputs.shape[1]:
             inputs, outputs, opens, owner, h = inputs[:, live], outputs[:, live], opens[:, live], owner[:, live], h[live]

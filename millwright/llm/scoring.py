@@ -124,7 +124,16 @@ def train(documents: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
     """The model, and the table of all word counts, written to the shared folder."""
     counts = cut(count(documents, text))
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = counts.orderBy(F.col("n").desc(), "hash").limit(HEAD)
+    # The commonest words by steps of a sixteenth of a power of two: as many whole steps as fit into the head.
+    step = F.floor(F.log2("n") * 16).cast("int")
+    sizes = sorted(((r["step"], r["words"]) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()), reverse=True)
+    total, least = 0, 1 << 30
+    for level, words in sizes:
+        total += words
+        if total > HEAD:
+            break
+        least = level
+    head = counts.where(step >= least)
     end = counts.where(F.col("hash") == int(END_HASH.view(np.int64)))
     model = Model([(r["hash"], r["n"]) for r in head.unionAll(end).distinct().collect()], tokens, types)
     learn(documents, model, text)

@@ -50,8 +50,8 @@ def test_probabilities_sum_to_one_and_state_is_carried():
     assert np.allclose(total, 1, atol=1e-4)
     text = np.array([5, 9, 5, 1, 7, 3, 2, R.END], np.int32)
     whole = R.score(p, [text], steps=100)
-    assert np.allclose(R.score(p, [text], steps=3), whole, rtol=1e-5)
-    many = R.score(p, [text[-3:], text, np.array([R.END], np.int32), text], width=2, steps=3)
+    assert np.allclose(R.score(p, [text], steps=3, wide=0), whole, rtol=1e-5)
+    many = R.score(p, [text[-3:], text, np.array([R.END], np.int32), text], width=2, steps=3, wide=0)
     assert np.allclose(many[[1, 3]], whole, rtol=1e-5)
 
 
