@@ -41,34 +41,34 @@ def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Index:
-    """Unit vectors of the examples as inverted lists, cut into blocks of neighbouring examples with each list's largest weight in each block."""
+    """Unit vectors of the examples as inverted lists, cut into blocks of neighbouring examples, with each term's largest weight in each block."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = 64) -> None:
         self.size, self.block, self.blocks = len(vectors), block, max(1, -(-len(vectors) // block))
         term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)]).astype(np.int64)
         weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
         owner = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
-        order = np.lexsort((owner, term))
-        self.owner, self.weight = owner[order], weight[order]
-        cell = term[order] * self.blocks + self.owner // block
-        self.begin = np.searchsorted(cell, np.arange(terms * self.blocks + 1))
-        self.most = np.zeros(terms * self.blocks)
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(terms, self.blocks)
+        order = np.lexsort((term, owner // block))
+        self.term, self.own, self.weight = term[order], owner[order] % block, weight[order]
+        self.begin = np.searchsorted(owner[order] // block, np.arange(self.blocks + 1))
+        self.most = np.zeros((terms, self.blocks))
+        np.maximum.at(self.most, (self.term, owner[order] // block), self.weight)
+        self.query = np.zeros(terms)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` examples of largest cosine above 0, of equals those with the smaller number."""
+        """The ``k`` examples of largest cosine above 0, of equals those with the smaller number. Blocks are read by their bound, until it falls below the last of the best."""
         bound = weight @ self.most[term] if len(term) else np.zeros(self.blocks)
         best: list[tuple[float, int]] = []
+        self.query[term] = weight
         for b in np.argsort(-bound, kind="stable").tolist():
             if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1][0] - 1e-9):
                 break
-            scores = np.zeros(self.block)
-            for t, w in zip(term.tolist(), weight.tolist(), strict=True):
-                low, high = self.begin[t * self.blocks + b], self.begin[t * self.blocks + b + 1]
-                scores[self.owner[low:high] - b * self.block] += w * self.weight[low:high]
-            best += [(float(scores[i]), i + b * self.block) for i in np.flatnonzero(scores > 0).tolist() if i + b * self.block != without]
+            low, high = self.begin[b], self.begin[b + 1]
+            scores = np.bincount(self.own[low:high], weights=self.query[self.term[low:high]] * self.weight[low:high], minlength=self.block)
+            floor = best[-1][0] - 1e-9 if len(best) == k else 0.0
+            best += [(float(scores[i]), i + b * self.block) for i in np.flatnonzero((scores > 0) & (scores >= floor)).tolist() if i + b * self.block != without]
             best = sorted(best, key=lambda x: (-round(x[0], 12), x[1]))[:k]
+        self.query[term] = 0
         return best
 
 
@@ -134,34 +134,50 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return tuple(float(b) for b in beta)
 
 
-def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", examples: int = 3000, terms: int = 4096, least_z: float = 4.5, k: int = 15) -> Model:
+def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", examples: int = 2000, terms: int = 4096, least_z: float = 4.5, k: int = 15) -> Model:
     """Learn from ``labels`` (doc_id and ``label``, null ones left out, of repeated ids the larger) and ``documents`` (doc_id, text)."""
     tune(documents.sparkSession)
     labelled = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("_y"))
     sizes = {r["_y"]: r["n"] for r in labelled.groupBy("_y").agg(F.count("*").alias("n")).collect()}
-    # The two samples are of fixed size, so they may be broadcast.
+    # The two samples are of fixed size, so they may be broadcast. Copies would count chance terms as if they were many texts.
     sample = [labelled.where(F.col("_y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples) for y in (1, 0)]
-    chosen = documents.select("doc_id", text).join(F.broadcast(sample[0].unionAll(sample[1])), "doc_id")
+    drawn = documents.select("doc_id", text).join(F.broadcast(sample[0].unionAll(sample[1])), "doc_id")
+    distinct = drawn.groupBy(F.xxhash64(text).alias("_k")).agg(F.max(F.struct("_y", "doc_id")).alias("r")).select("_k", "r.*")
+    ids = cut(distinct.select(F.col("doc_id").cast("bigint"), "_y", "_k"))
+    chosen = documents.select(F.col("doc_id").cast("bigint"), text).join(F.broadcast(ids), "doc_id").where(F.xxhash64(text) == F.col("_k")).select("doc_id", text, "_y")
+
+    def presence(batches):
+        """Terms with the numbers of texts, and of labelled texts, that hold them."""
+        held, size = [], 0
+
+        def out():
+            term, label_ = (np.concatenate(x) for x in zip(*held, strict=True))
+            values, back = np.unique(term, return_inverse=True)
+            n, p = np.bincount(back), np.bincount(back, weights=label_).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n, pa.int64()), pa.array(p)], ["term", "n", "p"])
 
-    def extract(batches):
         for batch in batches:
-            rows = []
-            for low, high, data, offsets in W.texts(batch.column(1)):
+            y = batch.column(2).to_numpy()
+            for low, _, data, offsets in W.texts(batch.column(1)):
                 h, doc = _terms(data, offsets)
-                order = np.argsort(doc, kind="stable")
-                cuts, h = np.searchsorted(doc[order], np.arange(high - low + 1)), h[order].view(np.int64)
-                rows += [h[cuts[d] : cuts[d + 1]] for d in range(high - low)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "_y", "terms"])
-
-    taken = chosen.select(F.col("doc_id").cast("bigint"), text, "_y").mapInArrow(extract, "doc_id bigint, _y int, terms array<bigint>")
-    # Copies would count chance terms as if they were many texts.
-    taken = cut(taken.withColumn("_k", F.xxhash64("terms")).groupBy("_k").agg(F.max_by(F.struct("doc_id", "_y", "terms"), F.struct("_y", "doc_id")).alias("r")).select("r.*"))
-    n, positive = taken.agg(F.count("*"), F.coalesce(F.sum("_y"), F.lit(0))).first()
+                order = np.lexsort((h, doc))
+                h, doc = h[order], doc[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+                held.append((h[new], y[low + doc[new]]))
+                size += int(new.sum())
+            if size > 2_000_000:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
+
+    n, positive = ids.agg(F.count("*"), F.coalesce(F.sum("_y"), F.lit(0))).first()
     share = positive / max(1, n)
-    spread = F.sqrt(F.col("n") * F.lit(max(share * (1 - share), 1e-9)) * (1 - F.col("n") / F.lit(n + 1)))
+    spread = F.sqrt(F.col("n") * F.lit(max(share * (1 - share), 1e-9)) * F.greatest(1 - F.col("n") / F.lit(n + 1), F.lit(1e-9)))
     off = F.col("p") - F.col("n") * F.lit(share)
     ranked = (
-        taken.select("_y", F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("_y").alias("p"))
+        chosen.mapInArrow(presence, "term bigint, n bigint, p bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
         .withColumn("z", F.signum(off) * F.greatest(F.abs(off) - 0.5, F.lit(0.0)) / spread).where(F.abs("z") >= least_z)
     )
     hashes = np.sort(np.array([r[0] for r in ranked.orderBy(F.abs("z").desc(), "term").limit(terms).select("term").collect()], np.int64).view(np.uint64))
@@ -176,10 +192,17 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
 
     df = summed(documents.select(text), count, (len(hashes) + 1,), np.int64)
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    kept = taken.select("doc_id", "_y", F.filter("terms", lambda t: F.array_contains(F.lit(hashes.view(np.int64).tolist()), t)).alias("terms")) if len(hashes) else taken.limit(0)
-    rows = sorted((r["doc_id"], r["_y"], r["terms"]) for r in kept.collect())
+
+    def restrict(batches):
+        for batch in batches:
+            held = [np.zeros(0, np.int64)] * batch.num_rows
+            for row, numbers in _known(hashes, batch.column(1)):
+                held[row] = numbers
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(held, pa.list_(pa.int64()))], ["doc_id", "_y", "terms"])
+
+    rows = sorted((r["doc_id"], r["_y"], r["terms"]) for r in chosen.mapInArrow(restrict, "doc_id bigint, _y int, terms array<bigint>").collect())
     model = Model(hashes, idf, Index([], 1), [r[0] for r in rows], np.array([r[1] for r in rows], np.int64), (0.0, 0.0, 0.0), k)
-    vectors = [model.vector(np.searchsorted(hashes, np.array(r[2], np.int64).view(np.uint64))) for r in rows]
+    vectors = [model.vector(np.array(r[2], np.int64)) for r in rows]
     model.index = Index(vectors, max(1, len(hashes)))
     votes = np.array([model.vote(*v, without=i)[:2] for i, v in enumerate(vectors)]).reshape(-1, 2)
     weight = np.array([sizes.get(y, 1) for y in (0, 1)], float)[model.labels] / np.maximum(1, np.bincount(model.labels, minlength=2))[model.labels]
