@@ -28,6 +28,11 @@ def beside(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame
     return step(docs.withColumnsRenamed(others)).select(*(F.col(others.get(c, c)).alias(c) for c in docs.columns))
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars``, where present, as the length of the text."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is determined. A null or letterless text has none. Learns from the texts with a known ``lang``."""
     model = language.train(docs)
@@ -44,15 +49,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of which a twentieth or more of the words are benchmark passages."""
+    """Drops documents of which a twentieth or more of the words are benchmark passages, and cuts passages out of all others; ``n_chars`` follows."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return beside(docs, lambda own: decontaminate.contamination(own, benchmark).where(~decontaminate.contaminated()))
+    return counted(beside(docs, lambda own: decontaminate.without_passages(own, benchmark)))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every span of personal data by its kind; ``n_chars``, where present, follows the text."""
-    masked = beside(docs, lambda own: pii.find(own).withColumn("text", pii.masked("text")))
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
+    return counted(beside(docs, lambda own: pii.find(own).withColumn("text", pii.masked("text"))))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

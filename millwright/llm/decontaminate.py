@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from millwright.llm import words as W
 from millwright.llm.sums import tune
+from millwright.session import cut
 
 #: Words: letters, digits and all beyond ASCII; everything is lower-cased first.
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -229,6 +231,47 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
+def removed(found: DataFrame, text: str = "text") -> DataFrame:
+    """What ``contamination`` returned, with the words of ``hit_runs`` and all between them cut out of ``text``."""
+    at, runs_at = found.columns.index(text), found.columns.index("hit_runs")
+
+    def task(batches):
+        for batch in batches:
+            runs = batch.column(runs_at).to_pylist()
+            if any(runs):
+                column, own = batch.column(at), batch.column(at).to_pylist()
+                for low, high, data, offsets in W.texts(column):
+                    if not any(runs[low:high]):
+                        continue
+                    starts, ends, first = W.spans(data, offsets, W.ALNUM)
+                    for d in (d for d in range(high - low) if runs[low + d]):
+                        base, left, parts = int(first[d]), int(offsets[d]), []
+                        for r in runs[low + d]:
+                            parts.append(data[left : starts[base + r["start"]]])
+                            left = int(ends[base + r["end"] - 1])
+                        own[low + d] = np.concatenate([*parts, data[left : offsets[d + 1]]]).tobytes().decode()
+                batch = batch.set_column(at, text, pa.array(own, column.type))
+            yield batch
+
+    return found.mapInArrow(task, found.schema)
+
+
+def without_passages(documents: DataFrame, benchmark: DataFrame, window: int = 13, text: str = "text", shard_words: int = 2_000_000) -> DataFrame:
+    """``documents`` that are not ``contaminated``, every benchmark passage cut out of their texts.
+
+    What stood left and right of a passage may form another one, so texts that were cut are read again until none has a hit;
+    each time they lose words, so this ends. Only they are written in between, which also keeps Python workers of several steps from being alive at once.
+    """
+    found = contamination(documents, benchmark, window, text, shard_words).where(~contaminated())
+    clean = [found.where(n_hit() == 0)]
+    hit = cut(found.where(n_hit() > 0))
+    while not hit.isEmpty():
+        found = cut(contamination(cut(removed(hit, text)), benchmark, window, text, shard_words))
+        clean.append(found.where(n_hit() == 0))
+        hit = found.where(n_hit() > 0)
+    return reduce(DataFrame.unionByName, clean).drop("n_words", "hit_runs", "hit_items")
+
+
 def without_hits(text: str, runs: list[tuple[int, int]]) -> str:
     """A text without the hit words, as spans of words from ``contamination``."""
     bounds = [m.span() for m in re.finditer(WORD, text)]

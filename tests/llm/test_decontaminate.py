@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from millwright.llm import decontaminate as D
 
 
@@ -71,3 +72,25 @@ def test_empty_tables(spark, docs):
 def test_removal():
     assert D.without_hits("One, two three four.", [(1, 3)]) == "One,  four."
     assert np.array_equal(D._merge([(4, 6), (0, 2), (2, 3)]), [{"start": 0, "end": 3}, {"start": 4, "end": 6}])
+
+
+@pytest.mark.parametrize("shard", [2_000_000, 20])
+def test_passages_are_cut_out_of_documents_that_stay(spark, docs, shard):
+    item, short = " ".join(f"w{i}" for i in range(14)), "Ünder the bridge"
+    tail = " ".join(f"tail{i} text" for i in range(300))
+    texts = [None, "", tail, f"{item} {tail}", f"Über: ({item.upper()}), {tail} ÜNDER the, bridge!", item, f"under the {item} bridge {tail} Ünder {item} the bridge", f"{short} {item}"]
+    benchmark = spark.createDataFrame([(1, item), (2, short)], "item_id bigint, text string")
+    out = D.without_passages(docs(texts), benchmark, shard_words=shard)
+    assert out.columns == docs(texts).columns
+    got = {r.doc_id: r.text for r in out.collect()}
+    # text 6 has a passage inside another one: what is left of the outer joins, and goes too
+    assert got == {0: None, 1: "", 2: tail, 3: f" {tail}", 4: f"Über: (), {tail} !", 6: f"under the  bridge {tail} "}
+
+
+def test_no_passage_reaches_the_encoding(spark, tmp_path):
+    item = " ".join(f"w{i}" for i in range(20))
+    text = f"{item} " + " ".join(f"tail{i} text" for i in range(300))
+    spark.createDataFrame([(1, text, "s", len(text))], "doc_id bigint, text string, hit_runs string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    row = corpus_pipeline.decontaminate_benchmark(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).first()
+    assert (row.text, row.hit_runs, row.n_chars) == (text[len(item) :], "s", len(text) - len(item))
