@@ -48,27 +48,38 @@ class Index:
         term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)]).astype(np.int64)
         weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
         owner = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
-        order = np.lexsort((term, owner // block))
-        self.term, self.own, self.weight = term[order], owner[order] % block, weight[order]
-        self.begin = np.searchsorted(owner[order] // block, np.arange(self.blocks + 1))
+        order = np.lexsort((owner, term))
+        self.owner, self.weight = owner[order], weight[order]
+        cell = term[order] * self.blocks + self.owner // block
+        self.begin = np.searchsorted(cell, np.arange(terms * self.blocks + 1))
         self.most = np.zeros((terms, self.blocks))
-        np.maximum.at(self.most, (self.term, owner[order] // block), self.weight)
-        self.query = np.zeros(terms)
+        np.maximum.at(self.most, (term[order], self.owner // block), self.weight)
+
+    def _scores(self, term: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Cosines with the examples of some blocks, 0 for all others; only the terms' own postings there are read."""
+        cells = (term[:, None] * self.blocks + blocks).ravel()
+        low, count = self.begin[cells], self.begin[cells + 1] - self.begin[cells]
+        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return np.bincount(self.owner[at], weights=np.repeat(np.repeat(weight, len(blocks)), count) * self.weight[at], minlength=self.size)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` examples of largest cosine above 0, of equals those with the smaller number. Blocks are read by their bound, until it falls below the last of the best."""
+        """The ``k`` examples of largest cosine above 0, of equals those with the smaller number. Blocks are read by their bound, more each time, until it falls below the last of the best."""
         bound = weight @ self.most[term] if len(term) else np.zeros(self.blocks)
-        best: list[tuple[float, int]] = []
-        self.query[term] = weight
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1][0] - 1e-9):
-                break
-            low, high = self.begin[b], self.begin[b + 1]
-            scores = np.bincount(self.own[low:high], weights=self.query[self.term[low:high]] * self.weight[low:high], minlength=self.block)
+        order = np.argsort(-bound, kind="stable")
+        order, best, at, step = order[bound[order] > 0], [], 0, 4
+        while at < len(order):
             floor = best[-1][0] - 1e-9 if len(best) == k else 0.0
-            best += [(float(scores[i]), i + b * self.block) for i in np.flatnonzero((scores > 0) & (scores >= floor)).tolist() if i + b * self.block != without]
+            blocks = order[at : at + step]
+            blocks = blocks[bound[blocks] >= floor]
+            if not len(blocks):
+                break
+            scores = self._scores(term, weight, blocks)
+            near = np.flatnonzero((scores > 0) & (scores >= floor))
+            if len(near) > k + 1:
+                near = near[scores[near] >= np.partition(scores[near], -k - 1)[-k - 1] - 1e-9]
+            best += [(float(scores[i]), i) for i in near.tolist() if i != without]
             best = sorted(best, key=lambda x: (-round(x[0], 12), x[1]))[:k]
-        self.query[term] = 0
+            at, step = at + step, 4 * step
         return best
 
 
@@ -134,7 +145,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return tuple(float(b) for b in beta)
 
 
-def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", examples: int = 2000, terms: int = 4096, least_z: float = 4.5, k: int = 15) -> Model:
+def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", examples: int = 3000, terms: int = 4096, least_z: float = 4.5, k: int = 15) -> Model:
     """Learn from ``labels`` (doc_id and ``label``, null ones left out, of repeated ids the larger) and ``documents`` (doc_id, text)."""
     tune(documents.sparkSession)
     labelled = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("_y"))

@@ -76,3 +76,9 @@ def test_temperature_is_of_least_loss():
     net = quality.fit(x, y)
     p = net.probability(x)
     assert np.mean((p > 0.5) == y) > 0.75 and abs(p.mean() - y.mean()) < 0.08
+
+
+def test_three_thousand_examples_of_a_class_are_kept(spark, docs):
+    labels = spark.createDataFrame([(i, int(i < 2600)) for i in range(2800)], "doc_id bigint, toxic int")
+    model = toxicity.train(docs([f"{'vile' if i < 2600 else 'calm'} creature number {i}" for i in range(2800)]), labels)
+    assert model.labels.sum() == 2600
