@@ -170,7 +170,10 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", text:
                 x = _pooled(vectors, batch.column(1))
                 yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    rows = documents.select("doc_id", text).join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("bigint"), text, "_y")
+    # One row of each id, the text of the least hash, before any is pooled: rows are bounded as ids are.
+    drawn = documents.select("doc_id", text).join(F.broadcast(chosen), "doc_id")
+    one = drawn.groupBy("doc_id", "_y").agg(F.min(F.struct(F.xxhash64(text).alias("_k"), F.col(text).alias("_t"))).alias("r"))
+    rows = one.select(F.col("doc_id").cast("bigint"), F.col("r._t").alias(text), "_y")
     rows = sorted((r["doc_id"], r["y"], r["x"]) for r in rows.mapInArrow(pool, "doc_id bigint, y double, x array<double>").collect())
     y = np.array([r[1] for r in rows])
     if not len(rows):

@@ -152,10 +152,11 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
     sizes = {r["_y"]: r["n"] for r in labelled.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     # The two samples are of fixed size, so they may be broadcast. Copies would count chance terms as if they were many texts.
     sample = [labelled.where(F.col("_y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples) for y in (1, 0)]
+    # One row of each id, the text of the least hash, and then one id of each text: rows are bounded as ids are.
     drawn = documents.select("doc_id", text).join(F.broadcast(sample[0].unionAll(sample[1])), "doc_id")
-    distinct = drawn.groupBy(F.xxhash64(text).alias("_k")).agg(F.max(F.struct("_y", "doc_id")).alias("r")).select("_k", "r.*")
-    ids = cut(distinct.select(F.col("doc_id").cast("bigint"), "_y", "_k"))
-    chosen = documents.select(F.col("doc_id").cast("bigint"), text).join(F.broadcast(ids), "doc_id").where(F.xxhash64(text) == F.col("_k")).select("doc_id", text, "_y")
+    one = drawn.groupBy("doc_id", "_y").agg(F.min(F.struct(F.xxhash64(text).alias("_k"), F.col(text).alias("_t"))).alias("r")).select("doc_id", "_y", "r.*")
+    distinct = one.groupBy("_k").agg(F.max(F.struct("_y", "doc_id", "_t")).alias("r"))
+    chosen = cut(distinct.select(F.col("r.doc_id").cast("bigint").alias("doc_id"), F.col("r._t").alias(text), "r._y"))
 
     def presence(batches):
         """Terms with the numbers of texts, and of labelled texts, that hold them."""
@@ -183,7 +184,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
         if held:
             yield out()
 
-    n, positive = ids.agg(F.count("*"), F.coalesce(F.sum("_y"), F.lit(0))).first()
+    n, positive = chosen.agg(F.count("*"), F.coalesce(F.sum("_y"), F.lit(0))).first()
     share = positive / max(1, n)
     spread = F.sqrt(F.col("n") * F.lit(max(share * (1 - share), 1e-9)) * F.greatest(1 - F.col("n") / F.lit(n + 1), F.lit(1e-9)))
     off = F.col("p") - F.col("n") * F.lit(share)

@@ -82,3 +82,15 @@ def test_three_thousand_examples_of_a_class_are_kept(spark, docs):
     labels = spark.createDataFrame([(i, int(i < 2600)) for i in range(2800)], "doc_id bigint, toxic int")
     model = toxicity.train(docs([f"{'vile' if i < 2600 else 'calm'} creature number {i}" for i in range(2800)]), labels)
     assert model.labels.sum() == 2600
+
+
+def test_repeated_rows_of_an_id_are_one_example(spark, docs, monkeypatch):
+    documents, labels = labelled(spark, docs)
+    more = [(i, f"other vile{i % 3} words {k % 20}") for i in (5, 70) for k in range(40)] + [(61, "you vile1 creature number 1")] * 30
+    documents = documents.unionByName(spark.createDataFrame(more, "doc_id bigint, text string"), allowMissingColumns=True)
+    ids = toxicity.train(documents, labels, least_z=3.0).ids
+    assert len(ids) == len(set(ids)) and 95 <= len(ids) <= 100
+    seen, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y, **more: seen.append(len(x)) or fit(x, y, **more))
+    quality.train(documents, labels)
+    assert seen == [100]
