@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millwright.llm import decontaminate, jaccard, language, pieces, pii, quality, rules, scoring, toxicity, warc
+from millwright.llm import decontaminate, jaccard, language, merkle, pieces, pii, quality, rules, scoring, toxicity, warc
 
 #: The tokenizer's file, a parameter of the queries that use it.
 PIECES = os.environ.get("PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -144,3 +145,46 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.held_out("doc_id", 5, 0)
     model = toxicity.train(documents, table(spark, sf_dir, "labels").where(~held_out))
     return toxicity.score(documents.withColumn("held_out", held_out), model).drop("text", "neighbours")
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
+
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+# The polynomial of CRC-32, bit by bit over the bytes of the id.
+_CRC = """xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+      lambda i: [ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+      lambda a, x: xor(xor(a, x) >> 1, CASE WHEN xor(a, x) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
+_BEFORE, _AFTER = (" || ".join(_FIELD.format(c) for c in part) for part in (("doc_id", "source", "lang"), ("text",)))
+SQL["op13_merkle"] = f"""
+WITH RECURSIVE leafs AS (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+         sha256({_BEFORE} || {_FIELD.format("n_chars")} || {_AFTER}) AS leaf,
+         sha256({_BEFORE} || {_FIELD.format("(n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END)")} || {_AFTER}) AS shown
+  FROM (SELECT *, {_CRC} AS crc FROM documents)),
+lower_node(lang, l, i, n, h) AS (
+  SELECT lang, 0, i, n, leaf FROM leafs
+  UNION ALL SELECT lang, l + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM lower_node WHERE n > 1 GROUP BY lang, l, n, i // 2),
+root_of AS (SELECT lang, l AS top, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM lower_node WHERE n = 1),
+upper_node(l, i, n, h) AS (
+  SELECT 0, i, n, h FROM root_of
+  UNION ALL SELECT l + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM upper_node WHERE n > 1 GROUP BY l, n, i // 2),
+climb(doc_id, lang, at, l, i, s, f) AS (
+  SELECT doc_id, lang, i, 0, i, '', shown FROM leafs
+  UNION ALL
+  SELECT c.doc_id, c.lang, c.at, c.l + 1, c.i // 2, c.s || coalesce(o.h, ''),
+         sha256(CASE WHEN c.i % 2 = 1 THEN coalesce(o.h, '') || c.f ELSE c.f || coalesce(o.h, '') END)
+  FROM climb c JOIN root_of r ON r.lang IS NOT DISTINCT FROM c.lang AND c.l < r.top
+  LEFT JOIN lower_node o ON o.lang IS NOT DISTINCT FROM c.lang AND o.l = c.l AND o.i = xor(c.i, 1)),
+ascent(lang, at, l, i, s, f) AS (
+  SELECT c.lang, c.at, 0, r.i, c.s, c.f FROM climb c JOIN root_of r ON r.lang IS NOT DISTINCT FROM c.lang AND c.l = r.top
+  UNION ALL
+  SELECT a.lang, a.at, a.l + 1, a.i // 2, a.s || coalesce(o.h, ''),
+         sha256(CASE WHEN a.i % 2 = 1 THEN coalesce(o.h, '') || a.f ELSE a.f || coalesce(o.h, '') END)
+  FROM ascent a LEFT JOIN upper_node o ON o.l = a.l AND o.i = xor(a.i, 1) WHERE a.l < (SELECT max(l) FROM upper_node))
+SELECT d.doc_id, d.leaf, r.h AS subroot, u.h AS root, sha256(a.s) AS proof_sha256, a.f AS folded_root, a.f = u.h AS verified
+FROM leafs d JOIN root_of r ON r.lang IS NOT DISTINCT FROM d.lang
+JOIN ascent a ON a.lang IS NOT DISTINCT FROM d.lang AND a.at = d.i AND a.l = (SELECT max(l) FROM upper_node)
+CROSS JOIN (SELECT h FROM upper_node WHERE n = 1) u"""
