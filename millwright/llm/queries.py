@@ -171,20 +171,20 @@ root_of AS (SELECT lang, l AS top, h, row_number() OVER (ORDER BY lang NULLS FIR
 upper_node(l, i, n, h) AS (
   SELECT 0, i, n, h FROM root_of
   UNION ALL SELECT l + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM upper_node WHERE n > 1 GROUP BY l, n, i // 2),
-climb(doc_id, lang, at, l, i, s, f) AS (
+climb(doc_id, lang, pos, l, i, s, f) AS (
   SELECT doc_id, lang, i, 0, i, '', shown FROM leafs
   UNION ALL
-  SELECT c.doc_id, c.lang, c.at, c.l + 1, c.i // 2, c.s || coalesce(o.h, ''),
+  SELECT c.doc_id, c.lang, c.pos, c.l + 1, c.i // 2, c.s || coalesce(o.h, ''),
          sha256(CASE WHEN c.i % 2 = 1 THEN coalesce(o.h, '') || c.f ELSE c.f || coalesce(o.h, '') END)
   FROM climb c JOIN root_of r ON r.lang IS NOT DISTINCT FROM c.lang AND c.l < r.top
   LEFT JOIN lower_node o ON o.lang IS NOT DISTINCT FROM c.lang AND o.l = c.l AND o.i = xor(c.i, 1)),
-ascent(lang, at, l, i, s, f) AS (
-  SELECT c.lang, c.at, 0, r.i, c.s, c.f FROM climb c JOIN root_of r ON r.lang IS NOT DISTINCT FROM c.lang AND c.l = r.top
+ascent(lang, pos, l, i, s, f) AS (
+  SELECT c.lang, c.pos, 0, r.i, c.s, c.f FROM climb c JOIN root_of r ON r.lang IS NOT DISTINCT FROM c.lang AND c.l = r.top
   UNION ALL
-  SELECT a.lang, a.at, a.l + 1, a.i // 2, a.s || coalesce(o.h, ''),
+  SELECT a.lang, a.pos, a.l + 1, a.i // 2, a.s || coalesce(o.h, ''),
          sha256(CASE WHEN a.i % 2 = 1 THEN coalesce(o.h, '') || a.f ELSE a.f || coalesce(o.h, '') END)
   FROM ascent a LEFT JOIN upper_node o ON o.l = a.l AND o.i = xor(a.i, 1) WHERE a.l < (SELECT max(l) FROM upper_node))
 SELECT d.doc_id, d.leaf, r.h AS subroot, u.h AS root, sha256(a.s) AS proof_sha256, a.f AS folded_root, a.f = u.h AS verified
 FROM leafs d JOIN root_of r ON r.lang IS NOT DISTINCT FROM d.lang
-JOIN ascent a ON a.lang IS NOT DISTINCT FROM d.lang AND a.at = d.i AND a.l = (SELECT max(l) FROM upper_node)
+JOIN ascent a ON a.lang IS NOT DISTINCT FROM d.lang AND a.pos = d.i AND a.l = (SELECT max(l) FROM upper_node)
 CROSS JOIN (SELECT h FROM upper_node WHERE n = 1) u"""
