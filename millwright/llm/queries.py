@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import decontaminate, jaccard, language, merkle, pieces, pii, quality, rules, scoring, toxicity, warc
+from millwright.llm import decontaminate, htmltext, jaccard, language, lexical, merkle, pieces, pii, quality, rules, scoring, toxicity, warc
 
 #: The tokenizer's file, a parameter of the queries that use it.
 PIECES = os.environ.get("PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -188,3 +188,47 @@ SELECT d.doc_id, d.leaf, r.h AS subroot, u.h AS root, sha256(a.s) AS proof_sha25
 FROM leafs d JOIN root_of r ON r.lang IS NOT DISTINCT FROM d.lang
 JOIN ascent a ON a.lang IS NOT DISTINCT FROM d.lang AND a.pos = d.i AND a.l = (SELECT max(l) FROM upper_node)
 CROSS JOIN (SELECT h FROM upper_node WHERE n = 1) u"""
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    indexed = lexical.index(table(spark, sf_dir, "documents"))
+    return lexical.search(indexed, lexical.query_terms(table(spark, sf_dir, "benchmark")))
+
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+SQL["op12_lexical_search"] = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM doc WHERE len(w) > 0),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM doc) GROUP BY r, term),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), total),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+  SELECT a.item_id, d.doc_id, d.r, CAST(sum(g.weight * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (10 + (90 * len(d.w) * t.n_docs) // t.n_terms)))) AS BIGINT) AS score
+  FROM asked a JOIN weighed g USING (term) JOIN held h USING (term) JOIN doc d ON d.r = h.r, total t
+  GROUP BY a.item_id, d.doc_id, d.r)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scored WHERE score > 0)
+WHERE rank <= 10"""
+
+
+@query
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.train(pages)).select("page_id", "url", "text", "n_chars")
+
+
+# Says it for pages whose main text is one article, without nested parts, and of the references found there.
+SQL["op11_html_extraction"] = r"""
+WITH inside AS (
+  SELECT page_id, url, regexp_extract(regexp_replace(coalesce(html, ''), '<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'gs'),
+         '<article>(.*)</article>', 1, 's') AS t FROM pages),
+stripped AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '</?(p|h1|br|div|ul|li)[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g') AS t FROM inside),
+spaced AS (
+  SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;?', '&', 'g'),
+         '[\s\x{00A0}]+', ' ', 'g')) AS text FROM stripped)
+SELECT page_id, url, text, length(text) AS n_chars FROM spaced"""
