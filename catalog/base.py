@@ -7,7 +7,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.operators.ordered import SLICE_ROWS_SETTING
 from millwright.sources import telemetry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,7 +14,6 @@ SQL: dict[str, str] = {}
 
 # Fixed value: the generated events are minutes apart, so checks use half-hour buckets and gaps.
 HALF_HOUR = 1_800_000
-CHECK_SLICE_ROWS = 50
 # Queries named ..._sliced go down to milliseconds.
 DEEP_SLICE_ROWS = 1
 
@@ -25,8 +23,6 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        # The given tables are small: with small slices each machine has many, as on large data.
-        spark.conf.set(SLICE_ROWS_SETTING, str(CHECK_SLICE_ROWS))
         self.spark, self.sf_dir = spark, sf_dir
 
     def read(self, name: str) -> DataFrame:

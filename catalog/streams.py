@@ -11,7 +11,7 @@ from millwright.schemas import EXECUTION, FLAT
 from millwright.session import new_path
 from millwright.sources import tables, topic
 from millwright.sources.telemetry import messages_from_events, samples_from_events
-from millwright.streaming import counts, sinks, stateful
+from millwright.streaming import carried, counts, sinks, stateful
 
 
 def _events(t: Tables):
@@ -23,7 +23,7 @@ def _samples(t: Tables):
 
 
 def _bounded_samples(t: Tables):
-    """For per-machine state: no micro-batch brings more than a task can hold."""
+    """In micro-batches of bounded size."""
     return samples_from_events(topic.table_stream(t.spark, t.sf_dir, "events", topic.BATCH_BYTES))
 
 
@@ -62,7 +62,48 @@ def kstream_count_session(t: Tables):
 
 @query("stream_session_counts_live", sql('SELECT machine_id, "windowStart", "windowEnd", "count" FROM sessions'))
 def stream_session_counts_live(t: Tables):
-    return stateful.live_sessions(sinks.run_once(stateful.session_counts_live(_bounded_samples(t), HALF_HOUR), "live"))
+    return carried.live_sessions(carried.run_once(_bounded_samples(t), carried.session_counts_live(HALF_HOUR), "live"))
+
+
+@query("stream_session_counts_closed", _SESSION)
+def stream_session_counts_closed(t: Tables):
+    return sinks.run_once(stateful.closed_sessions(_samples(t), HALF_HOUR), "closed")
+
+
+# Where a partition's own time stands at each of its rows, in a topic whose odd partitions lag an hour behind the others.
+_SEEN = """(SELECT *, max("timestamp") OVER (PARTITION BY "partition" ORDER BY "offset") AS seen FROM (
+      SELECT * REPLACE ("timestamp" - "partition" % 2 * 3600000 AS "timestamp") FROM samples))"""
+
+
+def _lagging(t: Tables):
+    return _bounded_samples(t).withColumn("timestamp", F.col("timestamp") - F.col("partition") % 2 * 3_600_000)
+
+
+@query("stream_tumbling_counts_by_partition", sql(f"""
+    SELECT machine_id, w AS "windowStart", w + 60000 AS "windowEnd", count(*) AS "count"
+    FROM (SELECT *, "timestamp" - "timestamp" % 60000 AS w, max(seen) OVER (PARTITION BY "partition") AS final FROM {_SEEN})
+    WHERE w + 120000 > seen GROUP BY machine_id, "partition", w, final HAVING w + 120000 <= final"""))
+def stream_tumbling_counts_by_partition(t: Tables):
+    return carried.run_once(_lagging(t), carried.window_counts(), "by-partition")
+
+
+@query("stream_hopping_counts_by_partition", sql(f"""
+    SELECT machine_id, w AS "windowStart", w + 300000 AS "windowEnd", count(*) AS "count"
+    FROM (SELECT *, unnest(generate_series("timestamp" - "timestamp" % 60000 - 240000, "timestamp" - "timestamp" % 60000, 60000)) AS w,
+      max(seen) OVER (PARTITION BY "partition") AS final FROM {_SEEN})
+    WHERE w + 360000 > seen GROUP BY machine_id, "partition", w, final HAVING w + 360000 <= final"""))
+def stream_hopping_counts_by_partition(t: Tables):
+    return carried.run_once(_lagging(t), carried.window_counts(300_000, 60_000), "hopping-by-partition")
+
+
+@query("stream_session_counts_by_partition", sql(f"""
+    SELECT machine_id, min("timestamp") AS "windowStart", max("timestamp") AS "windowEnd", count(*) AS "count"
+    FROM (SELECT *, sum(o) OVER (PARTITION BY "partition", machine_id ORDER BY "timestamp", "offset") AS g FROM (
+      SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER (PARTITION BY "partition", machine_id ORDER BY "timestamp", "offset") <= {{gap}} THEN 0 ELSE 1 END AS o
+      FROM (SELECT *, max(seen) OVER (PARTITION BY "partition") AS final FROM {_SEEN}) WHERE "timestamp" >= seen - 60000))
+    GROUP BY "partition", machine_id, g, final HAVING max("timestamp") + {{gap}} + 60000 < final"""))
+def stream_session_counts_by_partition(t: Tables):
+    return carried.run_once(_lagging(t), carried.session_counts(HALF_HOUR), "sessions-by-partition")
 
 
 _HOPPING = sql("""
@@ -93,7 +134,8 @@ def stream_executions(t: Tables):
 
 @query("dedup_consecutive_stream", sql('SELECT machine_id, execution, "timestamp", "offset", "partition" FROM changes'))
 def dedup_consecutive_stream(t: Tables):
-    return sinks.run_once(stateful.dedup_consecutive(changes.execution_events(_bounded_samples(t)), "execution"), "dedup")
+    events = changes.execution_events(_bounded_samples(t))
+    return carried.run_once(events, carried.dedup_consecutive(events.columns, "execution", "string"), "dedup")
 
 
 @query("execution_run_duration_stream", sql("""
@@ -101,7 +143,7 @@ def dedup_consecutive_stream(t: Tables):
     FROM (SELECT *, lead("timestamp") OVER (PARTITION BY machine_id ORDER BY "partition", "offset") AS n FROM changes)
     WHERE n IS NOT NULL"""))
 def execution_run_duration_stream(t: Tables):
-    return sinks.run_once(stateful.execution_run_duration(_bounded_samples(t)), "runs")
+    return carried.run_once(_bounded_samples(t), carried.execution_run_duration(), "runs")
 
 
 @query("part_completed_events_stream", sql("""
@@ -109,7 +151,7 @@ def execution_run_duration_stream(t: Tables):
       l.contents AS program, l.hash AS program_hash, l."timestamp" AS program_timestamp
     FROM part_changes c ASOF JOIN loads l ON c.machine_id = l.machine_id AND c."offset" >= l."offset" """))
 def part_completed_events_stream(t: Tables):
-    return sinks.run_once(stateful.part_completed_events(_bounded_samples(t)), "parts")
+    return carried.run_once(_bounded_samples(t), carried.part_completed_events(), "parts")
 
 
 @query("execution_with_session_stream", sql("""
@@ -117,7 +159,7 @@ def part_completed_events_stream(t: Tables):
     FROM changes c JOIN sessions s ON s.machine_id = c.machine_id
       AND c."timestamp" BETWEEN s."windowStart" AND s."windowEnd" """))
 def execution_with_session_stream(t: Tables):
-    return sinks.run_once(stateful.execution_with_session(_bounded_samples(t), HALF_HOUR), "tagged")
+    return carried.run_once(_bounded_samples(t), carried.execution_with_session(HALF_HOUR), "tagged")
 
 
 # ---- sources and sinks
@@ -305,20 +347,30 @@ def materialize_machine_counts(t: Tables):
     return tables.materialize(periods.activity_periods_dense(t.samples))
 
 
-@query("event_time_repaired", sql("""
+_REPAIRED = sql("""
     SELECT "partition", "offset", coalesce("timestamp", seen) AS "timestamp" FROM (
       SELECT "partition", "offset", "timestamp", max("timestamp") OVER (PARTITION BY "partition" ORDER BY "offset") AS seen
-      FROM (SELECT "partition", "offset", CASE WHEN sequence <> 7 THEN "timestamp" END AS "timestamp" FROM samples))"""))
+      FROM (SELECT "partition", "offset", CASE WHEN sequence <> 7 THEN "timestamp" END AS "timestamp" FROM samples))""")
+
+
+def _broken(samples):
+    return samples.withColumn("timestamp", F.when(F.col("sequence") == 7, -F.col("timestamp")).otherwise(F.col("timestamp")))
+
+
+@query("event_time_repaired", _REPAIRED)
 def event_time_repaired(t: Tables):
-    broken = F.when(F.col("sequence") == 7, -F.col("timestamp")).otherwise(F.col("timestamp"))
-    repaired = ingest.repair_event_time(t.samples.withColumn("timestamp", broken))
-    return repaired.select("partition", "offset", "timestamp")
+    return ingest.repair_event_time(_broken(t.samples)).select("partition", "offset", "timestamp")
+
+
+@query("event_time_repaired_stream", _REPAIRED)
+def event_time_repaired_stream(t: Tables):
+    columns = ("partition", "offset", "timestamp")
+    return carried.run_once(_broken(_bounded_samples(t)), carried.repaired_event_time(columns), "repaired")
 
 
 @query("event_time_invalid", sql('SELECT "partition", "offset" FROM samples WHERE sequence = 7'))
 def event_time_invalid(t: Tables):
-    broken = F.when(F.col("sequence") == 7, -F.col("timestamp")).otherwise(F.col("timestamp"))
-    return ingest.split_by_event_time(t.samples.withColumn("timestamp", broken))[1].select("partition", "offset")
+    return ingest.split_by_event_time(_broken(t.samples))[1].select("partition", "offset")
 
 
 @query("console_watch", sql("""

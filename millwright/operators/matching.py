@@ -107,19 +107,20 @@ def _newest(loads: DataFrame, key: str) -> DataFrame:
     )
 
 
-def part_completed_events(samples: DataFrame, rows: int | None = None) -> DataFrame:
-    """Changes of the part counter joined with the machine's program at that point of the stream.
-
-    A program in the same record counts as loaded; changes before the first program are dropped.
-    """
+def counts_and_loads(samples: DataFrame) -> DataFrame:
+    """Part counts and program loads in one table; ``_kind`` puts a load before a count of its own record."""
     counts = part_counts(samples).withColumn("_kind", F.lit(1))
     loads = samples.filter(present("program")).select(
         "machine_id", "timestamp", "offset", "partition", "program", F.lit(0).alias("_kind")
     )
-    both = counts.unionByName(loads, allowMissingColumns=True)
+    return counts.unionByName(loads, allowMissingColumns=True)
+
+
+def completed_parts(sliced: DataFrame, wanted: Column) -> DataFrame:
+    """Changes of the part counter among the ``wanted`` rows of sliced ``counts_and_loads``, with the program loaded at that point."""
     is_count = F.col("_kind") == 1
     walked = over_slices(
-        slice_by_offset(both, rows),
+        sliced,
         ("partition", "offset", "_kind"),
         carry_before={
             "_loaded": F.when(~is_count, F.struct("timestamp", "program")),
@@ -127,7 +128,8 @@ def part_completed_events(samples: DataFrame, rows: int | None = None) -> DataFr
         },
     )
     return walked.filter(
-        is_count
+        wanted
+        & is_count
         & (F.col("_last").isNull() | (F.col("part_count") != F.col("_last")))
         & F.col("_loaded").isNotNull()
     ).select(
@@ -142,6 +144,14 @@ def part_completed_events(samples: DataFrame, rows: int | None = None) -> DataFr
     )
 
 
+def part_completed_events(samples: DataFrame, rows: int | None = None) -> DataFrame:
+    """Changes of the part counter joined with the machine's program at that point of the stream.
+
+    A program in the same record counts as loaded; changes before the first program are dropped.
+    """
+    return completed_parts(slice_by_offset(counts_and_loads(samples), rows), F.lit(True))
+
+
 def session_lookup(
     events: DataFrame,
     sessions_: DataFrame,

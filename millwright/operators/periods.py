@@ -8,6 +8,7 @@ so plain windows per machine are used from there on.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +25,8 @@ TUMBLING_MS = 60_000
 HOUR_MS = 3_600_000
 
 
-def per_machine(*order: str):
-    return Window.partitionBy("machine_id").orderBy(*order)
+def per_machine(*order: str, keys: Sequence[str] = ("machine_id",)):
+    return Window.partitionBy(*keys).orderBy(*order)
 
 
 def count_per_bucket(samples: DataFrame, width_ms: int = BUCKET_MS) -> DataFrame:
@@ -35,9 +36,9 @@ def count_per_bucket(samples: DataFrame, width_ms: int = BUCKET_MS) -> DataFrame
     )
 
 
-def island_starts(df: DataFrame, order: str, starts: Column) -> DataFrame:
+def island_starts(df: DataFrame, order: str, starts: Column, keys: Sequence[str] = ("machine_id",)) -> DataFrame:
     """Number the islands of each machine in ``g``; a row where ``starts`` holds opens one."""
-    return df.withColumn("g", F.sum(F.when(starts, 1).otherwise(0)).over(per_machine(order)))
+    return df.withColumn("g", F.sum(F.when(starts, 1).otherwise(0)).over(per_machine(order, keys=keys)))
 
 
 def bucket_islands(samples: DataFrame, width_ms: int = BUCKET_MS) -> DataFrame:
@@ -70,23 +71,23 @@ def activity_periods(samples: DataFrame, width_ms: int = BUCKET_MS) -> DataFrame
     )
 
 
-def sessions(samples: DataFrame, gap_ms: int = SESSION_GAP_MS) -> DataFrame:
-    """Sessions by inactivity gap: machine_id, windowStart, windowEnd, count.
+def sessions(samples: DataFrame, gap_ms: int = SESSION_GAP_MS, keys: Sequence[str] = ("machine_id",)) -> DataFrame:
+    """Sessions by inactivity gap: the keys, windowStart, windowEnd, count.
 
     Samples less than a gap apart share a session, so samples are first folded into intervals one
     gap wide; a gap of exactly ``gap_ms`` still joins. windowEnd is the last sample's time.
     """
     folded = (
-        samples.groupBy("machine_id", floor_to(F.col("timestamp"), gap_ms).alias("interval"))
+        samples.groupBy(*keys, floor_to(F.col("timestamp"), gap_ms).alias("interval"))
         .agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high"), F.count("*").alias("n"))
-        .withColumn("before", F.lag("high").over(per_machine("interval")))
+        .withColumn("before", F.lag("high").over(per_machine("interval", keys=keys)))
     )
     opens = F.col("before").isNull() | (F.col("low") - F.col("before") > gap_ms)
     return (
-        island_starts(folded, "interval", opens)
-        .groupBy("machine_id", "g")
+        island_starts(folded, "interval", opens, keys)
+        .groupBy(*keys, "g")
         .agg(F.min("low").alias("windowStart"), F.max("high").alias("windowEnd"), F.sum("n").alias("count"))
-        .select("machine_id", "windowStart", "windowEnd", "count")
+        .select(*keys, "windowStart", "windowEnd", "count")
     )
 
 

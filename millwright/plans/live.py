@@ -15,9 +15,8 @@ from millwright.operators.changes import execution_events
 from millwright.operators.ingest import flatten_all
 from millwright.operators.periods import SESSION_GAP_MS
 from millwright.schemas import FLAT
-from millwright.session import set_streaming
 from millwright.sources.topic import BATCH_BYTES
-from millwright.streaming import counts, sinks, stateful
+from millwright.streaming import carried, counts, sinks
 
 RECORDS = T.StructType([*FLAT, T.StructField("value", T.StringType()), T.StructField("status", T.StringType())])
 
@@ -61,11 +60,10 @@ def start_counts(samples: DataFrame, folder: str, once: bool = False) -> list[St
 
 def start_state(samples: DataFrame, folder: str, gap_ms: int = SESSION_GAP_MS, once: bool = False) -> list[StreamingQuery]:
     """Run durations, completed parts, sessions of state changes and running session counts."""
-    set_streaming(samples.sparkSession)
-    streams = {
-        "runs": stateful.execution_run_duration(samples),
-        "parts": stateful.part_completed_events(samples),
-        "tagged": stateful.execution_with_session(samples, gap_ms),
-        "sessions": stateful.session_counts_live(samples, gap_ms),
+    steps = {
+        "runs": carried.execution_run_duration(),
+        "parts": carried.part_completed_events(),
+        "tagged": carried.execution_with_session(gap_ms),
+        "sessions": carried.session_counts_live(gap_ms),
     }
-    return [_write(stream, folder, name, once) for name, stream in streams.items()]
+    return [carried.start(samples, f"{folder}/{name}", step, once) for name, step in steps.items()]

@@ -1,9 +1,10 @@
-"""Per-machine state along a stream: dedup, run durations, program join, sessions.
+"""Sessions closed by event-time timers, in Spark's keyed state.
 
-A processor gets the rows of one machine in one micro-batch and puts them in stream order; batches
-follow one another as the source delivers them. The source's limit per trigger bounds the rows one
-machine can bring at a time, so every source here has one. Use the batch operators of the same
-names to work through a stored history.
+Each task folds its samples to stretches without a gap before the shuffle, so a hot machine sends stretches, not samples; the
+processor takes them a frame at a time. A machine's state holds its open sessions and one timer, set for the first of them
+that can close. A machine that falls silent is closed by its timer and leaves no state.
+
+Time is the watermark of the whole query here; ``carried.session_counts`` follows each partition's own.
 """
 
 from __future__ import annotations
@@ -15,232 +16,86 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millwright.functions.text import content_hash, present
-from millwright.operators.changes import execution_events
 from millwright.operators.periods import GRACE_MS, SESSION_GAP_MS
 from millwright.session import ship_by_value
 
 ship_by_value(__name__)
 
+SESSION = "machine_id string, windowStart bigint, windowEnd bigint, count bigint"
+
 
-STATE_TYPES = {"string": str, "int": int, "bigint": int, "double": float, "boolean": bool}
+def folded(frames: Iterator[pd.DataFrame], gap_ms: int) -> Iterator[pd.DataFrame]:
+    """Of every frame the stretches of a machine's samples that lie a gap or less apart."""
+    for frame in frames:
+        rows = frame.dropna(subset=["timestamp"]).astype({"timestamp": "int64"}).sort_values(["machine_id", "timestamp"], ignore_index=True)
+        opens = rows["machine_id"].ne(rows["machine_id"].shift()) | (rows["timestamp"].diff() > gap_ms)
+        found = rows.groupby([opens.cumsum().rename("g"), "machine_id"], dropna=False)["timestamp"].agg(["min", "max", "count"]).reset_index()
+        yield found[["machine_id", "min", "max", "count"]].set_axis(["machine_id", "windowStart", "windowEnd", "count"], axis=1)
 
 
-class _Ordered(StatefulProcessor):
-    """Base: hands the machine's new rows, in stream order, to ``walk``."""
+class ClosedSessions(StatefulProcessor):
+    """Emits each session once, when the watermark has passed its end by the gap."""
 
-    state_schema = ""
+    def __init__(self, gap_ms: int) -> None:
+        self.gap_ms = gap_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("state", self.state_schema)
+        self.handle = handle
+        self.state = handle.getValueState("open", "starts array<bigint>, ends array<bigint>, counts array<bigint>, timer bigint")
+
+    def _load(self) -> tuple[list[list[int]], int | None]:
+        if not self.state.exists():
+            return [], None
+        starts, ends, counts, timer = self.state.get()
+        return [[int(a), int(b), int(n)] for a, b, n in zip(starts, ends, counts, strict=True)], int(timer)
+
+    def _store(self, open_: list[list[int]], timer: int | None) -> None:
+        """Keep what is open and wake when the first of it can close; nothing is kept of a machine without open sessions."""
+        due = min((b for _, b, _ in open_), default=None)
+        due = None if due is None else due + self.gap_ms
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(timer)
+        if due is None:
+            self.state.clear()
+            return
+        if timer != due:
+            self.handle.registerTimer(due)
+        self.state.update((*(list(c) for c in zip(*open_, strict=True)), due))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(rows).sort_values(["partition", "offset"], kind="stable", ignore_index=True)
-        before = self._state.get() if self._state.exists() else None
-        out, after = self.walk(key[0], batch, before)
-        if after is not None:
-            self._state.update(after)
-        if len(out):
-            yield out
-
-    def walk(self, machine_id: str, batch: pd.DataFrame, state):
-        """Output rows and the new state, None to keep the old one."""
-        raise NotImplementedError
+        open_, timer = self._load()
+        for frame in rows:
+            open_ = self.joined([*open_, *frame[["windowStart", "windowEnd", "count"]].astype("int64").to_numpy().tolist()])
+        if open_:
+            self._store(open_, timer)
+        yield from ()
+
+    def joined(self, stretches: list[list[int]]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for a, b, n in sorted(stretches):
+            if out and a - out[-1][1] <= self.gap_ms:
+                out[-1] = [out[-1][0], max(out[-1][1], b), out[-1][2] + n]
+            else:
+                out.append([a, b, n])
+        return out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        open_, _ = self._load()
+        now = timerValues.getCurrentWatermarkInMs()
+        closed = [[key[0], *s] for s in open_ if s[1] + self.gap_ms <= now]
+        # The timer that has expired is gone already.
+        self._store([s for s in open_ if s[1] + self.gap_ms > now], None)
+        if closed:
+            yield pd.DataFrame(closed, columns=["machine_id", "windowStart", "windowEnd", "count"])
 
     def close(self) -> None:
         pass
 
 
-def _changed(values: pd.Series, before) -> pd.Series:
-    """Where a value differs from the last non-null value before it; nulls pass."""
-    last = values.ffill().shift(1)
-    if before is not None:
-        last = last.where(last.notna(), before)
-    return values.isna() | last.isna() | (values != last)
-
-
-class Dedup(_Ordered):
-    """Drops values equal to the machine's last one."""
-
-    def __init__(self, value: str, value_type: str, columns: list[str]):
-        self.value, self.columns, self.plain = value, columns, STATE_TYPES[value_type]
-        self.state_schema = f"last {value_type}"
-
-    def walk(self, machine_id, batch, state):
-        values = batch[self.value]
-        kept = batch[_changed(values, state[0] if state else None)]
-        seen = values.dropna()
-        # Pandas holds whole numbers beside nulls as floats, which the state would misread.
-        after = (self.plain(seen.iloc[-1]),) if len(seen) else None
-        return kept[self.columns], after
-
-
-class Runs(_Ordered):
-    """Emits the run that a change of state ends."""
-
-    state_schema = "execution string, timestamp bigint, offset bigint, partition int"
-
-    def walk(self, machine_id, batch, state):
-        starts = batch[_changed(batch["execution"], state[0] if state else None)]
-        fields = ["execution", "timestamp", "offset", "partition"]
-        starts = starts[fields]
-        if state:
-            opened = pd.DataFrame([list(state)], columns=fields)
-            starts = pd.concat([opened, starts], ignore_index=True)
-        if not len(starts):
-            return starts, None
-        done = starts.rename(columns={"timestamp": "start"}).iloc[:-1].copy()
-        done["end"] = starts["timestamp"].to_numpy()[1:]
-        done["duration"] = done["end"] - done["start"]
-        done["machine_id"] = machine_id
-        columns = ["machine_id", "execution", "start", "end", "offset", "partition", "duration"]
-        execution, at, offset, partition = starts.iloc[-1]
-        return done[columns], (execution, int(at), int(offset), int(partition))
-
-
-class PartPrograms(_Ordered):
-    """Changes of the part counter with the program loaded at that point; none before the first."""
-
-    state_schema = "part_count bigint, loaded bigint, program string, hash string"
-
-    def walk(self, machine_id, batch, state):
-        count, loaded, program, digest = state or (None, None, None, None)
-        had_program = batch["program"].notna() & (batch["program"] != "")
-        at = pd.Series(batch.index, index=batch.index).where(had_program).ffill()
-        counted = batch["part_count"].where(batch["part_count"] > 0)
-        changed = counted.notna() & _changed(counted, count)
-        known = at.notna() | (loaded is not None)
-        hit = batch[changed & known]
-        source = at[hit.index]
-        inside = source.notna()
-        rows = source[inside].astype("int64")
-        texts = pd.Series(program, index=hit.index, dtype="object")
-        hashes = pd.Series(digest, index=hit.index, dtype="object")
-        times = pd.Series(loaded, index=hit.index, dtype="object")
-        texts[inside] = batch["program"].to_numpy()[rows]
-        hashes[inside] = batch["hash"].to_numpy()[rows]
-        times[inside] = batch["timestamp"].to_numpy()[rows]
-        out = pd.DataFrame(
-            {
-                "machine_id": machine_id,
-                "timestamp": hit["timestamp"],
-                "offset": hit["offset"],
-                "part_count": hit["part_count"].astype("int64"),
-                "part_count_timestamp": hit["timestamp"],
-                "program": texts,
-                "program_hash": hashes,
-                "program_timestamp": times.astype("int64"),
-            }
-        )
-        seen = counted.dropna()
-        if len(seen):
-            count = int(seen.iloc[-1])
-        if had_program.any():
-            newest = batch[had_program].iloc[-1]
-            loaded, program, digest = int(newest["timestamp"]), newest["program"], newest["hash"]
-        return out, (count, loaded, program, digest)
-
-
-class Sessions(_Ordered):
-    """The machine's sessions that a row can still reach: those that ended within a gap and the grace before its newest.
-
-    Rows may come late: a session is extended at either end, and a row between two sessions makes them one. ``tag`` emits
-    state changes with the start their session has by then, otherwise what became of each session the batch touched.
-    A session that another has taken in is emitted once more with a null count. Rows older than any session that is
-    kept are not counted; they come out as late. ``update`` numbers the machine's batches.
-    """
-
-    state_schema = "starts array<bigint>, ends array<bigint>, counts array<bigint>, execution string, updates bigint"
-
-    def __init__(self, gap_ms: int, tag: bool, grace_ms: int = GRACE_MS):
-        self.gap_ms, self.tag, self.grace_ms = gap_ms, tag, grace_ms
-
-    def walk(self, machine_id, batch, state):
-        starts, ends, counts, execution, updates = state or ([], [], [], None, 0)
-        known = [[int(a), int(b), int(n)] for a, b, n in zip(starts, ends, counts)]
-        times = batch["timestamp"].astype("int64")
-        newest = max([int(times.max()), *(b for _, b, _ in known)])
-        # Without a kept session nothing is known to be missing, so the first rows of a machine are never late.
-        oldest = min((a for a, _, _ in known), default=int(times.min())) - self.gap_ms
-        late = times < min(oldest, newest - self.gap_ms - self.grace_ms)
-        fresh = times[~late].sort_values(ignore_index=True)
-        own = (fresh.diff() > self.gap_ms).cumsum()
-        folded = fresh.groupby(own).agg(["min", "max", "count"]).to_numpy().tolist()
-
-        merged: list[list[int]] = []
-        for a, b, n in sorted([*known, *folded]):
-            if merged and a - merged[-1][1] <= self.gap_ms:
-                merged[-1][1], merged[-1][2] = max(merged[-1][1], b), merged[-1][2] + n
-            else:
-                merged.append([a, b, n])
-        before = {a: (b, n) for a, b, n in known}
-        if self.tag:
-            states = batch["execution"].where(batch["execution"] != "")
-            kept = states.notna() & _changed(states, execution)
-            out = batch[kept][["machine_id", "execution", "timestamp", "offset", "partition"]].copy()
-            at = pd.Series([a for a, _, _ in merged], dtype="int64").searchsorted(times[kept], side="right") - 1
-            out["session"] = [merged[i][0] if i >= 0 and t <= merged[i][1] else -1 for i, t in zip(at, times[kept])]
-            seen = states.dropna()
-            execution = seen.iloc[-1] if len(seen) else execution
-        else:
-            now = {a for a, _, _ in merged}
-            rows = [(machine_id, a, b, n, updates, False) for a, b, n in merged if before.get(a) != (b, n)]
-            rows += [(machine_id, a, b, None, updates, False) for a, (b, _) in before.items() if a not in now]
-            rows += [(machine_id, t, t, 1, updates, True) for t in times[late].tolist()]
-            out = pd.DataFrame(rows, columns=["machine_id", "windowStart", "windowEnd", "count", "update", "late"])
-            out["count"] = out["count"].astype("Int64")
-        reachable = [x for x in merged if x[1] >= newest - self.gap_ms - self.grace_ms]
-        columns = [list(c) for c in zip(*reachable)]
-        return out, (*columns, execution, updates + 1)
-
-
-def _apply(rows: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
-    return rows.groupBy("machine_id").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None"
-    )
-
-
-_EXECUTION = "machine_id string, execution string, timestamp bigint, offset bigint, partition int"
-
-
-def dedup_consecutive(rows: DataFrame, value: str) -> DataFrame:
-    """The stream without rows repeating the machine's last value."""
-    kind = rows.schema[value].dataType.simpleString()
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return _apply(rows, Dedup(value, kind, rows.columns), schema)
-
-
-def execution_run_duration(samples: DataFrame) -> DataFrame:
-    schema = "machine_id string, execution string, start bigint, end bigint, offset bigint, partition int, duration bigint"
-    return _apply(execution_events(samples), Runs(), schema)
-
-
-def part_completed_events(samples: DataFrame) -> DataFrame:
-    schema = (
-        "machine_id string, timestamp bigint, offset bigint, part_count bigint, part_count_timestamp bigint, "
-        "program string, program_hash string, program_timestamp bigint"
+def closed_sessions(samples: DataFrame, gap_ms: int = SESSION_GAP_MS, grace_ms: int = GRACE_MS) -> DataFrame:
+    """machine_id, windowStart, windowEnd, count of every session, once, when no row in time can extend it."""
+    stretches = samples.select("machine_id", "timestamp").mapInPandas(lambda frames: folded(frames, gap_ms), SESSION)
+    timed = stretches.withColumn("ts", F.timestamp_millis("windowEnd")).withWatermark("ts", f"{grace_ms} milliseconds")
+    return timed.groupBy("machine_id").transformWithStateInPandas(
+        statefulProcessor=ClosedSessions(gap_ms), outputStructType=SESSION, outputMode="Append", timeMode="EventTime"
     )
-    wanted = samples.filter((F.col("part_count") > 0) | present("program")).select(
-        "machine_id", "timestamp", "offset", "partition", "part_count", "program",
-        content_hash("program").alias("hash"),
-    )
-    return _apply(wanted, PartPrograms(), schema)
-
-
-def execution_with_session(samples: DataFrame, gap_ms: int = SESSION_GAP_MS, grace_ms: int = GRACE_MS) -> DataFrame:
-    slim = samples.select("machine_id", "execution", "timestamp", "offset", "partition")
-    return _apply(slim, Sessions(gap_ms, tag=True, grace_ms=grace_ms), _EXECUTION + ", session bigint")
-
-
-def session_counts_live(samples: DataFrame, gap_ms: int = SESSION_GAP_MS, grace_ms: int = GRACE_MS) -> DataFrame:
-    """Counts of running sessions after every micro-batch; see ``live_sessions`` for what they come to."""
-    slim = samples.select("machine_id", "timestamp", "offset", "partition")
-    schema = "machine_id string, windowStart bigint, windowEnd bigint, count bigint, update bigint, late boolean"
-    return _apply(slim, Sessions(gap_ms, tag=False, grace_ms=grace_ms), schema)
-
-
-def live_sessions(updates: DataFrame) -> DataFrame:
-    """The sessions by the newest of their updates; those that others have taken in are gone."""
-    newest = F.max_by(F.struct("windowEnd", "count"), "update").alias("u")
-    found = updates.filter(~F.col("late")).groupBy("machine_id", "windowStart").agg(newest)
-    return found.filter(F.col("u.count").isNotNull()).select("machine_id", "windowStart", "u.windowEnd", "u.count")

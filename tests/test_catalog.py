@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from millwright.operators.ordered import SLICE_ROWS_SETTING
 from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -15,6 +16,15 @@ def con():
     return connect(SF_DIR)
 
 
+@pytest.fixture
+def small_slices(spark):
+    """The tables are small: with small slices each machine has many, as on large data."""
+    spark.conf.set(SLICE_ROWS_SETTING, "50")
+    yield
+    spark.conf.unset(SLICE_ROWS_SETTING)
+
+
+@pytest.mark.usefixtures("small_slices")
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)

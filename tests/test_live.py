@@ -8,7 +8,7 @@ from millwright.plans import live
 from millwright.session import new_path
 from millwright.sources import tables, topic
 from millwright.sources.telemetry import messages_from_events
-from millwright.streaming import stateful
+from millwright.streaming import carried
 from tests.conftest import rows
 
 
@@ -37,7 +37,8 @@ def test_topic_to_tables(spark):
     _finish(live.start_state(stream(), folder, once=True))
 
     def result(name):
-        return spark.read.parquet(f"{folder}/{name}/data")
+        found = spark.read.parquet(f"{folder}/{name}/data")
+        return found.drop("batch")
 
     state = changes.execution_events(flat)
     assert rows(tables.read_keyed(spark, f"{folder}/samples/data"), *flat.columns) == rows(flat)
@@ -48,7 +49,7 @@ def test_topic_to_tables(spark):
     assert rows(result("parts")) == rows(matching.part_completed_events(flat))
     deduped = changes.dedup_consecutive(state, "execution")
     assert rows(result("tagged")) == rows(matching.execution_with_session(deduped, flat))
-    assert rows(stateful.live_sessions(result("sessions"))) == rows(periods.sessions(flat))
+    assert rows(carried.live_sessions(result("sessions"))) == rows(periods.sessions(flat))
 
 
 def test_jobs_from_the_command_line(spark):

@@ -6,10 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millwright.operators import changes, ingest, matching, periods
+from millwright.operators import ingest, periods
 from millwright.session import new_path
 from millwright.sources import tables, topic
-from millwright.streaming import counts, sinks, stateful
+from millwright.streaming import counts, sinks
 from tests.conftest import SAMPLE, rows
 
 MIN = 60_000
@@ -49,7 +49,7 @@ def write_files(folder, made, files, start=0):
 @pytest.fixture
 def streamed(spark):
     def make(made, files=5):
-        folder = new_path(spark, "input")
+        folder = new_path(spark, "input").removeprefix("file:")
         write_files(folder, made, files)
         return spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", 1).json(folder), spark.createDataFrame(made, SAMPLE)
 
@@ -100,70 +100,6 @@ def test_a_slow_machine_needs_a_longer_grace(streamed):
     assert short == [("fast",)] and long == [("fast",), ("slow",)]
 
 
-@pytest.mark.parametrize("seed, files", [(4, 1), (5, 6)])
-def test_stateful_streams(streamed, seed, files):
-    stream, batch = streamed(walk(seed), files)
-    events, batch_events = changes.execution_events(stream), changes.execution_events(batch)
-    deduped = changes.dedup_consecutive(batch_events, "execution")
-    assert rows(sinks.run_once(stateful.dedup_consecutive(events, "execution"), "d")) == rows(deduped)
-    assert rows(sinks.run_once(stateful.execution_run_duration(stream), "r")) == rows(
-        changes.execution_run_duration(batch)
-    )
-    assert rows(sinks.run_once(stateful.part_completed_events(stream), "p")) == rows(
-        matching.part_completed_events(batch)
-    )
-    assert rows(sinks.run_once(stateful.execution_with_session(stream), "w")) == rows(
-        matching.execution_with_session(deduped, batch)
-    )
-
-
-def test_dedup_of_numbers_passes_nulls(streamed):
-    stream, batch = streamed(walk(6))
-    slim, fields = stream.select(*SAMPLE.names[:4], "part_count"), (*SAMPLE.names[:4], "part_count")
-    got = sinks.run_once(stateful.dedup_consecutive(slim, "part_count"), "n")
-    assert rows(got, *fields) == rows(changes.dedup_consecutive(batch, "part_count"), *fields)
-
-
-def test_live_session_counts(streamed):
-    stream, batch = streamed(walk(7), files=4)
-    updates = sinks.run_once(stateful.session_counts_live(stream), "live")
-    newest = stateful.live_sessions(updates)
-    assert rows(newest) == rows(periods.sessions(batch))
-    assert updates.count() > newest.count()
-
-
-def test_late_rows_extend_and_join_sessions(streamed):
-    gap, grace = 300_000, 60 * MIN
-    times = [[600_000, 1_600_000], [1_000_000, 590_000], [1_300_000], [50_000_000], [49_990_000, 2_000_000]]
-    made = [_at("m", 10 * i + k, t) for i, batch in enumerate(times) for k, t in enumerate(batch)]
-    stream, _ = streamed(made, files=len(made))  # a row a batch
-    updates = sinks.run_once(stateful.session_counts_live(stream, gap, grace), "late")
-    assert sorted(rows(stateful.live_sessions(updates))) == [("m", 590_000, 600_000, 2), ("m", 1_000_000, 1_600_000, 3), ("m", 49_990_000, 50_000_000, 2)]
-    assert rows(updates.filter("late"), "windowStart") == [(2_000_000,)]
-    joined = [_at("m", i, t) for i, t in enumerate([0, 500_000, 250_000])]
-    updates = sinks.run_once(stateful.session_counts_live(streamed(joined, files=3)[0], gap, grace), "joined")
-    assert rows(stateful.live_sessions(updates)) == [("m", 0, 500_000, 3)]
-    assert rows(updates.filter("count IS NULL"), "windowStart") == [(500_000,)]
-
-
-def test_state_survives_a_restart(spark):
-    made, folder = walk(8), new_path(spark, "restart")
-    half = len(made) // 2
-    path = new_path(spark, "out")
-
-    def run():
-        stream = spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", 1).json(folder)
-        query = sinks.to_files(stateful.execution_run_duration(stream), f"{path}/data", f"{path}/check", once=True)
-        query.awaitTermination()
-
-    write_files(folder, made[:half], 2)
-    run()
-    write_files(folder, made[half:], 2, start=2)
-    run()
-    got = spark.read.parquet(f"{path}/data")
-    assert rows(got) == rows(changes.execution_run_duration(spark.createDataFrame(made, SAMPLE)))
-
-
 def test_keyed_sink_replaces_a_repeated_batch(streamed, spark):
     made = walk(9)
     copies = made + [(*row[:4], "COPY", *row[5:]) for row in made]
