@@ -10,6 +10,7 @@ look of the run alone), which decides the spans, also of runs on which every lab
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 RUN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
-_SPANS = "array<struct<start:int,end:int,text:string,before:string>>"
+_SPAN = "struct<start:int,end:int,text:string,before:string>"
+#: Items of an array that are gone through together, and characters of a text that are kept together.
+BLOCK, CHARACTERS = 128, 4096
 
 # Names that credentials go by, and words beside which numbers are harmless.
 NAMES = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "access_key", "credential", "bearer", "private_key", "auth")
@@ -35,18 +38,53 @@ def _found(text: Column, pattern: str, wanted: Column) -> Column:
     return F.when(wanted, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where a lambda uses it again and again."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _scan(items: Column, state: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """What ``step`` emits over ``items`` in order: it takes state and item and gives the new state and an array of ``kind``.
+
+    An array that grows by one element at a time is copied each time. So a first pass finds the state before every block of
+    ``BLOCK`` items, and a second one goes through each block from there; the work is in proportion to the items.
+    """
+
+    def emitted(part: Column, before: Column) -> Column:
+        first = F.struct(before.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+
+        def one(held: Column, item: Column) -> Column:
+            after, out = step(held["state"], item)
+            return F.struct(after.alias("state"), F.concat(held["out"], out).alias("out"))
+
+        return F.aggregate(part, first, one, lambda held: held["out"])
+
+    def passed(held: Column, part: Column) -> Column:
+        after = F.aggregate(part, F.element_at(held, -1), lambda at, item: step(at, item)[0])
+        return F.concat(held, F.array(after))
+
+    def through(blocks: Column) -> Column:
+        before = F.aggregate(F.slice(blocks, 1, F.size(blocks) - 1), F.array(state), passed)
+        return F.flatten(F.zip_with(blocks, before, emitted))
+
+    def cut_up(whole: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / BLOCK).cast("int"))
+        return F.transform(numbers, lambda k: F.slice(whole, k * BLOCK + 1, BLOCK))
+
+    scanned = _let(items, lambda whole: F.when(F.size(whole) > 0, _let(cut_up(whole), through)))
+    return F.coalesce(scanned, F.array().cast(f"array<{kind}>"))
+
+
 def _placed(text: Column, pattern: str, found: Column) -> Column:
     """The matches with their places in characters, from the lengths of what stands between them."""
-    nothing = F.array().cast(_SPANS)
 
-    def step(held: Column, x: Column) -> Column:
-        start = held["at"] + x["gap"]
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + x["gap"]
         span = F.struct(start.alias("start"), (start + F.length(x["m"])).alias("end"), x["m"].alias("text"), x["before"].alias("before"))
-        return F.struct((start + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"), F.when(x["m"].isNull(), held["out"]).otherwise(F.concat(held["out"], F.array(span))).alias("out"))
+        return start + F.coalesce(F.length(x["m"]), F.lit(0)), F.when(x["m"].isNull(), F.array().cast(f"array<{_SPAN}>")).otherwise(F.array(span))
 
     pairs = F.zip_with(F.split(text, pattern, -1), found, lambda b, m: F.struct(F.length(b).alias("gap"), F.right(b, F.lit(24)).alias("before"), m.alias("m")))
-    first = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, first, step, lambda held: held["out"])).otherwise(nothing)
+    return F.when(F.size(found) > 0, _scan(pairs, F.lit(0), step, _SPAN)).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def _digits(x: Column) -> Column:
@@ -211,8 +249,27 @@ def find(documents: DataFrame, model: tuple[float, dict[str, list[float]]] | Non
     base = [named(k, F.filter(f"_p_{k}", test) if test else F.col(f"_p_{k}")) for k, (_, _, test) in BASE.items()]
     rows = rows.select("*", F.sort_array(F.concat(*base)).alias("base_spans"))
     secret = F.transform(F.filter("_p_secret", _is_secret(model)), _trimmed)
-    free = F.filter(secret, lambda s: ~F.exists("base_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return rows.select(*kept, "base_spans", F.sort_array(F.concat("base_spans", named("secret", free))).alias("spans"))
+    rows = rows.select(*kept, "base_spans", F.sort_array(named("secret", secret)).alias("_secret"))
+    return rows.select(*kept, "base_spans", F.sort_array(F.concat("base_spans", _free("_secret", "base_spans"))).alias("spans"))
+
+
+def _free(spans: str, taken: str) -> Column:
+    """Those of ``spans`` that overlap none of ``taken``: one pass forwards finds what reaches into a span, one backwards what starts in it."""
+    kind = "struct<start:int,kind_order:int,end:int,kind:string,text:string>"
+    nothing = F.array().cast(f"array<{kind}>")
+    is_taken = lambda s: s["kind_order"] < KINDS.index("secret")
+
+    def forwards(reach: Column, s: Column) -> tuple[Column, Column]:
+        kept = is_taken(s) | (s["start"] >= reach)
+        return F.when(is_taken(s), F.greatest(reach, s["end"])).otherwise(reach), F.when(kept, F.array(s)).otherwise(nothing)
+
+    def backwards(least: Column, s: Column) -> tuple[Column, Column]:
+        kept = ~is_taken(s) & (s["end"] <= least)
+        return F.when(is_taken(s), F.least(least, s["start"])).otherwise(least), F.when(kept, F.array(s)).otherwise(nothing)
+
+    ahead = _scan(F.sort_array(F.concat(taken, spans)), F.lit(-1), forwards, kind)
+    free = F.reverse(_scan(F.reverse(ahead), F.lit(2**31 - 1), backwards, kind))
+    return F.when((F.size(spans) > 0) & (F.size(taken) > 0), free).otherwise(F.col(spans))
 
 
 def written(spans: str) -> Column:
@@ -230,8 +287,23 @@ def digest(found: DataFrame) -> DataFrame:
 
 def masked(text: str, spans: str = "spans") -> Column:
     """The text with each span replaced by its kind in angle brackets; of overlapping spans the first counts."""
-    step = lambda held, s: F.when(s["start"] < held["at"], held).otherwise(
-        F.struct(s["end"].alias("at"), F.concat(held["out"], F.substring(text, held["at"] + 1, s["start"] - held["at"]), F.lit("<"), s["kind"], F.lit(">")).alias("out")))
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda held: F.concat(held["out"], F.substring(text, held["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, first, step, rest)).otherwise(F.col(text))
+
+    def between(blocks: Column, low: Column, high: Column) -> Column:
+        """Characters from ``low`` to before ``high``: a piece of a block, or the ends of two and the blocks between them."""
+        first, last = F.floor(low / CHARACTERS).cast("int"), F.floor((high - 1) / CHARACTERS).cast("int")
+        head, tail = F.pmod(low, F.lit(CHARACTERS)) + 1, F.pmod(high - 1, F.lit(CHARACTERS)) + 1
+        several = F.concat(F.substring(blocks[first], head, F.lit(CHARACTERS)), F.array_join(F.slice(blocks, first + 2, last - first - 1), ""), F.substring(blocks[last], F.lit(1), tail))
+        return F.when(high <= low, "").when(first == last, F.substring(blocks[first], head, high - low)).otherwise(several)
+
+    def rewritten(blocks: Column) -> Column:
+        end = F.struct(F.length(text).alias("start"), F.lit(len(KINDS)).alias("kind_order"), F.length(text).alias("end"), F.lit(None).cast("string").alias("kind"), F.lit("").alias("text"))
+
+        def step(at: Column, s: Column) -> tuple[Column, Column]:
+            name = F.when(s["kind"].isNull(), "").otherwise(F.concat(F.lit("<"), s["kind"], F.lit(">")))
+            pieces = F.array(between(blocks, at, s["start"]), name)
+            return F.when(s["start"] < at, at).otherwise(s["end"]), F.when(s["start"] < at, F.array().cast("array<string>")).otherwise(pieces)
+
+        return F.array_join(_scan(F.concat(F.col(spans), F.array(end)), F.lit(0), step, "string"), "")
+
+    blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{CHARACTERS}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, _let(blocks, rewritten)).otherwise(F.col(text))

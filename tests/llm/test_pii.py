@@ -73,3 +73,42 @@ def test_reliable_labelers_outweigh_a_poor_one():
 
 def test_empty_table(docs):
     assert pii.digest(pii.find(docs([]))).collect() == []
+
+
+def test_masking_by_places(docs):
+    import random
+
+    rng = random.Random(2)
+    parts = ["é漢😀 words ", "a@b.cd ", "1.2.3.4 ", "+123456789 ", "x" * 5000 + " ", "4111 1111 1111 1111 ", "v12 "]
+    texts = ["".join(rng.choices(parts, k=rng.choice([1, 5, 400]))) for _ in range(12)]
+    for r in pii.find(docs(texts)).withColumn("m", pii.masked("text")).collect():
+        out, at, text = [], 0, texts[r.doc_id]
+        for s in r.spans:
+            if s.start >= at:
+                out += [text[at : s.start], f"<{s.kind}>"]
+                at = s.end
+        assert r.m == "".join([*out, text[at:]])
+
+
+def test_credentials_beside_base_spans(spark):
+    shape = "array<struct<start:int,kind_order:int,end:int,kind:string,text:string>>"
+    rows = [([(5, 4, 9, "secret", "a"), (20, 4, 30, "secret", "b"), (40, 4, 41, "secret", "c")], [(9, 0, 12, "email", ""), (25, 1, 26, "ip", ""), (41, 1, 44, "ip", "")]),
+            ([(5, 4, 9, "secret", "a")], [(0, 0, 6, "email", "")]), ([(5, 4, 9, "secret", "a")], [(0, 0, 50, "email", ""), (1, 2, 3, "card", "")]), ([(5, 4, 9, "secret", "a")], []), ([], [(0, 0, 6, "email", "")])]
+    got = spark.createDataFrame(rows, f"s {shape}, t {shape}").select(pii._free("s", "t").alias("f")).collect()
+    assert [[x.text for x in r.f] for r in got] == [["a", "c"], [], [], ["a"], []]
+
+
+def test_work_is_in_proportion_to_a_text(docs):
+    import time
+
+    def seconds(count):
+        frame = docs(["v123 aaa a@b.cd " * count])
+        began = time.time()
+        (row,) = pii.find(frame, model).withColumn("m", pii.masked("text")).select(F.size("base_spans").alias("n"), F.size("spans").alias("s"), F.size(F.split("m", "<")).alias("l")).collect()
+        assert row.n == count and row.l == row.s + 1
+        return time.time() - began
+
+    model = pii.train(docs(["password=a8f7s9d8f7a9s8df7 page 3", "page 4"]))
+    seconds(10)
+    few = seconds(20_000)
+    assert seconds(160_000) < 16 * max(few, 1)  # 2.4 MB
