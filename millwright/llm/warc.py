@@ -24,6 +24,10 @@ from millwright.llm.sums import tune
 from millwright.session import new_path
 
 CHUNK = 1 << 20
+#: Parts over which the pages of one payload are dealt.
+SPREAD = 32
+#: Bytes of an archive that are read in one task.
+RANGE = 4 << 20
 MANIFEST = "path string, records bigint"
 INDEX = "path string, offset bigint, length bigint"
 RECORD = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
@@ -93,13 +97,16 @@ def parse(raw: bytes) -> dict:
 
 def records(pages: DataFrame, least: int = 1000) -> DataFrame:
     """``page_id, url, html, digest, refers_to``. Of equal payloads of ``least`` bytes or more the largest page_id is the response;
-    rows that repeat this id are responses too, and a null id, being no largest, revisits. Without any id all are responses."""
+    rows that repeat this id are responses too, and a null id, being no largest, revisits. Without any id all are responses.
+
+    A payload's pages are dealt over ``SPREAD`` parts, so copies of one page, or pages without one, don't meet in one task."""
     digested = pages.select("page_id", "url", "html", F.sha1(F.coalesce("html", F.lit(""))).alias("digest"))
     first = (
         digested.where(F.octet_length("html") >= least).groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("copies"))
-        .where("copies > 1").drop("copies")
+        .where("copies > 1").select("digest", "response", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
     )
-    return digested.join(first, "digest", "left").select(
+    dealt = digested.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.lit(SPREAD)).cast("int"))
+    return dealt.join(first, ["digest", "part"], "left").select(
         "page_id", "url", "html", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("response")), F.col("response")).alias("refers_to"))
 
 
@@ -160,8 +167,10 @@ def split(chunks: Iterator[bytes]) -> Iterator[bytes]:
 def normalise(manifest: DataFrame) -> DataFrame:
     """Rewrite every file of ``path`` with a gzip member for each record and, beside it, an index of offsets and lengths.
 
-    Each file is inflated once, as a stream, and removed when its copy is whole. Returns the index.
+    Each file is inflated once, as a stream, and removed when its copy is whole. Returns the index. Files are dealt over twice
+    as many tasks as there are files: without a number, the few rows of the manifest would be merged into one task.
     """
+    files = manifest.count()
 
     def one(path: str) -> list[dict]:
         to = path.replace("/whole/", "/members/")
@@ -189,11 +198,12 @@ def normalise(manifest: DataFrame) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_pylist(one(path), pa.schema([("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
 
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(task, INDEX)
+    return manifest.select("path").repartition(max(1, 2 * files), F.col("path")).mapInArrow(task, INDEX)
 
 
 def read(index: DataFrame) -> DataFrame:
-    """The records that the index names, read by their offsets alone."""
+    """The records that the index names, read by their offsets alone, each ``RANGE`` of an archive in a task."""
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     types = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
     def task(batches):
@@ -212,7 +222,7 @@ def read(index: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, types)
 
-    ranges = index.select("path", "offset", "length").repartition(F.col("path"), F.floor(F.col("offset") / (4 << 20)))
+    ranges = index.select("path", "offset", "length").repartition(1 + 2 * total // RANGE, F.col("path"), F.floor(F.col("offset") / RANGE))
     return ranges.sortWithinPartitions("path", "offset").mapInArrow(task, RECORD)
 
 

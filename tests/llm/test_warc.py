@@ -52,3 +52,24 @@ def test_a_damaged_payload_is_found():
 
 def test_empty_table(spark):
     assert warc.archive(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
+
+
+def test_files_are_normalised_and_read_in_many_tasks(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"{i} " * 700) for i in range(60)], "page_id bigint, url string, html string").repartition(20)
+    warc.write(warc.records(pages), tmp_path.as_uri(), 2000).write.parquet(f"{tmp_path.as_uri()}/manifest")
+    manifest = spark.read.parquet(f"{tmp_path.as_uri()}/manifest")
+    files = manifest.count()
+    index = warc.normalise(manifest)
+    index.write.parquet(f"{tmp_path.as_uri()}/index")
+    tasks = len([f for f in (tmp_path / "index").iterdir() if f.name.startswith("part-")])
+    assert files >= 20 and tasks >= files // 3 and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    found = warc.read(spark.read.schema(warc.INDEX).parquet(f"{tmp_path.as_uri()}/index"))
+    assert sorted(r.page_id for r in found.collect()) == list(range(60))
+
+
+def test_copies_of_one_page_are_dealt_over_parts(spark):
+    pages = spark.range(3000).selectExpr("id AS page_id", "concat('u', id) AS url", f"'{LONG}' AS html")
+    rows = warc.records(pages)
+    assert rows.where("refers_to = 2999").count() == 2999
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "part#" in plan
