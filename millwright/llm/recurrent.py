@@ -177,11 +177,29 @@ class Trainer:
                 self.p[name][at] -= self.rate * g / np.sqrt(self.squares[name][at])
 
 
+def even(sizes: list[int], width: int, spare: int = 16) -> list[list[int]]:
+    """Numbers of texts by groups, longest first, whose lanes hold at most ``spare`` cells a word: very long texts get lanes of their own."""
+    order, groups = sorted(range(len(sizes)), key=lambda i: -sizes[i]), []
+    while order:
+        longest, total = sizes[order[0]], sum(sizes[i] for i in order)
+        cut = len(order)
+        if longest * min(width, len(order)) > spare * total:
+            cut = next(k for k, i in enumerate(order) if 8 * sizes[i] < longest)
+        groups.append(order[:cut])
+        order = order[cut:]
+    return groups
+
+
 def score(p: Params, texts: list[np.ndarray], width: int = 512, steps: int = 32, wide: int = 16_384) -> np.ndarray:
-    """Natural log probability of each text, its END included."""
+    """Natural log probability of each text, its END included. Memory follows the words, however uneven the texts are."""
+    out = np.zeros(len(texts))
+    for group in even([len(t) for t in texts], width):
+        out[group] = _scored(p, [texts[i] for i in group], width, steps, wide)
+    return out
+
+
+def _scored(p: Params, texts: list[np.ndarray], width: int, steps: int, wide: int) -> np.ndarray:
     out = np.zeros(len(texts))
-    if not texts:
-        return out
     outputs, opens, owner = lanes(texts, width)
     inputs = np.concatenate([np.full((1, outputs.shape[1]), END, np.int32), outputs[:-1]])
     inputs = np.where(inputs < 0, END, inputs)

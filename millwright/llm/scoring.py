@@ -89,9 +89,12 @@ class Model:
         return [np.concatenate([outputs[a:b], end]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
-def learn(documents: DataFrame, model: Model, text: str = "text", warm_texts: int = 400) -> None:
-    """Fit the recurrent weights on all ``documents``. A few texts, chosen by a hash, first move the random weights, so that what tasks learn can be averaged."""
-    warm = documents.select(text).where(F.length(text) > 0).orderBy(F.xxhash64(text), text).select(F.substring(text, 1, 4000).alias(text)).limit(warm_texts)
+def learn(documents: DataFrame, model: Model, text: str = "text", warm_texts: int = 400, warm_chars: int = 20_000) -> None:
+    """Fit the recurrent weights on all ``documents``. A few texts first move the random weights, so that what tasks learn can be averaged:
+    ``warm_texts`` whole, distinct ones of at most ``warm_chars`` characters, the first in an order of hashes; copies of one text count once."""
+    whole = documents.select(F.xxhash64(text).alias("h"), F.col(text).alias("t")).where(F.length(text).between(1, warm_chars))
+    first = [r.h for r in whole.select("h").distinct().orderBy("h").limit(warm_texts).collect()]
+    warm = whole.where(F.col("h").isin(first)).groupBy("h").agg(F.min("t").alias("t")).orderBy("h").select("t") if first else whole.select("t").limit(0)
     column = pa.array([r[0] for r in warm.collect()], pa.string())
     if not len(column):
         return
@@ -165,14 +168,18 @@ def score(documents: DataFrame, model: Model, counts: DataFrame, text: str = "te
             doc = W.owners(first)
             size = len(first) - 1
             total = lambda w: np.bincount(doc, weights=w, minlength=size).astype(float)  # noqa: B023, E731
-            tails = []
-            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                values, times = np.unique(h[a:b][n[a:b] == 0], return_counts=True)
-                tails.append([{"hash": x, "times": t} for x, t in zip(values.view(np.int64).tolist(), times.tolist(), strict=True)])
+            # The words outside the head, once for each text, with how often they occur.
+            rare = n == 0
+            order = np.lexsort((h[rare], doc[rare]))
+            who, what = doc[rare][order], h[rare][order]
+            at = np.flatnonzero(np.concatenate([[True], (what[1:] != what[:-1]) | (who[1:] != who[:-1])])) if len(what) else np.zeros(0, np.int64)
+            times = np.diff(np.append(at, len(what))).astype(np.int32)
+            items = pa.StructArray.from_arrays([pa.array(what[at].view(np.int64)), pa.array(times)], ["hash", "times"])
+            tails = pa.ListArray.from_arrays(pa.array(np.searchsorted(who[at], np.arange(size + 1)), pa.int32()), items)
             parts.append((np.diff(first) + 1, total(n > 0).astype(np.int64) + (model.ends > 0), total(log) + np.log10(model.ends + 1.0), total(other).astype(np.int64), total(log * other), tails))
         lengths, known, log, others, other_log, tails = zip(*parts, strict=True)
         lm = R.score(model.params, texts) / np.log(10)
-        values = [pa.array(np.concatenate(lengths)), pa.array(np.concatenate(known)), pa.array(np.concatenate(log)), pa.array(lm), pa.array(np.concatenate(others)), pa.array(np.concatenate(other_log)), pa.array([t for x in tails for t in x], tail_type)]
+        values = [pa.array(np.concatenate(lengths)), pa.array(np.concatenate(known)), pa.array(np.concatenate(log)), pa.array(lm), pa.array(np.concatenate(others)), pa.array(np.concatenate(other_log)), pa.chunked_array(tails, tail_type).combine_chunks()]
         return pa.RecordBatch.from_arrays([*batch.columns[:-1], *values], [*batch.schema.names[:-1], *names])
 
     def task(batches):

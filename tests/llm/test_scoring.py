@@ -90,3 +90,31 @@ def test_empty_tables(docs):
     model, counts = scoring.train(docs([]))
     assert [r.n_known for r in scoring.score(docs(["a", None]), model, counts).collect()] == [0, 0]
     assert scoring.score(docs([]), model, counts).collect() == []
+
+
+def test_uneven_texts_take_memory_by_their_words():
+    import numpy as np
+
+    from millwright.llm import recurrent as R
+
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, 900, n).astype(np.int32) for n in [40_000, 9000, *rng.integers(2, 60, 300)]]
+    groups = R.even([len(t) for t in texts], 512)
+    assert sorted(i for g in groups for i in g) == list(range(len(texts)))
+    for g in groups:
+        outputs, _, _ = R.lanes([texts[i] for i in g], 512)
+        assert outputs.size <= 32 * sum(len(texts[i]) for i in g)
+    p = R.start(np.ones(R.OUTPUTS))
+    got = R.score(p, texts)
+    alone = [R._scored(p, [t], 1, 32, 64)[0] for t in (texts[1], texts[7])]
+    assert np.allclose(got[[1, 7]], alone, rtol=1e-4)
+    assert R.even([], 512) == [] and len(R.score(p, [])) == 0
+
+
+def test_a_very_long_text(docs):
+    from millwright.llm import scoring
+
+    frame = docs(["one two " * 150_000, "one", "two three", None] * 2)
+    model, counts = scoring.train(frame)
+    rows = {r.doc_id: r for r in scoring.score(frame, model, counts).collect()}
+    assert rows[0].n_tokens == rows[0].n_known == 300_001 and rows[0].score == rows[4].score < rows[1].score < 0
