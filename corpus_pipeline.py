@@ -41,11 +41,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group, and one row of repeated rows of it. Documents with a null id are in no group and stay."""
-    near = jaccard.near_duplicates(docs, size=SHINGLE, percent=PERCENT)
-    first = near.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, docs.doc_id == first._first, "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    """Keeps the document of the smallest id of each group, null ids last, and one of rows that are equal throughout.
+
+    Rows are told apart by a hash of all their columns, so rows of one id with different texts are documents of their own.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns))
+    near = jaccard.near_duplicates(keyed.select("_key", "text"), key="_key", size=SHINGLE, percent=PERCENT)
+    group = near.select(F.col("_key").alias("_own"), F.col("component_id").alias("_group")).distinct()
+    member = keyed.select("_key", "doc_id").distinct().join(group, F.col("_key") == F.col("_own"))
+    first = member.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key")).alias("f")).select(F.col("f._key").alias("_first"))
+    return keyed.join(first, F.col("_key") == F.col("_first"), "left_semi").dropDuplicates(["_key"]).select(docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
