@@ -141,6 +141,12 @@ def execution_distribution_fn_7min(t: Tables):
     return jobs.execution_distribution_totals(t.samples, HALF_HOUR, 420_000)
 
 
+@query("execution_distribution_table_fn", sql(_TOTALS, width=420_000))
+def execution_distribution_table_fn(t: Tables):
+    jobs.create_dist(jobs.executions(t.samples, HALF_HOUR))
+    return t.spark.sql("SELECT * FROM dist(INTERVAL 7 MINUTES)")
+
+
 @query("activity_hours", sql("""
     SELECT machine_id, b, round(active / 3600000.0, 9) AS active, round(stopped / 3600000.0, 9) AS stopped,
       round(interrupted / 3600000.0, 9) AS interrupted, round(ready / 3600000.0, 9) AS ready

@@ -8,6 +8,9 @@ from catalog.base import DEEP_SLICE_ROWS, Tables, query
 from catalog.relations import sql
 from millwright.functions import device, text
 from millwright.operators import fleet, readings
+from millwright.session import new_path
+from millwright.sources import telemetry, topic
+from millwright.streaming import carried, sinks
 
 
 @query("classify_execution", sql("""
@@ -118,21 +121,27 @@ def delta_decode(t: Tables):
 _SPARSE = ("execution", "part_count", "program", "mprogram", "cprogram", "block_num")
 
 
-@query("delta_decode_samples", sql(f"""
+_DECODED_SAMPLES = f"""
     SELECT machine_id, "offset", {', '.join(
         f'last_value({c} IGNORE NULLS) OVER w AS {c}' for c in _SPARSE)}
     FROM samples WINDOW w AS (PARTITION BY machine_id ORDER BY "partition", "offset"
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+@query("delta_decode_samples", sql(_DECODED_SAMPLES))
 def delta_decode_samples(t: Tables):
     sparse = t.samples.select("machine_id", "partition", "offset", *_SPARSE)
     return readings.delta_decode(sparse, _SPARSE).drop("partition")
 
 
-@query("triggered_fields", sql("""
+_TRIGGERED = """
     SELECT machine_id, "offset", cprogram, mprogram, part_count,
       CASE WHEN row_number() OVER w = 1 OR mprogram IS DISTINCT FROM lag(mprogram) OVER w THEN program END AS program,
       CASE WHEN row_number() OVER w = 1 OR part_count IS DISTINCT FROM lag(part_count) OVER w THEN cycle_time END AS cycle_time
-    FROM readings WINDOW w AS (PARTITION BY machine_id ORDER BY "partition", "offset")"""))
+    FROM readings WINDOW w AS (PARTITION BY machine_id ORDER BY "partition", "offset")"""
+
+
+@query("triggered_fields", sql(_TRIGGERED))
 def triggered_fields(t: Tables):
     dense = t.readings.select(
         "machine_id", "partition", "offset", "cprogram", "mprogram", "part_count", "program", "cycle_time"
@@ -140,6 +149,33 @@ def triggered_fields(t: Tables):
     return readings.triggered_fields(dense).drop("partition")
 
 
+def _dense_stream(t: Tables):
+    events = topic.table_stream(t.spark, t.sf_dir, "events", topic.BATCH_BYTES)
+    return telemetry.readings_from_events(events).select("machine_id", "partition", "offset", *_DENSE)
+
+
+@query("delta_encode_stream", sql(_ENCODED))
+def delta_encode_stream(t: Tables):
+    stream = _dense_stream(t)
+    return carried.run_once(stream, carried.delta_encode(stream.schema, _DENSE), "encoded").drop("partition")
+
+
+@query("delta_decode_stream", sql(_DECODED_SAMPLES))
+def delta_decode_stream(t: Tables):
+    events = topic.table_stream(t.spark, t.sf_dir, "events", topic.BATCH_BYTES)
+    sparse = telemetry.samples_from_events(events).select("machine_id", "partition", "offset", *_SPARSE)
+    return carried.run_once(sparse, carried.delta_decode(sparse.schema, _SPARSE), "decoded").drop("partition")
+
+
+@query("triggered_fields_stream", sql(_TRIGGERED))
+def triggered_fields_stream(t: Tables):
+    events = topic.table_stream(t.spark, t.sf_dir, "events", topic.BATCH_BYTES)
+    dense = telemetry.readings_from_events(events).select(
+        "machine_id", "partition", "offset", "cprogram", "mprogram", "part_count", "program", "cycle_time"
+    )
+    return carried.run_once(dense, carried.triggered_fields(dense.schema), "triggered").drop("partition")
+
+
 # ---- fleet monitoring
 
 _STATUS = {"signup": "STARTING", "click": "STARTED", "purchase": "WAITING FOR PARTS", "error": "FAILED"}
@@ -151,10 +187,10 @@ _LOG = f"""SELECT event_id AS id, 'u' || user_id AS machine_id, {_STATUS_SQL} AS
 _KNOWN = "SELECT 'u' || c_custkey AS machine_id FROM customer"
 
 
-def _log(t: Tables):
+def _log(t: Tables, events=None):
     status = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in _STATUS.items()])
     return fleet.status_log(
-        t.events.select(
+        (t.events if events is None else events).select(
             F.col("event_id").alias("id"),
             F.concat(F.lit("u"), "user_id").alias("machine_id"),
             status.alias("status"),
@@ -164,6 +200,10 @@ def _log(t: Tables):
     )
 
 
+def _log_stream(t: Tables):
+    return _log(t, topic.table_stream(t.spark, t.sf_dir, "events", topic.BATCH_BYTES))
+
+
 def _known(t: Tables):
     return t.read("customer").select(F.concat(F.lit("u"), "c_custkey").alias("machine_id"))
 
@@ -183,6 +223,18 @@ def current_status(t: Tables):
     return fleet.current_status(_log(t), _known(t))
 
 
+@query("status_log_append_stream", _LOG)
+def status_log_append_stream(t: Tables):
+    return sinks.run_once(_log_stream(t), "status-log")
+
+
+@query("current_status_stream", _CURRENT.replace("{ts}", "ts"))
+def current_status_stream(t: Tables):
+    stream, folder = _log_stream(t), new_path(t.spark, "status")
+    carried.start(stream, folder, carried.current_status(stream.schema), once=True).awaitTermination()
+    return fleet.current_status(carried.kept(t.spark, folder, "last"), _known(t))
+
+
 @query("status_report", _CURRENT.replace("{ts}", "strftime(ts, '%Y-%m-%dT%H:%M:%S')"))
 def status_report(t: Tables):
     return fleet.status_report(fleet.current_status(_log(t), _known(t)))
@@ -273,3 +325,31 @@ def registry_changes(t: Tables):
     return fleet.registry_changes(
         _snapshot(t, F.col("ts") < noon), _snapshot(t, F.col("ts") >= noon)
     )
+
+
+_EVENT = """'{{"machine_id":"' || machine_id || '","payload":{{"machine_id":"' || machine_id || '","machine_ip":"' || machine_ip || '","machine_port":' || machine_port || '}}}}'"""
+
+
+@query("registry_changes_stream", f"""
+    WITH o AS ({_SNAPSHOT.format(half="ts < " + _HALF)}),
+         n AS ({_SNAPSHOT.format(half="ts >= " + _HALF)})
+    SELECT 1::BIGINT AS snapshot, machine_id, {_EVENT.replace("{{", "{").replace("}}", "}")} AS event FROM o
+    UNION ALL
+    SELECT 2::BIGINT, coalesce(n.machine_id, o.machine_id),
+      CASE WHEN n.machine_id IS NULL THEN '{{"machine_id":"' || o.machine_id || '","payload":null}}'
+      ELSE '{{"machine_id":"' || n.machine_id || '","payload":{{"machine_id":"' || n.machine_id || '","machine_ip":"' ||
+        n.machine_ip || '","machine_port":' || n.machine_port || '}}}}' END
+    FROM o FULL JOIN n ON o.machine_id = n.machine_id
+    WHERE o.machine_id IS NULL OR n.machine_id IS NULL OR o.machine_ip <> n.machine_ip OR o.machine_port <> n.machine_port""")
+def registry_changes_stream(t: Tables):
+    noon = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    halves = [_snapshot(t, F.col("ts") < noon), _snapshot(t, F.col("ts") >= noon)]
+    marks = t.spark.range(1, 3).select(F.col("id").alias("snapshot"), F.lit(True).alias("ends"))
+    rows = marks
+    for number, half in enumerate(halves, 1):
+        own = half.withColumn("snapshot", F.lit(number).cast("bigint")).withColumn("ends", F.lit(False))
+        rows = rows.unionByName(own, allowMissingColumns=True)
+    path = new_path(t.spark, "snapshots")
+    rows.write.parquet(path)
+    stream = t.spark.readStream.schema(rows.schema).parquet(path)
+    return carried.run_once(stream, carried.registry_changes(halves[0].schema), "registry")

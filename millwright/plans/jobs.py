@@ -9,7 +9,8 @@ from millwright.functions import clock
 from millwright.functions.text import one_line
 from millwright.operators import bins, changes, ingest, matching, periods
 from millwright.operators.keyed import latest_per_key
-from millwright.operators.ordered import TIME_ORDER, over_slices, slice_by_time
+from millwright.operators.ordered import TIME_ORDER, floor_to, over_slices, slice_by_time
+from millwright.schemas import STATES
 
 # Shortest active span of interest, in ms, and result limits.
 SPAN_MS = 20_000
@@ -129,3 +130,27 @@ def activity_hours(samples: DataFrame, bucket_ms: int = periods.BUCKET_MS, width
 
 def machines_list(result: DataFrame) -> DataFrame:
     return result.select("machine_id").distinct()
+
+
+DIST = """
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(width INTERVAL DAY TO SECOND)
+RETURNS TABLE (machine_id STRING, b BIGINT, {types})
+RETURN SELECT machine_id, b, {sums} FROM (
+  SELECT machine_id, execution, b, least(b + w, end) - greatest(b, start) AS ms FROM (
+    SELECT machine_id, execution, start, end, w,
+      explode(sequence(start - pmod(start - origin, w), end - 1 - pmod(end - 1 - origin, w), w)) AS b
+    FROM (SELECT *, CASE WHEN {hour} % w = 0 THEN 0 ELSE first_hour END AS origin FROM (
+      SELECT *, unix_millis(TIMESTAMP '1970-01-01 00:00:00Z' + width) AS w FROM {view}))))
+GROUP BY machine_id, b"""
+
+
+def create_dist(runs: DataFrame, name: str = "dist", view: str = "dist_runs") -> None:
+    """Register the table function ``name(width)``: the state totals of ``runs`` in bins of any width, for ``SELECT`` and ``LATERAL`` joins.
+
+    Equal to ``execution_distribution_totals`` of the same runs; a run names its bins, so bins are not joined.
+    """
+    first = runs.agg(floor_to(F.min("start"), clock.HOUR_MS)).scalar()
+    runs.filter(F.col("start") < F.col("end")).withColumn("first_hour", first).createOrReplaceTempView(view)
+    states = [s.lower() for s in STATES]
+    sums = ", ".join(f"sum(CASE WHEN execution = '{s}' THEN ms ELSE 0 END) AS {s.lower()}" for s in STATES)
+    runs.sparkSession.sql(DIST.format(name=name, view=view, hour=clock.HOUR_MS, sums=sums, types=", ".join(f"{s} BIGINT" for s in states)))

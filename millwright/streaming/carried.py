@@ -18,9 +18,10 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.streaming import StreamingQuery
 
-from millwright.operators import changes, matching, periods
+from millwright.operators import changes, matching, periods, readings
 from millwright.operators.ordered import STREAM_ORDER, over_slices, slice_by_offset, unsliced
 from millwright.operators.periods import GRACE_MS, SESSION_GAP_MS, TUMBLING_MS
 from millwright.session import new_path
@@ -167,6 +168,114 @@ def part_completed_events() -> Step:
     return Step({"parts": "machine_id string, part_count bigint, loaded bigint, program string", "positions": POSITIONS}, work)
 
 
+# ---- readings
+
+
+def _types(schema: StructType, fields: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` {schema[c].dataType.simpleString()}" for c in ("machine_id", *fields))
+
+
+def _last(placed: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The fields of each machine's last row: one value a machine and field, however long the stream."""
+    return placed.groupBy("machine_id").agg(F.max_by(F.struct(*fields), _order()).alias("s")).select("machine_id", "s.*")
+
+
+def _by_reading(schema: StructType, fields: Sequence[str], apply: Callable[[DataFrame], DataFrame], keeps_output: bool) -> Step:
+    """A step whose state is each machine's last row, as it came in or as it goes out."""
+    columns = schema.names
+
+    def work(batch: DataFrame, state: State, number: int) -> tuple[Tables, Tables]:
+        rows, aside, positions = after_positions(batch, state["positions"])
+        placed = sliced_after(rows, state["last"])
+        out = apply(placed)
+        last = _last(out if keeps_output else placed, fields)
+        return {"data": out.filter(~F.col("_seed")).select(*columns), "aside": aside.select(*columns)}, {"last": last, "positions": positions}
+
+    return Step({"last": _types(schema, fields), "positions": POSITIONS}, work)
+
+
+def delta_encode(schema: StructType, fields: Sequence[str]) -> Step:
+    """Readings without the fields that equal the machine's reading before; the state is that reading."""
+    return _by_reading(schema, fields, lambda placed: readings.encoded(placed, fields), keeps_output=False)
+
+
+def delta_decode(schema: StructType, fields: Sequence[str], cleared: Mapping[str, str] = readings.CLEARED) -> Step:
+    """The machine's full state after each sample; the state is the last of these."""
+    return _by_reading(schema, fields, lambda placed: readings.decoded(placed, fields, cleared), keeps_output=True)
+
+
+def triggered_fields(schema: StructType, triggers: Mapping[str, Sequence[str]] = readings.TRIGGERS) -> Step:
+    """Readings whose dependent fields are kept where their trigger changed; the state is the last value of each trigger."""
+    present = [t for t in triggers if t in schema.names]
+    return _by_reading(schema, present, lambda placed: readings.triggered(placed, triggers), keeps_output=False)
+
+
+# ---- fleet
+
+
+def current_status(log: StructType) -> Step:
+    """Newest log row of each machine, whatever the order of arrival. A batch appends the machines whose row is new, numbered by ``update``.
+
+    The state is the whole table, replaced batch by batch: ``kept`` reads it, and ``fleet.current_status`` names the known machines in it.
+    """
+    fields = ("status", "id", "ts")
+
+    def work(batch: DataFrame, state: State, number: int) -> tuple[Tables, Tables]:
+        known = state["last"]
+        newest = batch.groupBy("machine_id").agg(F.max_by(F.struct(*fields), "id").alias("s")).select("machine_id", "s.*").unionByName(known)
+        now = newest.groupBy("machine_id").agg(F.max_by(F.struct(*fields), "id").alias("s")).select("machine_id", "s.*")
+        changed = now.join(known.select("machine_id", "id"), ["machine_id", "id"], "left_anti").select("machine_id", *fields, F.lit(number).cast("bigint").alias("update"))
+        return {"data": changed}, {"last": now}
+
+    return Step({"last": _types(log, fields)}, work)
+
+
+def kept(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of state as the last finished batch left it."""
+    stored = spark.read.option("basePath", f"{folder}/state-{name}").parquet(f"{folder}/state-{name}")
+    return stored.filter(F.col("batch") == stored.agg(F.max("batch")).scalar()).drop("batch")
+
+
+def registry_changes(machines: StructType) -> Step:
+    """Change events between snapshots of the registry that arrive as rows: ``snapshot``, ``ends`` and the columns of ``machines``.
+
+    A row with ``ends`` says that its snapshot is whole; rows of others wait. Of each whole snapshot against the one before come
+    the events of ``fleet.registry_changes``, with its number; a machine that it lacks is a delete. The state is a digest of each
+    machine's row in the last whole snapshot, and the rows that wait. Rows of a snapshot that was already worked are passed over.
+    """
+    fields = [c for c in machines.names if c != "machine_id"]
+    whole = "snapshot bigint, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in machines)
+    digest = F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
+
+    def work(batch: DataFrame, state: State, number: int) -> tuple[Tables, Tables]:
+        done = state["done"].agg(F.max("snapshot")).scalar()
+        fresh = batch.filter(F.col("snapshot") > F.coalesce(done, F.lit(-(2**62)).cast("bigint")))
+        ends = fresh.filter("ends").select("snapshot").distinct()
+        # Few rows: the snapshots that end in this batch.
+        ended = ends.withColumn("_at", F.row_number().over(Window.orderBy("snapshot")))
+        rows = state["waiting"].unionByName(fresh.filter(~F.coalesce("ends", F.lit(False))).select("snapshot", *machines.names))
+        ready = rows.join(ended, "snapshot").dropDuplicates(["snapshot", "machine_id"])
+        count = ended.agg(F.max("_at")).scalar()
+        old = state["last"].select("machine_id", "digest", F.lit(0).alias("_at"))
+        payload = F.struct(*machines.names).alias("_row")
+        line = ready.select("machine_id", digest.alias("digest"), "_at", payload).unionByName(old, allowMissingColumns=True)
+        by_machine = Window.partitionBy("machine_id").orderBy("_at")
+        walked = line.withColumn("_before", F.lag(F.struct("_at", "digest")).over(by_machine)).withColumn("_next", F.lead("_at").over(by_machine))
+        follows = F.coalesce(F.col("_before._at") == F.col("_at") - 1, F.lit(False))
+        changed = walked.filter((F.col("_at") > 0) & ~(follows & (F.col("_before.digest") == F.col("digest")))).select("_at", "machine_id", "_row")
+        stays = F.coalesce(F.col("_next") == F.col("_at") + 1, F.lit(False))
+        gone = walked.filter(~stays & (F.col("_at") < count)).select((F.col("_at") + 1).alias("_at"), "machine_id", F.lit(None).cast(line.schema["_row"].dataType).alias("_row"))
+        event = F.to_json(F.struct("machine_id", F.col("_row").alias("payload")), {"ignoreNullFields": "false"}).alias("event")
+        events = changed.unionByName(gone).join(ended, "_at").select("snapshot", "machine_id", event)
+        # Without a whole snapshot in the batch the last one stays.
+        last = line.filter(F.col("_at") == F.coalesce(count, F.lit(0))).select("machine_id", "digest")
+        waiting = rows.join(ended, "snapshot", "left_anti")
+        now = state["done"].unionByName(ends).agg(F.max("snapshot").alias("snapshot"))
+        return {"data": events}, {"last": last, "waiting": waiting, "done": now}
+
+    return Step({"last": "machine_id string, digest string", "waiting": whole, "done": "snapshot bigint"}, work)
+
+
 # ---- sessions
 
 SESSION = "machine_id string, windowStart bigint, windowEnd bigint, count bigint"

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millwright.operators import changes, ingest, matching, periods
+from millwright.operators import changes, fleet, ingest, matching, periods, readings
 from millwright.operators.ordered import SLICE_ROWS_SETTING
 from millwright.session import new_path
 from millwright.streaming import carried, sinks, stateful
@@ -205,3 +205,53 @@ def test_silent_machines_leave_no_state(spark):
     sinks.to_files(stateful.closed_sessions(stream), f"{path}/data", f"{path}/checkpoint", once=True).awaitTermination()
     state = spark.read.format("statestore").option("stateVarName", "open").load(f"{path}/checkpoint")
     assert [r.key.machine_id for r in state.select("key").collect()] == ["end"]
+
+
+def test_readings_by_delta(spark):
+    rng = random.Random(6)
+    shape = "machine_id string, partition int, offset bigint, cprogram int, message_text string, message_number int, program_name string"
+    dense = [(f"m{i % 2}", i % 2, i, rng.randrange(2), rng.choice(["a", "b"]), rng.choice([1, -1]), rng.choice(["x", "y"])) for i in range(60)]
+    frame, fields = spark.createDataFrame(dense, shape), ("cprogram", "message_text", "message_number")
+    parts, schema = cuts(dense, 3), frame.schema
+    assert rows(worked(spark, parts, carried.delta_encode(schema, fields), shape)[0]) == rows(readings.delta_encode(frame, fields))
+    assert rows(worked(spark, parts, carried.triggered_fields(schema), shape)[0]) == rows(readings.triggered_fields(frame))
+    sparse = [(*r[:3], *(v if rng.random() < 0.4 else None for v in r[3:])) for r in dense]
+    got, folder = worked(spark, cuts(sparse, 3), carried.delta_decode(schema, fields), shape)
+    assert rows(got) == rows(readings.delta_decode(spark.createDataFrame(sparse, shape), fields))
+    assert carried.kept(spark, folder, "last").count() == 2  # a row a machine, a column a field
+
+
+def test_current_status_in_any_order_of_arrival(spark):
+    shape = "id bigint, machine_id string, status string, status_message string, ts timestamp_ntz"
+    rng = random.Random(7)
+    log = [(i, f"m{rng.randrange(5)}", rng.choice(["A", "B", None]), None, None) for i in range(40)]
+    frame, known = spark.createDataFrame(log, shape), spark.createDataFrame([("m0",), ("m1",), ("m9",)], "machine_id string")
+    rng.shuffle(log)
+    updates, folder = worked(spark, cuts(log, 4), carried.current_status(frame.schema), shape)
+    now = carried.kept(spark, folder, "last")
+    assert rows(fleet.current_status(now, known)) == rows(fleet.current_status(frame, known))
+    newest = updates.groupBy("machine_id").agg(F.max_by("id", "update").alias("id"))
+    assert rows(newest) == rows(now, "machine_id", "id")
+
+
+@pytest.mark.parametrize("pieces", [1, 5])
+def test_registry_changes_of_three_snapshots(spark, pieces):
+    shape = "machine_id string, machine_ip string, machine_port int"
+    snapshots = [
+        [("a", "1", 1), ("b", "2", None), ("c", "3", 3)],
+        [("a", "1", 1), ("b", "2", 2), ("d", "4", 4)],
+        [("a", None, 1), ("c", "3", 3), ("d", "4", 4)],
+    ]
+    frames = [spark.createDataFrame(s, shape) for s in ([], *snapshots)]
+    expected = []
+    for number, (old, new) in enumerate(zip(frames, frames[1:]), 1):
+        expected += [(number, *r) for r in rows(fleet.registry_changes(old, new))]
+    made = [(n, False, *r) for n, s in enumerate(snapshots, 1) for r in s]
+    made += [(n, True, None, None, None) for n in (1, 2, 3)]  # marks come last
+    made = sorted(made, key=lambda r: (r[0], r[1]))
+    # A batch may end within a snapshot; rows that come again after it are passed over.
+    parts = [*cuts(made, pieces), [(2, False, "z", "9", 9), (4, False, "a", "1", 1)]]
+    got, folder = worked(spark, parts, carried.registry_changes(frames[1].schema), f"snapshot bigint, ends boolean, {shape}")
+    assert rows(got, "snapshot", "machine_id", "event") == sorted(expected, key=repr)
+    assert rows(carried.kept(spark, folder, "waiting"), "snapshot", "machine_id") == [(4, "a")]
+    assert {r.machine_id for r in carried.kept(spark, folder, "last").collect()} == {"a", "c", "d"}
