@@ -297,6 +297,37 @@ def replayed_upsert(t: Tables):
     return tables.read_keyed(t.spark, f"{path}/data").select("machine_id", "offset", "partition", "execution", "meta_total")
 
 
+_RANGE = 1000
+
+
+def _corrected(t: Tables) -> str:
+    """A table in ranges of offsets, and records since noon written again, corrected."""
+    path = new_path(t.spark, "ranges")
+    arrived = t.samples.withColumn("arrival", F.col("offset"))
+    late = arrived.filter(F.col("timestamp") >= 1705320000000).withColumn("meta_total", F.col("meta_total") + 1000)
+    tables.write_batch(arrived, path, 0, range_offsets=_RANGE)
+    tables.write_batch(late, path, 1, range_offsets=_RANGE)
+    return path
+
+
+_CORRECTED = """
+    SELECT machine_id, "offset", "partition", execution,
+      CASE WHEN "timestamp" >= 1705320000000 THEN meta_total + 1000 ELSE meta_total END AS meta_total FROM samples"""
+
+
+@query("upsert_read_range", sql(_CORRECTED + ' WHERE "offset" >= 400 AND "offset" < 2600'))
+def upsert_read_range(t: Tables):
+    found = tables.read_keyed(t.spark, _corrected(t), offsets=(400, 2600), range_offsets=_RANGE)
+    return found.select("machine_id", "offset", "partition", "execution", "meta_total")
+
+
+@query("upsert_compacted", sql(_CORRECTED))
+def upsert_compacted(t: Tables):
+    path = _corrected(t)
+    tables.compact_ranges(t.spark, path)
+    return tables.read_keyed(t.spark, path).select("machine_id", "offset", "partition", "execution", "meta_total")
+
+
 @query("schema_evolving_write", sql("""
     SELECT machine_id, "offset", "partition", execution,
       CASE WHEN "timestamp" >= 1705320000000 THEN meta_total END AS meta_total FROM samples"""))

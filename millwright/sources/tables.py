@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from millwright.operators.keyed import RECORD_KEY, keep_first, keep_last
 from millwright.session import new_path
 
+#: Offsets of a range: the files of a keyed table are apart by them.
+RANGE_OFFSETS = 1_000_000
+
 
 def read_table(spark: SparkSession, name: str, **jdbc: str) -> DataFrame:
     """A registered table or view; with ``url=...`` the table of that name over JDBC."""
@@ -65,26 +68,84 @@ def write_batch(
     keep: str = "last",
     keys: Sequence[str] = RECORD_KEY,
     run: str = "0-first",
+    range_offsets: int = RANGE_OFFSETS,
 ) -> None:
     """Store one batch of a keyed table; repeating a batch id of the same run replaces that batch.
 
-    Only the batch itself is deduplicated and written. Keys in several batches are settled when
+    Only the batch itself is deduplicated and written, its files by ranges of offsets. Keys in several batches are settled when
     the table is read, so a write never rewrites the table. ``arrival`` orders rows of a batch.
     """
     pick = keep_last if keep == "last" else keep_first
-    settled = pick(batch, F.col("arrival"), keys)
-    settled.write.mode("overwrite").parquet(f"{path}/keyed_run={run}/keyed_batch={batch_id}")
+    settled = pick(batch, F.col("arrival"), keys).withColumn("keyed_range", _range(keys, range_offsets))
+    settled.hint("rebalance", "keyed_range").write.mode("overwrite").partitionBy("keyed_range").parquet(f"{path}/keyed_run={run}/keyed_batch={batch_id}")
+
+
+def _range(keys: Sequence[str], range_offsets: int):
+    """The range that holds all copies of a key; one range where the key has no offset."""
+    return F.expr(f"offset div {range_offsets}") if "offset" in keys else F.lit(0).cast("bigint")
 
 
-def read_keyed(spark: SparkSession, path: str, keep: str = "last", keys: Sequence[str] = RECORD_KEY) -> DataFrame:
-    """The keyed table: one row per key over all batches, with the columns of all batches."""
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """All rows with the run and batch they came in; folded rows keep those of the row that stayed."""
     stored = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
+    for name in ("run", "batch"):
+        own = F.col(f"keyed_{name}").cast("string" if name == "run" else "bigint")
+        came = F.coalesce(F.col(f"kept_{name}"), own) if f"kept_{name}" in stored.columns else own
+        stored = stored.withColumn(f"_{name}", came)
+    return stored
+
+
+_OWN = ("keyed_run", "keyed_batch", "keyed_range", "kept_run", "kept_batch", "_run", "_batch")
+
+
+def read_keyed(
+    spark: SparkSession,
+    path: str,
+    keep: str = "last",
+    keys: Sequence[str] = RECORD_KEY,
+    offsets: tuple[int, int] | None = None,
+    range_offsets: int = RANGE_OFFSETS,
+) -> DataFrame:
+    """The keyed table: one row per key over all batches, with the columns of all batches.
+
+    ``offsets`` (first, and the one after the last) reads only the files of the ranges they lie in.
+    """
+    stored = _stored(spark, path)
+    if offsets is not None:
+        low, high = offsets
+        stored = stored.filter(F.col("keyed_range").between(low // range_offsets, (high - 1) // range_offsets) & (F.col("offset") >= low) & (F.col("offset") < high))
+    pick = keep_last if keep == "last" else keep_first
+    return pick(stored, F.struct("_run", "_batch", "arrival"), keys).drop(*_OWN, "arrival")
+
+
+def compact_ranges(spark: SparkSession, path: str, keep: str = "last", keys: Sequence[str] = RECORD_KEY) -> list[int]:
+    """Fold the ranges that several batches have written, in place; ranges of one batch are not read or rewritten. Returns the ranges.
+
+    A folded row keeps the run and batch it came in, so streams may go on writing, and batches may be repeated, before, during and
+    after. Folded files are written whole before the files they replace are removed; a reader between sees both, and settles
+    them as any copies. Names of ranges and batches come to the driver, no rows.
+    """
+    stored = _stored(spark, path)
+    parts = stored.select("keyed_range", "keyed_run", "keyed_batch").distinct().collect()
+    of_range: dict[int, list] = {}
+    for part in parts:
+        of_range.setdefault(part.keyed_range, []).append(part)
+    several = sorted(r for r, own in of_range.items() if len(own) > 1)
+    if not several:
+        return []
     pick = keep_last if keep == "last" else keep_first
-    return pick(stored, F.struct("keyed_run", "keyed_batch", "arrival"), keys).drop("keyed_run", "keyed_batch", "arrival")
+    folded = pick(stored.filter(F.col("keyed_range").isin(several)), F.struct("_run", "_batch", "arrival"), keys)
+    folded = folded.withColumn("kept_run", F.col("_run")).withColumn("kept_batch", F.col("_batch")).drop("keyed_run", "keyed_batch", "_run", "_batch")
+    folded.hint("rebalance", "keyed_range").write.partitionBy("keyed_range").parquet(f"{path}/keyed_run={new_run()}/keyed_batch=0")
+    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for r in several:
+        for part in of_range[r]:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/keyed_run={part.keyed_run}/keyed_batch={part.keyed_batch}/keyed_range={r}"), True)
+    return several
 
 
-def compact(spark: SparkSession, path: str, target: str, keep: str = "last", keys: Sequence[str] = RECORD_KEY) -> None:
+def compact(spark: SparkSession, path: str, target: str, keep: str = "last", keys: Sequence[str] = RECORD_KEY, range_offsets: int = RANGE_OFFSETS) -> None:
     """Fold all batches into a run of one batch at ``target``, to be used in place of ``path``; streams stopped before and
     started again on a new checkpoint write later runs beside it."""
-    settled = read_keyed(spark, path, keep, keys).withColumn("arrival", F.lit(0).cast("bigint"))
-    settled.write.mode("overwrite").parquet(f"{target}/keyed_run={new_run()}/keyed_batch=0")
+    settled = read_keyed(spark, path, keep, keys).withColumn("arrival", F.lit(0).cast("bigint")).withColumn("keyed_range", _range(keys, range_offsets))
+    settled.hint("rebalance", "keyed_range").write.mode("overwrite").partitionBy("keyed_range").parquet(f"{target}/keyed_run={new_run()}/keyed_batch=0")

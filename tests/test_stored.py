@@ -135,3 +135,48 @@ def test_registry_changes(spark):
 def test_probe_axes_are_trimmed(spark):
     probes = spark.createDataFrame([([" X", "Y ", "Z"],)], "machine_axes array<string>")
     assert rows(fleet.ping_rows(probes)) == [(["X", "Y", "Z"],)]
+
+
+def _table(spark, path):
+    shape = "offset bigint, partition int, v string, arrival bigint"
+    first = spark.createDataFrame([(k, 0, "old", 0) for k in range(50)], shape)
+    again = spark.createDataFrame([(k, 0, "new", 0) for k in range(18, 33)], shape)
+    tables.write_batch(first, path, 0, run="1", range_offsets=10)
+    tables.write_batch(again, path, 1, run="1", range_offsets=10)
+    return again.withColumn("v", F.lit("newer"))
+
+
+def test_a_range_of_offsets_reads_its_own_files(spark):
+    path = new_path(spark, "ranges")
+    _table(spark, path)
+    found = tables.read_keyed(spark, path, offsets=(15, 30), range_offsets=10)
+    assert {r.offset: r.v for r in found.collect()} == {k: "new" if k >= 18 else "old" for k in range(15, 30)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(keyed_range" in plan
+    assert sorted({f.split("keyed_range=")[1].split("/")[0] for f in found.inputFiles()}) != []
+    read = spark.read.option("basePath", path).parquet(path).filter("keyed_range BETWEEN 1 AND 2")
+    assert read.select("keyed_range").distinct().count() == 2
+
+
+def test_compaction_rewrites_only_ranges_of_several_batches(spark):
+    path = new_path(spark, "compacted")
+    newer = _table(spark, path)
+
+    def files(r):
+        stored = spark.read.option("basePath", path).parquet(path).filter(f"keyed_range = {r}")
+        return sorted({x[0] for x in stored.select(F.input_file_name()).collect()})
+
+    before = {r: files(r) for r in range(5)}
+    assert tables.compact_ranges(spark, path) == [1, 2, 3]
+    after = {r: files(r) for r in range(5)}
+    assert all(after[r] == before[r] for r in (0, 4)) and all(not set(after[r]) & set(before[r]) for r in (1, 2, 3))
+    expected = {k: "new" if 18 <= k < 33 else "old" for k in range(50)}
+    assert {r.offset: r.v for r in tables.read_keyed(spark, path).collect()} == expected
+    # The stream goes on, and its batch of before is repeated.
+    tables.write_batch(newer.withColumn("v", F.lit("new")), path, 1, run="1", range_offsets=10)
+    tables.write_batch(newer, path, 2, run="1", range_offsets=10)
+    expected = {k: "newer" if 18 <= k < 33 else "old" for k in range(50)}
+    assert {r.offset: r.v for r in tables.read_keyed(spark, path).collect()} == expected
+    assert tables.compact_ranges(spark, path) == [1, 2, 3] and tables.compact_ranges(spark, path) == []
+    assert {r.offset: r.v for r in tables.read_keyed(spark, path).collect()} == expected
+    assert {r.offset: r.v for r in tables.read_keyed(spark, path, "first").collect()}[20] == "newer"
