@@ -40,6 +40,10 @@ class Tables:
     def readings(self) -> DataFrame:
         return telemetry.readings_from_events(self.events)
 
+    @cached_property
+    def full_messages(self) -> DataFrame:
+        return telemetry.full_messages_from_events(self.events)
+
     @cached_property
     def messages(self) -> DataFrame:
         return telemetry.messages_from_events(self.events)

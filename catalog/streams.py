@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from catalog.base import HALF_HOUR, Tables, query
 from catalog.relations import sql
 from millwright.operators import changes, ingest, periods, profile
-from millwright.schemas import EXECUTION, FLAT
+from millwright.schemas import ARRAY_FIELDS, FLAT, META_KEYS, VALUES
 from millwright.session import new_path
 from millwright.sources import tables, topic
-from millwright.sources.telemetry import messages_from_events, samples_from_events
+from millwright.sources.telemetry import full_messages_from_events, samples_from_events
 from millwright.streaming import carried, counts, sinks, stateful
 
 
@@ -164,27 +164,36 @@ def execution_with_session_stream(t: Tables):
 
 # ---- sources and sinks
 
-_MESSAGE_COLUMNS = """machine_id, "offset", "timestamp", "partition", execution, part_count, program, sequence,
-    mprogram, cprogram, block, block_num, meta_total, meta_status"""
-_DECODED = sql(f"""
-    SELECT {_MESSAGE_COLUMNS}, CAST(NULL AS VARCHAR) AS "load", CAST(NULL AS BIGINT) AS meta_cycle_time,
-      CASE WHEN block_num IS NOT NULL THEN '[' || CAST(block_num / 4 AS DOUBLE) || ',' || CAST(sequence / 2 AS DOUBLE) || ']' END AS actual
-    FROM samples WHERE execution IS NOT NULL""")
-_FLAT = [
-    "machine_id", "offset", "timestamp", "partition", "execution", "part_count", "program", "sequence",
-    "mprogram", "cprogram", "block", "block_num", "meta_total", "meta_status", "load",
-    "meta_cycle_time", "actual",
-]
+def _full(i: int, name: str, kind: str) -> str:
+    """Field ``i`` of the messages that carry every field, as the flat sample has it."""
+    there = f'CASE WHEN ("offset" + {i}) % 3 = 0 THEN '
+    if name in ("execution", "program"):
+        return name
+    if name == "axes":
+        text = '[{"id":"X1","name":"X","index":1,"suffix":"","divisor":1000,"flag":0,"unit":0,"unith":"mm","decimal":3}]'
+        return f"{there}'{text}' END AS axes"
+    if name in ARRAY_FIELDS:
+        return f"""{there}'[' || CAST("offset" / 4 AS DOUBLE) || ',' || CAST(("offset" % 8) / 2 AS DOUBLE) || ']' END AS "{name}\""""
+    if kind == "string":
+        return f"""{there}'{name}-' || "offset" % 11 END AS "{name}\""""
+    number = f'"offset" * 1000 + {i}' if kind == "bigint" else f'CAST(("offset" * {i + 1}) % 1000 AS INTEGER)'
+    return f'{there}{number} END AS "{name}"'
+
+
+_FLAT = FLAT.names
+_VALUES = [_full(i, f.name, f.dataType.simpleString()) for i, f in enumerate(VALUES)]
+_META = [f'CASE WHEN ("offset" + {j}) % 4 <> 0 THEN "offset" + {j} END AS meta_{k}' for j, k in enumerate(META_KEYS)]
+_DECODED = sql('SELECT machine_id, "offset", "timestamp", "partition", ' + ", ".join([*_VALUES, *_META]) + " FROM samples WHERE execution IS NOT NULL")
 
 
 @query("flatten_sample", _DECODED)
 def flatten_sample(t: Tables):
-    return ingest.flatten(ingest.decode(t.messages)).select(*_FLAT)
+    return ingest.flatten(ingest.decode(t.full_messages))
 
 
 @query("flatten_generic", _DECODED)
 def flatten_generic(t: Tables):
-    return ingest.flatten_generic(ingest.decode(t.messages)).select(*_FLAT)
+    return ingest.flatten_generic(ingest.decode(t.full_messages)).select(*_FLAT)
 
 
 @query("flatten_generic_listed", sql("""
@@ -216,34 +225,33 @@ def meta_averages(t: Tables):
     return profile.meta_averages(ingest.decode(t.messages)).withColumn("mean", F.round("mean", 6))
 
 
-def _json_topic(t: Tables) -> str:
+def _json_topic(t: Tables, messages) -> str:
     """The messages as JSON lines files, as a topic dump holds them."""
     path = new_path(t.spark, "topic")
-    t.messages.write.json(path)
+    messages.write.json(path)
     return path
 
 
 _READ = sql('SELECT machine_id AS "key", "partition", "offset", "timestamp" AS ms FROM samples')
 
 
-@query("read_samples_stream", sql(f"SELECT {_MESSAGE_COLUMNS} FROM samples WHERE execution IS NOT NULL"))
+@query("read_samples_stream", _DECODED)
 def read_samples_stream(t: Tables):
-    flat = ingest.flatten(ingest.decode(topic.json_stream(t.spark, _json_topic(t))))
-    return sinks.run_once(flat.select(*_FLAT[:14]), "flat")
+    flat = ingest.flatten(ingest.decode(topic.json_stream(t.spark, _json_topic(t, t.full_messages))))
+    return sinks.run_once(flat, "flat")
 
 
 @query("source_from_earliest", _READ)
 def source_from_earliest(t: Tables):
-    records = topic.json_stream(t.spark, _json_topic(t))
+    records = topic.json_stream(t.spark, _json_topic(t, t.messages))
     return sinks.run_once(
         records.select("key", "partition", "offset", F.unix_millis("timestamp").alias("ms")), "records"
     )
 
 
-@query("sink_flat", sql(f"SELECT {_MESSAGE_COLUMNS} FROM samples WHERE execution IS NOT NULL"))
+@query("sink_flat", _DECODED)
 def sink_flat(t: Tables):
-    flat = ingest.flatten(ingest.decode(messages_from_events(_events(t))))
-    return sinks.run_once(flat.select(*_FLAT[:14]), "flat")
+    return sinks.run_once(ingest.flatten(ingest.decode(full_messages_from_events(_events(t)))), "flat")
 
 
 def _keyed(t: Tables, stream, keep: str = "last"):

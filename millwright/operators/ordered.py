@@ -80,9 +80,9 @@ def slice_by_time(
     return (
         df.withColumn("_second", floor_to(time, SECOND))
         .join(crowded, [*keys, "_second"], "left")
-        # Rows without a time come first, as they do in the order itself.
+        # Rows without a time come first, as they do in the order itself, in pieces like those of a crowded millisecond.
         .withColumn("_slice", F.coalesce(time - F.pmod(time, F.coalesce(width, F.lit(HOUR).cast("long"))), F.lit(-(2**62))))
-        .withColumn("_part", F.when(width == 1, tie).otherwise(F.lit(0)).cast("long"))
+        .withColumn("_part", F.when((width == 1) | time.isNull(), tie).otherwise(F.lit(0)).cast("long"))
         .select(*df.columns, *SLICE)
     )
 

@@ -160,23 +160,8 @@ def bin_ends(samples: DataFrame, width_ms: int = DENSE_MS, as_of_ms: int | None
     return starts.withColumn("b", F.when(end > high, as_of).otherwise(end))
 
 
-def samples_in_bins(samples: DataFrame, width_ms: int = DENSE_MS) -> DataFrame:
-    """Every (machine, bin) with the samples inside, one row without a sample for an empty bin.
-
-    The bin follows from the time by division, so this is an equality join. Bins with samples need
-    no match: only the empty ones are added, so no join moves the samples.
-    """
-    low = samples.agg(floor_to(F.min("timestamp"), HOUR_MS)).scalar()
-    at = F.col("timestamp")
-    placed = samples.withColumn("a", at - F.pmod(at - low, F.lit(width_ms)))
-    placed = placed.withColumn("b", F.col("a") + width_ms)
-    filled = placed.select("machine_id", "a").distinct()
-    empty = bin_spine(samples, width_ms).join(filled, ["machine_id", "a"], "left_anti")
-    return placed.unionByName(empty, allowMissingColumns=True)
-
-
-def activity_periods_dense(samples: DataFrame, width_ms: int = DENSE_MS, as_of_ms: int | None = None) -> DataFrame:
-    """Samples per machine and bin, empty bins with 0.
+def _spread(samples: DataFrame, width_ms: int) -> tuple[DataFrame, Column, Column]:
+    """Every bin of every machine with the filled bin that brings it and that bin's count; the first bin and the newest step.
 
     All follows from one count of the samples per machine and step, a step being the longest time that
     divides both bins and hours. Each filled bin brings the empty ones after it, a machine's first also those before.
@@ -193,6 +178,26 @@ def activity_periods_dense(samples: DataFrame, width_ms: int = DENSE_MS, as_of_m
         F.when(F.lag("a").over(per_machine("a")).isNull(), low).otherwise(F.col("a")).alias("since"),
     )
     spread = bins.select("machine_id", F.col("a").alias("filled"), "n", F.explode(F.sequence("since", "until", F.lit(width_ms))).alias("a"))
+    return spread, low, high
+
+
+def samples_in_bins(samples: DataFrame, width_ms: int = DENSE_MS) -> DataFrame:
+    """Every (machine, bin) with the samples inside, one row without a sample for an empty bin.
+
+    The bin follows from the time by division, so this is an equality join. Bins with samples need
+    no match: only the empty ones are added, from the counts, so no join moves the samples.
+    """
+    spread, low, _ = _spread(samples, width_ms)
+    at = F.col("timestamp")
+    placed = samples.withColumn("a", at - F.pmod(at - low, F.lit(width_ms)))
+    placed = placed.withColumn("b", F.col("a") + width_ms)
+    empty = spread.filter("a <> filled").select("machine_id", "a", (F.col("a") + width_ms).alias("b"))
+    return placed.unionByName(empty, allowMissingColumns=True)
+
+
+def activity_periods_dense(samples: DataFrame, width_ms: int = DENSE_MS, as_of_ms: int | None = None) -> DataFrame:
+    """Samples per machine and bin, empty bins with 0."""
+    spread, _, high = _spread(samples, width_ms)
     end = F.col("a") + width_ms
     b = end if as_of_ms is None else F.when(end > high, F.lit(as_of_ms)).otherwise(end)
     return spread.select("machine_id", "a", b.alias("b"), F.when(F.col("a") == F.col("filled"), F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("count"))

@@ -6,8 +6,11 @@ one of six machines, and the event type decides which sparse fields a message ca
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millwright.schemas import AXIS, META_KEYS, VALUES
 
 
 def event_millis(column: str = "ts"):
@@ -92,3 +95,39 @@ def messages_from_events(events: DataFrame) -> DataFrame:
         "offset",
         F.timestamp_millis("timestamp").alias("timestamp"),
     )
+
+
+#: A stand-in axis record.
+AXIS_ROW = {"id": "X1", "name": "X", "index": 1, "suffix": "", "divisor": 1000, "flag": 0, "unit": 0, "unith": "mm", "decimal": 3}
+
+
+def full_messages_from_events(events: DataFrame) -> DataFrame:
+    """Topic records that carry every field of a message, a third of the fields at a time.
+
+    Field number ``i`` is there where ``event_id + i`` leaves 0 by 3; arrays are empty where it leaves 1. State and program
+    follow ``samples_from_events``; errors are cut short.
+    """
+    event = F.col("offset")
+
+    def value(i: int, name: str, kind: T.DataType) -> Column:
+        there = (event + i) % 3 == 0
+        if name in ("execution", "program"):
+            return F.col(name)
+        if name == "axes":
+            row = F.struct(*(F.lit(AXIS_ROW[f.name]).cast(f.dataType).alias(f.name) for f in AXIS))
+            return F.when(there, F.array(row)).when((event + i) % 3 == 1, F.array().cast(kind))
+        if isinstance(kind, T.ArrayType):
+            return F.when(there, F.array(event / 4, (event % 8) / 2)).when((event + i) % 3 == 1, F.array().cast(kind))
+        if isinstance(kind, T.StringType):
+            return F.when(there, F.concat(F.lit(f"{name}-"), (event % 11).cast("string")))
+        return F.when(there, event * 1000 + i if isinstance(kind, T.LongType) else (event * (i + 1)) % 1000)
+
+    samples = samples_from_events(events)
+    values = F.to_json(F.struct(*(value(i, f.name, f.dataType).cast(f.dataType).alias(f.name) for i, f in enumerate(VALUES))))
+    meta = F.to_json(F.struct(*(F.when((event + j) % 4 != 0, event + j).alias(k) for j, k in enumerate(META_KEYS))))
+    text = F.concat(F.lit('{"values":'), values, F.lit(',"meta":'), meta, F.lit("}"))
+    return samples.select(
+        F.col("machine_id").alias("key"),
+        F.when(F.col("execution").isNull(), F.substring(text, 1, 25)).otherwise(text).alias("value"),
+        "partition", "offset", F.timestamp_millis("timestamp").alias("timestamp"),
+    )

@@ -111,3 +111,17 @@ def test_input_order_does_not_matter(make_samples):
     first = over_slices(slice_by_time(make_samples(made), rows=5), TIME_ORDER, **steps())
     second = over_slices(slice_by_time(make_samples(shuffled), rows=5), TIME_ORDER, **steps())
     assert rows(first.drop(*ordered.SLICE)) == rows(second.drop(*ordered.SLICE))
+
+
+def test_rows_without_a_time_are_cut_by_offset(spark):
+    from millwright.operators.ordered import TIME_ORDER, over_slices, slice_by_time
+
+    rows_ = [("m", None if i % 3 else i * 1000, i, 0) for i in range(90)]
+    frame = spark.createDataFrame(rows_, "machine_id string, timestamp bigint, offset bigint, partition int")
+    sliced = slice_by_time(frame, rows=10)
+    sizes = sliced.filter("timestamp IS NULL").groupBy("_slice", "_part").count()
+    assert sizes.count() == 9 and sizes.agg({"count": "max"}).first()[0] <= 10
+    got = over_slices(sliced, TIME_ORDER, lag={"before": sliced.offset})
+    order = sorted(rows_, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    expected = {r[2]: b for r, b in zip(order, [None, *(r[2] for r in order)])}
+    assert {r.offset: r.before for r in got.collect()} == expected
