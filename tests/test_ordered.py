@@ -121,7 +121,7 @@ def test_rows_without_a_time_are_cut_by_offset(spark):
     sliced = slice_by_time(frame, rows=10)
     sizes = sliced.filter("timestamp IS NULL").groupBy("_slice", "_part").count()
     assert sizes.count() == 9 and sizes.agg({"count": "max"}).first()[0] <= 10
-    got = over_slices(sliced, TIME_ORDER, lag={"before": sliced.offset})
+    got = over_slices(sliced, TIME_ORDER, lag={"before": sliced["offset"]})
     order = sorted(rows_, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
     expected = {r[2]: b for r, b in zip(order, [None, *(r[2] for r in order)])}
     assert {r.offset: r.before for r in got.collect()} == expected
