@@ -50,12 +50,14 @@ def start_tables(samples: DataFrame, folder: str, once: bool = False) -> list[St
     ]
 
 
-def start_counts(samples: DataFrame, folder: str, once: bool = False) -> list[StreamingQuery]:
-    """Counts per minute and per session, each written when it can no longer change."""
-    return [
-        _write(counts.window_counts(samples), folder, "counts", once),
-        _write(counts.session_counts(samples), folder, "counts-sessions", once),
-    ]
+def start_counts(samples: DataFrame, folder: str, once: bool = False, servers: str | None = None) -> list[StreamingQuery]:
+    """Counts per minute and per session, each written when it can no longer change; with ``servers`` also to the topics
+    ``counts`` and ``counts-sessions``, keyed by machine."""
+    streams = {"counts": counts.window_counts(samples), "counts-sessions": counts.session_counts(samples)}
+    started = [_write(stream, folder, name, once) for name, stream in streams.items()]
+    if servers:
+        started += [sinks.to_kafka(stream, servers, name, f"{folder}/{name}/checkpoint-topic", once) for name, stream in streams.items()]
+    return started
 
 
 def start_state(samples: DataFrame, folder: str, gap_ms: int = SESSION_GAP_MS, once: bool = False) -> list[StreamingQuery]:

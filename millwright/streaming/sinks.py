@@ -54,13 +54,15 @@ def to_keyed_table(
     )
 
 
+def keyed_records(rows: DataFrame) -> DataFrame:
+    """Rows as topic records: the machine as key, all columns as JSON, nulls left out."""
+    return rows.select(F.col("machine_id").alias("key"), F.to_json(F.struct(*rows.columns)).alias("value"))
+
+
 def to_kafka(stream: DataFrame, servers: str, topic: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Rows as JSON keyed by machine. Needs the Kafka connector on the class path."""
-    records = stream.select(
-        F.col("machine_id").alias("key"), F.to_json(F.struct(*stream.columns)).alias("value")
-    )
     writer = (
-        records.writeStream.format("kafka")
+        keyed_records(stream).writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
     )

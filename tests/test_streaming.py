@@ -157,3 +157,8 @@ def test_a_stream_without_arrival_is_refused(streamed, spark):
     stream, _ = streamed(walk(9), files=1)
     with pytest.raises(ValueError):
         sinks.to_keyed_table(stream, "nowhere", "nowhere")
+
+
+def test_counts_as_topic_records(spark):
+    found = spark.createDataFrame([("m", 0, 60, 3)], "machine_id string, windowStart bigint, windowEnd bigint, count bigint")
+    assert rows(sinks.keyed_records(found)) == [("m", '{"machine_id":"m","windowStart":0,"windowEnd":60,"count":3}')]
