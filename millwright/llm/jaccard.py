@@ -29,7 +29,7 @@ from millwright.session import cut
 SKETCH = 1 << 21
 NEEDED = 1 << 20
 #: Rows that one task handles for one n-gram; n-grams of sets that one task holds for one centre; rows of a cell.
-SALT_ROWS, BLOCK_GRAMS, CELL_ROWS, BLOCK_ROWS = 20_000, 2_000_000, 2_000, 8_000
+SALT_ROWS, BLOCK_GRAMS, CELL_ROWS = 20_000, 2_000_000, 2_000
 
 
 def _cell(grams: np.ndarray) -> np.ndarray:
@@ -297,20 +297,19 @@ def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: i
     """Pairs of different components that share an n-gram and that sizes and parity bitmaps allow."""
     rows = shared.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = F.min("component").alias("low"), F.max("component").alias("high")
-    # A cell holds one band of sizes and, as guests, the next. Cells of n-grams with the same first id hold much the same rows; blocks of them go to one task, which names a pair once.
+    # A cell holds one band of sizes and, as guests, the next. Cells of n-grams with the same first id hold much the same rows and go to one task, which names a pair once.
     rows = rows.select("token", "rep", "component", "band", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
     cells = rows.groupBy("token", "cell").agg(*mixed, F.count("*").alias("rows"), F.min("rep").alias("first")).where("low <> high")
-    parts = cells.groupBy("first").agg(F.ceil(F.max("rows") / CELL_ROWS).cast("int").alias("parts"), F.ceil(F.sum("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("token", "cell"), F.col("blocks")).cast("int")
-    cells = cells.join(parts, "first").select("token", "cell", "first", "parts", block.alias("block"))
-    # Large cells are cut into parts, and each pair of parts of a block is a task's work.
+    parts = cells.groupBy("first").agg(F.ceil(F.max("rows") / CELL_ROWS).cast("int").alias("parts"))
+    cells = cells.join(parts, "first").select("token", "cell", "first", "parts")
+    # Large cells are cut into parts, and each pair of parts is a task's work.
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     rows = rows.join(cells, ["token", "cell"]).withColumn("part", part).join(classes.select("rep", "n", "parity"), "rep")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "first", "block", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "token", "cell", "n", "rep", "component", "band", "part", "parity")
+        "first", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "token", "cell", "n", "rep", "component", "band", "part", "parity")
     # With a number, as the few bytes would else be merged into few tasks for much work.
     tasks = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(tasks, "first", "block", "i", "j").sortWithinPartitions("first", "block", "i", "j", "token", "cell", "n", "rep")
+    ordered = rows.repartition(tasks, "first", "i", "j").sortWithinPartitions("first", "i", "j", "token", "cell", "n", "rep")
 
     def task(batches):
         run, held = None, []
@@ -319,7 +318,7 @@ def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: i
             found = np.unique(np.concatenate(held, axis=1), axis=1) if held else np.zeros((2, 0), np.int64)
             return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["centre", "rep"])
 
-        for key, table in _chunks(batches, 6, 4):
+        for key, table in _chunks(batches, 5, 3):
             if key != run:
                 if held:
                     yield out()
