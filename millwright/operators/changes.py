@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millwright.functions import clock
 from millwright.functions.text import present
 from millwright.operators.ordered import (
+    MARKED,
     SLICE,
     STREAM_ORDER,
     TIME_ORDER,
@@ -118,7 +119,7 @@ def runs_in_periods(events: DataFrame, periods: DataFrame, rows: int | None = No
     same_period = F.coalesce(F.col("_previous.timestamp") >= F.col("a"), F.lit(False))
     changed = placed.filter(~same_period | (F.col("execution") != F.col("_previous.execution")))
     slim = changed.select(
-        *events.columns, "b", "r", *[c for c in SLICE if c in changed.columns]
+        *events.columns, "b", "r", *[c for c in changed.columns if c in SLICE or c.startswith(MARKED)]
     )
     followed = over_slices(slim, TIME_ORDER, lead={"_next": F.col("timestamp")})
     end = F.when(F.col("_next") < F.col("b"), F.col("_next")).otherwise(F.col("b"))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RECORD_KEY = ("offset", "partition")
+#: Parts over which the rows of one key are dealt when a row for it is looked up.
+SPREAD = 32
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], pick) -> DataFrame:
@@ -27,3 +29,10 @@ def keep_last(df: DataFrame, arrival: Column, keys: Sequence[str] = RECORD_KEY)
 
 def latest_per_key(df: DataFrame, key: str, order: Column, fields: Sequence[str]) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(F.struct(*fields), order).alias("_row")).select(key, "_row.*")
+
+
+def looked_up(rows: DataFrame, table: DataFrame, *keys: str, deal: Sequence[str] = ()) -> DataFrame:
+    """``rows`` with the one row of ``table`` for their key, or nulls. A key's rows are dealt over ``SPREAD`` parts by ``deal``, by default all columns."""
+    copies = table.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    share = F.pmod(F.xxhash64(*(deal or rows.columns)), F.lit(SPREAD)).cast("int")
+    return rows.withColumn("_share", share).join(copies, [*keys, "_share"], "left").drop("_share")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millwright.functions import clock
 from millwright.functions.text import content_hash, one_line, present
+from millwright.operators.keyed import looked_up
 from millwright.operators.ordered import (
     KEYS,
     over_slices,
@@ -164,7 +165,7 @@ def session_lookup(
     """
     if lookup == "first":
         first = sessions_.groupBy("machine_id").agg(F.min("windowStart").alias("session"))
-        return events.join(first, "machine_id", "left").fillna({"session": -1})
+        return looked_up(events, first, "machine_id", deal=["timestamp", "offset"]).fillna({"session": -1})
     if lookup != "containing":
         raise ValueError(f"unknown lookup {lookup!r}")
     marked = events.unionByName(

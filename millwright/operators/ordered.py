@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 KEYS = ("machine_id",)
 SLICE = ("_slice", "_part")
+#: A key's text with a mark before it, empty for null. It is never null, so rows meet their slice's border by plain equality, where they lie.
+MARKED = "_key_"
 STREAM_ORDER = ("partition", "offset")
 TIME_ORDER = ("timestamp", "offset", "partition")
 
@@ -41,8 +43,8 @@ def slice_rows(df: DataFrame, rows: int | None) -> int:
 
 def slice_by_offset(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Slices for stream order: runs of offsets. Offsets are unique in a partition, so no slice exceeds ``rows``."""
-    return df.withColumn("_slice", F.col("partition").cast("long")).withColumn(
-        "_part", F.expr(f"offset div {slice_rows(df, rows)}")
+    return df.withColumn("_slice", F.coalesce(F.col("partition").cast("long"), F.lit(-1))).withColumn(
+        "_part", F.coalesce(F.expr(f"offset div {slice_rows(df, rows)}"), F.lit(-1))
     )
 
 
@@ -82,11 +84,15 @@ def slice_by_time(
         .join(crowded, [*keys, "_second"], "left")
         # Rows without a time come first, as they do in the order itself, in pieces like those of a crowded millisecond.
         .withColumn("_slice", F.coalesce(time - F.pmod(time, F.coalesce(width, F.lit(HOUR).cast("long"))), F.lit(-(2**62))))
-        .withColumn("_part", F.when((width == 1) | time.isNull(), tie).otherwise(F.lit(0)).cast("long"))
+        .withColumn("_part", F.coalesce(F.when((width == 1) | time.isNull(), tie).otherwise(F.lit(0)).cast("long"), F.lit(-1)))
         .select(*df.columns, *SLICE)
     )
 
 
+def marked_key(key: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+
+
 def _row(columns: Columns) -> Column:
     return F.struct(F.lit(True).alias("_row"), *[c.alias(n) for n, c in columns.items()])
 
@@ -107,12 +113,19 @@ def over_slices(
 
     ``lag`` / ``lead``: value of the previous / next row. ``carry``: last non-null value up to the
     row; ``carry_before``: strictly before it. ``total``: running sum. ``peak``: running maximum.
+
+    Rows are shuffled once, by their slice, and keep that place, so a further call on the
+    result shuffles none. The branch that sums up the slices asks for all columns, as the rows do, so both
+    read one shuffle; keep ``df`` to the columns that are wanted.
     """
     lag, lead, carry = dict(lag or {}), dict(lead or {}), dict(carry or {})
     before, total, peak = dict(carry_before or {}), dict(total or {}), dict(peak or {})
-    slice_keys = [*keys, *SLICE]
+    marked = [f"{MARKED}{k}" for k in keys]
+    kept = [c for c in df.columns if c not in marked]
+    df = df.withColumns({m: marked_key(k) for m, k in zip(marked, keys, strict=True) if m not in df.columns})
+    place = [*marked, *SLICE]
 
-    inside = Window.partitionBy(*slice_keys).orderBy(*by)
+    inside = Window.partitionBy(*place).orderBy(*by)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
     held = {**carry, **before}
@@ -124,37 +137,34 @@ def over_slices(
         *[F.last(c, ignorenulls=True).over(earlier).alias(f"_before_{n}") for n, c in before.items()],
         *[F.sum(c).over(upto).alias(f"_sum_{n}") for n, c in total.items()],
         *[F.max(c).over(upto).alias(f"_max_{n}") for n, c in peak.items()],
-        _row(lead).alias("_own_head"),
-        _row(lag).alias("_own_tail"),
     )
     is_first, is_last = F.col("_prev").isNull(), F.col("_next").isNull()
 
     # One row per slice, from its first and last row; the last one has seen all values and sums.
-    def at_end(name: str) -> Column:
-        return F.first(F.when(is_last, F.col(name)), ignorenulls=True).alias(name)
-
-    ends = local.filter(is_first | is_last).groupBy(*slice_keys).agg(
-        F.first(F.when(is_first, F.col("_own_head")), ignorenulls=True).alias("_head"),
-        at_end("_own_tail").alias("_tail"),
-        *[at_end(f"_at_{n}") for n in held],
-        *[at_end(f"_sum_{n}") for n in total],
-        *[at_end(f"_max_{n}") for n in peak],
+    seen = [f"_at_{n}" for n in held] + [f"_sum_{n}" for n in total] + [f"_max_{n}" for n in peak]
+    whole = F.struct(*kept).alias("_whole")
+    head = F.struct(whole, *[c.alias(f"_lead_{n}") for n, c in lead.items()])
+    tail = F.struct(whole, *[c.alias(f"_lag_{n}") for n, c in lag.items()], *seen)
+    ends = local.filter(is_first | is_last).groupBy(*place).agg(
+        F.first(F.when(is_first, head), ignorenulls=True).alias("_head"),
+        F.first(F.when(is_last, tail), ignorenulls=True).alias("_tail"),
     )
-    across = Window.partitionBy(*keys).orderBy(*SLICE)
+    across = Window.partitionBy(*marked).orderBy(*SLICE)
     past = across.rowsBetween(Window.unboundedPreceding, -1)
     borders = ends.select(
-        *[F.col(k).alias(f"_of_{k}") for k in slice_keys],
-        F.lag("_tail").over(across).alias("_from"),
-        F.lead("_head").over(across).alias("_to"),
-        *[F.last(f"_at_{n}", ignorenulls=True).over(past).alias(f"_in_at_{n}") for n in held],
-        *[F.sum(f"_sum_{n}").over(past).alias(f"_in_sum_{n}") for n in total],
-        *[F.max(f"_max_{n}").over(past).alias(f"_in_max_{n}") for n in peak],
+        *[F.col(c).alias(f"_of{c}") for c in place],
+        *[F.lag(f"_tail._lag_{n}").over(across).alias(f"_from_{n}") for n in lag],
+        *[F.lead(f"_head._lead_{n}").over(across).alias(f"_to_{n}") for n in lead],
+        *[F.last(f"_tail._at_{n}", ignorenulls=True).over(past).alias(f"_in_at_{n}") for n in held],
+        *[F.sum(f"_tail._sum_{n}").over(past).alias(f"_in_sum_{n}") for n in total],
+        *[F.max(f"_tail._max_{n}").over(past).alias(f"_in_max_{n}") for n in peak],
     )
-    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in slice_keys))
+    same = reduce(and_, (F.col(c) == F.col(f"_of{c}") for c in place))
     return local.join(borders, same, "left").select(
-        *[F.col(c) for c in df.columns],
-        *[F.when(is_first, F.col(f"_from.{n}")).otherwise(F.col(f"_prev.{n}")).alias(n) for n in lag],
-        *[F.when(is_last, F.col(f"_to.{n}")).otherwise(F.col(f"_next.{n}")).alias(n) for n in lead],
+        *[F.col(c) for c in kept],
+        *marked,
+        *[F.when(is_first, F.col(f"_from_{n}")).otherwise(F.col(f"_prev.{n}")).alias(n) for n in lag],
+        *[F.when(is_last, F.col(f"_to_{n}")).otherwise(F.col(f"_next.{n}")).alias(n) for n in lead],
         *[F.coalesce(f"_at_{n}", f"_in_at_{n}").alias(n) for n in carry],
         *[F.coalesce(f"_before_{n}", f"_in_at_{n}").alias(n) for n in before],
         *[F.coalesce(F.col(f"_sum_{n}") + F.col(f"_in_sum_{n}"), f"_sum_{n}", f"_in_sum_{n}").alias(n) for n in total],
@@ -164,4 +174,4 @@ def over_slices(
 
 def unsliced(df: DataFrame) -> DataFrame:
     """Drop the slice columns."""
-    return df.drop(*SLICE)
+    return df.drop(*SLICE, *(c for c in df.columns if c.startswith(MARKED)))

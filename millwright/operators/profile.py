@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.operators.changes import changes_only, execution_events
+from millwright.operators.keyed import looked_up
 from millwright.operators.ordered import STREAM_ORDER, over_slices, slice_by_offset
 
 
@@ -130,7 +131,7 @@ def topic_size(records: DataFrame) -> DataFrame:
 def replay_from(records: DataFrame, back: int) -> DataFrame:
     """The last ``back`` offsets of every partition."""
     ends = records.groupBy("partition").agg(F.max("offset").alias("_end"))
-    return records.join(ends, "partition").filter(F.col("offset") > F.col("_end") - back).drop("_end")
+    return looked_up(records, ends, "partition", deal=["offset"]).filter(F.col("offset") > F.col("_end") - back).drop("_end")
 
 
 def replay_offsets(records: DataFrame, topic: str, back: int) -> str:

@@ -22,13 +22,12 @@ from pyspark.sql.types import StructType
 from pyspark.sql.streaming import StreamingQuery
 
 from millwright.operators import changes, matching, periods, readings
+from millwright.operators.keyed import looked_up
 from millwright.operators.ordered import STREAM_ORDER, over_slices, slice_by_offset, unsliced
 from millwright.operators.periods import GRACE_MS, SESSION_GAP_MS, TUMBLING_MS
 from millwright.session import new_path
 from millwright.streaming.sinks import TRIGGER
 
-#: Parts over which the rows of one key are dealt when state is looked up.
-SPREAD = 32
 POSITIONS = "partition int, reached bigint"
 CLOCK = "partition int, reached bigint, seen bigint"
 
@@ -91,13 +90,6 @@ def run_once(stream: DataFrame, step: Step, label: str) -> DataFrame:
 # ---- state beside a batch
 
 
-def looked_up(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
-    """``rows`` with the one row of ``table`` for their key, or nulls. A key's rows are dealt over ``SPREAD`` parts."""
-    copies = table.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    share = F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("int")
-    return rows.withColumn("_share", share).join(copies, [*keys, "_share"], "left").drop("_share")
-
-
 def after_positions(batch: DataFrame, positions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows beyond the offset their partition has reached, the others, and the offsets reached now."""
     placed = looked_up(batch, positions.select("partition", "reached"), "partition")

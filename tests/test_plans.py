@@ -27,10 +27,10 @@ def test_sliced_windows_never_partition_samples_by_machine_alone(spark):
     events = changes.execution_events(samples_from_events(spark.read.parquet(f"{SF_DIR}/events.parquet")))
     sliced = ordered.slice_by_time(events, rows=50)
     followed = ordered.over_slices(sliced, lead={"n": F.col("timestamp")})
-    exchanges = re.findall(r"Exchange hashpartitioning\(machine_id#\d+, ([^)]*)", plan(followed))
+    exchanges = re.findall(r"Exchange hashpartitioning\(_key_machine_id#\d+, ([^)]*)", plan(followed))
     assert any("_slice" in keys for keys in exchanges)
     # The one exchange on machine_id alone holds a summary row per slice.
-    borders = [line for line in plan(followed).splitlines() if re.search(r"hashpartitioning\(machine_id#\d+, \d+\)", line)]
+    borders = [line for line in plan(followed).splitlines() if re.search(r"hashpartitioning\(_key_machine_id#\d+, \d+\)", line)]
     assert len(borders) <= 1
 
 
@@ -50,6 +50,17 @@ def test_windows_over_one_order_share_a_sort(spark):
     assert len(re.findall(r"\bSort \[", plan(both))) <= 4
 
 
+def test_steps_of_one_order_share_one_scan_and_one_shuffle_of_rows(spark):
+    events = changes.execution_events(samples_from_events(spark.read.parquet(f"{SF_DIR}/events.parquet")))
+    once = ordered.over_slices(ordered.slice_by_offset(events), ordered.STREAM_ORDER, lead={"n": F.col("timestamp")})
+    twice = ordered.over_slices(once, ordered.STREAM_ORDER, lag={"p": F.col("n")})
+    twice.collect()
+    text = plan(twice).split("== Initial Plan ==")[0]
+    # Both steps and their summaries read the same shuffle; borders are joined by plain equality.
+    assert text.count("FileScan") == 1 and "coalesce(machine_id" not in text
+    assert text.count("ReusedExchange") >= 1
+
+
 def test_machine_filter_reaches_the_scan(spark):
     stored = spark.read.parquet(f"{SF_DIR}/events.parquet").filter(F.col("user_id") == 3)
     assert "EqualTo(user_id,3)" in plan(stored)
