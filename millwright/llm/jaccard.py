@@ -6,8 +6,8 @@
 3. Two sets that are similar enough share an n-gram among the first ``n - ceil(threshold * n) + 1`` of each. Within every
    shared n-gram, each representative is paired with one centre of like size only, and centres with those of the next sizes.
 4. Each pair is checked against the whole sets. The members of a centre are stored as a prefix tree, commonest n-gram
-   first; the tree is walked once, overlaps with the centre are shared along paths, and a subtree is left as soon as what
-   remains of its sets cannot reach the needed overlap.
+   first; the tree is walked once, overlaps with the centre are shared along paths, and a subtree is left as soon as no
+   length between the smallest and largest that remain in it can reach the overlap it needs.
 5. Links give components. Only n-grams that still hold different components are looked at again, pair by pair, but a pair
    goes on only if parity bitmaps of both sets allow it, and is then checked by step 4. So no link is lost, and a group of
    copies costs a star, not all its pairs.
@@ -196,40 +196,58 @@ class Trie:
     def __init__(self, names: list[int], sequences: list[np.ndarray]) -> None:
         order = sorted(range(len(names)), key=lambda i: sequences[i].astype(">u8").tobytes())
         self.names, self.sequences = [names[i] for i in order], [sequences[i] for i in order]
-        self.shared = [0] * bool(names)
+        shared = [0] * bool(names)
         for a, b in zip(self.sequences, self.sequences[1:], strict=False):
             m = min(len(a), len(b))
             differ = np.flatnonzero(a[:m] != b[:m])
-            self.shared.append(int(differ[0]) if len(differ) else m)
+            shared.append(int(differ[0]) if len(differ) else m)
+        self.shared = np.array(shared, np.int64)
+        self.sizes = np.array([len(x) for x in self.sequences], np.int64)
+
+    def _subtree(self, leaf: int, depth: int) -> int:
+        """The end of the leaves, from ``leaf`` on, that share its first ``depth`` n-grams."""
+        apart = self.shared[leaf + 1 :] < depth
+        return leaf + 1 + int(np.argmax(apart)) if apart.any() else len(self.names)
 
     def matches(self, query: np.ndarray, percent: int, step: int = 128):
         """Names of the sequences whose Jaccard similarity with ``query`` (sorted) is ``percent`` or more, and the overlaps."""
         size = len(query)
         along = np.zeros(1, np.int64)  # along[d]: n-grams of the query among the first d of the path
-        left = -1  # the depth at which the path was left, if it was
-        for name, sequence, shared in zip(self.names, self.sequences, self.shared, strict=True):
-            if left >= 0 and shared >= left:
-                # In the subtree that was left; its bound used the longest set that could still reach the overlap.
-                continue
-            left, at = -1, min(shared, len(along) - 1)
+        leaf = 0
+        while leaf < len(self.names):
+            sequence = self.sequences[leaf]
+            at = min(int(self.shared[leaf]), len(along) - 1)
             parts, total, depth = [along[: at + 1]], int(along[at]), at
-            need = -(-percent * (size + len(sequence)) // (100 + percent))
+            after = leaf + 1
             while depth < len(sequence):
                 piece = sequence[depth : depth + step]
                 found = np.searchsorted(query, piece)
                 counts = np.cumsum(query[np.minimum(found, size - 1)] == piece)
                 parts.append(total + counts)
                 total, depth = total + int(counts[-1]), depth + len(piece)
-                missed = depth - total  # n-grams of the path that the query lacks
-                # Any set below has at most (100 / percent) * size n-grams and, having missed these, a union larger by them.
-                if 100 * size < percent * (size + missed):
-                    left = depth
-                    break
-                if total + min(len(sequence) - depth, size - total) < need:
+                if not _reachable(size, total, depth, len(sequence), len(sequence), percent):
+                    # This set cannot; leave the subtree below here too if none of the lengths in it can.
+                    end = self._subtree(leaf, depth)
+                    own = self.sizes[leaf:end]
+                    if _reachable(size, total, depth, int(own.min()), int(own.max()), percent):
+                        end = leaf + 1
+                    after, total = end, -1
                     break
             along = np.concatenate(parts)
-            if depth >= len(sequence) and left < 0 and total >= need:
-                yield name, total
+            if total >= 0 and total * (100 + percent) >= percent * (size + len(sequence)):
+                yield self.names[leaf], total
+            leaf = after
+
+
+def _reachable(size: int, total: int, depth: int, shortest: int, longest: int, percent: int) -> bool:
+    """Whether a set of ``shortest`` to ``longest`` n-grams, ``total`` of its first ``depth`` in a query of ``size``, can be similar enough.
+
+    A set of n more n-grams has at most ``total + min(n, size - total)`` in common; the share of the union grows with n up
+    to ``size - total`` and falls beyond, so the best length is the nearest to that within the bounds.
+    """
+    n = min(max(size - total, shortest - depth), longest - depth)
+    overlap = total + min(n, size - total)
+    return overlap * (100 + percent) >= percent * (size + depth + n)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, sketch: np.ndarray, key: str, text: str, size: int, percent: int) -> DataFrame:
@@ -300,9 +318,11 @@ def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: i
     # A cell holds one band of sizes and, as guests, the next. Cells of n-grams with the same first id hold much the same rows and go to one task, which names a pair once.
     rows = rows.select("token", "rep", "component", "band", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
     cells = rows.groupBy("token", "cell").agg(*mixed, F.count("*").alias("rows"), F.min("rep").alias("first")).where("low <> high")
-    parts = cells.groupBy("first").agg(F.ceil(F.max("rows") / CELL_ROWS).cast("int").alias("parts"))
+    # Parts follow the largest cell and the rows of all cells together; a pair falls into the same two parts in every cell, so it is still named once.
+    widest, whole = F.ceil(F.max("rows") / CELL_ROWS), F.ceil(F.sqrt(F.sum("rows") / CELL_ROWS))
+    parts = cells.groupBy("first").agg(F.greatest(widest, whole).cast("int").alias("parts"))
     cells = cells.join(parts, "first").select("token", "cell", "first", "parts")
-    # Large cells are cut into parts, and each pair of parts is a task's work.
+    # Large groups are cut into parts, and each pair of parts is a task's work.
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     rows = rows.join(cells, ["token", "cell"]).withColumn("part", part).join(classes.select("rep", "n", "parity"), "rep")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
