@@ -5,8 +5,9 @@ the automaton keeps the longest stretch of words ending here that some item cont
 one that ends with a whole shorter item, is a hit. Only stretches whose neighbouring word pairs all occur in the items
 are read at all; the pairs are looked up for whole blocks of text at once.
 
-The items go to the workers in shards of at most ``shard_words`` words, so the size of what is broadcast is bounded;
-each further shard costs one more pass within the same task and no shuffle.
+The items lie in the shared folder, every text once, in shards of at most about ``shard_words`` words, and tasks read the
+shard they need there; none passes through the driver. Each shard is a stage of its own, so a worker holds one automaton
+at a time; a further shard costs one more pass and no shuffle.
 """
 
 from __future__ import annotations
@@ -17,13 +18,16 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright.llm import words as W
 from millwright.llm.sums import tune
-from millwright.session import cut
+from millwright.llm.warc import _store
+from millwright.session import cut, new_path
 
 #: Words: letters, digits and all beyond ASCII; everything is lower-cased first.
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -89,12 +93,12 @@ class Automaton:
 class Benchmark:
     """One shard of the items: its automaton, the items of each window, and what finds stretches worth reading."""
 
-    def __init__(self, items: list[tuple[object, str]], window: int) -> None:
+    def __init__(self, items: list[tuple[list[str], str]], window: int) -> None:
         self.window, self.automaton = window, Automaton()
         self.numbers: dict[str, int] = {}
         self.items: dict[tuple[int, ...], set[str]] = {}
         known = []
-        for item_id, text in items:
+        for own, text in items:
             found = re.findall(WORD, re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
             if not found:
                 continue
@@ -102,9 +106,7 @@ class Benchmark:
             self.automaton.add(ids)
             size = min(window, len(ids))
             for k in range(len(ids) - size + 1):
-                names = self.items.setdefault(tuple(ids[k : k + size]), set())
-                if item_id is not None:
-                    names.add(str(item_id))
+                self.items.setdefault(tuple(ids[k : k + size]), set()).update(own)
             known.append(found)
         #: Lengths of the shorter items, each of which is a window of its own.
         self.short = sorted({len(x) for x in self.items if len(x) < window})
@@ -160,29 +162,49 @@ def _merge(runs: list[tuple[int, int]]) -> list[dict]:
     return [{"start": a, "end": b} for a, b in out]
 
 
-def shards(benchmark: DataFrame, shard_words: int) -> list[DataFrame]:
-    """The items in groups whose words are bounded in number, dealt by a hash of the item."""
-    counted = benchmark.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
-    count = max(1, -(-counted // (8 * shard_words)))
-    shard = F.pmod(F.xxhash64(F.col("item_id").cast("string"), "text"), F.lit(count))
-    return [benchmark.where(shard == k) for k in range(count)]
+def shards(benchmark: DataFrame, shard_words: int) -> list[str]:
+    """Folders of the items, every text once with the names of its items, dealt by a hash of the text.
 
-
-def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 13, text: str = "text", shard_words: int = 2_000_000) -> DataFrame:
+    A word and what parts it from the next take two bytes at least, so the bytes bound the words. One item is not divided.
+    """
+    items = cut(benchmark.where("length(text) > 0").groupBy("text").agg(F.collect_set(F.col("item_id").cast("string")).alias("names")))
+    counted = items.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    count = max(1, -(-counted // (2 * shard_words)))
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(count)))
+    path = new_path(benchmark.sparkSession, "cut")
+    dealt.repartition(F.col("shard")).write.partitionBy("shard").parquet(path)
+    return [f"{path}/shard={r[0]}" for r in dealt.select("shard").distinct().orderBy("shard").collect()]
+
+
+def _items(folder: str | None) -> list[tuple[list[str], str]]:
+    """The items of a shard, read by a task."""
+    if folder is None:
+        return []
+    store, at = _store(folder)
+    files = sorted(f.path for f in store.get_file_info(fs.FileSelector(at)) if f.path.endswith(".parquet"))
+    rows = (r for f in files for r in pq.read_table(store.open_input_file(f), columns=["names", "text"]).to_pylist())
+    return [(r["names"], r["text"]) for r in rows]
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 13, text: str = "text", shard_words: int = 800_000) -> DataFrame:
     """``documents`` with ``n_words``, ``hit_runs`` (merged word spans that occur in items) and ``hit_items``.
 
     Null and empty texts have no words. Items without words occur nowhere; items with a null id hit but are not named;
     repeated items count once. A column of ``documents`` that bears one of the new names is replaced.
     """
+    return _read_shards(documents, shards(benchmark, shard_words), window, text)
+
+
+def _read_shards(documents: DataFrame, folders: list[str], window: int, text: str) -> DataFrame:
     tune(documents.sparkSession)
     out = documents.drop("n_words", "hit_runs", "hit_items")
-    for k, shard in enumerate(shards(benchmark, shard_words)):
-        items = [(r[0], r[1]) for r in shard.select("item_id", "text").collect()]
-        out = _read_shard(out, items, window, text, more=k > 0)
+    for k, folder in enumerate(folders or [None]):
+        # Written in between: steps of one stage would keep their workers, and automata, alive together.
+        out = _read_shard(cut(out) if k else out, folder, window, text, more=k > 0)
     return out
 
 
-def _read_shard(documents: DataFrame, items: list, window: int, text: str, more: bool) -> DataFrame:
+def _read_shard(documents: DataFrame, folder: str | None, window: int, text: str, more: bool) -> DataFrame:
     kept = [c for c in documents.columns if c not in ("n_words", "hit_runs", "hit_items")]
     at = kept.index(text)
     schema = documents.drop("n_words", "hit_runs", "hit_items").schema
@@ -191,7 +213,7 @@ def _read_shard(documents: DataFrame, items: list, window: int, text: str, more:
     types = [pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.string())]
 
     def task(batches):
-        bench = Benchmark(items, window)
+        bench = Benchmark(_items(folder), window)
         for batch in batches:
             counts, runs, names = [], [[] for _ in range(batch.num_rows)], [set() for _ in range(batch.num_rows)]
             if more:
@@ -256,17 +278,18 @@ def removed(found: DataFrame, text: str = "text") -> DataFrame:
     return found.mapInArrow(task, found.schema)
 
 
-def without_passages(documents: DataFrame, benchmark: DataFrame, window: int = 13, text: str = "text", shard_words: int = 2_000_000) -> DataFrame:
+def without_passages(documents: DataFrame, benchmark: DataFrame, window: int = 13, text: str = "text", shard_words: int = 800_000) -> DataFrame:
     """``documents`` that are not ``contaminated``, every benchmark passage cut out of their texts.
 
     What stood left and right of a passage may form another one, so texts that were cut are read again until none has a hit;
     each time they lose words, so this ends. Only they are written in between, which also keeps Python workers of several steps from being alive at once.
     """
-    found = contamination(documents, benchmark, window, text, shard_words).where(~contaminated())
+    folders = shards(benchmark, shard_words)
+    found = _read_shards(documents, folders, window, text).where(~contaminated())
     clean = [found.where(n_hit() == 0)]
     hit = cut(found.where(n_hit() > 0))
     while not hit.isEmpty():
-        found = cut(contamination(cut(removed(hit, text)), benchmark, window, text, shard_words))
+        found = cut(_read_shards(cut(removed(hit, text)), folders, window, text))
         clean.append(found.where(n_hit() == 0))
         hit = found.where(n_hit() > 0)
     return reduce(DataFrame.unionByName, clean).drop("n_words", "hit_runs", "hit_items")

@@ -62,6 +62,16 @@ def test_automaton_tracks_the_longest_match():
     assert list(automaton.read(text)) == expected
 
 
+def test_shards_hold_every_text_once_with_all_its_names(spark):
+    items = [(i, f"item {i % 40} " + "word " * 30) for i in range(120)] + [(None, "no name"), (7, None), (8, "")]
+    folders = D.shards(spark.createDataFrame(items, "item_id bigint, text string"), 200)
+    held = [D._items(folder) for folder in folders]
+    assert len(folders) > 5 and all(held)
+    got = {text: sorted(names) for shard in held for names, text in shard}
+    assert sum(map(len, held)) == len(got) == 41
+    assert got["no name"] == [] and got[items[5][1]] == ["45", "5", "85"]
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     row = D.digest(D.contamination(docs(["a b"]), none)).first()
