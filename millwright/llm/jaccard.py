@@ -9,8 +9,9 @@
    first; the tree is walked once, overlaps with the centre are shared along paths, and a subtree is left as soon as no
    length between the smallest and largest that remain in it can reach the overlap it needs.
 5. Links give components. Only n-grams that still hold different components are looked at again, pair by pair, but a pair
-   goes on only if parity bitmaps of both sets allow it, and is then checked by step 4. So no link is lost, and a group of
-   copies costs a star, not all its pairs.
+   goes on only if parity bitmaps of both sets allow it, and is then checked by step 4. A set first names its nearest pairs
+   only. Sets with pairs left out are looked at again, by finer bitmaps and with more pairs for each, until none is left out;
+   most of them are of one component by then. So no link is lost, and a group of copies costs a few pairs for each of them, not all.
 
 Hot n-grams, cells and centres are dealt over as many tasks as their counted size asks for.
 """
@@ -30,6 +31,10 @@ SKETCH = 1 << 21
 NEEDED = 1 << 20
 #: Rows that one task handles for one n-gram; n-grams of sets that one task holds for one centre; rows of a cell.
 SALT_ROWS, BLOCK_GRAMS, CELL_ROWS = 20_000, 2_000_000, 2_000
+#: Pairs of other components that a set names in the first round, and how many times more in each further one.
+NEAREST, FURTHER = 8, 16
+#: Cells of the finer bitmaps of further rounds for each n-gram.
+FINE = 4
 
 
 def _cell(grams: np.ndarray) -> np.ndarray:
@@ -52,9 +57,9 @@ def _ordered(grams: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     return grams[np.lexsort((grams, sketch[_cell(grams)]))]
 
 
-def _parity(grams: np.ndarray) -> bytes:
-    """A bitmap of the parities of the set in a power of two of cells, at least as many as n-grams and 64."""
-    cells = max(64, 1 << max(0, len(grams) - 1).bit_length())
+def _parity(grams: np.ndarray, times: int = 1) -> bytes:
+    """A bitmap of the parities of the set in a power of two of cells, at least ``times`` as many as n-grams and 64."""
+    cells = max(64, 1 << max(0, times * len(grams) - 1).bit_length())
     return np.packbits(np.bincount((grams & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1 == 1, bitorder="little").tobytes()
 
 
@@ -95,7 +100,7 @@ def identities(documents: DataFrame, key: str, text: str, size: int) -> DataFram
 
 
 def representatives(documents: DataFrame, sketch: np.ndarray, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """For each different set: the smallest id as ``rep``, n, the prefix in the global order, and the parity bitmap. Copies are folded before the shuffle."""
+    """For each different set: the smallest id as ``rep``, n, the prefix in the global order, and two parity bitmaps. Copies are folded before the shuffle."""
 
     def task(batches):
         for batch in batches:
@@ -106,13 +111,13 @@ def representatives(documents: DataFrame, sketch: np.ndarray, key: str, text: st
                         continue
                     grams = _ordered(grams, sketch)
                     one, two = W.mix(grams).sum(dtype=np.uint64), W.mix(~grams).sum(dtype=np.uint64)
-                    rows.append((int(one.view(np.int64)), int(two.view(np.int64)), batch.column(0)[d].as_py(), len(grams), grams[: _prefix(len(grams), percent)].tobytes(), _parity(grams)))
+                    rows.append((int(one.view(np.int64)), int(two.view(np.int64)), batch.column(0)[d].as_py(), len(grams), grams[: _prefix(len(grams), percent)].tobytes(), _parity(grams), _parity(grams, FINE)))
             if rows:
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["s1", "s2", "id", "n", "prefix", "parity"])
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["s1", "s2", "id", "n", "prefix", "parity", "fine"])
 
-    rows = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), text).mapInArrow(task, "s1 bigint, s2 bigint, id bigint, n int, prefix binary, parity binary")
-    return rows.groupBy("s1", "s2").agg(F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("n", "prefix", "parity")))
+    rows = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), text).mapInArrow(task, "s1 bigint, s2 bigint, id bigint, n int, prefix binary, parity binary, fine binary")
+    return rows.groupBy("s1", "s2").agg(F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("n", "prefix", "parity", "fine")))
 
 
 def _band(n, percent: int):
@@ -311,8 +316,9 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share an n-gram and that sizes and parity bitmaps allow."""
+def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, most: int, bitmap: str = "parity") -> tuple[DataFrame, DataFrame]:
+    """Pairs of different components that share an n-gram and that sizes and parity bitmaps allow, if among the ``most`` nearest of
+    either set by their bitmaps; and the sets, as ``rep``, of the pairs left out."""
     rows = shared.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = F.min("component").alias("low"), F.max("component").alias("high")
     # A cell holds one band of sizes and, as guests, the next. Cells of n-grams with the same first id hold much the same rows and go to one task, which names a pair once.
@@ -324,7 +330,7 @@ def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: i
     cells = cells.join(parts, "first").select("token", "cell", "first", "parts")
     # Large groups are cut into parts, and each pair of parts is a task's work.
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    rows = rows.join(cells, ["token", "cell"]).withColumn("part", part).join(classes.select("rep", "n", "parity"), "rep")
+    rows = rows.join(cells, ["token", "cell"]).withColumn("part", part).join(classes.select("rep", "n", F.col(bitmap).alias("parity")), "rep")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "first", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "token", "cell", "n", "rep", "component", "band", "part", "parity")
     # With a number, as the few bytes would else be merged into few tasks for much work.
@@ -332,24 +338,48 @@ def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: i
     ordered = rows.repartition(tasks, "first", "i", "j").sortWithinPartitions("first", "i", "j", "token", "cell", "n", "rep")
 
     def task(batches):
-        run, held = None, []
+        run, held, left = None, [], []
+
+        def fold():
+            found, others = _nearest(np.concatenate(held, axis=1), most)
+            held[:], left[:] = [found], [np.unique(np.concatenate([*left, others]))]
 
         def out():
-            found = np.unique(np.concatenate(held, axis=1), axis=1) if held else np.zeros((2, 0), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["centre", "rep"])
+            fold()
+            (low, high, far), sets = held[0], left[0]
+            columns = np.concatenate([low, sets]), pa.concat_arrays([pa.array(high), pa.nulls(len(sets), pa.int64())]), np.concatenate([far, np.zeros_like(sets)])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["centre", "rep", "far"])
 
         for key, table in _chunks(batches, 5, 3):
             if key != run:
                 if held:
                     yield out()
-                run, held = key, []
+                run, held, left = key, [], []
             held.append(_pairs(table, percent))
             if len(held) > 64:
-                held = [np.unique(np.concatenate(held, axis=1), axis=1)]
+                fold()
         if held:
             yield out()
 
-    return ordered.mapInArrow(task, "centre bigint, rep bigint").distinct()
+    # A row without a ``rep`` names a set with pairs left out. A set meets others in several tasks, so its pairs are ranked once more.
+    found = cut(ordered.mapInArrow(task, "centre bigint, rep bigint, far bigint").distinct())
+    ranks = (F.row_number().over(Window.partitionBy(a).orderBy("far", b)) for a, b in (("centre", "rep"), ("rep", "centre")))
+    ranked = cut(found.where("rep IS NOT NULL").withColumn("rank", F.least(*ranks)))
+    beyond = ranked.where(F.col("rank") > most)
+    left_out = found.where("rep IS NULL").select("centre").unionAll(beyond.select("centre")).unionAll(beyond.select("rep"))
+    return ranked.where(F.col("rank") <= most).select("centre", "rep"), cut(left_out.withColumnRenamed("centre", "rep").distinct())
+
+
+def _nearest(found: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (two sets, how far apart) that are among the ``most`` nearest of either set, and the sets of all others."""
+    found = np.unique(found, axis=1)
+    near = np.zeros(found.shape[1], bool)
+    for own, other in ((0, 1), (1, 0)):
+        order = np.lexsort((found[other], found[2], found[own]))
+        _, counts = np.unique(found[own], return_counts=True)
+        rank = np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts)
+        near[order[rank < most]] = True
+    return found[:, near], np.unique(found[:2, ~near])
 
 
 def _chunks(batches, width: int, outer: int):
@@ -378,12 +408,13 @@ def _chunks(batches, width: int, outer: int):
 
 
 def _pairs(table: pa.Table, percent: int) -> np.ndarray:
-    """The pairs of a chunk: rows of one cell are compared with those 1, 2, 3, ... places further while any row has one of like size."""
+    """The pairs of a chunk and in how many thousandths of both sizes their bitmaps differ: rows of one cell are compared with those
+    1, 2, 3, ... places further while any row has one of like size."""
     i, j, token, cell, n, rep, component, band, part = (table.column(c).to_numpy() for c in ("i", "j", "token", "cell", "n", "rep", "component", "band", "part"))
     n = n.astype(np.int64)
     bitmaps = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("parity")]
     mixed = i[0] != j[0]
-    at, out = np.arange(len(rep)), [np.zeros((2, 0), np.int64)]
+    at, out = np.arange(len(rep)), [np.zeros((3, 0), np.int64)]
     step = 0
     waiting = []
 
@@ -392,8 +423,9 @@ def _pairs(table: pa.Table, percent: int) -> np.ndarray:
         low, high = np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
         _, first = np.unique(np.stack([low, high]), axis=1, return_index=True)
         a, b, low, high = a[first], b[first], low[first], high[first]
-        ok = _may_link(n[a], n[b], _differences(bitmaps, a, b), percent)
-        out.append(np.stack([low[ok], high[ok]]))
+        differ = _differences(bitmaps, a, b)
+        ok = _may_link(n[a], n[b], differ, percent)
+        out.append(np.stack([low, high, 1000 * differ // (n[a] + n[b])])[:, ok])
         waiting.clear()
 
     while True:
@@ -439,9 +471,15 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     args = (reps, documents, sketch, key, text, size, percent)
     shared, star = _starred(_postings(reps, sketch, percent))
     links = _verified(_plausible(star, reps, percent), *args).unionAll(_same_key(found, classes))
-    labels = components(links)
-    more = _verified(_across(shared, labels, reps, percent), *args)
-    labels = components(links.unionAll(more))
+    labels, rest, most = components(links), shared, NEAREST
+    while True:
+        pairs, left_out = _across(rest, labels, reps, percent, most, "parity" if rest is shared else "fine")
+        links = links.unionAll(_verified(pairs, *args))
+        labels = components(links)
+        if not left_out.limit(1).count():
+            break
+        # A pair is left out by both of its sets, so all others have named theirs.
+        rest, most = cut(rest.join(left_out, "rep", "left_semi")), most * FURTHER
     member = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     return sets.join(member, ["s1", "s2"], "left").select(
         F.col("id").alias(key), F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("id")).alias("component_id"))

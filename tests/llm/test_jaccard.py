@@ -57,6 +57,23 @@ def test_components_equal_brute_force(docs, monkeypatch, seed, salt, cell):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == dict(enumerate(expected))
 
 
+@pytest.mark.parametrize("nearest", [1, 8])
+def test_a_group_of_near_copies_names_few_pairs(docs, monkeypatch, nearest):
+    r = random.Random(3)
+    base, texts = [f"b{i}" for i in range(200)], []
+    for k in range(300):  # each is near the base; two of them are near each other or just not
+        words = list(base)
+        for at in r.sample(range(200), r.choice([2, 2, 3, 3])):
+            words[at] = f"own{k}x{at}"
+        texts.append(" ".join(words))
+    monkeypatch.setattr(jaccard, "NEAREST", nearest, raising=False)
+    named, verified = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *args: named.append(pairs.count()) or verified(pairs, *args))
+    rows = jaccard.near_duplicates(docs(texts), size=5, percent=80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == dict(enumerate(brute(texts, 80, 5)))
+    assert sum(named[1:]) <= 16 * len(texts)
+
+
 def test_null_and_repeated_keys(spark):
     rows = [(None, "a b c d e"), (3, "a b c d e"), (5, "a b c d e"), (5, "f g h i j"), (9, "f g h i j"), (2, None), (7, "x")]
     got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
