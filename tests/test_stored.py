@@ -180,3 +180,36 @@ def test_compaction_rewrites_only_ranges_of_several_batches(spark):
     assert tables.compact_ranges(spark, path) == [1, 2, 3] and tables.compact_ranges(spark, path) == []
     assert {r.offset: r.v for r in tables.read_keyed(spark, path).collect()} == expected
     assert {r.offset: r.v for r in tables.read_keyed(spark, path, "first").collect()}[20] == "newer"
+
+
+def test_files_do_not_grow_with_the_ranges(spark):
+    path = new_path(spark, "many")
+    first = spark.range(0, 13_000, 1, 4).select(F.col("id").alias("offset"), F.lit(0).alias("partition"), F.lit("old").alias("v"), F.lit(0).cast("bigint").alias("arrival"))
+    again = first.where("offset BETWEEN 2045 AND 2055 OR offset BETWEEN 9000 AND 9009").withColumn("v", F.lit("new"))
+    tables.write_batch(first, path, 0, run="1", range_offsets=10)
+    tables.write_batch(again, path, 1, run="1", range_offsets=10)
+
+    def folders():
+        stored = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
+        return stored.select("keyed_run", "keyed_batch", "keyed_range").distinct().count()
+
+    def check():
+        expected = {k: "new" if 2045 <= k <= 2055 or 9000 <= k <= 9009 else "old" for k in range(13_000)}
+        assert {r.offset: r.v for r in tables.read_keyed(spark, path).collect()} == expected
+        for low, high in ((2041, 2059), (0, 5), (9005, 9030), (12_990, 14_000), (0, 13_000), (79, 81)):
+            found = tables.read_keyed(spark, path, offsets=(low, high), range_offsets=10).collect()
+            assert sorted((r.offset, r.v) for r in found) == [(k, expected[k]) for k in range(low, min(high, 13_000))]
+
+    assert folders() < 300  # of 1,300 ranges
+    check()
+    assert tables.compact_ranges(spark, path) == [200, 896]
+    assert folders() < 300 and tables.compact_ranges(spark, path) == []
+    check()
+
+
+def test_rows_without_offset_stay(spark):
+    path = new_path(spark, "unnamed")
+    tables.write_batch(_batch(spark, (None, 0, "a", 1), (1, 0, "x", 1)), path, 0, range_offsets=10)
+    tables.write_batch(_batch(spark, (None, 0, "b", 1), (1, 0, "y", 1)), path, 1, range_offsets=10)
+    assert tables.compact_ranges(spark, path) == [0]
+    assert sorted((r.offset or -1, r.v) for r in tables.read_keyed(spark, path).collect()) == [(-1, "b"), (1, "y")]
