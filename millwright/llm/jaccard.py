@@ -12,6 +12,7 @@
    goes on only if parity bitmaps of both sets allow it, and is then checked by step 4. A set first names its nearest pairs
    only. Sets with pairs left out are looked at again, by finer bitmaps and with more pairs for each, until none is left out;
    most of them are of one component by then. So no link is lost, and a group of copies costs a few pairs for each of them, not all.
+   A round's links go on from the components so far, and links inside one component are dropped, so no link is joined in each round again.
 
 Hot n-grams, cells and centres are dealt over as many tasks as their counted size asks for.
 """
@@ -301,19 +302,37 @@ def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, sketch
     return cut(ordered.mapInArrow(walk, "a bigint, b bigint"))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``id, component`` for every end of a link: the smallest id that links reach. Labels spread to neighbours and jump to their label's label until nothing changes."""
-    ends = cut(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = cut(ends.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).withColumnRenamed("a", "id"))
-    while True:
-        near = ends.join(labels, ends.b == labels.id).groupBy("a").agg(F.min("component").alias("near"))
-        spread = labels.join(near, labels.id == near.a, "left").select("id", F.col("component").alias("was"), F.least("component", "near").alias("component"))
-        jump = labels.select(F.col("id").alias("component"), F.col("component").alias("further"))
-        after = cut(spread.join(jump, "component", "left").select("id", "was", F.least("component", "further").alias("component")))
-        changed = after.where("component <> was").limit(1).count()
-        labels = after.drop("was")
-        if not changed:
-            return labels
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The different pairs of components that ``links`` join; an id without a label is a component of its own."""
+    for end in ("a", "b"):
+        own = labels.select(F.col("id").alias(end), "component")
+        links = links.select("a", "b").join(own, end, "left").withColumn(end, F.coalesce("component", end))
+    return cut(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """``id, component`` for every end of a link: the smallest id that links reach. ``labels``, where given, are those of earlier links; all their ids stay.
+
+    Every component takes the label of its smallest neighbour, and labels jump to their label's label until nothing changes.
+    Only links that then join different components go on, one for each two, so a link inside a component is not looked at again.
+    """
+    if labels is None:
+        labels = links.select(F.col("a").alias("id"), F.col("a").alias("component")).where(F.lit(False))
+    links = _between(links, labels)
+    while links.limit(1).count():
+        ends = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = cut(ends.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).withColumnRenamed("a", "id"))
+        changed = 1
+        while changed:
+            jump = near.select(F.col("id").alias("component"), F.col("component").alias("further"))
+            after = cut(near.join(jump, "component").select("id", F.col("component").alias("was"), F.col("further").alias("component")))
+            changed = after.where("component <> was").limit(1).count()
+            near = after.drop("was")
+        jump = near.select(F.col("id").alias("component"), F.col("component").alias("further"))
+        moved = labels.join(jump, "component", "left").select("id", F.coalesce("further", "component").alias("component"))
+        labels = cut(moved.unionAll(near.join(labels, "id", "left_anti")))
+        links = _between(links, near)
+    return labels
 
 
 def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, most: int, bitmap: str = "parity") -> tuple[DataFrame, DataFrame]:
@@ -470,12 +489,11 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     found, classes = sets.where("n > 0 and id is not null"), reps.select("s1", "s2", "rep")
     args = (reps, documents, sketch, key, text, size, percent)
     shared, star = _starred(_postings(reps, sketch, percent))
-    links = _verified(_plausible(star, reps, percent), *args).unionAll(_same_key(found, classes))
-    labels, rest, most = components(links), shared, NEAREST
+    labels = components(_verified(_plausible(star, reps, percent), *args).unionAll(_same_key(found, classes)))
+    rest, most = shared, NEAREST
     while True:
         pairs, left_out = _across(rest, labels, reps, percent, most, "parity" if rest is shared else "fine")
-        links = links.unionAll(_verified(pairs, *args))
-        labels = components(links)
+        labels = components(_verified(pairs, *args), labels)
         if not left_out.limit(1).count():
             break
         # A pair is left out by both of its sets, so all others have named theirs.

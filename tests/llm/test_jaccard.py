@@ -74,6 +74,74 @@ def test_a_group_of_near_copies_names_few_pairs(docs, monkeypatch, nearest):
     assert sum(named[1:]) <= 16 * len(texts)
 
 
+def joined(monkeypatch, frame):
+    """The numbers of rows of all joins made from here on."""
+    counts, join = [], type(frame).join
+
+    def counted(self, *args):
+        out = join(self, *args)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(frame), "join", counted)
+    return counts
+
+
+def roots(links):
+    label = {x: x for pair in links for x in pair}
+    for a, b in links:
+        low, high = sorted((label[a], label[b]))
+        label = {x: low if y == high else y for x, y in label.items()}
+    return label
+
+
+@pytest.mark.parametrize("kind", ["path", "stars", "any"])
+def test_components_of_links_and_of_further_links(spark, kind):
+    r = random.Random(7)
+    ids = r.sample(range(1000), 60)
+    links = {"path": list(zip(ids, ids[1:], strict=False)), "stars": [(900 + i % 4, i) for i in range(60)], "any": [(r.choice(ids), r.choice(ids)) for _ in range(45)]}[kind]
+    links += [(links[0][1], links[0][0]), links[0]]
+    half = len(links) // 2
+    first = jaccard.components(spark.createDataFrame(links[:half], "a bigint, b bigint"))
+    both = jaccard.components(spark.createDataFrame(links[half:], "a bigint, b bigint"), first)
+    for got, of in ((first, links[:half]), (both, links)):
+        rows = got.collect()
+        assert len(rows) == len({r.id for r in rows}) and {r.id: r.component for r in rows} == roots([x for x in of if x[0] != x[1]])
+
+
+def test_links_inside_a_component_are_not_joined_again(spark, monkeypatch):
+    links = [(12 * k + i, 12 * k + j) for k in range(40) for j in range(12) for i in range(j)] + [(12 * k - 1, 12 * k) for k in range(1, 40)]
+    frame = spark.createDataFrame(links, "a bigint, b bigint")
+    counts = joined(monkeypatch, frame)
+    rows = jaccard.components(frame).collect()
+    assert sorted((r.id, r.component) for r in rows) == [(i, 0) for i in range(480)]
+    assert sum(counts) <= 4 * len(links) + 12 * 480
+
+
+def test_further_rounds_join_their_own_links_only(docs, monkeypatch):
+    r = random.Random(4)
+    base, texts = [f"b{i}" for i in range(200)], []
+    for k in range(150):
+        words = list(base)
+        for at in r.sample(range(200), r.choice([2, 3])):
+            words[at] = f"own{k}x{at}"
+        texts.append(" ".join(words))
+    counts, components, links, made = joined(monkeypatch, docs([])), jaccard.components, [], []
+
+    def watched(found, *args):
+        links.append(found.count())
+        before = len(counts)
+        out = components(found, *args)
+        made.append(sum(counts[before:]))
+        return out
+
+    monkeypatch.setattr(jaccard, "components", watched)
+    rows = jaccard.near_duplicates(docs(texts), size=5, percent=80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == dict(enumerate(brute(texts, 80, 5)))
+    assert len(links) > 2 and links[-1] < links[1], links
+    assert sum(made) <= 4 * sum(links[:2]) + 20 * len(texts), (links, made)
+
+
 def test_null_and_repeated_keys(spark):
     rows = [(None, "a b c d e"), (3, "a b c d e"), (5, "a b c d e"), (5, "f g h i j"), (9, "f g h i j"), (2, None), (7, "x")]
     got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
