@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright.llm import words as W
-from millwright.llm.sums import tune
-from millwright.llm.warc import _store
+from millwright.llm.sums import _store, tune
 from millwright.session import cut, new_path
 
 #: Words: letters, digits and all beyond ASCII; everything is lower-cased first.

@@ -1,7 +1,7 @@
 """Near-duplicate texts: a similarity join on sets of word n-grams by prefix trees.
 
 1. A count sketch of all n-grams fixes a global order, rare first. Any order gives the same links; this one keeps common
-   passages out of the prefixes.
+   passages out of the prefixes. The sketch lies in the shared folder, where tasks read it; the driver never holds it.
 2. Texts with equal sets form classes; one representative of each goes on.
 3. Two sets that are similar enough share an n-gram among the first ``n - ceil(threshold * n) + 1`` of each. Within every
    shared n-gram, each representative is paired with one centre of like size only, and centres with those of the next sizes.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright.llm import words as W
-from millwright.llm.sums import sliced, summed, tune
+from millwright.llm.sums import loaded, sliced, stored, tune
 from millwright.session import cut
 
 SKETCH = 1 << 21
@@ -52,10 +52,10 @@ def _shingles(data: np.ndarray, offsets: np.ndarray, size: int):
         yield grams[a : b - size + 1] if b - a >= size else W.windows(h[a:b], b - a) if b > a else grams[:0]
 
 
-def _ordered(grams: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+def _ordered(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The set in the global order, rare first."""
     grams = np.unique(grams)
-    return grams[np.lexsort((grams, sketch[_cell(grams)]))]
+    return grams[np.lexsort((grams, counts[_cell(grams)]))]
 
 
 def _parity(grams: np.ndarray, times: int = 1) -> bytes:
@@ -68,8 +68,8 @@ def _prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def sketch_of(documents: DataFrame, text: str, size: int) -> np.ndarray:
-    """How often n-grams occur, in ``SKETCH`` cells; it only orders n-grams, so collisions do no harm."""
+def sketch_of(documents: DataFrame, text: str, size: int) -> str:
+    """The folder of a sketch of how often n-grams occur, in ``SKETCH`` cells; it only orders n-grams, so collisions do no harm."""
 
     def task(batches):
         total = np.zeros(SKETCH, np.uint32)
@@ -79,7 +79,12 @@ def sketch_of(documents: DataFrame, text: str, size: int) -> np.ndarray:
                     np.add.at(total, _cell(grams), np.uint32(1))
         yield from sliced(total)
 
-    return summed(documents.select(text), task, (SKETCH,), np.uint32)
+    return stored(documents.select(text), task, np.uint32)
+
+
+def _counts(sketch: str) -> np.ndarray:
+    """The sketch, read by a task."""
+    return loaded(sketch, (SKETCH,), np.uint32)
 
 
 def identities(documents: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -100,17 +105,20 @@ def identities(documents: DataFrame, key: str, text: str, size: int) -> DataFram
     return documents.select(F.col(key).cast("bigint"), text).mapInArrow(task, "id bigint, n int, s1 bigint, s2 bigint")
 
 
-def representatives(documents: DataFrame, sketch: np.ndarray, key: str, text: str, size: int, percent: int) -> DataFrame:
+def representatives(documents: DataFrame, sketch: str, key: str, text: str, size: int, percent: int) -> DataFrame:
     """For each different set: the smallest id as ``rep``, n, the prefix in the global order, and two parity bitmaps. Copies are folded before the shuffle."""
 
     def task(batches):
+        counts = None
         for batch in batches:
             rows = []
+            if counts is None and batch.num_rows:
+                counts = _counts(sketch)
             for low, _, data, offsets in W.texts(batch.column(1)):
                 for d, grams in enumerate(_shingles(data, offsets, size), low):
                     if not len(grams):
                         continue
-                    grams = _ordered(grams, sketch)
+                    grams = _ordered(grams, counts)
                     one, two = W.mix(grams).sum(dtype=np.uint64), W.mix(~grams).sum(dtype=np.uint64)
                     rows.append((int(one.view(np.int64)), int(two.view(np.int64)), batch.column(0)[d].as_py(), len(grams), grams[: _prefix(len(grams), percent)].tobytes(), _parity(grams), _parity(grams, FINE)))
             if rows:
@@ -126,18 +134,21 @@ def _band(n, percent: int):
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / (percent - 1)))).cast("int")
 
 
-def _postings(classes: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
+def _postings(classes: DataFrame, sketch: str, percent: int) -> DataFrame:
     """A row for each n-gram of a prefix. An n-gram that may be hot is dealt over salts by what the sketch counts above the usual."""
-    usual = int(np.median(sketch))
 
     def task(batches):
+        counts = None
         for batch in batches:
             grams = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(2)]
             if not grams:
                 continue
+            if counts is None:
+                counts = _counts(sketch)
+                usual = int(np.median(counts))
             lengths = [len(g) for g in grams]
             token, rep, band = np.concatenate(grams), np.repeat(batch.column(0).to_numpy(), lengths), np.repeat(batch.column(1).to_numpy(), lengths)
-            parts = -(-(sketch[_cell(token)].astype(np.int64) - usual) // SALT_ROWS)
+            parts = -(-(counts[_cell(token)].astype(np.int64) - usual) // SALT_ROWS)
             salt = np.where(parts > 1, (W.mix(rep.astype(np.uint64)) % np.maximum(parts, 1).astype(np.uint64)).astype(np.int64) + 1, 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(salt), pa.array(band), pa.array(rep)], ["token", "salt", "band", "rep"])
 
@@ -256,8 +267,8 @@ def _reachable(size: int, total: int, depth: int, shortest: int, longest: int, p
     return overlap * (100 + percent) >= percent * (size + depth + n)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, sketch: np.ndarray, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """The ``pairs`` (centre, rep) whose sets are similar enough."""
+def _verified(pairs: DataFrame, sizes: DataFrame, documents: DataFrame, sketch: str, key: str, text: str, size: int, percent: int) -> DataFrame:
+    """The ``pairs`` (centre, rep) whose sets are similar enough. ``sizes`` has a row (rep, n) for each ``rep``."""
     pairs = cut(pairs)
     bucket = F.pmod(F.xxhash64("id"), F.lit(NEEDED))
     ends = pairs.select(F.col("centre").alias("id")).unionAll(pairs.select(F.col("rep").alias("id")))
@@ -268,24 +279,26 @@ def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, sketch
         needed[row["at"]] = row["bits"]
 
     def task(batches):
+        counts = None
         for batch in batches:
             at = batch.column(2).to_numpy()
             wanted = (needed[at // 32] >> (at % 32)) & 1 == 1
             if not wanted.any():
                 continue
+            if counts is None:
+                counts = _counts(sketch)
             chosen = batch.filter(pa.array(wanted))
             ids, grams = chosen.column(0).to_pylist(), []
             for _, _, data, offsets in W.texts(chosen.column(1)):
-                grams += [_ordered(g, sketch)[::-1] for g in _shingles(data, offsets, size)]
+                grams += [_ordered(g, counts)[::-1] for g in _shingles(data, offsets, size)]
             for i in range(0, len(ids), 64):
                 part = grams[i : i + 64]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i : i + 64], pa.int64()), pa.array([g.tobytes() for g in part], pa.binary())], ["id", "grams"])
 
     sets = documents.select(F.col(key).cast("bigint").alias("id"), text).where("id is not null").withColumn("bucket", bucket.cast("int")).mapInArrow(task, "id bigint, grams binary").where("length(grams) > 0")
-    sized = pairs.join(classes.groupBy("rep").agg(F.max("n").alias("n")), "rep")
-    blocks = sized.groupBy("centre").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("blocks"))
+    blocks = pairs.join(sizes, "rep").groupBy("centre").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("blocks"))
     members = pairs.join(blocks, "centre").select("centre", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.col("rep").alias("id"))
-    centres = members.select("centre", "block").distinct().withColumn("id", F.col("centre"))
+    centres = blocks.select("centre", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("centre").alias("id"))
     rows = members.withColumn("role", F.lit(1)).unionAll(centres.withColumn("role", F.lit(0))).join(sets, "id")
     ordered = rows.repartition(F.col("centre"), F.col("block")).sortWithinPartitions("centre", "block", "role").select("centre", "block", "role", "id", "grams")
 
@@ -487,7 +500,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     sets = cut(identities(documents, key, text, size))
     reps = cut(representatives(documents, sketch, key, text, size, percent))
     found, classes = sets.where("n > 0 and id is not null"), reps.select("s1", "s2", "rep")
-    args = (reps, documents, sketch, key, text, size, percent)
+    args = (cut(reps.groupBy("rep").agg(F.max("n").alias("n"))), documents, sketch, key, text, size, percent)
     shared, star = _starred(_postings(reps, sketch, percent))
     labels = components(_verified(_plausible(star, reps, percent), *args).unionAll(_same_key(found, classes)))
     rest, most = shared, NEAREST

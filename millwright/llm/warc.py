@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.sums import tune
+from millwright.llm.sums import _store, tune
 from millwright.session import new_path
 
 CHUNK = 1 << 20
@@ -34,12 +34,6 @@ RECORD = "page_id bigint, url string, payload_bytes bigint, payload_digest strin
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # Fixed value: the name space of URLs in RFC 4122.
 
 
-def _store(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 class _Moved:
     """A file that takes its name when it is whole."""
 

@@ -178,3 +178,15 @@ def test_bitmaps_never_differ_in_more_cells_than_the_sets():
     a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
     differ = jaccard._differences(bitmaps, a, b)
     assert all(d <= len(set(sets[x].tolist()) ^ set(sets[y].tolist())) for d, x, y in zip(differ, a, b, strict=True))
+
+
+def test_the_driver_neither_gathers_nor_sends_the_sketch(docs, spark, monkeypatch):
+    context, sent, gathered = type(spark.sparkContext), [], []
+    frame = type(docs([]))
+    broadcast, collect = context.broadcast, frame.collect
+    monkeypatch.setattr(context, "broadcast", lambda self, value: sent.append(len(value)) or broadcast(self, value))
+    monkeypatch.setattr(frame, "collect", lambda self: gathered.append(collect(self)) or gathered[-1])
+    texts = families(5)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs(texts)).collect()} == dict(enumerate(brute(texts)))
+    assert not sent  # functions of more than a megabyte are broadcast
+    assert sum(len(x) for rows in gathered for r in rows for x in r if isinstance(x, bytes | bytearray)) == 0
