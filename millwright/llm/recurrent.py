@@ -64,91 +64,142 @@ def lanes(texts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray,
     return outputs, opens, owner
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
-def run(p: Params, inputs: np.ndarray, opens: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, list]:
-    """States after each step of a window, and what the way back needs. ``opens`` resets a lane's state."""
-    states, tape = np.empty((*inputs.shape, HIDDEN), np.float32), []
-    for t in range(len(inputs)):
-        before = np.where(opens[t][:, None], np.float32(0), h)
-        x, hu = p["x"][inputs[t]], before @ p["u"]
-        zr = _sigmoid(x[:, : 2 * HIDDEN] + hu[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN :] + r * hu[:, 2 * HIDDEN :])
-        h = n + z * (before - n)
-        states[t] = h
-        tape.append((before, z, r, n, hu[:, 2 * HIDDEN :]))
+def run(p: Params, inputs: np.ndarray, opens: np.ndarray, h: np.ndarray, keep: bool = True) -> tuple[np.ndarray, list]:
+    """States after each step of a window, and what the way back needs if ``keep``. ``opens`` resets a lane's state."""
+    steps, width = inputs.shape
+    kind = np.result_type(p["u"], h)
+    # A sigmoid is the tanh of half its input: the halves are taken of the weights.
+    half = np.repeat(np.array([0.5, 0.5, 1], kind), HIDDEN)
+    px, pu, resets = p["x"] * half, p["u"] * half, opens.any(axis=1).tolist()
+    states, x, tape = np.empty((steps, width, HIDDEN), kind), np.empty((width, 3 * HIDDEN), kind), []
+    hu, own = np.empty((steps if keep else 1, width, 3 * HIDDEN), kind), np.empty((steps if keep else 1, 3, width, HIDDEN), kind)
+    gates, new = x.reshape(width, 3, HIDDEN).swapaxes(0, 1)[:2], x[:, 2 * HIDDEN :]
+    for t in range(steps):
+        before, out, at = h, states[t], t if keep else 0
+        if resets[t]:
+            before = np.where(opens[t][:, None], np.zeros((), kind), h)
+        zr, n, hn = own[at, :2], own[at, 2], hu[at, :, 2 * HIDDEN :]
+        px.take(inputs[t], axis=0, out=x, mode="clip")
+        np.matmul(before, pu, out=hu[at])
+        np.add(gates, hu[at].reshape(width, 3, HIDDEN).swapaxes(0, 1)[:2], out=zr)
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        np.multiply(zr[1], hn, out=n)
+        n += new
+        np.tanh(n, out=n)
+        np.subtract(before, n, out=out)
+        out *= zr[0]
+        out += n
+        h = out
+        if keep:
+            tape.append((before, zr[0], zr[1], n, hn))
     return states, tape
 
 
+def _columns(rows: int, columns: int, kind: np.dtype) -> np.ndarray:
+    """An empty array whose rows lie no power of two apart, else its columns share few cache lines."""
+    return np.empty((rows, columns + 16), kind)[:, :columns]
+
+
+def _softmax(a: np.ndarray, picked: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """For the logits ``a``, a column for each output: the log probability of each column's row ``picked``; if ``back``, also the gradients of the negative sum, a row for each output."""
+    a -= a.max(axis=0)
+    logs = a[picked, np.arange(a.shape[1])]
+    np.exp(a, out=a)
+    total = a[:8] + a[8:16]  # the order of a sum along 32 neighbours
+    for k in range(16, len(a), 8):
+        total += a[k : k + 8]
+    while len(total) > 1:
+        total = total[::2] + total[1::2]
+    logs -= np.log(total[0])
+    if not back:
+        return logs, None
+    a /= total[0]
+    d = np.ascontiguousarray(a.T)
+    d.ravel()[np.arange(0, d.size, d.shape[1]) + picked] -= 1
+    return logs, d
+
+
 def log_probabilities(p: Params, h: np.ndarray, outputs: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log probability of each output given its state. With ``grads``, also adds the output layers' gradients of the negative sum and returns that of the states."""
-    cls, word = outputs // CLASS_WORDS, outputs % CLASS_WORDS
-    rows = np.arange(len(h))
-    a = h @ p["c"] + p["cb"]
-    a -= a.max(axis=1, keepdims=True)
-    e = np.exp(a)
-    total = e.sum(axis=1)
-    logs = a[rows, cls] - np.log(total)
-    dh = None
-    if grads is not None:
-        d = e / total[:, None]
-        d[rows, cls] -= 1
-        grads["c"], grads["cb"], dh = h.T @ d, d.sum(axis=0), d @ p["c"].T
+    back, dh = grads is not None, None
+    cls, word = (outputs // CLASS_WORDS).astype(np.uint8), outputs % CLASS_WORDS
+    a = _columns(CLASSES, len(h), np.result_type(h, p["c"]))
+    np.add((h @ p["c"]).T, p["cb"][:, None], out=a)
+    logs, d = _softmax(a, cls, back)
+    if back:
+        grads["c"], grads["cb"], dh = h.T @ d, np.einsum("ij->j", d), d @ p["c"].T
         grads["w"], grads["wb"] = np.zeros_like(p["w"]), np.zeros_like(p["wb"])
+    # Outputs of one class side by side.
     order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        at = order[cuts[k] : cuts[k + 1]]
-        if not len(at):
-            continue
-        own = h[at]
-        a = own @ p["w"][k] + p["wb"][k]
-        a -= a.max(axis=1, keepdims=True)
-        e = np.exp(a)
-        total = e.sum(axis=1)
-        some = np.arange(len(at))
-        logs[at] += a[some, word[at]] - np.log(total)
-        if grads is not None:
-            d = e / total[:, None]
-            d[some, word[at]] -= 1
-            grads["w"][k], grads["wb"][k] = own.T @ d, d.sum(axis=0)
-            dh[at] += d @ p["w"][k].T
+    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
+    parts = [(k, slice(cuts[k], cuts[k + 1])) for k in range(CLASSES) if cuts[k] < cuts[k + 1]]
+    own = h.take(order, axis=0)
+    for k, part in parts:
+        np.add((own[part] @ p["w"][k]).T, p["wb"][k][:, None], out=a[:, part])
+    more, d = _softmax(a, word[order], back)
+    logs[order] += more
+    if back:
+        down = np.empty_like(dh)
+        for k, part in parts:
+            grads["w"][k], grads["wb"][k] = own[part].T @ d[part], np.einsum("ij->j", d[part])
+            np.matmul(d[part], p["w"][k].T, out=down[part])
+        dh[order] += down
     return logs, dh
 
 
 def gradients(p: Params, inputs: np.ndarray, outputs: np.ndarray, opens: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray, dict]:
     """Sum of log probabilities of a window, the state after it, and the gradients of the negative sum; those of ``x`` as (rows, sums)."""
     states, tape = run(p, inputs, opens, h)
-    mask = outputs.ravel() >= 0
-    flat = states.reshape(-1, HIDDEN)[mask]
+    at = np.flatnonzero(outputs >= 0)
     grads: dict = {}
-    logs, back = log_probabilities(p, flat, outputs.ravel()[mask], grads)
-    dstates = np.zeros((outputs.size, HIDDEN), np.float32)
-    dstates[mask] = back
+    logs, back = log_probabilities(p, states.reshape(-1, HIDDEN).take(at, axis=0), outputs.ravel()[at], grads)
+    dstates = np.zeros((outputs.size, HIDDEN), back.dtype)
+    dstates[at] = back
     dstates = dstates.reshape(*outputs.shape, HIDDEN)
-    du, dx = np.zeros_like(p["u"]), np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
-    dh = np.zeros_like(h)
+    du, dx = np.zeros_like(p["u"]), np.empty((*inputs.shape, 3 * HIDDEN), back.dtype)
+    dh, dg, resets = np.zeros_like(dstates[0]), np.empty_like(dx[0]), opens.any(axis=1).tolist()
     for t in range(len(inputs) - 1, -1, -1):
         before, z, r, n, hn = tape[t]
-        dh = dh + dstates[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (before - n) * z * (1 - z)
-        dr = dn * hn * r * (1 - r)
-        dx[t] = np.concatenate([dz, dr, dn], axis=1)
-        dg = np.concatenate([dz, dr, dn * r], axis=1)
+        dh += dstates[t]
+        rest = 1 - z
+        dn = dh * rest
+        dn *= 1 - n * n
+        dz = (before - n) * dh
+        dz *= z
+        np.multiply(dz, rest, out=dg[:, :HIDDEN])
+        dr = dn * hn
+        dr *= r
+        np.multiply(dr, 1 - r, out=dg[:, HIDDEN : 2 * HIDDEN])
+        dx[t, :, : 2 * HIDDEN], dx[t, :, 2 * HIDDEN :] = dg[:, : 2 * HIDDEN], dn
+        np.multiply(dn, r, out=dg[:, 2 * HIDDEN :])
         du += before.T @ dg
-        dh = (dh * z + dg @ p["u"].T) * ~opens[t][:, None]
+        dh *= z
+        dh += dg @ p["u"].T
+        if resets[t]:
+            dh[opens[t]] = 0
     grads["u"] = du
-    ids = inputs.ravel()
-    order = np.argsort(ids, kind="stable")
-    firsts = np.flatnonzero(np.diff(ids[order], prepend=-1))
-    grads["x"] = (ids[order][firsts], np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], firsts, axis=0))
+    grads["x"] = _by_id(inputs.ravel(), dx.reshape(-1, 3 * HIDDEN))
     return float(logs.sum()), states[-1], grads
 
 
+def _by_id(ids: np.ndarray, rows: np.ndarray, many: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, ascending, and the sums of their rows. Runs of ``many`` rows are summed as columns side by side, which reduceat does slowly."""
+    ids = ids.astype(np.int16)
+    order = np.argsort(ids, kind="stable")
+    ids, rows = ids[order], rows.take(order, axis=0)
+    firsts = np.flatnonzero(np.diff(ids, prepend=-1))
+    counts = np.diff(firsts, append=len(ids))
+    short, sums = counts < many, np.empty((len(firsts), rows.shape[1]), rows.dtype)
+    if short.any():
+        sums[short] = np.add.reduceat(rows[np.repeat(short, counts)], np.cumsum(counts[short]) - counts[short], axis=0)
+    for k in np.flatnonzero(~short):
+        first, rest = rows[firsts[k]], rows[firsts[k] + 1 : firsts[k] + counts[k]]
+        sums[k] = first + np.ascontiguousarray(rest.T).sum(axis=1)
+    return ids[firsts], sums
+
+
 class Trainer:
     """Adagrad over windows. ``squares`` carries the sums of squared gradients on from earlier training."""
 
@@ -204,17 +255,15 @@ def _scored(p: Params, texts: list[np.ndarray], width: int, steps: int, wide: in
     inputs = np.concatenate([np.full((1, outputs.shape[1]), END, np.int32), outputs[:-1]])
     inputs = np.where(inputs < 0, END, inputs)
     h = np.zeros((outputs.shape[1], HIDDEN), np.float32)
-    t = 0
-    while t < len(outputs):
-        # Longer windows as lanes grow few.
-        part = slice(t, t + max(steps, min(512, wide // outputs.shape[1])))
-        t = part.stop
-        live = np.flatnonzero((outputs[part] >= 0).any(axis=0))  # lanes that have ended are left out
+    while len(outputs):
+        # Longer windows as lanes grow few; lanes that have ended are left out.
+        size, live = max(steps, min(512, wide // outputs.shape[1])), np.flatnonzero(outputs[0] >= 0)
         if len(live) < outputs.shape[1]:
             inputs, outputs, opens, owner, h = inputs[:, live], outputs[:, live], opens[:, live], owner[:, live], h[live]
-        states, _ = run(p, inputs[part], opens[part], h)
+        states, _ = run(p, inputs[:size], opens[:size], h, keep=False)
         h = states[-1]
-        mask = outputs[part].ravel() >= 0
-        logs, _ = log_probabilities(p, states.reshape(-1, HIDDEN)[mask], outputs[part].ravel()[mask])
-        out += np.bincount(owner[part].ravel()[mask], weights=logs, minlength=len(texts))
+        at = np.flatnonzero(outputs[:size] >= 0)
+        logs, _ = log_probabilities(p, states.reshape(-1, HIDDEN).take(at, axis=0), outputs[:size].ravel()[at])
+        out += np.bincount(owner[:size].ravel()[at], weights=logs, minlength=len(texts))
+        inputs, outputs, opens, owner = inputs[size:], outputs[size:], opens[size:], owner[size:]
     return out

@@ -20,6 +20,8 @@ from millwright.session import cut
 
 HEAD = 1 << 18
 BATCH_TOKENS = 1_000_000
+#: Texts scored together, unless one batch of rows has more. With few of them most lanes end long before the longest text does.
+BATCH_BYTES = 24_000_000
 END_HASH = np.uint64(0x9D39247E33776D41)
 
 
@@ -69,6 +71,10 @@ class Model:
         own = min(len(rank), R.OTHER)
         order = np.argsort(hashes)
         self.hashes, self.counts = hashes[order], counts[order]
+        # Where the hashes of the same first bits start: about one for each such bucket.
+        self.shift = np.uint64(64 - max(1, len(rank).bit_length()))
+        buckets = np.bincount((self.hashes >> self.shift).astype(np.int64), minlength=1 << 64 - int(self.shift))
+        self.starts = np.concatenate([[0], np.cumsum(buckets)]).astype(np.int32)
         self.outputs = np.where(order < own, order, R.OTHER).astype(np.int32)
         seen = np.zeros(R.OUTPUTS)
         seen[:own] = counts[:own]
@@ -80,9 +86,17 @@ class Model:
         """Outputs of the hashed words, and their counts: 0 for words outside the head, whose counts the table has."""
         if not len(self.hashes):
             return np.full(len(h), R.OTHER, np.int32), np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        found = self.hashes[at] == h
-        return np.where(found, self.outputs[at], R.OTHER).astype(np.int32), np.where(found, self.counts[at], 0)
+        outputs, counts = np.full(len(h), R.OTHER, np.int32), np.zeros(len(h), np.int64)
+        bucket = (h >> self.shift).astype(np.int64)
+        at, stop, left = self.starts[bucket], self.starts[bucket + 1], None
+        while True:  # words still sought, each against the next hash of its bucket
+            go = np.flatnonzero(at < stop)
+            if not len(go):
+                return outputs, counts
+            left, at, stop = go if left is None else left[go], at[go], stop[go]
+            found = self.hashes[at] == h[left]
+            outputs[left[found]], counts[left[found]] = self.outputs[at[found]], self.counts[at[found]]
+            at = np.where(found, stop, at + 1)
 
     def sequences(self, outputs: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
         end = np.array([R.END], np.int32)
@@ -183,9 +197,18 @@ def score(documents: DataFrame, model: Model, counts: DataFrame, text: str = "te
         return pa.RecordBatch.from_arrays([*batch.columns[:-1], *values], [*batch.schema.names[:-1], *names])
 
     def task(batches):
+        held, size = [], 0
         for batch in batches:
-            if batch.num_rows:
-                yield finish(batch)
+            if not batch.num_rows:
+                continue
+            more = batch.column(batch.num_columns - 1).nbytes
+            if held and size + more > BATCH_BYTES:
+                yield finish(_one(held))
+                held, size = [], 0
+            held.append(batch)
+            size += more
+        if held:
+            yield finish(_one(held))
 
     tune(documents.sparkSession, 2000)
     scored = cut(rows.mapInArrow(task, schema))
@@ -201,6 +224,10 @@ def score(documents: DataFrame, model: Model, counts: DataFrame, text: str = "te
         F.lit(model.tokens).cast("bigint").alias("train_tokens"), base.alias("base_score"), (F.col("_lm") + other).alias("score"))
 
 
+def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
+
+
 def _fields(ddl: str):
     from pyspark.sql import types as T
 

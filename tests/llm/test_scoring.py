@@ -1,5 +1,6 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -118,3 +119,75 @@ def test_a_very_long_text(docs):
     model, counts = scoring.train(frame)
     rows = {r.doc_id: r for r in scoring.score(frame, model, counts).collect()}
     assert rows[0].n_tokens == rows[0].n_known == 300_001 and rows[0].score == rows[4].score < rows[1].score < 0
+
+
+def _plain(p, inputs, opens, outputs):
+    """Log probabilities of a window, each formula as it stands."""
+    h, logs = np.zeros((inputs.shape[1], R.HIDDEN), np.float32), []
+    for t in range(len(inputs)):
+        h = np.where(opens[t][:, None], np.float32(0), h)
+        x, hu = p["x"][inputs[t]], h @ p["u"]
+        z, r = np.split(0.5 * np.tanh(0.5 * (x[:, : 2 * R.HIDDEN] + hu[:, : 2 * R.HIDDEN])) + 0.5, 2, axis=1)
+        n = np.tanh(x[:, 2 * R.HIDDEN :] + r * hu[:, 2 * R.HIDDEN :])
+        h = n + z * (h - n)
+        logs.append(h)
+    h, outputs = np.concatenate(logs), outputs.ravel()
+    cls, word = outputs // R.CLASS_WORDS, outputs % R.CLASS_WORDS
+    total = np.zeros(len(h), np.float32)
+    for k in range(-1, R.CLASSES):
+        at = np.flatnonzero((cls == k) | (k < 0))
+        a = h[at] @ (p["c"] if k < 0 else p["w"][k]) + (p["cb"] if k < 0 else p["wb"][k])
+        a -= a.max(axis=1, keepdims=True)
+        total[at] += a[np.arange(len(at)), (cls if k < 0 else word)[at]] - np.log(np.exp(a).sum(axis=1))
+    return total
+
+
+def test_windows_cost_less_than_plain_formulas_and_say_the_same():
+    rng = np.random.default_rng(5)
+    p = R.start(rng.integers(1, 900, R.OUTPUTS))
+    outputs, opens = rng.integers(0, R.OUTPUTS, (16, 512)), rng.random((16, 512)) < 0.01
+    inputs = np.concatenate([np.full((1, 512), R.END), outputs[:-1]])
+
+    def scored():
+        states, _ = R.run(p, inputs, opens, np.zeros((512, R.HIDDEN), np.float32), *keep)
+        return R.log_probabilities(p, states.reshape(-1, R.HIDDEN), outputs.ravel())[0]
+
+    keep = (False,) if "keep" in R.run.__code__.co_varnames else ()
+    assert np.allclose(scored(), _plain(p, inputs, opens, outputs), rtol=1e-5)
+    least = {}
+    for _ in range(15):
+        for f in (scored, lambda: _plain(p, inputs, opens, outputs)):
+            began = time.process_time()
+            f()
+            least[f is scored] = min(time.process_time() - began, least.get(f is scored, 9))
+    assert least[True] < 0.8 * least[False]
+
+
+def test_sums_by_id_and_numbers_of_words():
+    rng = np.random.default_rng(6)
+    ids, rows = np.concatenate([np.full(700, 9), rng.integers(0, 900, 300), [R.END]]), rng.normal(size=(1001, 48)).astype(np.float32)
+    found, sums = R._by_id(ids, rows)
+    assert found.tolist() == sorted(set(ids.tolist()))
+    assert all(np.allclose(s, rows[ids == k].sum(axis=0), atol=1e-4) for k, s in zip(found, sums, strict=True))
+    for size in (1, 2, 3, 3000):
+        head = {int(h): int(n) for h, n in zip(rng.integers(-(1 << 63), 1 << 63, size), rng.integers(1, 99, size), strict=True)} | {0: 5, -1: 7}
+        model = scoring.Model([*head.items(), (int(scoring.END_HASH.view(np.int64)), 4)], 10**6, size + 3)
+        words = np.array([*head, *rng.integers(-(1 << 63), 1 << 63, 500)], np.int64)
+        outputs, counts = model.number(words.view(np.uint64))
+        rank = {h: k for k, h in enumerate(sorted(head, key=lambda h: (-head[h], h)))}
+        assert counts.tolist() == [head.get(h, 0) for h in words.tolist()]
+        assert ((outputs == R.OTHER) == [rank.get(h, R.OTHER) >= R.OTHER for h in words.tolist()]).all()
+
+
+def test_rows_of_many_batches_keep_their_scores(docs):
+    texts = [f"w{i % 13} w{i % 7} " * (i % 5) or None for i in range(4500)]
+    frame = docs(texts).coalesce(1)
+    model, counts = scoring.train(frame)
+    rows = sorted(scoring.score(frame, model, counts).collect(), key=lambda r: r.doc_id)
+    assert [r.doc_id for r in rows] == list(range(4500))
+    for i in range(0, 4500, 450):
+        n, seen, total, log = base(texts[i : i + 1], texts)[0]
+        assert (rows[i].n_tokens, rows[i].n_known, rows[i].train_tokens) == (n, seen, total) and rows[i].base_score == pytest.approx(log, rel=1e-9)
+    same = {}
+    for r, t in zip(rows, texts, strict=True):
+        assert r.score == pytest.approx(same.setdefault(t, r.score), rel=1e-5)
