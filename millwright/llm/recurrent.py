@@ -53,7 +53,7 @@ def lanes(texts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray,
         held[k].append(i)
         heapq.heappush(heap, (n + len(texts[i]), k))
     longest = max(n for n, _ in heap)
-    outputs = np.full((longest, width), -1, np.int32)
+    outputs = np.full((longest, width), -1, np.int16)
     opens, owner = np.zeros((longest, width), bool), np.full((longest, width), -1, np.int32)
     for k, own in enumerate(held):
         at = 0
@@ -186,7 +186,7 @@ def gradients(p: Params, inputs: np.ndarray, outputs: np.ndarray, opens: np.ndar
 
 def _by_id(ids: np.ndarray, rows: np.ndarray, many: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids, ascending, and the sums of their rows. Runs of ``many`` rows are summed as columns side by side, which reduceat does slowly."""
-    ids = ids.astype(np.int16)
+    ids = ids.astype(np.int16, copy=False)
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows.take(order, axis=0)
     firsts = np.flatnonzero(np.diff(ids, prepend=-1))
@@ -212,7 +212,7 @@ class Trainer:
         """One pass over whole texts; one of more than ``longest`` words is learnt in stretches of this length, so that lanes stay even."""
         width = min(self.width, max(32, sum(map(len, texts)) // self.longest))  # few words: fewer lanes, so that there are windows enough
         outputs, opens, _ = lanes([t[i : i + self.longest] for t in texts for i in range(0, len(t), self.longest)], width)
-        inputs = np.concatenate([np.full((1, outputs.shape[1]), END, np.int32), outputs[:-1]])
+        inputs = np.concatenate([np.full((1, outputs.shape[1]), END, np.int16), outputs[:-1]])
         inputs = np.where((inputs < 0) | opens, END, inputs)
         h = np.zeros((outputs.shape[1], HIDDEN), np.float32)
         for t in range(0, len(outputs), self.steps):
@@ -252,7 +252,7 @@ def score(p: Params, texts: list[np.ndarray], width: int = 512, steps: int = 32,
 def _scored(p: Params, texts: list[np.ndarray], width: int, steps: int, wide: int) -> np.ndarray:
     out = np.zeros(len(texts))
     outputs, opens, owner = lanes(texts, width)
-    inputs = np.concatenate([np.full((1, outputs.shape[1]), END, np.int32), outputs[:-1]])
+    inputs = np.concatenate([np.full((1, outputs.shape[1]), END, np.int16), outputs[:-1]])
     inputs = np.where(inputs < 0, END, inputs)
     h = np.zeros((outputs.shape[1], HIDDEN), np.float32)
     while len(outputs):

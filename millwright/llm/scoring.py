@@ -75,7 +75,7 @@ class Model:
         self.shift = np.uint64(64 - max(1, len(rank).bit_length()))
         buckets = np.bincount((self.hashes >> self.shift).astype(np.int64), minlength=1 << 64 - int(self.shift))
         self.starts = np.concatenate([[0], np.cumsum(buckets)]).astype(np.int32)
-        self.outputs = np.where(order < own, order, R.OTHER).astype(np.int32)
+        self.outputs = np.where(order < own, order, R.OTHER).astype(np.int16)
         seen = np.zeros(R.OUTPUTS)
         seen[:own] = counts[:own]
         self.other_tokens, self.other_types = tokens - self.ends - int(counts[:own].sum()), types - own - (self.ends > 0)
@@ -85,8 +85,8 @@ class Model:
     def number(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Outputs of the hashed words, and their counts: 0 for words outside the head, whose counts the table has."""
         if not len(self.hashes):
-            return np.full(len(h), R.OTHER, np.int32), np.zeros(len(h), np.int64)
-        outputs, counts = np.full(len(h), R.OTHER, np.int32), np.zeros(len(h), np.int64)
+            return np.full(len(h), R.OTHER, np.int16), np.zeros(len(h), np.int64)
+        outputs, counts = np.full(len(h), R.OTHER, np.int16), np.zeros(len(h), np.int64)
         bucket = (h >> self.shift).astype(np.int64)
         at, stop, left = self.starts[bucket], self.starts[bucket + 1], None
         while True:  # words still sought, each against the next hash of its bucket
@@ -99,7 +99,7 @@ class Model:
             at = np.where(found, stop, at + 1)
 
     def sequences(self, outputs: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-        end = np.array([R.END], np.int32)
+        end = np.array([R.END], np.int16)
         return [np.concatenate([outputs[a:b], end]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
